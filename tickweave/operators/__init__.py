@@ -2,7 +2,7 @@
 DataFrame where Spark allows the underlying aggregation."""
 
 from tickweave.operators.aggregates import key_totals, window_counts, window_metrics
-from tickweave.operators.changes import bar_events, window_changes
+from tickweave.operators.changes import bar_changes, window_changes
 from tickweave.operators.indicators import carry_forward, rsi_smoothed, rsi_window
 from tickweave.operators.profit import cumulative_profit, profit_parity, running_profit
 from tickweave.operators.ranking import sorted_desc, top_k
@@ -10,7 +10,7 @@ from tickweave.operators.scan import affine_scan
 from tickweave.operators.windows import flatten_window, window_col, window_grid, with_arrival_time
 
 __all__ = [
-    "affine_scan", "bar_events", "carry_forward", "cumulative_profit", "flatten_window", "key_totals",
+    "affine_scan", "bar_changes", "carry_forward", "cumulative_profit", "flatten_window", "key_totals",
     "profit_parity", "rsi_smoothed", "rsi_window", "running_profit", "sorted_desc", "top_k",
     "window_changes", "window_col", "window_counts", "window_grid", "window_metrics", "with_arrival_time",
 ]

@@ -3,15 +3,16 @@
 A change is ``value[j] - value[j-1]`` for consecutive bars of a key in
 ``(time, *order)`` order.  The sequential part (``lag``) runs per
 ``(key, time bucket)``, so even a key holding a third of all rows is spread
-over as many tasks as it has buckets.  The change across a bucket border is
-taken from per-bucket first/last bars, a table that is small (one row per key
-and bucket) and is aggregated without a new shuffle because the lagged rows are
-already partitioned by ``(key, bucket)``.
+over as many tasks as it has buckets.  Only the first two bars of a bucket
+need bars of earlier buckets; they are re-lagged in a second pass over the
+first and last two bars of every bucket (at most four rows per key and
+bucket, however dense the data).
 
 A change belongs to a time window when both of its bars lie in the window, so
-a window's bar sequence never has to be materialized or sorted: each change is
-assigned to the windows that contain both of its bars, and the per-window
-sums are ordinary (map-side combined) aggregates.
+a window's bar sequence never has to be gathered or sorted: each bar is
+assigned to the windows that contain it, its change counts where the previous
+bar is inside too, and the per-window results are plain sums and counts
+(hash aggregation with map-side combine).
 """
 
 from __future__ import annotations
@@ -29,60 +30,64 @@ from tickweave.schema import DEFAULT_SLIDE, DEFAULT_WINDOW
 _B = "_bucket"
 
 
-def bar_events(bars: DataFrame, key: str = "symbol", time: str = "ts",
-               order: Sequence[str] = ("seq",), value: str = "close",
-               bucket: str = "1 day") -> DataFrame:
-    """One row per bar plus one row per bucket border, with the change that ends there.
+def bar_changes(bars: DataFrame, key: str = "symbol", time: str = "ts",
+                order: Sequence[str] = ("seq",), value: str = "close",
+                bucket: str = "1 day") -> DataFrame:
+    """One row per bar: ``key``, ``cur_ts``, ``prev_ts`` and ``prev2_ts`` (times
+    of the two bars before it), ``value`` and ``change`` (NULL for a key's
+    first bar).  Bars without a time are ignored.
 
-    Columns: ``key``, ``cur`` (struct of ``time`` and ``order``: the bar that
-    ends the change), ``cur_ts``, ``prev_ts`` (time of the bar before it),
-    ``change`` (NULL for a key's first bar) and ``is_bar`` (1 for bar rows, 0
-    for border rows, which repeat the first bar of a bucket).
-    Bars without a time are ignored.
+    ``bucket`` only decides how the sequential work is split; the result does
+    not depend on it.
     """
-    ordk = F.struct(F.col(time).alias("t"), *[F.col(o).alias(f"o{i}") for i, o in enumerate(order)])
     base = (bars.where(F.col(time).isNotNull())
-            .select(F.col(key), ordk.alias("cur"), F.col(value).alias("_v"),
-                    F.window(time, bucket).start.alias(_B)))
-    in_bucket = Window.partitionBy(key, _B).orderBy("cur")
-    lagged = (base
-              .withColumn("_prev", F.lag("cur").over(in_bucket))
-              .withColumn("change", F.col("_v") - F.lag("_v").over(in_bucket)))
-    bar_rows = lagged.select(key, "cur", F.col("_prev.t").alias("prev_ts"), "change",
-                             F.lit(1).alias("is_bar"))
-    # Bucket borders: first bar of a bucket against the last bar of the key's
-    # previous non-empty bucket.
-    ends = lagged.groupBy(key, _B).agg(F.min("cur").alias("first"), F.min_by("_v", "cur").alias("first_v"),
-                                        F.max("cur").alias("last"), F.max_by("_v", "cur").alias("last_v"))
-    by_bucket = Window.partitionBy(key).orderBy(_B)
-    border_rows = (ends
-                   .withColumn("_plast", F.lag("last").over(by_bucket))
-                   .withColumn("change", F.col("first_v") - F.lag("last_v").over(by_bucket))
-                   .where(F.col("_plast").isNotNull())
-                   .select(key, F.col("first").alias("cur"), F.col("_plast.t").alias("prev_ts"), "change",
-                           F.lit(0).alias("is_bar")))
-    return bar_rows.unionByName(border_rows).withColumn("cur_ts", F.col("cur.t"))
+            .select(F.col(key), F.col(time).alias("cur_ts"), *[F.col(o) for o in order],
+                    F.col(value).alias("value"), F.window(time, bucket).start.alias(_B)))
+    sort = [F.col("cur_ts"), *[F.col(o) for o in order]]
+    in_bucket = Window.partitionBy(key, _B).orderBy(*sort)
+    lagged = base.select(
+        "*",
+        F.lag("cur_ts", 1).over(in_bucket).alias("prev_ts"),
+        F.lag("cur_ts", 2).over(in_bucket).alias("prev2_ts"),
+        F.lag("value", 1).over(in_bucket).alias("_pv"),
+        F.row_number().over(in_bucket).alias("_rn"),
+        F.lead("cur_ts", 2).over(in_bucket).isNull().alias("_tail"))
+    cols = [key, "cur_ts", *order, "value", "prev_ts", "prev2_ts",
+            (F.col("value") - F.col("_pv")).alias("change")]
+    inner = lagged.where(F.col("_rn") >= 3).select(*cols)
+    # Bucket edges: the first two bars of each bucket take their predecessors
+    # from the last two bars of the key's earlier buckets.
+    by_key = Window.partitionBy(key).orderBy(*sort)
+    edges = (lagged.where((F.col("_rn") <= 2) | F.col("_tail"))
+             .select(key, "cur_ts", *order, "value", "_rn",
+                     F.lag("cur_ts", 1).over(by_key).alias("prev_ts"),
+                     F.lag("cur_ts", 2).over(by_key).alias("prev2_ts"),
+                     F.lag("value", 1).over(by_key).alias("_pv"))
+             .where(F.col("_rn") <= 2)
+             .select(*cols))
+    return inner.unionByName(edges)
 
 
 def window_changes(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,
                    key: str = "symbol", time: str = "ts", order: Sequence[str] = ("seq",),
                    value: str = "close", bucket: str | None = None) -> DataFrame:
-    """Per key and window: bar count, change count, gain and loss sums (exact
-    decimals) and the first change of the window.
-
-    ``gain`` is the sum of positive changes, ``loss`` the sum of the absolute
-    negative changes between consecutive bars inside the window.
+    """Per key and window: ``n_bars``, ``n_changes`` and the sums of positive
+    (``gain``) and absolute negative (``loss``) changes between consecutive
+    bars inside the window (exact decimals), plus ``first_gain`` /
+    ``first_loss``, the part of those sums due to the window's first change.
     """
-    events = bar_events(bars, key, time, order, value, bucket or slide or window)
-    w = window_col("cur_ts", window, slide)
-    ch = F.when(F.col("prev_ts") >= F.col("window.start"), F.col("change"))
+    changes = bar_changes(bars, key, time, order, value, bucket or slide or window)
+    start = F.col("window.start")
+    inside = F.col("prev_ts") >= start
+    first = inside & (F.col("prev2_ts").isNull() | (F.col("prev2_ts") < start))
+    ch = F.when(inside, F.col("change"))
+    first_ch = F.when(first, F.col("change"))
     return flatten_window(
-        events.withColumn("window", w)
-        .where((F.col("is_bar") == 1) | (F.col("prev_ts") >= F.col("window.start")))
-        .withColumn("_ch", ch)
+        changes.withColumn("window", window_col("cur_ts", window, slide))
         .groupBy("window", key)
-        .agg(F.sum("is_bar").cast("bigint").alias("n_bars"),
-             F.count("_ch").alias("n_changes"),
-             F.sum(positive_part("_ch")).alias("gain"),
-             F.sum(negative_part("_ch")).alias("loss"),
-             F.min_by("_ch", F.when(F.col("_ch").isNotNull(), F.col("cur"))).alias("first_change")))
+        .agg(F.count(F.lit(1)).alias("n_bars"),
+             F.count(ch).alias("n_changes"),
+             F.sum(positive_part(ch)).alias("gain"),
+             F.sum(negative_part(ch)).alias("loss"),
+             F.sum(positive_part(first_ch)).alias("first_gain"),
+             F.sum(negative_part(first_ch)).alias("first_loss")))

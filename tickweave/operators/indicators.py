@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickweave.functions.scalar import negative_part, positive_part, rsi
+from tickweave.functions.scalar import rsi
 from tickweave.operators.changes import window_changes
 from tickweave.operators.scan import affine_scan
 from tickweave.operators.windows import window_grid
@@ -27,15 +27,13 @@ def rsi_window(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | None
     with fewer than ``min_bars`` bars or when no price moved.
     """
     wc = window_changes(bars, window, slide, key, time, order, value, bucket)
-    first = F.col("first_change")
     enough = F.col("n_bars") >= min_bars
     return wc.select(
         "window_start", "window_end", key, "n_bars",
         F.col("gain").cast("double").alias("gain"),
         F.col("loss").cast("double").alias("loss"),
         F.when(enough, rsi("gain", "loss")).alias("rsi"),
-        F.when(enough, rsi(F.col("gain") - F.coalesce(positive_part(first), F.lit(0)),
-                           F.col("loss") - F.coalesce(negative_part(first), F.lit(0))))
+        F.when(enough, rsi(F.col("gain") - F.col("first_gain"), F.col("loss") - F.col("first_loss")))
         .alias("rsi_skip_first"),
     )
 
