@@ -179,3 +179,18 @@ def test_profit_variants(spark):
 def test_render_quote(spark):
     df = bars(spark, [("AAA", 1, 0, 10, 10.5, 1200)]).withColumn("high", F.col("close")).withColumn("low", F.col("open"))
     assert df.select(render_quote()).first()[0] == "AAA - 2024-01-02 09:31:00 (10.00 - 10.50 - 10.00 - 10.50 - 1200)"
+
+
+@pytest.mark.parametrize("block", [1, 4, 256])
+def test_blocked_scan_any_block_size(spark, block):
+    rng = random.Random(11)
+    rows = [(k, i, rng.uniform(0.1, 1.2), rng.uniform(0, 5), rng.uniform(0, 5))
+            for k, n in (("X", 29), ("Y", 5), ("Z", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, i int, a double, g double, l double")
+    got = {(r["k"], r["i"]): (r["g"], r["l"]) for r in affine_scan(df, "k", ["i"], "a", ["g", "l"], block=block).collect()}
+    assert len(got) == len(rows)
+    for k in "XYZ":
+        g = l_ = 0.0
+        for _, i, a, bg, bl in (r for r in rows if r[0] == k):
+            g, l_ = a * g + bg, a * l_ + bl
+            assert got[(k, i)] == (pytest.approx(g, rel=1e-12), pytest.approx(l_, rel=1e-12))

@@ -12,6 +12,7 @@ from tickweave.functions.scalar import rsi
 from tickweave.operators.changes import window_changes
 from tickweave.operators.scan import affine_scan
 from tickweave.operators.windows import window_grid
+from tickweave.session import cut_lineage
 from tickweave.schema import DEFAULT_SLIDE, DEFAULT_WINDOW
 
 SMOOTHING_MODES = ("wilder", "undivided")
@@ -41,7 +42,7 @@ def rsi_window(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | None
 def rsi_smoothed(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,
                  key: str = "symbol", time: str = "ts", order: Sequence[str] = ("seq",),
                  value: str = "close", mode: str = "wilder", bucket: str | None = None,
-                 summaries: DataFrame | None = None) -> DataFrame:
+                 summaries: DataFrame | None = None, seed: DataFrame | None = None) -> DataFrame:
     """RSI whose average gain and loss are carried from window to window.
 
     For the k-th window of a key with ``L`` changes (windows with fewer than
@@ -51,23 +52,36 @@ def rsi_smoothed(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | Non
     * ``undivided``: ``G = G_prev * L + g`` (the feed's original update, which
       lets history grow without bound and overflows; kept for comparison).
 
-    Both start from 0.  The recurrence is solved with a parallel prefix scan
-    over per-window summaries (``summaries`` may be passed precomputed, with
-    columns ``key, window_start, window_end, n_changes, gain, loss``).
+    Both start from 0, or from ``seed`` (``key, avg_gain, avg_loss``: the state
+    left by earlier data, as in a stream).  The recurrence is solved with a
+    parallel prefix scan over per-window summaries (``summaries`` may be passed
+    precomputed, with columns ``key, window_start, window_end, n_changes,
+    gain, loss``).
     """
     if mode not in SMOOTHING_MODES:
         raise ValueError(f"mode must be one of {SMOOTHING_MODES}")
-    wc = summaries if summaries is not None else window_changes(
-        bars, window, slide, key, time, order, value, bucket)
+    # The summaries are read several times (length probe, scan); without a
+    # precomputed input they are written once to the checkpoint folder.
+    wc = summaries if summaries is not None else cut_lineage(window_changes(
+        bars, window, slide, key, time, order, value, bucket))
     L = F.col("n_changes").cast("double")
-    steps = wc.where(F.col("n_changes") >= 1)
+    steps = wc.where(F.col("n_changes") >= 1).select(key, "window_start", "window_end", "n_changes", "gain", "loss")
     if mode == "wilder":
         steps = steps.select("*", (L / (L + 1)).alias("_a"), (F.col("gain").cast("double") / (L + 1)).alias("avg_gain"),
                              (F.col("loss").cast("double") / (L + 1)).alias("avg_loss"))
     else:
         steps = steps.select("*", L.alias("_a"), F.col("gain").cast("double").alias("avg_gain"),
                              F.col("loss").cast("double").alias("avg_loss"))
-    scanned = affine_scan(steps, key, ["window_start"], "_a", ["avg_gain", "avg_loss"])
+    steps = steps.drop("gain", "loss").withColumn("_seed", F.lit(False))
+    if seed is not None:
+        # The seed is the constant map x -> state, placed before every window.
+        ts_type = wc.schema["window_start"].dataType.simpleString()
+        steps = steps.unionByName(seed.select(
+            key, F.lit("0001-01-01 00:00:00").cast(ts_type).alias("window_start"),
+            F.lit(None).cast(ts_type).alias("window_end"), F.lit(None).cast("bigint").alias("n_changes"),
+            F.lit(0.0).alias("_a"), F.col("avg_gain").cast("double").alias("avg_gain"),
+            F.col("avg_loss").cast("double").alias("avg_loss"), F.lit(True).alias("_seed")))
+    scanned = affine_scan(steps, key, ["window_start"], "_a", ["avg_gain", "avg_loss"]).where(~F.col("_seed"))
     return scanned.select("window_start", "window_end", key,
                           (F.col("n_changes") + 1).alias("n_bars"),
                           "avg_gain", "avg_loss",

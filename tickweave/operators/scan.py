@@ -1,63 +1,99 @@
 """Ordered recurrences per key as a parallel prefix scan.
 
 The cross-window RSI state follows ``x[k] = a[k] * x[k-1] + b[k]`` per key.
-Affine maps compose associatively, so the recurrence is a prefix scan: after
-round ``r`` of the doubling scan each row holds the composition of the
-``2^r`` maps that end at it (one equi-join on the unique ``(key, rank)``
-with the row ``2^r`` places earlier).  ``ceil(log2(n))`` rounds give every
-prefix.  No row, task or group ever holds more than one element, so a key
-with a very long history is spread like any other data, and every round is
-checkpointed to the shared checkpoint folder, keeping lineage short and
-making a lost executor cost one round, not the whole scan.
+Affine maps compose associatively, so the recurrence is a prefix scan, done
+in two levels:
+
+1. Each key's elements are cut into blocks of at most ``block`` consecutive
+   elements; one row per block folds its elements in order with the
+   ``aggregate`` higher-order function (a group never exceeds ``block``
+   elements, whatever the key's history length).
+2. The blocks' composed maps are scanned with recursive doubling: after round
+   ``r`` each block row holds the composition of the ``2^r`` blocks ending at
+   it (one equi-join on the unique ``(key, block)``).  ``ceil(log2(blocks))``
+   rounds give every prefix; keys with one block need none.  Every round is
+   checkpointed to the shared checkpoint folder, keeping lineage short and
+   making a lost executor cost one round, not the whole scan.
+
+Each element's value is then its in-block prefix applied to the value at the
+end of the previous block.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickweave.session import ensure_checkpoint_dir
+from tickweave.session import cut_lineage
 
 RANK = "_rank"
+BLOCK = "_block"
+DEFAULT_BLOCK = 256
 
 
-def _materialize(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def affine_scan(df: DataFrame, key: str, order: Sequence[str], a: str, bs: Sequence[str],
-                out: Sequence[str] | None = None) -> DataFrame:
-    """For each key in ``order``: ``x_j[k] = a[k] * x_j[k-1] + b_j[k]`` with
-    ``x_j[0] = 0`` for every column ``b_j`` in ``bs``.
-
-    Returns ``df`` with the scanned values in columns ``out`` (default: the
-    names in ``bs``, replaced).  Values are doubles.
-    """
-    out = list(out or bs)
-    # The rank is the only per-key ordered step; it runs over the (small)
-    # per-window summaries, not over quotes.
-    ranked = _materialize(df.withColumn(RANK, F.row_number().over(Window.partitionBy(key).orderBy(*order))))
-    bcols = [f"_b{j}" for j in range(len(bs))]
-    state = ranked.select(key, RANK, F.col(a).cast("double").alias("_a"),
-                          *[F.col(b).cast("double").alias(c) for b, c in zip(bs, bcols)])
-    longest = ranked.agg(F.max(RANK)).first()[0] or 0
+def _double_blocks(blocks: DataFrame, key: str, bcols: list[str], rounds: int) -> DataFrame:
+    """Inclusive prefix composition over ``BLOCK`` (dense 0..n-1 per key)."""
+    state = blocks
     step = 1
-    while step < longest:
-        prev = state.select(key, (F.col(RANK) + step).alias(RANK), F.col("_a").alias("_pa"),
+    for _ in range(rounds):
+        prev = state.select(key, (F.col(BLOCK) + step).alias(BLOCK), F.col("_a").alias("_pa"),
                             *[F.col(c).alias(f"_p{c}") for c in bcols])
         has_prev = F.col("_pa").isNotNull()
-        state = _materialize(
-            state.join(prev, [key, RANK], "left").select(
-                key, RANK,
+        state = cut_lineage(
+            state.join(prev, [key, BLOCK], "left").select(
+                key, BLOCK,
                 F.when(has_prev, F.col("_a") * F.col("_pa")).otherwise(F.col("_a")).alias("_a"),
                 *[F.when(has_prev, F.col("_a") * F.col(f"_p{c}") + F.col(c)).otherwise(F.col(c)).alias(c)
                   for c in bcols]))
         step *= 2
+    return state
+
+
+def affine_scan(df: DataFrame, key: str, order: Sequence[str], a: str, bs: Sequence[str],
+                out: Sequence[str] | None = None, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """For each key in ``order`` (unique per key): ``x_j[k] = a[k] * x_j[k-1] + b_j[k]``
+    with ``x_j[0] = 0`` for every column ``b_j`` in ``bs``.
+
+    Returns ``df`` with the scanned values (doubles) in columns ``out``
+    (default: the names in ``bs``, replaced).
+    """
+    out = list(out or bs)
+    bcols = [f"_b{j}" for j in range(len(bs))]
+    # The rank is the only per-key ordered pass; it runs over per-window
+    # summaries (one row per key and window), not over quotes.
+    ranked = df.withColumn(RANK, F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1)
+    elem = F.struct(F.col(RANK).alias("r"), F.col(a).cast("double").alias("a"),
+                    *[F.col(b).cast("double").alias(c) for b, c in zip(bs, bcols)])
+    prefix_type = "array<struct<r:int,_a:double," + ",".join(f"{c}:double" for c in bcols) + ">>"
+
+    def merge(acc, x):
+        na = acc["_a"] * x["a"]
+        nb = [x["a"] * acc[c] + x[c] for c in bcols]
+        entry = F.struct(x["r"].alias("r"), na.alias("_a"), *[v.alias(c) for v, c in zip(nb, bcols)])
+        return F.struct(na.alias("_a"), *[v.alias(c) for v, c in zip(nb, bcols)],
+                        F.array_append(acc["_p"], entry).alias("_p"))
+
+    init = F.struct(F.lit(1.0).alias("_a"), *[F.lit(0.0).alias(c) for c in bcols],
+                    F.array().cast(prefix_type).alias("_p"))
+    folded = (ranked.groupBy(key, F.floor(F.col(RANK) / block).cast("int").alias(BLOCK))
+              .agg(F.aggregate(F.array_sort(F.collect_list(elem)), init, merge).alias("_f")))
+
+    longest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    rounds = math.ceil(math.log2(math.ceil(longest / block))) if longest > block else 0
+    if rounds:
+        folded = cut_lineage(folded)
+    blocks = folded.select(key, BLOCK, F.col("_f._a").alias("_a"), *[F.col(f"_f.{c}").alias(c) for c in bcols])
+    # Value of x at the end of the previous block (x at the end of a prefix is its B).
+    carried = _double_blocks(blocks, key, bcols, rounds).select(
+        key, (F.col(BLOCK) + 1).alias(BLOCK), *[F.col(c).alias(f"_x{c}") for c in bcols])
+    elems = folded.select(key, BLOCK, F.explode("_f._p").alias("_e")).join(carried, [key, BLOCK], "left")
+    values = elems.select(
+        key, F.col("_e.r").alias(RANK),
+        *[(F.col("_e._a") * F.coalesce(F.col(f"_x{c}"), F.lit(0.0)) + F.col(f"_e.{c}")).alias(o)
+          for c, o in zip(bcols, out)])
     keep = [c for c in ranked.columns if c not in out]
-    return (ranked.select(*keep)
-            .join(state.select(key, RANK, *[F.col(c).alias(o) for c, o in zip(bcols, out)]), [key, RANK])
-            .drop(RANK))
+    return ranked.select(*keep).join(values, [key, RANK]).drop(RANK)

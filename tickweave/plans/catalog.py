@@ -17,6 +17,7 @@ from tickweave.operators.profit import cumulative_profit, profit_parity, running
 from tickweave.operators.ranking import top_k
 from tickweave.sources.decode import decode_quotes
 from tickweave.sources.lines import render_quote_lines
+from tickweave.session import cut_lineage
 from tickweave.sources.tables import load_quotes, read_table, with_high_low
 
 # Window settings of the queries.  The feed's own setting is 10 minutes moved
@@ -127,7 +128,7 @@ def q_rsi_undivided(spark: SparkSession, d: str) -> DataFrame:
 
 def q_rsi_carry_forward(spark: SparkSession, d: str) -> DataFrame:
     quotes = load_quotes(spark, d, key="user_id")
-    summaries = window_changes(quotes, DAY_WINDOW, DAY_SLIDE)
+    summaries = cut_lineage(window_changes(quotes, DAY_WINDOW, DAY_SLIDE))
     smoothed = rsi_smoothed(quotes, mode="wilder", summaries=summaries).select(
         "symbol", "window_start", F.round("rsi", RSI_DIGITS).alias("rsi"))
     return carry_forward(smoothed, summaries.select("symbol", "window_start"), DAY_SLIDE, DAY_WINDOW)

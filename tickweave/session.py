@@ -70,3 +70,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     sc.setCheckpointDir(checkpoint_root(spark))
     return sc.getCheckpointDir()
+
+
+def cut_lineage(df):
+    """Write ``df`` to the shared checkpoint folder and continue from the copy.
+
+    Used at the boundary after an expensive reduction (e.g. per-window
+    summaries), so later steps and retries after a lost executor start from
+    the written result instead of recomputing from the raw data.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
