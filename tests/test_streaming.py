@@ -112,3 +112,23 @@ def test_interval_micros():
     assert interval_micros("1 day") == 86_400_000_000
     with pytest.raises(ValueError):
         interval_micros("3 fortnights")
+
+
+def test_feed_app_one_decode_all_outputs(spark, feed, scratch):
+    from tickweave.app import main, run_feed
+
+    assert main([]) == 1   # the input and output folders are required
+    out = os.path.join(scratch, "app")
+    run(run_feed(spark, feed, out, "1 day", "12 hours", "12 hours", trigger=ONCE, max_files_per_trigger=10))
+    bq = batch_quotes(spark, feed)
+    closed = spark.read.parquet(os.path.join(out, "state", "meta")).agg(F.max("closed_us")).first()[0]
+    end_ok = F.unix_micros(F.col("window_end").cast("timestamp")) <= closed
+    got = spark.read.parquet(os.path.join(out, "metrics")).drop("batch_id")
+    want = window_metrics(bq, "1 day", "12 hours").where(end_ok)
+    assert got.count() > 250 and compare(got.toPandas(), want.toPandas()) is None
+    top = spark.read.parquet(os.path.join(out, "top_volume")).drop("batch_id")
+    assert compare(top.toPandas(), top_k(want, "total_volume", 1).toPandas()) is None
+    last = spark.read.parquet(os.path.join(out, "profit")).agg(F.max("batch_id")).first()[0]
+    prof = spark.read.parquet(os.path.join(out, "profit")).where(F.col("batch_id") == last).drop("batch_id")
+    assert compare(prof.toPandas(), cumulative_profit(bq).select("symbol", "n_quotes", "cumulative_profit").toPandas()) is None
+    assert spark.read.parquet(os.path.join(out, "quarantine")).count() == 0

@@ -16,10 +16,15 @@ def top_k(df: DataFrame, by: str, k: int = 1, per: Sequence[str] = ("window_star
     Ties are broken by ``tie`` ascending, so the output is deterministic.  The
     ``row_number() <= k`` filter lets Spark insert a window group limit before
     the shuffle, so at most ``k`` rows per group and map task are exchanged.
-    NULL metrics rank last.
+    NULL metrics rank last.  With ``per=()`` it is one global top ``k``.
     """
     order = [F.col(by).desc_nulls_last(), *[F.col(t).asc() for t in tie]]
-    w = Window.partitionBy(*per).orderBy(*order) if per else Window.orderBy(*order)
+    if not per:
+        # One global top k: each task keeps its k best rows, the driver merges
+        # them (TakeOrderedAndProject); only the k survivors are numbered.
+        best = df.orderBy(*order).limit(k)
+        return best.withColumn(rank_name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    w = Window.partitionBy(*per).orderBy(*order)
     return (df.withColumn(rank_name, F.row_number().over(w))
             .where(F.col(rank_name) <= k)
             .withColumn(rank_name, F.col(rank_name).cast("bigint")))

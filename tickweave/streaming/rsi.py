@@ -30,8 +30,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.functions.scalar import rsi
+from tickweave.operators.aggregates import window_metrics
 from tickweave.operators.changes import window_changes
 from tickweave.operators.indicators import rsi_smoothed
+from tickweave.operators.ranking import top_k
 from tickweave.sinks.files import batch_path, write_parquet
 
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
@@ -62,8 +64,13 @@ class StreamingRsi:
 
     def __init__(self, root: str, window: str = "10 minutes", slide: str = "5 minutes",
                  delay: str = "10 minutes", key: str = "symbol", time: str = "ts",
-                 order: Sequence[str] = ("seq", "close"), value: str = "close", mode: str = "wilder"):
+                 order: Sequence[str] = ("seq", "close"), value: str = "close", mode: str = "wilder",
+                 with_metrics: bool = False):
         self.root = root.rstrip("/")
+        # With ``with_metrics`` the closed windows also get the window metrics
+        # (SMA, average gain, volume) and their top-1 tables, from the same bars.
+        self.with_metrics = with_metrics
+        self.extra = ("open", "volume") if with_metrics else ()
         self.window, self.slide, self.delay = window, slide, delay
         self.window_us, self.slide_us = interval_micros(window), interval_micros(slide)
         self.delay_us = interval_micros(delay)
@@ -87,7 +94,7 @@ class StreamingRsi:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         k, t = self.key, self.time
-        cols = list(dict.fromkeys([k, t, *self.order, self.value]))
+        cols = list(dict.fromkeys([k, t, *self.order, self.value, *self.extra]))
         micros = F.unix_micros(F.col(t).cast("timestamp"))
         meta = self._read(spark, "meta", batch_id - 1)
         m = meta.first() if meta is not None else None
@@ -128,6 +135,8 @@ class StreamingRsi:
                 F.when(F.col("n_bars") >= 2, rsi(F.col("gain") - F.col("first_gain"),
                                                  F.col("loss") - F.col("first_loss"))).alias("rsi_skip_first"))
             write_parquet(windows, batch_path(f"{self.root}/windows", batch_id))
+            if self.with_metrics:
+                self._write_metrics(horizon, closed_prev, closed_us, batch_id)
             smoothed = rsi_smoothed(None, key=k, mode=self.mode, summaries=done, seed=smooth_prev)
             smoothed = smoothed.persist()
             write_parquet(smoothed, batch_path(f"{self.root}/smoothed", batch_id))
@@ -150,6 +159,19 @@ class StreamingRsi:
         new.unpersist()
 
 
+    def _write_metrics(self, horizon: DataFrame, closed_prev, closed_us, batch_id: int) -> None:
+        end_us = F.unix_micros(F.col("window_end").cast("timestamp"))
+        m = window_metrics(horizon, self.window, self.slide, key=self.key, time=self.time,
+                           close=self.value).where(end_us <= closed_us)
+        if closed_prev is not None:
+            m = m.where(end_us > closed_prev)
+        m = m.persist()
+        write_parquet(m, batch_path(f"{self.root}/metrics", batch_id))
+        for metric, name in (("avg_gain", "top_gain"), ("total_volume", "top_volume")):
+            write_parquet(top_k(m, metric, 1, tie=(self.key,)), batch_path(f"{self.root}/{name}", batch_id))
+        m.unpersist()
+
+
 def read_results(spark: SparkSession, root: str, name: str) -> DataFrame:
     """All rows written so far to ``<root>/<name>`` (``windows`` or ``smoothed``)."""
     return spark.read.parquet(f"{root.rstrip('/')}/{name}").drop("batch_id")
