@@ -132,3 +132,53 @@ def test_feed_app_one_decode_all_outputs(spark, feed, scratch):
     prof = spark.read.parquet(os.path.join(out, "profit")).where(F.col("batch_id") == last).drop("batch_id")
     assert compare(prof.toPandas(), cumulative_profit(bq).select("symbol", "n_quotes", "cumulative_profit").toPandas()) is None
     assert spark.read.parquet(os.path.join(out, "quarantine")).count() == 0
+
+
+def test_restart_from_checkpoint_gives_same_state(spark, feed, scratch):
+    """Stop after part of the files, add the rest, restart on the same checkpoint:
+    the final results equal one uninterrupted run."""
+    import shutil
+
+    files = sorted(os.listdir(feed))
+    part = os.path.join(scratch, "incoming")
+    os.makedirs(part)
+    for name in files[:12]:
+        shutil.copy2(os.path.join(feed, name), part)
+    root, ckpt = os.path.join(scratch, "rsi"), os.path.join(scratch, "ckpt")
+
+    def go():
+        quotes = quote_stream(spark, part, max_files_per_trigger=5).quotes
+        run(start(quotes, ckpt, "append", foreach_batch=StreamingRsi(root, "1 day", "12 hours", "12 hours"),
+                  trigger=ONCE))
+
+    go()
+    first_batches = spark.read.parquet(os.path.join(root, "state", "meta")).count()
+    for name in files[12:]:
+        shutil.copy2(os.path.join(feed, name), part)
+    go()
+    assert spark.read.parquet(os.path.join(root, "state", "meta")).count() > first_batches
+
+    whole_root = os.path.join(scratch, "whole")
+    quotes = quote_stream(spark, feed, max_files_per_trigger=5).quotes
+    run(start(quotes, os.path.join(scratch, "ckpt2"), "append",
+              foreach_batch=StreamingRsi(whole_root, "1 day", "12 hours", "12 hours"), trigger=ONCE))
+    for name in ("windows", "smoothed"):
+        a = read_results(spark, root, name).toPandas()
+        b = read_results(spark, whole_root, name).toPandas()
+        assert len(a) > 0 and compare(a, b, rel=1e-9) is None, name
+
+
+def test_arrival_time_windows(spark, feed, scratch):
+    """Windowing by file arrival (modification time) instead of quote time."""
+    quotes = quote_stream(spark, feed, max_files_per_trigger=30, arrival_time=True).quotes
+    out = os.path.join(scratch, "out")
+    run(start(window_metrics(quotes.withWatermark("arrival_ts", "1 hour"), "10 minutes", "5 minutes",
+                             time="arrival_ts"),
+              os.path.join(scratch, "ckpt"), "complete", foreach_batch=per_batch_parquet(out), trigger=ONCE))
+    got = latest_snapshot(spark, out)
+    # the day files were stamped one minute apart: each file's quotes land in two windows
+    total = batch_quotes(spark, feed).count()
+    assert got.agg(F.sum("n_quotes")).first()[0] == 2 * total
+    stamps = [int(os.path.getmtime(os.path.join(feed, f))) for f in os.listdir(feed)]
+    starts = {(m // 300 - k) * 300 for m in stamps for k in (0, 1)}
+    assert got.select("window_start").distinct().count() == len(starts)
