@@ -105,7 +105,8 @@ def carry_forward(values: DataFrame, present: DataFrame, slide: str, window: str
     if last is None:
         return values.select(key, "window_start", F.lit(None).cast("timestamp_ntz").alias("window_end"),
                              *cols).limit(0)
-    grid = window_grid(firsts, F.lit(last), slide, key, window)
+    ts_type = present.schema["window_start"].dataType
+    grid = window_grid(firsts, F.lit(last).cast(ts_type), slide, key, window)
     joined = grid.join(values.select(key, "window_start", *cols), [key, "window_start"], "left")
     w = Window.partitionBy(key).orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
     return joined.select(key, "window_start", "window_end",

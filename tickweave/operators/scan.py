@@ -26,6 +26,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tickweave.session import cut_lineage
@@ -59,41 +60,50 @@ def affine_scan(df: DataFrame, key: str, order: Sequence[str], a: str, bs: Seque
     with ``x_j[0] = 0`` for every column ``b_j`` in ``bs``.
 
     Returns ``df`` with the scanned values (doubles) in columns ``out``
-    (default: the names in ``bs``, replaced).
+    (default: the names in ``bs``, replaced).  A row's other columns travel
+    with it through the fold, so nothing is joined back.
     """
     out = list(out or bs)
     bcols = [f"_b{j}" for j in range(len(bs))]
+    carry = [f for f in df.schema.fields if f.name not in out and f.name != key]
     # The rank is the only per-key ordered pass; it runs over per-window
     # summaries (one row per key and window), not over quotes.
     ranked = df.withColumn(RANK, F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1)
     elem = F.struct(F.col(RANK).alias("r"), F.col(a).cast("double").alias("a"),
-                    *[F.col(b).cast("double").alias(c) for b, c in zip(bs, bcols)])
-    prefix_type = "array<struct<r:int,_a:double," + ",".join(f"{c}:double" for c in bcols) + ">>"
+                    *[F.col(b).cast("double").alias(c) for b, c in zip(bs, bcols)],
+                    F.struct(*[F.col(f.name) for f in carry]).alias("row"))
+    entry_type = T.StructType([T.StructField("r", T.IntegerType()), T.StructField("_a", T.DoubleType()),
+                               *[T.StructField(c, T.DoubleType()) for c in bcols],
+                               T.StructField("row", T.StructType(carry))])
 
     def merge(acc, x):
         na = acc["_a"] * x["a"]
         nb = [x["a"] * acc[c] + x[c] for c in bcols]
-        entry = F.struct(x["r"].alias("r"), na.alias("_a"), *[v.alias(c) for v, c in zip(nb, bcols)])
+        entry = F.struct(x["r"].alias("r"), na.alias("_a"), *[v.alias(c) for v, c in zip(nb, bcols)],
+                         x["row"].alias("row"))
         return F.struct(na.alias("_a"), *[v.alias(c) for v, c in zip(nb, bcols)],
                         F.array_append(acc["_p"], entry).alias("_p"))
 
     init = F.struct(F.lit(1.0).alias("_a"), *[F.lit(0.0).alias(c) for c in bcols],
-                    F.array().cast(prefix_type).alias("_p"))
+                    F.array().cast(T.ArrayType(entry_type)).alias("_p"))
     folded = (ranked.groupBy(key, F.floor(F.col(RANK) / block).cast("int").alias(BLOCK))
               .agg(F.aggregate(F.array_sort(F.collect_list(elem)), init, merge).alias("_f")))
 
     longest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    rounds = math.ceil(math.log2(math.ceil(longest / block))) if longest > block else 0
-    if rounds:
+    elems = folded.select(key, BLOCK, F.explode("_f._p").alias("_e"))
+    if longest > block:
+        # Several blocks per key: carry the value at the end of each block's
+        # predecessors into it.
+        rounds = math.ceil(math.log2(math.ceil(longest / block)))
         folded = cut_lineage(folded)
-    blocks = folded.select(key, BLOCK, F.col("_f._a").alias("_a"), *[F.col(f"_f.{c}").alias(c) for c in bcols])
-    # Value of x at the end of the previous block (x at the end of a prefix is its B).
-    carried = _double_blocks(blocks, key, bcols, rounds).select(
-        key, (F.col(BLOCK) + 1).alias(BLOCK), *[F.col(c).alias(f"_x{c}") for c in bcols])
-    elems = folded.select(key, BLOCK, F.explode("_f._p").alias("_e")).join(carried, [key, BLOCK], "left")
-    values = elems.select(
-        key, F.col("_e.r").alias(RANK),
-        *[(F.col("_e._a") * F.coalesce(F.col(f"_x{c}"), F.lit(0.0)) + F.col(f"_e.{c}")).alias(o)
-          for c, o in zip(bcols, out)])
-    keep = [c for c in ranked.columns if c not in out]
-    return ranked.select(*keep).join(values, [key, RANK]).drop(RANK)
+        blocks = folded.select(key, BLOCK, F.col("_f._a").alias("_a"),
+                               *[F.col(f"_f.{c}").alias(c) for c in bcols])
+        carried = _double_blocks(blocks, key, bcols, rounds).select(
+            key, (F.col(BLOCK) + 1).alias(BLOCK), *[F.col(c).alias(f"_x{c}") for c in bcols])
+        elems = folded.select(key, BLOCK, F.explode("_f._p").alias("_e")).join(carried, [key, BLOCK], "left")
+        start = [F.coalesce(F.col(f"_x{c}"), F.lit(0.0)) for c in bcols]
+    else:
+        start = [F.lit(0.0) for _ in bcols]
+    return elems.select(
+        key, *[F.col(f"_e.row.{f.name}").alias(f.name) for f in carry],
+        *[(F.col("_e._a") * x0 + F.col(f"_e.{c}")).alias(o) for c, x0, o in zip(bcols, start, out)])
