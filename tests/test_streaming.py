@@ -9,7 +9,8 @@ from tests.conftest import SF_SMALL
 from tests.feed_files import write_day_files
 from tests.oracle_check import compare
 from tickweave.operators.aggregates import window_metrics
-from tickweave.operators.indicators import rsi_smoothed, rsi_window
+from tickweave.operators.changes import window_changes
+from tickweave.operators.indicators import carry_forward, rsi_smoothed, rsi_window
 from tickweave.operators.profit import cumulative_profit
 from tickweave.operators.ranking import top_k
 from tickweave.sinks.files import per_batch_parquet, per_batch_text
@@ -17,7 +18,8 @@ from tickweave.sources.decode import decode_quotes
 from tickweave.sources.lines import read_lines
 from tickweave.streaming.feed import (latest_snapshot, quote_stream, start, start_top_k, stream_profit,
                                       stream_window_metrics)
-from tickweave.streaming.rsi import StreamingRsi, interval_micros, read_results
+from tickweave.operators.windows import interval_micros
+from tickweave.streaming.rsi import StreamingRsi, read_results
 
 ONCE = {"availableNow": True}
 
@@ -102,6 +104,16 @@ def test_stateful_rsi_stream_equals_batch(spark, feed, scratch):
     want_s = rsi_smoothed(bq, "1 day", "12 hours", order=order).where(end_ok).select(
         "window_start", "symbol", F.round("rsi", 6).alias("rsi"))
     assert compare(got_s.toPandas(), want_s.toPandas(), rel=1e-9) is None
+    # every key in every closed slide, carrying its last value
+    wc = window_changes(bq, "1 day", "12 hours", order=order)
+    sm = rsi_smoothed(bq, order=order, summaries=wc).select("symbol", "window_start", "rsi")
+    want_c = carry_forward(sm, wc.select("symbol", "window_start"), "12 hours", "1 day").where(end_ok)
+    got_c = read_results(spark, root, "carried").withColumn(
+        "window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
+        "window_end", F.col("window_end").cast("timestamp_ntz"))
+    want_c = want_c.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
+        "window_end", F.col("window_end").cast("timestamp_ntz"))
+    assert compare(got_c.toPandas(), want_c.toPandas(), rel=1e-9) is None
     # nothing arrived late: files came in time order
     late = os.path.join(root, "late")
     assert not os.path.exists(late) or spark.read.parquet(late).count() == 0

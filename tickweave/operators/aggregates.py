@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.functions.scalar import int_mean, mean_of
-from tickweave.operators.windows import flatten_window, window_col
+from tickweave.operators.windows import flatten_window, interval_micros, window_col
 from tickweave.schema import DEFAULT_SLIDE, DEFAULT_WINDOW
 
 
@@ -40,10 +40,29 @@ def window_metrics(quotes: DataFrame, window: str = DEFAULT_WINDOW, slide: str |
 
 
 def window_counts(quotes: DataFrame, window: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,
-                  time: str = "ts") -> DataFrame:
-    """Number of quotes per window over all keys (the feed's record count)."""
-    return flatten_window(quotes.groupBy(window_col(time, window, slide).alias("window"))
-                          .agg(F.count(F.lit(1)).alias("n_quotes")))
+                  time: str = "ts", fill_empty: bool = False) -> DataFrame:
+    """Number of quotes per window over all keys (the feed's record count).
+
+    With ``fill_empty`` every window between the first and the last one is
+    listed, with 0 where no quote fell.  The window list is generated by
+    ``spark.range`` over the window index, so it is spread over tasks like any
+    other data; only the first and last window start go to the driver.
+    """
+    counts = flatten_window(quotes.groupBy(window_col(time, window, slide).alias("window"))
+                            .agg(F.count(F.lit(1)).alias("n_quotes")))
+    if not fill_empty:
+        return counts
+    step = interval_micros(slide or window)
+    ts_type = counts.schema["window_start"].dataType
+    us = F.unix_micros(F.col("window_start").cast("timestamp"))
+    lo, hi = counts.agg(F.min(us), F.max(us)).first()
+    if lo is None:
+        return counts
+    grid = counts.sparkSession.range((hi - lo) // step + 1).select(
+        F.timestamp_micros(F.lit(lo) + F.col("id") * step).cast(ts_type).alias("window_start"))
+    return (grid.join(counts, "window_start", "left")
+            .select("window_start", (F.col("window_start") + F.expr(f"INTERVAL {window}")).alias("window_end"),
+                    F.coalesce("n_quotes", F.lit(0).cast("bigint")).alias("n_quotes")))
 
 
 def key_totals(quotes: DataFrame, key: str = "symbol", close: str = "close",

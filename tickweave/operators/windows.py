@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -59,3 +61,18 @@ def window_grid(first: DataFrame, last_window_start: Column, slide: str,
 
 def ordered_by_key(key: str, order: list[str] | tuple[str, ...]) -> Window:
     return Window.partitionBy(key).orderBy(*order)
+
+
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def interval_micros(text: str) -> int:
+    """``'10 minutes'`` -> microseconds (units: second .. week)."""
+    total = 0
+    for n, unit in re.findall(r"(\d+)\s*([a-z]+?)s?\b", text.lower()):
+        if unit not in _UNITS:
+            raise ValueError(f"unsupported interval unit in {text!r}")
+        total += int(n) * _UNITS[unit] * 1_000_000
+    if not total:
+        raise ValueError(f"cannot read interval {text!r}")
+    return total

@@ -65,6 +65,11 @@ def q_quote_count(spark: SparkSession, d: str) -> DataFrame:
     return window_counts(load_quotes(spark, d), FEED_WINDOW, FEED_SLIDE)
 
 
+def q_quote_count_filled(spark: SparkSession, d: str) -> DataFrame:
+    """Quote count of every window from the first to the last, 0 where empty."""
+    return window_counts(load_quotes(spark, d), FEED_WINDOW, FEED_SLIDE, fill_empty=True)
+
+
 def q_int_avg_volume(spark: SparkSession, d: str) -> DataFrame:
     m = window_metrics(load_quotes(spark, d), FEED_WINDOW, FEED_SLIDE)
     return m.select("window_start", "window_end", "symbol", "int_avg_volume")
@@ -171,10 +176,16 @@ def q_json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 def q_json_quarantine(spark: SparkSession, d: str) -> DataFrame:
     """Decode a feed with broken lines: every rendered line, the same line cut
     short, and the events' ``props`` objects (valid JSON, but not an array)."""
-    good = quote_lines(spark, d).select("value")
-    cut = good.select(F.expr("substring(value, 1, length(value) - 2)").alias("value"))
+    return decode_quotes(broken_feed(spark, d)).quarantine
+
+
+def broken_feed(spark: SparkSession, d: str) -> DataFrame:
+    """Every rendered line, the same line cut short (rendered once, emitted
+    twice), and the events' ``props`` objects."""
+    good_and_cut = quote_lines(spark, d).select(
+        F.explode(F.array(F.col("value"), F.expr("substring(value, 1, length(value) - 2)"))).alias("value"))
     objects = read_table(spark, d, "events").select(F.col("props").alias("value"))
-    return decode_quotes(good.unionByName(cut).unionByName(objects)).quarantine
+    return good_and_cut.unionByName(objects)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

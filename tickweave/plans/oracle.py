@@ -160,6 +160,13 @@ SELECT symbol, ts, seq, CAST(close - open AS DOUBLE) AS gain FROM quotes""",
     "q_quote_count": f"""WITH {_quotes()}, {_win('5 minutes', 2)}
 SELECT window_start, window_start + INTERVAL '10 minutes' AS window_end, count(*) AS n_quotes
 FROM win GROUP BY window_start""",
+    "q_quote_count_filled": f"""WITH {_quotes()}, {_win('5 minutes', 2)},
+c AS (SELECT window_start, count(*) AS n FROM win GROUP BY window_start),
+g AS (SELECT unnest(generate_series((SELECT min(window_start) FROM c), (SELECT max(window_start) FROM c),
+                                    INTERVAL '5 minutes')) AS window_start)
+SELECT g.window_start, g.window_start + INTERVAL '10 minutes' AS window_end,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS n_quotes
+FROM g LEFT JOIN c USING (window_start)""",
     "q_int_avg_volume": _metrics() + "SELECT window_start, window_end, symbol, int_avg_volume FROM m",
     "q_top_gainer": _top("avg_gain", 1),
     "q_top_volume": _top("total_volume", 1),

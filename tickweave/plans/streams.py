@@ -14,10 +14,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.plans.catalog import FEED_SLIDE, FEED_WINDOW, quote_lines
+from tickweave.plans.catalog import FEED_SLIDE, FEED_WINDOW, broken_feed, quote_lines
 from tickweave.session import checkpoint_root
 from tickweave.sinks.files import per_batch_parquet
-from tickweave.sources.tables import read_table
 from tickweave.streaming.feed import latest_snapshot, quote_stream, start, stream_profit, stream_window_metrics
 
 ONCE = {"availableNow": True}
@@ -57,10 +56,7 @@ def q_stream_profit(spark: SparkSession, d: str) -> DataFrame:
 def q_stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
     """Quarantine of a streamed feed that holds good, cut-short and non-array lines."""
     work = _workdir(spark, "quarantine")
-    good = quote_lines(spark, d).select("value")
-    cut = good.select(F.expr("substring(value, 1, length(value) - 2)").alias("value"))
-    objects = read_table(spark, d, "events").select(F.col("props").alias("value"))
-    good.unionByName(cut).unionByName(objects).write.text(f"{work}/feed")
+    broken_feed(spark, d).write.text(f"{work}/feed")
     bad = quote_stream(spark, f"{work}/feed", max_files_per_trigger=4).quarantine
     out = f"{work}/out"
     start(bad, f"{work}/checkpoint", "append", sink=out, trigger=ONCE).awaitTermination()

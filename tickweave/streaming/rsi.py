@@ -7,7 +7,8 @@ operators inside ``foreachBatch`` on bounded state tables:
 * ``bars``: the *open horizon*, bars of windows the watermark has not closed
   yet (time >= closed_until - window length).  Its size is set by the window
   length and the allowed delay, not by the history.
-* ``smooth``: one row per key with the smoothed average gain and loss.
+* ``smooth``: one row per key: first window with data, smoothed average gain
+  and loss, last RSI.
 * ``meta``: one row: the largest event time seen and ``closed_until``.
 
 Per micro-batch ``n``: new bars older than the horizon are dropped as late
@@ -22,44 +23,31 @@ output, so a restart after a failure gives the same results.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tickweave.functions.scalar import rsi
 from tickweave.operators.aggregates import window_metrics
 from tickweave.operators.changes import window_changes
 from tickweave.operators.indicators import rsi_smoothed
 from tickweave.operators.ranking import top_k
+from tickweave.operators.windows import interval_micros
 from tickweave.sinks.files import batch_path, write_parquet
 
-_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
-
-
-def interval_micros(text: str) -> int:
-    """``'10 minutes'`` -> microseconds (units: second .. week)."""
-    total = 0
-    for n, unit in re.findall(r"(\d+)\s*([a-z]+?)s?\b", text.lower()):
-        if unit not in _UNITS:
-            raise ValueError(f"unsupported interval unit in {text!r}")
-        total += int(n) * _UNITS[unit] * 1_000_000
-    if not total:
-        raise ValueError(f"cannot read interval {text!r}")
-    return total
-
-
 class StreamingRsi:
     """``foreachBatch`` function computing windowed and smoothed RSI.
 
     Use with a decoded quote stream, e.g.
     ``quotes.writeStream.foreachBatch(StreamingRsi(root, ...)).option("checkpointLocation", ...)``.
     Results: ``<root>/windows`` (one row per closed key and window: bars,
-    gain, loss, RSI, RSI without the first change) and ``<root>/smoothed``
-    (the smoothed RSI after each closed window), both with a ``batch_id``
-    partition column.
+    gain, loss, RSI, RSI without the first change), ``<root>/smoothed`` (the
+    smoothed RSI after each closed window) and ``<root>/carried`` (every key
+    seen so far in every closed slide, with its last smoothed RSI), all with a
+    ``batch_id`` partition column.
     """
 
     def __init__(self, root: str, window: str = "10 minutes", slide: str = "5 minutes",
@@ -137,15 +125,15 @@ class StreamingRsi:
             write_parquet(windows, batch_path(f"{self.root}/windows", batch_id))
             if self.with_metrics:
                 self._write_metrics(horizon, closed_prev, closed_us, batch_id)
-            smoothed = rsi_smoothed(None, key=k, mode=self.mode, summaries=done, seed=smooth_prev)
+            seed = None if smooth_prev is None else smooth_prev.where(F.col("avg_gain").isNotNull())
+            smoothed = rsi_smoothed(None, key=k, mode=self.mode, summaries=done, seed=seed)
             smoothed = smoothed.persist()
             write_parquet(smoothed, batch_path(f"{self.root}/smoothed", batch_id))
-            last = smoothed.groupBy(k).agg(F.max_by(F.struct("avg_gain", "avg_loss", "window_start"),
-                                                    "window_start").alias("_s"))
-            last = last.select(k, "_s.avg_gain", "_s.avg_loss", "_s.window_start")
-            smooth_next = last if smooth_prev is None else (
-                smooth_prev.join(last.select(k), k, "left_anti").unionByName(last))
+            smooth_next = self._next_state(done, smoothed, smooth_prev)
             write_parquet(smooth_next, self._path("smooth", batch_id))
+            smooth_next = self._read(spark, "smooth", batch_id)
+            write_parquet(self._carried(smoothed, smooth_prev, smooth_next, closed_prev, closed_us),
+                          batch_path(f"{self.root}/carried", batch_id))
             smoothed.unpersist()
             done.unpersist()
         elif smooth_prev is not None:
@@ -159,6 +147,43 @@ class StreamingRsi:
         new.unpersist()
 
 
+    def _next_state(self, done: DataFrame, smoothed: DataFrame, prev: DataFrame | None) -> DataFrame:
+        """Per key: first window with data, last smoothed averages and RSI."""
+        k = self.key
+        first = done.groupBy(k).agg(F.min("window_start").alias("first_start"))
+        last = smoothed.groupBy(k).agg(F.max_by(F.struct("avg_gain", "avg_loss", "rsi", "window_start"),
+                                                "window_start").alias("_s"))
+        new = first.join(last, k, "left").select(k, "first_start", "_s.avg_gain", "_s.avg_loss", "_s.rsi",
+                                                  "_s.window_start")
+        if prev is None:
+            return new
+        p, n = prev.alias("p"), new.alias("n")
+        pick = [F.coalesce(F.col(f"n.{c}"), F.col(f"p.{c}")).alias(c)
+                for c in ("avg_gain", "avg_loss", "rsi", "window_start")]
+        return p.join(n, k, "full").select(
+            k, F.coalesce(F.col("p.first_start"), F.col("n.first_start")).alias("first_start"), *pick)
+
+    def _carried(self, smoothed: DataFrame, prev: DataFrame | None, state: DataFrame, closed_prev,
+                 closed_us) -> DataFrame:
+        """Every known key in every newly closed window, with its last smoothed
+        RSI (a key without new quotes keeps its value).  Each key's rows come
+        from a ``sequence`` over the newly closed slides, bounded by the batch."""
+        k = self.key
+        hi = closed_us - self.window_us
+        lo = F.unix_micros(F.col("first_start").cast("timestamp"))
+        if closed_prev is not None:
+            lo = F.greatest(lo, F.lit(closed_prev - self.window_us + self.slide_us))
+        grid = (state.select(k, F.explode(F.sequence(lo, F.lit(hi), F.lit(self.slide_us))).alias("_us"))
+                .select(k, F.timestamp_micros("_us").alias("window_start")))
+        w = Window.partitionBy(k).orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
+        carried = grid.join(smoothed.select(k, F.col("window_start").cast("timestamp").alias("window_start"),
+                                            "rsi"), [k, "window_start"], "left")
+        carried = carried.select(k, "window_start", F.last("rsi", ignorenulls=True).over(w).alias("rsi"))
+        if prev is not None:
+            carried = carried.join(prev.select(k, F.col("rsi").alias("_prev")), k, "left").select(
+                k, "window_start", F.coalesce("rsi", "_prev").alias("rsi"))
+        return carried.withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {self.window}"))
+
     def _write_metrics(self, horizon: DataFrame, closed_prev, closed_us, batch_id: int) -> None:
         end_us = F.unix_micros(F.col("window_end").cast("timestamp"))
         m = window_metrics(horizon, self.window, self.slide, key=self.key, time=self.time,
