@@ -80,3 +80,8 @@ def render_quote(symbol="symbol", ts="ts", open_="open", high="high", low="low",
     prices = F.concat_ws(" - ", *[col_(c).cast("string") for c in (open_, high, low, close, volume)])
     return F.concat(col_(symbol), F.lit(" - "), F.date_format(col_(ts), TIMESTAMP_PATTERN),
                     F.lit(" ("), prices, F.lit(")"))
+
+
+def render_row(*cols: str | Column) -> Column:
+    """Values joined by `` - `` (the text form of a state row, e.g. key - gain - loss - rsi)."""
+    return F.concat_ws(" - ", *[col_(c).cast("string") for c in cols])

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.plans.catalog import FEED_SLIDE, FEED_WINDOW, broken_feed, quote_lines
+from tickweave.operators.ranking import top_k
 from tickweave.session import checkpoint_root
 from tickweave.sinks.files import per_batch_parquet
 from tickweave.streaming.feed import latest_snapshot, quote_stream, start, stream_profit, stream_window_metrics
@@ -32,9 +33,10 @@ def _feed(spark: SparkSession, d: str, work: str) -> str:
     return folder
 
 
-def _complete(spark: SparkSession, result: DataFrame, work: str) -> DataFrame:
+def _complete(spark: SparkSession, result: DataFrame, work: str, transform=None) -> DataFrame:
     out = f"{work}/out"
-    q = start(result, f"{work}/checkpoint", "complete", foreach_batch=per_batch_parquet(out), trigger=ONCE)
+    q = start(result, f"{work}/checkpoint", "complete", foreach_batch=per_batch_parquet(out, transform=transform),
+              trigger=ONCE)
     q.awaitTermination()
     return latest_snapshot(spark, out)
 
@@ -47,6 +49,17 @@ def q_stream_window_metrics(spark: SparkSession, d: str) -> DataFrame:
         "window_end", F.col("window_end").cast("timestamp_ntz"))
 
 
+def q_stream_top_gainer(spark: SparkSession, d: str) -> DataFrame:
+    """Best symbol of every window, ranked on each complete-mode snapshot."""
+    work = _workdir(spark, "top")
+    quotes = quote_stream(spark, _feed(spark, d, work), max_files_per_trigger=4).quotes
+    metrics = stream_window_metrics(quotes, FEED_WINDOW, FEED_SLIDE, "1 day")
+    res = _complete(spark, metrics, work, transform=lambda b: top_k(b, "avg_gain", 1).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "rank", "symbol", "avg_gain"))
+    return res
+
+
 def q_stream_profit(spark: SparkSession, d: str) -> DataFrame:
     work = _workdir(spark, "profit")
     quotes = quote_stream(spark, _feed(spark, d, work), max_files_per_trigger=2).quotes
@@ -65,12 +78,14 @@ def q_stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
 
 STREAM_QUERIES = {
     "q_stream_window_metrics": q_stream_window_metrics,
+    "q_stream_top_gainer": q_stream_top_gainer,
     "q_stream_profit": q_stream_profit,
     "q_stream_quarantine": q_stream_quarantine,
 }
 # Complete-mode results equal the batch queries, so they share their SQL.
 STREAM_ORACLE = {
     "q_stream_window_metrics": "q_window_metrics",
+    "q_stream_top_gainer": "q_top_gainer",
     "q_stream_profit": "q_profit",
     "q_stream_quarantine": "q_json_quarantine",
 }

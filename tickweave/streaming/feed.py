@@ -49,13 +49,16 @@ def stream_profit(quotes: DataFrame) -> DataFrame:
 
 
 def start(df: DataFrame, checkpoint: str, mode: str = "append", sink: str | None = None,
-          foreach_batch=None, trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
+          foreach_batch=None, trigger: dict | None = None, query_name: str | None = None,
+          console_rows: int | None = None) -> StreamingQuery:
     """Start ``df`` with a checkpoint (required: it is what makes a restart
     resume exactly where the failed run stopped).
 
     ``sink`` is a parquet folder (append mode), else ``foreach_batch`` gets each
-    micro-batch; ``query_name`` alone gives an in-memory table (tests, demos).
-    ``trigger`` defaults to the feed's 60-second batches.
+    micro-batch; ``console_rows`` prints that many rows of every micro-batch
+    and ``query_name`` alone gives an in-memory table (both for demos: they
+    pass results through the driver).  ``trigger`` defaults to the feed's
+    60-second batches.
     """
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"processingTime": FEED_TRIGGER}))
@@ -65,6 +68,8 @@ def start(df: DataFrame, checkpoint: str, mode: str = "append", sink: str | None
         return w.foreachBatch(foreach_batch).start()
     if sink:
         return w.format("parquet").option("path", sink).start()
+    if console_rows:
+        return w.format("console").option("numRows", str(console_rows)).option("truncate", "false").start()
     if query_name:
         return w.format("memory").start()
     raise ValueError("give a sink folder, a foreach_batch function or a query name")
