@@ -47,12 +47,13 @@ def negative_part(x: str | Column) -> Column:
 def rsi(gain: str | Column, loss: str | Column) -> Column:
     """Relative strength index ``100 - 100 / (1 + gain / loss)``.
 
-    Written as ``100 * gain / (gain + loss)``, which is equal for loss > 0,
+    Written as ``100 * (gain / (gain + loss))``, which is equal for loss > 0,
     gives 100 for loss = 0 < gain and NULL (not NaN) when both are 0.
     """
     g = col_(gain).cast("double")
     l_ = col_(loss).cast("double")
-    value = F.lit(100.0) * g / (g + l_)
+    # g / (g + l) is a correctly rounded value <= 1, so the result stays in [0, 100].
+    value = F.lit(100.0) * (g / (g + l_))
     # Overflowed sums give Inf / Inf = NaN: report NULL instead.
     return F.when((g + l_ > 0) & ~F.isnan(value), value)
 

@@ -70,8 +70,8 @@ s AS (
 
 
 def _rsi(g: str, l_: str) -> str:
-    return (f"CASE WHEN {g} + {l_} > 0 AND NOT isnan(100.0 * {g} / ({g} + {l_})) "
-            f"THEN 100.0 * {g} / ({g} + {l_}) END")
+    return (f"CASE WHEN {g} + {l_} > 0 AND NOT isnan({g} / ({g} + {l_})) "
+            f"THEN 100.0 * ({g} / ({g} + {l_})) END")
 
 
 def _rsi_window(key: str = "event_type", w=DAY, cols: str = "gain, loss, rsi") -> str:
