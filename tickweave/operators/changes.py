@@ -28,11 +28,16 @@ from tickweave.operators.windows import flatten_window, window_col
 from tickweave.schema import DEFAULT_SLIDE, DEFAULT_WINDOW
 
 _B = "_bucket"
+# Width of the time buckets that split each key's ordered work.  It does not
+# change any result; it bounds a task to five minutes of one key's bars, so a
+# key holding a third of all rows still spreads over many tasks, while adding
+# at most four edge rows per key and bucket.
+DEFAULT_BUCKET = "5 minutes"
 
 
 def bar_changes(bars: DataFrame, key: str = "symbol", time: str = "ts",
                 order: Sequence[str] = ("seq",), value: str = "close",
-                bucket: str = "1 day") -> DataFrame:
+                bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """One row per bar: ``key``, ``cur_ts``, ``prev_ts`` and ``prev2_ts`` (times
     of the two bars before it), ``value`` and ``change`` (NULL for a key's
     first bar).  Bars without a time are ignored.
@@ -76,7 +81,7 @@ def window_changes(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | N
     bars inside the window (exact decimals), plus ``first_gain`` /
     ``first_loss``, the part of those sums due to the window's first change.
     """
-    changes = bar_changes(bars, key, time, order, value, bucket or slide or window)
+    changes = bar_changes(bars, key, time, order, value, bucket or DEFAULT_BUCKET)
     start = F.col("window.start")
     inside = F.col("prev_ts") >= start
     first = inside & (F.col("prev2_ts").isNull() | (F.col("prev2_ts") < start))
