@@ -59,10 +59,6 @@ def window_grid(first: DataFrame, last_window_start: Column, slide: str,
             .withColumn("window_end", F.col("window_start") + length))
 
 
-def ordered_by_key(key: str, order: list[str] | tuple[str, ...]) -> Window:
-    return Window.partitionBy(key).orderBy(*order)
-
-
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 

@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 from tickweave.functions.scalar import parse_quote_ts, to_price, to_volume
 from tickweave.schema import QUOTE_JSON_SCHEMA
 
-# Fixed reason codes of the quarantine table.
+# Fixed reason codes of the quarantine table.  Line-level: the line is not
+# used.  Quote-level: a quote with a reason in KEPT_REASONS is still emitted
+# (with that field NULL); the others are not.
 LINE_REASONS = ("not_array", "malformed")
 QUOTE_REASONS = ("null_element", "missing_symbol", "missing_price_data", "bad_timestamp",
                  "bad_price", "bad_volume")
-DROPPING_REASONS = ("null_element", "missing_symbol", "missing_price_data", "bad_timestamp", "bad_price")
+KEPT_REASONS = ("bad_volume",)
 
 
 class Decoded(NamedTuple):
@@ -79,7 +81,7 @@ def decode_quotes(lines: DataFrame, line_col: str = "value", keep: tuple[str, ..
     """
     parsed = parse_lines(lines, line_col, keep)
     elements = explode_quotes(parsed, keep)
-    quotes = (elements.where(F.col("reason").isNull() | (F.col("reason") == "bad_volume"))
+    quotes = (elements.where(F.col("reason").isNull() | F.col("reason").isin(*KEPT_REASONS))
               .select("symbol", "ts", F.col("pos").alias("seq"), "open", "high", "low", "close", "volume",
                       *keep))
     bad_lines = parsed.where(F.col("reason").isNotNull()).select(
