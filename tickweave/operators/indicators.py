@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from tickweave.functions.scalar import rsi
 from tickweave.operators.changes import window_changes
-from tickweave.operators.scan import affine_scan
+from tickweave.operators.scan import DEFAULT_BLOCK, affine_scan
 from tickweave.operators.windows import window_grid
 from tickweave.session import cut_lineage
 from tickweave.schema import DEFAULT_SLIDE, DEFAULT_WINDOW
@@ -42,7 +42,8 @@ def rsi_window(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | None
 def rsi_smoothed(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,
                  key: str = "symbol", time: str = "ts", order: Sequence[str] = ("seq",),
                  value: str = "close", mode: str = "wilder", bucket: str | None = None,
-                 summaries: DataFrame | None = None, seed: DataFrame | None = None) -> DataFrame:
+                 summaries: DataFrame | None = None, seed: DataFrame | None = None,
+                 block: int = DEFAULT_BLOCK) -> DataFrame:
     """RSI whose average gain and loss are carried from window to window.
 
     For the k-th window of a key with ``L`` changes (windows with fewer than
@@ -81,7 +82,8 @@ def rsi_smoothed(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | Non
             F.lit(None).cast(ts_type).alias("window_end"), F.lit(None).cast("bigint").alias("n_changes"),
             F.lit(0.0).alias("_a"), F.col("avg_gain").cast("double").alias("avg_gain"),
             F.col("avg_loss").cast("double").alias("avg_loss"), F.lit(True).alias("_seed")))
-    scanned = affine_scan(steps, key, ["window_start"], "_a", ["avg_gain", "avg_loss"]).where(~F.col("_seed"))
+    scanned = affine_scan(steps, key, ["window_start"], "_a", ["avg_gain", "avg_loss"],
+                          block=block).where(~F.col("_seed"))
     return scanned.select("window_start", "window_end", key,
                           (F.col("n_changes") + 1).alias("n_bars"),
                           "avg_gain", "avg_loss",

@@ -38,6 +38,9 @@ from tickweave.operators.ranking import top_k
 from tickweave.operators.windows import interval_micros
 from tickweave.sinks.files import batch_path, write_parquet
 
+STREAM_BLOCK = 4096
+
+
 class StreamingRsi:
     """``foreachBatch`` function computing windowed and smoothed RSI.
 
@@ -100,7 +103,7 @@ class StreamingRsi:
         max_us = max(seen) if seen else None
 
         bars_prev = self._read(spark, "bars", batch_id - 1)
-        horizon = new if bars_prev is None else bars_prev.select(*cols).unionByName(new)
+        horizon = (new if bars_prev is None else bars_prev.select(*cols).unionByName(new)).persist()
         closed_us = closed_prev
         if max_us is not None:
             wm = max_us - self.delay_us
@@ -126,7 +129,10 @@ class StreamingRsi:
             if self.with_metrics:
                 self._write_metrics(horizon, closed_prev, closed_us, batch_id)
             seed = None if smooth_prev is None else smooth_prev.where(F.col("avg_gain").isNotNull())
-            smoothed = rsi_smoothed(None, key=k, mode=self.mode, summaries=done, seed=seed)
+            # A batch closes at most (batch span / slide) windows per key: one
+            # in-row block holds them, so no doubling rounds are needed.
+            smoothed = rsi_smoothed(None, key=k, mode=self.mode, summaries=done, seed=seed,
+                                    block=STREAM_BLOCK)
             smoothed = smoothed.persist()
             write_parquet(smoothed, batch_path(f"{self.root}/smoothed", batch_id))
             smooth_next = self._next_state(done, smoothed, smooth_prev)
@@ -139,9 +145,9 @@ class StreamingRsi:
         elif smooth_prev is not None:
             write_parquet(smooth_prev, self._path("smooth", batch_id))
 
-        if closed_us is not None:
-            horizon = horizon.where(micros >= closed_us - self.window_us)
-        write_parquet(horizon, self._path("bars", batch_id))
+        kept = horizon if closed_us is None else horizon.where(micros >= closed_us - self.window_us)
+        write_parquet(kept, self._path("bars", batch_id))
+        horizon.unpersist()
         write_parquet(spark.createDataFrame([(max_us, closed_us)], "max_us bigint, closed_us bigint"),
                       self._path("meta", batch_id))
         new.unpersist()
