@@ -179,6 +179,26 @@ def q_json_quarantine(spark: SparkSession, d: str) -> DataFrame:
     return decode_quotes(broken_feed(spark, d)).quarantine
 
 
+def dirty_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The feed with the close price written as the volume text: integral
+    texts ("29.00") must be read as whole volumes, fractional ones rejected."""
+    q = with_high_low(load_quotes(spark, d)).withColumn("volume", F.col("close"))
+    return render_quote_lines(q).select("value")
+
+
+def q_json_dirty_quotes(spark: SparkSession, d: str) -> DataFrame:
+    """Quotes of the dirty feed: all kept, volume NULL where its text is fractional."""
+    decoded = decode_quotes(dirty_lines(spark, d)).quotes
+    return decoded.select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"),
+                          F.col("close").cast("double").alias("close"), "volume")
+
+
+def q_json_dirty_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Quarantine of the dirty feed: one ``bad_volume`` row per fractional volume,
+    with the quote's position in its line."""
+    return decode_quotes(dirty_lines(spark, d)).quarantine
+
+
 def broken_feed(spark: SparkSession, d: str) -> DataFrame:
     """Every rendered line, the same line cut short (rendered once, emitted
     twice), and the events' ``props`` objects."""

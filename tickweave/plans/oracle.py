@@ -136,14 +136,14 @@ r AS (
 """
 
 
-def _json_lines() -> str:
+def _json_lines(volume: str = "CAST(volume AS VARCHAR)") -> str:
     obj = ("'{\"symbol\":\"' || symbol || '\",\"timestamp\":\"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || "
            "'\",\"priceData\":{\"open\":\"' || CAST(open AS VARCHAR) || '\",\"high\":\"' || "
            "CAST(greatest(open, close) AS VARCHAR) || '\",\"low\":\"' || CAST(least(open, close) AS VARCHAR) || "
-           "'\",\"close\":\"' || CAST(close AS VARCHAR) || '\",\"volume\":\"' || CAST(volume AS VARCHAR) || '\"}}'")
+           "'\",\"close\":\"' || CAST(close AS VARCHAR) || '\",\"volume\":\"' || " + volume + " || '\"}}'")
     return f"""{_quotes()},
 lines AS (
-  SELECT '[' || string_agg({obj}, ',' ORDER BY seq) || ']' AS line
+  SELECT symbol, floor(seq / 64) AS b, '[' || string_agg({obj}, ',' ORDER BY seq) || ']' AS line
   FROM quotes GROUP BY symbol, floor(seq / 64))"""
 
 
@@ -212,6 +212,17 @@ SELECT symbol, date_trunc('second', ts) AS ts, CAST(open AS DOUBLE) AS open,
        CAST(greatest(open, close) AS DOUBLE) AS high, CAST(least(open, close) AS DOUBLE) AS low,
        CAST(close AS DOUBLE) AS close, volume
 FROM quotes""",
+    "q_json_dirty_quotes": f"""WITH {_quotes()}
+SELECT symbol, date_trunc('second', ts) AS ts, CAST(close AS DOUBLE) AS close,
+       CASE WHEN close = floor(close) THEN CAST(close AS BIGINT) END AS volume
+FROM quotes""",
+    "q_json_dirty_quarantine": f"""WITH {_json_lines("CAST(close AS VARCHAR)")},
+pos AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY symbol, floor(seq / 64) ORDER BY seq) - 1 AS BIGINT) AS pos
+  FROM quotes)
+SELECT l.line, p.pos, 'bad_volume' AS reason
+FROM pos p JOIN (SELECT symbol AS s, b, line FROM lines) l ON l.s = p.symbol AND l.b = floor(p.seq / 64)
+WHERE p.close <> floor(p.close)""",
     "q_json_quarantine": f"""WITH {_json_lines()}
 SELECT substring(line, 1, length(line) - 2) AS line, CAST(NULL AS BIGINT) AS pos, 'malformed' AS reason FROM lines
 UNION ALL
