@@ -135,7 +135,9 @@ def test_feed_app_one_decode_all_outputs(spark, feed, scratch):
     bq = batch_quotes(spark, feed)
     closed = spark.read.parquet(os.path.join(out, "state", "meta")).agg(F.max("closed_us")).first()[0]
     end_ok = F.unix_micros(F.col("window_end").cast("timestamp")) <= closed
-    got = spark.read.parquet(os.path.join(out, "metrics")).drop("batch_id")
+    got = spark.read.parquet(os.path.join(out, "windows")).select(
+        "window_start", "window_end", "symbol", "n_quotes", "sma_close", "avg_gain", "total_volume",
+        "int_avg_volume")
     want = window_metrics(bq, "1 day", "12 hours").where(end_ok)
     assert got.count() > 250 and compare(got.toPandas(), want.toPandas()) is None
     top = spark.read.parquet(os.path.join(out, "top_volume")).drop("batch_id")

@@ -6,10 +6,10 @@ Every micro-batch (one per minute by default) decodes its new lines once and
 writes, under ``output_dir``:
 
 * ``quarantine``  lines and quotes that could not be used, with the reason;
-* ``metrics``     per closed window and symbol: quote count, moving average
-                  of close, average gain, total and integer-mean volume;
+* ``windows``     per closed window and symbol, from one aggregation: quote
+                  count, moving average of close, average gain, total and
+                  integer-mean volume, RSI and RSI without the first change;
 * ``top_gain`` / ``top_volume``  the best symbol of each closed window;
-* ``windows``     RSI (and RSI without the first change) per closed window;
 * ``smoothed``    RSI smoothed across windows;
 * ``profit``      cumulative profit (mean close - mean open) per symbol since
                   the start, in descending order; ``top_profit`` its best symbol.

@@ -37,17 +37,20 @@ DEFAULT_BUCKET = "5 minutes"
 
 def bar_changes(bars: DataFrame, key: str = "symbol", time: str = "ts",
                 order: Sequence[str] = ("seq",), value: str = "close",
-                bucket: str = DEFAULT_BUCKET) -> DataFrame:
+                bucket: str = DEFAULT_BUCKET, carry: Sequence[str] = ()) -> DataFrame:
     """One row per bar: ``key``, ``cur_ts``, ``prev_ts`` and ``prev2_ts`` (times
     of the two bars before it), ``value`` and ``change`` (NULL for a key's
-    first bar).  Bars without a time are ignored.
+    first bar), plus the ``carry`` columns of the bar.  Bars without a time
+    are ignored.
 
     ``bucket`` only decides how the sequential work is split; the result does
     not depend on it.
     """
+    carry = [c for c in carry if c not in (key, time, value, *order)]
     base = (bars.where(F.col(time).isNotNull())
             .select(F.col(key), F.col(time).alias("cur_ts"), *[F.col(o) for o in order],
-                    F.col(value).alias("value"), F.window(time, bucket).start.alias(_B)))
+                    F.col(value).alias("value"), *[F.col(c) for c in carry],
+                    F.window(time, bucket).start.alias(_B)))
     sort = [F.col("cur_ts"), *[F.col(o) for o in order]]
     in_bucket = Window.partitionBy(key, _B).orderBy(*sort)
     lagged = base.select(
@@ -57,14 +60,14 @@ def bar_changes(bars: DataFrame, key: str = "symbol", time: str = "ts",
         F.lag("value", 1).over(in_bucket).alias("_pv"),
         F.row_number().over(in_bucket).alias("_rn"),
         F.lead("cur_ts", 2).over(in_bucket).isNull().alias("_tail"))
-    cols = [key, "cur_ts", *order, "value", "prev_ts", "prev2_ts",
+    cols = [key, "cur_ts", *order, "value", *carry, "prev_ts", "prev2_ts",
             (F.col("value") - F.col("_pv")).alias("change")]
     inner = lagged.where(F.col("_rn") >= 3).select(*cols)
     # Bucket edges: the first two bars of each bucket take their predecessors
     # from the last two bars of the key's earlier buckets.
     by_key = Window.partitionBy(key).orderBy(*sort)
     edges = (lagged.where((F.col("_rn") <= 2) | F.col("_tail"))
-             .select(key, "cur_ts", *order, "value", "_rn",
+             .select(key, "cur_ts", *order, "value", *carry, "_rn",
                      F.lag("cur_ts", 1).over(by_key).alias("prev_ts"),
                      F.lag("cur_ts", 2).over(by_key).alias("prev2_ts"),
                      F.lag("value", 1).over(by_key).alias("_pv"))
@@ -75,13 +78,18 @@ def bar_changes(bars: DataFrame, key: str = "symbol", time: str = "ts",
 
 def window_changes(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,
                    key: str = "symbol", time: str = "ts", order: Sequence[str] = ("seq",),
-                   value: str = "close", bucket: str | None = None) -> DataFrame:
+                   value: str = "close", bucket: str | None = None,
+                   extra: Sequence = ()) -> DataFrame:
     """Per key and window: ``n_bars``, ``n_changes`` and the sums of positive
     (``gain``) and absolute negative (``loss``) changes between consecutive
     bars inside the window (exact decimals), plus ``first_gain`` /
     ``first_loss``, the part of those sums due to the window's first change.
+
+    ``extra`` holds ``(input columns, aggregate column)`` pairs computed in the
+    same aggregation (see ``window_report``).
     """
-    changes = bar_changes(bars, key, time, order, value, bucket or DEFAULT_BUCKET)
+    carry = [c for cols, _ in extra for c in cols]
+    changes = bar_changes(bars, key, time, order, value, bucket or DEFAULT_BUCKET, carry)
     start = F.col("window.start")
     inside = F.col("prev_ts") >= start
     first = inside & (F.col("prev2_ts").isNull() | (F.col("prev2_ts") < start))
@@ -95,4 +103,5 @@ def window_changes(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | N
              F.sum(positive_part(ch)).alias("gain"),
              F.sum(negative_part(ch)).alias("loss"),
              F.sum(positive_part(first_ch)).alias("first_gain"),
-             F.sum(negative_part(first_ch)).alias("first_loss")))
+             F.sum(negative_part(first_ch)).alias("first_loss"),
+             *[agg for _, agg in extra]))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickweave.functions.scalar import render_quote
 from tickweave.operators.aggregates import window_counts, window_metrics
 from tickweave.operators.changes import window_changes
-from tickweave.operators.indicators import carry_forward, rsi_smoothed, rsi_window
+from tickweave.operators.indicators import carry_forward, rsi_smoothed, rsi_window, window_report
 from tickweave.operators.profit import cumulative_profit, profit_parity, running_profit
 from tickweave.operators.ranking import top_k
 from tickweave.sources.decode import decode_quotes
@@ -95,6 +95,11 @@ def q_top10_sma(spark: SparkSession, d: str) -> DataFrame:
     return top_k(m, "sma_close", 10).select("window_start", "window_end", "rank", "symbol", "sma_close")
 
 
+def q_window_report(spark: SparkSession, d: str) -> DataFrame:
+    """Metrics and RSI of every symbol and feed window from one aggregation."""
+    return window_report(load_quotes(spark, d), FEED_WINDOW, FEED_SLIDE)
+
+
 def q_rsi_window(spark: SparkSession, d: str) -> DataFrame:
     r = rsi_window(load_quotes(spark, d), DAY_WINDOW, DAY_SLIDE)
     return r.select("window_start", "window_end", "symbol", "n_bars", "gain", "loss", "rsi")

@@ -55,7 +55,12 @@ def _top(metric: str, k: int, key: str = "event_type", w=FEED) -> str:
 def _changes(key: str = "event_type", w=DAY) -> str:
     slide, ratio, length = w
     return f"""{_quotes(key)}, {_win(slide, ratio)},
-c AS (
+{_changes_body(length)}"""
+
+
+def _changes_body(length: str) -> str:
+    """Changes inside each window of ``win`` and their per-window sums ``s``."""
+    return f"""c AS (
   SELECT window_start, symbol, close - lag(close) OVER (PARTITION BY symbol, window_start ORDER BY ts, seq) AS change,
          row_number() OVER (PARTITION BY symbol, window_start ORDER BY ts, seq) AS i
   FROM win),
@@ -172,6 +177,15 @@ FROM g LEFT JOIN c USING (window_start)""",
     "q_top_volume": _top("total_volume", 1),
     "q_top10_gain": _top("avg_gain", 10, "user_id", DAY),
     "q_top10_sma": _top("sma_close", 10, "user_id", DAY),
+    "q_window_report": _metrics().rstrip() + f""",
+{_changes_body('10 minutes')},
+r AS (
+  SELECT window_start, symbol, gain, loss,
+         CASE WHEN n_bars >= 2 THEN {_rsi('gain', 'loss')} END AS rsi,
+         CASE WHEN n_bars >= 2 THEN {_rsi('gain2', 'loss2')} END AS rsi_skip_first
+  FROM s)
+SELECT m.*, r.gain, r.loss, r.rsi, r.rsi_skip_first
+FROM m JOIN r USING (window_start, symbol)""",
     "q_rsi_window": _rsi_window(),
     "q_rsi_window_skip_first": _rsi_window(cols="rsi_skip_first"),
     "q_rsi_feed_window": _rsi_window(w=FEED, cols="gain, loss, rsi, rsi_skip_first"),

@@ -31,9 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickweave.functions.scalar import rsi
-from tickweave.operators.aggregates import window_metrics
 from tickweave.operators.changes import window_changes
-from tickweave.operators.indicators import rsi_smoothed
+from tickweave.operators.indicators import report_aggregates, report_columns, rsi_smoothed
 from tickweave.operators.ranking import top_k
 from tickweave.operators.windows import interval_micros
 from tickweave.sinks.files import batch_path, write_parquet
@@ -58,8 +57,9 @@ class StreamingRsi:
                  order: Sequence[str] = ("seq", "close"), value: str = "close", mode: str = "wilder",
                  with_metrics: bool = False):
         self.root = root.rstrip("/")
-        # With ``with_metrics`` the closed windows also get the window metrics
-        # (SMA, average gain, volume) and their top-1 tables, from the same bars.
+        # With ``with_metrics`` the ``windows`` output also holds the window
+        # metrics (SMA, average gain, volume) from the same aggregation, and
+        # the top-1 tables are ranked from it.
         self.with_metrics = with_metrics
         self.extra = ("open", "volume") if with_metrics else ()
         self.window, self.slide, self.delay = window, slide, delay
@@ -113,21 +113,29 @@ class StreamingRsi:
         smooth_prev = self._read(spark, "smooth", batch_id - 1)
         smooth_next = smooth_prev
         if closed_us is not None and (closed_prev is None or closed_us > closed_prev):
-            wc = window_changes(horizon, self.window, self.slide, k, t, list(self.order), self.value)
+            extra = report_aggregates(self.value, "open", "volume") if self.with_metrics else ()
+            wc = window_changes(horizon, self.window, self.slide, k, t, list(self.order), self.value,
+                                extra=extra)
             end_us = F.unix_micros(F.col("window_end").cast("timestamp"))
             done = wc.where(end_us <= closed_us)
             if closed_prev is not None:
                 done = done.where(end_us > closed_prev)
             done = done.persist()
-            windows = done.select(
-                "window_start", "window_end", k, "n_bars", F.col("gain").cast("double").alias("gain"),
-                F.col("loss").cast("double").alias("loss"),
-                F.when(F.col("n_bars") >= 2, rsi("gain", "loss")).alias("rsi"),
-                F.when(F.col("n_bars") >= 2, rsi(F.col("gain") - F.col("first_gain"),
-                                                 F.col("loss") - F.col("first_loss"))).alias("rsi_skip_first"))
-            write_parquet(windows, batch_path(f"{self.root}/windows", batch_id))
             if self.with_metrics:
-                self._write_metrics(horizon, closed_prev, closed_us, batch_id)
+                # One aggregation gave both the metrics and the RSI sums.
+                windows = report_columns(done, k).persist()
+                write_parquet(windows, batch_path(f"{self.root}/windows", batch_id))
+                for metric, name in (("avg_gain", "top_gain"), ("total_volume", "top_volume")):
+                    write_parquet(top_k(windows, metric, 1, tie=(k,)), batch_path(f"{self.root}/{name}", batch_id))
+                windows.unpersist()
+            else:
+                windows = done.select(
+                    "window_start", "window_end", k, "n_bars", F.col("gain").cast("double").alias("gain"),
+                    F.col("loss").cast("double").alias("loss"),
+                    F.when(F.col("n_bars") >= 2, rsi("gain", "loss")).alias("rsi"),
+                    F.when(F.col("n_bars") >= 2, rsi(F.col("gain") - F.col("first_gain"),
+                                                     F.col("loss") - F.col("first_loss"))).alias("rsi_skip_first"))
+                write_parquet(windows, batch_path(f"{self.root}/windows", batch_id))
             seed = None if smooth_prev is None else smooth_prev.where(F.col("avg_gain").isNotNull())
             # A batch closes at most (batch span / slide) windows per key: one
             # in-row block holds them, so no doubling rounds are needed.
@@ -190,18 +198,6 @@ class StreamingRsi:
                 k, "window_start", F.coalesce("rsi", "_prev").alias("rsi"))
         return carried.withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {self.window}"))
 
-    def _write_metrics(self, horizon: DataFrame, closed_prev, closed_us, batch_id: int) -> None:
-        end_us = F.unix_micros(F.col("window_end").cast("timestamp"))
-        m = window_metrics(horizon, self.window, self.slide, key=self.key, time=self.time,
-                           close=self.value).where(end_us <= closed_us)
-        if closed_prev is not None:
-            m = m.where(end_us > closed_prev)
-        m = m.persist()
-        write_parquet(m, batch_path(f"{self.root}/metrics", batch_id))
-        for metric, name in (("avg_gain", "top_gain"), ("total_volume", "top_volume")):
-            write_parquet(top_k(m, metric, 1, tie=(self.key,)), batch_path(f"{self.root}/{name}", batch_id))
-        m.unpersist()
-
 
 def read_results(spark: SparkSession, root: str, name: str) -> DataFrame:
     """All rows written so far to ``<root>/<name>`` (``windows`` or ``smoothed``)."""
