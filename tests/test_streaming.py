@@ -140,8 +140,12 @@ def test_feed_app_one_decode_all_outputs(spark, feed, scratch):
         "int_avg_volume")
     want = window_metrics(bq, "1 day", "12 hours").where(end_ok)
     assert got.count() > 250 and compare(got.toPandas(), want.toPandas()) is None
-    top = spark.read.parquet(os.path.join(out, "top_volume")).drop("batch_id")
+    top = spark.read.parquet(os.path.join(out, "top_volume")).select(*want.columns, "rank")
     assert compare(top.toPandas(), top_k(want, "total_volume", 1).toPandas()) is None
+    rsi_cols = spark.read.parquet(os.path.join(out, "windows")).select("window_start", "symbol", "rsi")
+    want_rsi = rsi_window(bq, "1 day", "12 hours", order=["seq", "close"]).where(end_ok).select(
+        "window_start", "symbol", "rsi")
+    assert compare(rsi_cols.toPandas(), want_rsi.toPandas()) is None
     last = spark.read.parquet(os.path.join(out, "profit")).agg(F.max("batch_id")).first()[0]
     prof = spark.read.parquet(os.path.join(out, "profit")).where(F.col("batch_id") == last).drop("batch_id")
     assert compare(prof.toPandas(), cumulative_profit(bq).select("symbol", "n_quotes", "cumulative_profit").toPandas()) is None
