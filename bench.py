@@ -75,7 +75,8 @@ def stream_bench(spark, sf_dir: str) -> dict:
     from tickweave.sources.lines import render_quote_lines
     from tickweave.sources.tables import with_high_low
 
-    work = f"{checkpoint_root(spark).rstrip('/')}/tickweave-bench/{uuid.uuid4().hex}"
+    # The files are arranged with local file operations (bench runs locally).
+    work = f"{checkpoint_root(spark).rstrip('/').removeprefix('file:')}/tickweave-bench/{uuid.uuid4().hex}"
     quotes = with_high_low(catalog.load_quotes(spark, sf_dir)).withColumn("day", F.to_date("ts"))
     staged = f"{work}/staged"
     render_quote_lines(quotes, extra_keys=("day",)).select("day", "value").write.partitionBy("day").text(staged)

@@ -48,17 +48,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     setting (tests) gets a fresh private folder; a cluster session without it
     is an error, because a machine-local folder does not survive executor loss.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
+    if not current and sc.master.startswith("local"):
+        # Core settings cannot change on a running session; register the
+        # folder with the context instead (it adds a unique sub-folder).
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tickweave-ckpt-"))
+        current = sc.getCheckpointDir()
     if current:
         return os.path.dirname(current.rstrip("/"))
-    if sc.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="tickweave-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
     raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
 
 
