@@ -11,8 +11,7 @@ from pyspark.sql.window import Window
 from tickweave.functions.scalar import int_mean, mean_of, rsi
 from tickweave.operators.changes import window_changes
 from tickweave.operators.scan import DEFAULT_BLOCK, affine_scan
-from tickweave.operators.windows import window_grid
-from tickweave.session import cut_lineage
+from tickweave.operators.windows import interval_micros, window_grid
 from tickweave.schema import DEFAULT_SLIDE, DEFAULT_WINDOW
 
 SMOOTHING_MODES = ("wilder", "undivided")
@@ -102,10 +101,16 @@ def rsi_smoothed(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | Non
     """
     if mode not in SMOOTHING_MODES:
         raise ValueError(f"mode must be one of {SMOOTHING_MODES}")
-    # The summaries are read several times (length probe, scan); without a
-    # precomputed input they are written once to the checkpoint folder.
-    wc = summaries if summaries is not None else cut_lineage(window_changes(
-        bars, window, slide, key, time, order, value, bucket))
+    max_len = None
+    if summaries is None:
+        # Windows per key are bounded by the data's time span, which decides
+        # the scan's rounds without computing the summaries twice.
+        us = F.unix_micros(F.col(time).cast("timestamp"))
+        lo, hi = bars.agg(F.min(us), F.max(us)).first()
+        step_us, len_us = interval_micros(slide or window), interval_micros(window)
+        max_len = 0 if lo is None else (hi - lo) // step_us + -(-len_us // step_us) + 1
+    wc = summaries if summaries is not None else window_changes(
+        bars, window, slide, key, time, order, value, bucket)
     L = F.col("n_changes").cast("double")
     steps = wc.where(F.col("n_changes") >= 1).select(key, "window_start", "window_end", "n_changes", "gain", "loss")
     if mode == "wilder":
@@ -124,7 +129,7 @@ def rsi_smoothed(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | Non
             F.lit(0.0).alias("_a"), F.col("avg_gain").cast("double").alias("avg_gain"),
             F.col("avg_loss").cast("double").alias("avg_loss"), F.lit(True).alias("_seed")))
     scanned = affine_scan(steps, key, ["window_start"], "_a", ["avg_gain", "avg_loss"],
-                          block=block).where(~F.col("_seed"))
+                          block=block, max_len=max_len).where(~F.col("_seed"))
     return scanned.select("window_start", "window_end", key,
                           (F.col("n_changes") + 1).alias("n_bars"),
                           "avg_gain", "avg_loss",

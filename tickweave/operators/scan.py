@@ -55,13 +55,15 @@ def _double_blocks(blocks: DataFrame, key: str, bcols: list[str], rounds: int) -
 
 
 def affine_scan(df: DataFrame, key: str, order: Sequence[str], a: str, bs: Sequence[str],
-                out: Sequence[str] | None = None, block: int = DEFAULT_BLOCK) -> DataFrame:
+                out: Sequence[str] | None = None, block: int = DEFAULT_BLOCK,
+                max_len: int | None = None) -> DataFrame:
     """For each key in ``order`` (unique per key): ``x_j[k] = a[k] * x_j[k-1] + b_j[k]``
     with ``x_j[0] = 0`` for every column ``b_j`` in ``bs``.
 
     Returns ``df`` with the scanned values (doubles) in columns ``out``
     (default: the names in ``bs``, replaced).  A row's other columns travel
-    with it through the fold, so nothing is joined back.
+    with it through the fold, so nothing is joined back.  ``max_len`` is an
+    upper bound of the rows per key; without it one aggregate counts them.
     """
     out = list(out or bs)
     bcols = [f"_b{j}" for j in range(len(bs))]
@@ -89,7 +91,7 @@ def affine_scan(df: DataFrame, key: str, order: Sequence[str], a: str, bs: Seque
     folded = (ranked.groupBy(key, F.floor(F.col(RANK) / block).cast("int").alias(BLOCK))
               .agg(F.aggregate(F.array_sort(F.collect_list(elem)), init, merge).alias("_f")))
 
-    longest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    longest = max_len if max_len is not None else (df.groupBy(key).count().agg(F.max("count")).first()[0] or 0)
     elems = folded.select(key, BLOCK, F.explode("_f._p").alias("_e"))
     if longest > block:
         # Several blocks per key: carry the value at the end of each block's
