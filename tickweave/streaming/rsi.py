@@ -160,7 +160,6 @@ class StreamingRsi:
                       self._path("meta", batch_id))
         new.unpersist()
 
-
     def _next_state(self, done: DataFrame, smoothed: DataFrame, prev: DataFrame | None) -> DataFrame:
         """Per key: first window with data, last smoothed averages and RSI."""
         k = self.key
