@@ -2,6 +2,10 @@
 
 from decimal import Decimal
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
 from tickweave.sources.decode import decode_quotes
 
 GOOD = ('{"symbol":"AAA","timestamp":"2024-01-02 09:31:00","priceData":'
@@ -64,3 +68,31 @@ def test_missing_symbol_and_bad_price(spark):
     q, bad = decode(spark, [f'[{no_sym},{quote(close=chr(34) + "x" + chr(34))}]'])
     assert q == []
     assert sorted((r["pos"], r["reason"]) for r in bad) == [(0, "missing_symbol"), (1, "bad_price")]
+
+
+_field = st.one_of(st.just('"1.5"'), st.just("2"), st.just("10.5"), st.just('"x"'), st.just("null"),
+                   st.just("{}"), st.just("[1]"))
+_ts = st.sampled_from(["2024-01-02 09:31:00", "2024-01-02 23:59:59", "bad", "", "2024-13-40 25:61:61"])
+_quote = st.builds(lambda s, t, o, c, v: f'{{"symbol":{s},"timestamp":"{t}","priceData":'
+                                          f'{{"open":{o},"close":{c},"volume":{v}}}}}',
+                   st.sampled_from(['"A"', '"B"', "null", "7"]), _ts, _field, _field, _field)
+_line = st.one_of(
+    st.lists(_quote, min_size=1, max_size=4).map(lambda qs: "[" + ",".join(qs) + "]"),
+    st.lists(_quote, min_size=1, max_size=3).map(lambda qs: "[" + ",".join(qs) + "]").map(lambda s: s[:-3]),
+    _quote, st.text(max_size=30), st.just("[null]"), st.just("[]"), st.just("   "))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(lines=st.lists(_line, min_size=1, max_size=25))
+def test_no_line_is_silently_lost(spark, lines):
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "line_id long, value string")
+    d = decode_quotes(df, keep=("line_id",))
+    quoted = {r[0] for r in d.quotes.select("line_id").collect()}
+    quarantined = {r[0] for r in d.quarantine.select("line").collect()}
+    for i, text in enumerate(lines):
+        if not text.strip() or text.strip().replace(" ", "") == "[]":
+            continue
+        assert i in quoted or text in quarantined, text
+    # every emitted quote has the columns time-based operators need
+    assert d.quotes.where(F.col("ts").isNull() | F.col("symbol").isNull() | F.col("close").isNull()
+                          | F.col("open").isNull()).count() == 0
