@@ -22,6 +22,7 @@ stream's own progress under ``output_dir/_checkpoint``.
 from __future__ import annotations
 
 import sys
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,10 +48,15 @@ class FeedJob(StreamingRsi):
         spark = lines.sparkSession
         lines = lines.persist()
         decoded = decode_quotes(lines)
-        write_parquet(decoded.quarantine, batch_path(f"{self.root}/quarantine", batch_id))
         quotes = decoded.quotes.persist()
-        self._profit(spark, quotes, batch_id)
-        super().__call__(quotes, batch_id)
+        # Quarantine, profit and the window outputs read only the persisted
+        # batch: their jobs run side by side.
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            tasks = [pool.submit(write_parquet, decoded.quarantine, batch_path(f"{self.root}/quarantine", batch_id)),
+                     pool.submit(self._profit, spark, quotes, batch_id),
+                     pool.submit(super().__call__, quotes, batch_id)]
+            for task in tasks:
+                task.result()
         quotes.unpersist()
         lines.unpersist()
 

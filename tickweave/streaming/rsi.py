@@ -24,6 +24,7 @@ output, so a restart after a failure gives the same results.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -111,7 +112,12 @@ class StreamingRsi:
             closed_us = closed_now if closed_prev is None else max(closed_prev, closed_now)
 
         smooth_prev = self._read(spark, "smooth", batch_id - 1)
-        smooth_next = smooth_prev
+        kept = horizon if closed_us is None else horizon.where(micros >= closed_us - self.window_us)
+        tasks = [lambda: write_parquet(kept, self._path("bars", batch_id)),
+                 lambda: write_parquet(spark.createDataFrame([(max_us, closed_us)],
+                                                             "max_us bigint, closed_us bigint"),
+                                       self._path("meta", batch_id))]
+        done = None
         if closed_us is not None and (closed_prev is None or closed_us > closed_prev):
             extra = report_aggregates(self.value, "open", "volume") if self.with_metrics else ()
             wc = window_changes(horizon, self.window, self.slide, k, t, list(self.order), self.value,
@@ -121,45 +127,53 @@ class StreamingRsi:
             if closed_prev is not None:
                 done = done.where(end_us > closed_prev)
             done = done.persist()
-            if self.with_metrics:
-                # One aggregation gave both the metrics and the RSI sums.
-                windows = report_columns(done, k).persist()
-                write_parquet(windows, batch_path(f"{self.root}/windows", batch_id))
-                for metric, name in (("avg_gain", "top_gain"), ("total_volume", "top_volume")):
-                    write_parquet(top_k(windows, metric, 1, tie=(k,)), batch_path(f"{self.root}/{name}", batch_id))
-                windows.unpersist()
-            else:
-                windows = done.select(
-                    "window_start", "window_end", k, "n_bars", F.col("gain").cast("double").alias("gain"),
-                    F.col("loss").cast("double").alias("loss"),
-                    F.when(F.col("n_bars") >= 2, rsi("gain", "loss")).alias("rsi"),
-                    F.when(F.col("n_bars") >= 2, rsi(F.col("gain") - F.col("first_gain"),
-                                                     F.col("loss") - F.col("first_loss"))).alias("rsi_skip_first"))
-                write_parquet(windows, batch_path(f"{self.root}/windows", batch_id))
-            seed = None if smooth_prev is None else smooth_prev.where(F.col("avg_gain").isNotNull())
-            # A batch closes at most (batch span / slide) windows per key: one
-            # in-row block holds them, so no doubling rounds are needed.
-            smoothed = rsi_smoothed(None, key=k, mode=self.mode, summaries=done, seed=seed,
-                                    block=STREAM_BLOCK)
-            smoothed = smoothed.persist()
-            write_parquet(smoothed, batch_path(f"{self.root}/smoothed", batch_id))
-            smooth_next = self._next_state(done, smoothed, smooth_prev)
-            write_parquet(smooth_next, self._path("smooth", batch_id))
-            smooth_next = self._read(spark, "smooth", batch_id)
-            write_parquet(self._carried(smoothed, smooth_prev, smooth_next, closed_prev, closed_us),
-                          batch_path(f"{self.root}/carried", batch_id))
-            smoothed.unpersist()
-            done.unpersist()
+            tasks += [lambda: self._write_windows(done, batch_id),
+                      lambda: self._smooth(spark, done, smooth_prev, closed_prev, closed_us, batch_id)]
         elif smooth_prev is not None:
-            write_parquet(smooth_prev, self._path("smooth", batch_id))
-
-        kept = horizon if closed_us is None else horizon.where(micros >= closed_us - self.window_us)
-        write_parquet(kept, self._path("bars", batch_id))
+            tasks.append(lambda: write_parquet(smooth_prev, self._path("smooth", batch_id)))
+        # The branches share only persisted inputs: submit their jobs together.
+        with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+            for f in [pool.submit(task) for task in tasks]:
+                f.result()
+        if done is not None:
+            done.unpersist()
         horizon.unpersist()
-        write_parquet(spark.createDataFrame([(max_us, closed_us)], "max_us bigint, closed_us bigint"),
-                      self._path("meta", batch_id))
         new.unpersist()
 
+    def _write_windows(self, done: DataFrame, batch_id: int) -> None:
+        """Per closed window and key: RSI (and, with metrics, the window metrics and top-1 tables)."""
+        k = self.key
+        if self.with_metrics:
+            # One aggregation gave both the metrics and the RSI sums.
+            windows = report_columns(done, k).persist()
+            write_parquet(windows, batch_path(f"{self.root}/windows", batch_id))
+            for metric, name in (("avg_gain", "top_gain"), ("total_volume", "top_volume")):
+                write_parquet(top_k(windows, metric, 1, tie=(k,)), batch_path(f"{self.root}/{name}", batch_id))
+            windows.unpersist()
+            return
+        windows = done.select(
+            "window_start", "window_end", k, "n_bars", F.col("gain").cast("double").alias("gain"),
+            F.col("loss").cast("double").alias("loss"),
+            F.when(F.col("n_bars") >= 2, rsi("gain", "loss")).alias("rsi"),
+            F.when(F.col("n_bars") >= 2, rsi(F.col("gain") - F.col("first_gain"),
+                                             F.col("loss") - F.col("first_loss"))).alias("rsi_skip_first"))
+        write_parquet(windows, batch_path(f"{self.root}/windows", batch_id))
+
+    def _smooth(self, spark: SparkSession, done: DataFrame, smooth_prev: DataFrame | None, closed_prev,
+                closed_us: int, batch_id: int) -> None:
+        """Fold the newly closed windows into the smoothed state; write it and the carried values."""
+        seed = None if smooth_prev is None else smooth_prev.where(F.col("avg_gain").isNotNull())
+        # A batch closes at most (batch span / slide) windows per key: one
+        # in-row block holds them, so no doubling rounds are needed.
+        smoothed = rsi_smoothed(None, key=self.key, mode=self.mode, summaries=done, seed=seed,
+                                block=STREAM_BLOCK).persist()
+        write_parquet(smoothed, batch_path(f"{self.root}/smoothed", batch_id))
+        write_parquet(self._next_state(done, smoothed, smooth_prev), self._path("smooth", batch_id))
+        smooth_next = self._read(spark, "smooth", batch_id)
+        write_parquet(self._carried(smoothed, smooth_prev, smooth_next, closed_prev, closed_us),
+                      batch_path(f"{self.root}/carried", batch_id))
+        smoothed.unpersist()
+
     def _next_state(self, done: DataFrame, smoothed: DataFrame, prev: DataFrame | None) -> DataFrame:
         """Per key: first window with data, last smoothed averages and RSI."""
         k = self.key
