@@ -194,3 +194,9 @@ def test_blocked_scan_any_block_size(spark, block):
         for _, i, a, bg, bl in (r for r in rows if r[0] == k):
             g, l_ = a * g + bg, a * l_ + bl
             assert got[(k, i)] == (pytest.approx(g, rel=1e-12), pytest.approx(l_, rel=1e-12))
+
+
+def test_render_row(spark):
+    from tickweave.functions.scalar import render_row
+    df = spark.createDataFrame([("A", 1.5, None, 2)], "k string, g double, l double, n int")
+    assert df.select(render_row("k", "g", "l", "n")).first()[0] == "A - 1.5 - 2"

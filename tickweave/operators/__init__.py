@@ -3,7 +3,7 @@ DataFrame where Spark allows the underlying aggregation."""
 
 from tickweave.operators.aggregates import key_totals, window_counts, window_metrics
 from tickweave.operators.changes import bar_changes, window_changes
-from tickweave.operators.indicators import carry_forward, rsi_smoothed, rsi_window
+from tickweave.operators.indicators import carry_forward, rsi_smoothed, rsi_window, window_report
 from tickweave.operators.profit import cumulative_profit, profit_parity, running_profit
 from tickweave.operators.ranking import sorted_desc, top_k
 from tickweave.operators.scan import affine_scan
@@ -12,5 +12,6 @@ from tickweave.operators.windows import flatten_window, window_col, window_grid,
 __all__ = [
     "affine_scan", "bar_changes", "carry_forward", "cumulative_profit", "flatten_window", "key_totals",
     "profit_parity", "rsi_smoothed", "rsi_window", "running_profit", "sorted_desc", "top_k",
-    "window_changes", "window_col", "window_counts", "window_grid", "window_metrics", "with_arrival_time",
+    "window_changes", "window_col", "window_counts", "window_grid", "window_metrics", "window_report",
+    "with_arrival_time",
 ]

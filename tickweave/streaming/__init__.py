@@ -1 +1,9 @@
+"""Structured Streaming forms: the quote stream, streaming aggregations and
+the stateful RSI run per micro-batch."""
 
+from tickweave.streaming.feed import (latest_snapshot, quote_stream, start, start_top_k, stream_profit,
+                                      stream_window_metrics)
+from tickweave.streaming.rsi import StreamingRsi, read_results
+
+__all__ = ["StreamingRsi", "latest_snapshot", "quote_stream", "read_results", "start", "start_top_k",
+           "stream_profit", "stream_window_metrics"]
