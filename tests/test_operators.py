@@ -200,3 +200,16 @@ def test_render_row(spark):
     from tickweave.functions.scalar import render_row
     df = spark.createDataFrame([("A", 1.5, None, 2)], "k string, g double, l double, n int")
     assert df.select(render_row("k", "g", "l", "n")).first()[0] == "A - 1.5 - 2"
+
+
+@pytest.mark.parametrize("window,slide", [("30 minutes", "5 minutes"), ("1 hour", "10 minutes"), ("10 minutes", "5 minutes")])
+def test_preaggregated_windows_equal_direct(spark, window, slide):
+    import random as _r
+    rng = _r.Random(5)
+    rows = [(rng.choice("ABC"), rng.randrange(0, 240), i, round(rng.uniform(1, 9), 2), round(rng.uniform(1, 9), 2),
+             rng.randrange(1, 50)) for i in range(300)]
+    df = bars(spark, rows)
+    a = window_metrics(df, window, slide, preaggregate=True).toPandas()
+    b = window_metrics(df, window, slide, preaggregate=False).toPandas()
+    from tests.oracle_check import compare
+    assert len(a) > 0 and compare(a, b) is None

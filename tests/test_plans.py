@@ -60,3 +60,15 @@ def test_scan_groups_are_bounded_blocks(spark):
     df = spark.createDataFrame([("k", i, 0.5, 1.0) for i in range(10)], "k string, i int, a double, b double")
     p = plan(affine_scan(df, "k", ["i"], "a", ["b"], block=4), "simple")
     assert re.search(r"keys=\[k#\d+, _groupingexpression", p) or "_block" in p
+
+
+def test_wide_sliding_windows_expand_bucket_summaries(quotes):
+    p = plan(window_metrics(quotes, "1 hour", "5 minutes"), "simple")
+    # Expand sits above the first (bucket) aggregation, not on the scanned rows.
+    expand_at = p.index("Expand")
+    assert p.count("Exchange hashpartitioning") == 2
+    assert "HashAggregate" in p[expand_at:] and "FileScan" in p[expand_at:]
+    lines = p.splitlines()
+    expand_line = next(i for i, x in enumerate(lines) if "Expand" in x)
+    below = "\n".join(lines[expand_line + 1:])
+    assert below.index("HashAggregate") < below.index("FileScan")

@@ -10,9 +10,14 @@ from tickweave.operators.windows import flatten_window, interval_micros, window_
 from tickweave.schema import DEFAULT_SLIDE, DEFAULT_WINDOW
 
 
+# Above this many windows per row (window / slide), sums are first taken per
+# slide-long bucket and only the bucket summaries are copied into windows.
+PREAGGREGATE_RATIO = 4
+
+
 def window_metrics(quotes: DataFrame, window: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,
                    key: str = "symbol", time: str = "ts", close: str = "close", open_: str = "open",
-                   volume: str = "volume") -> DataFrame:
+                   volume: str = "volume", preaggregate: bool | None = None) -> DataFrame:
     """Simple moving average of close, average gain (close - open), total and
     integer-mean volume and the quote count per key and window.
 
@@ -20,20 +25,34 @@ def window_metrics(quotes: DataFrame, window: str = DEFAULT_WINDOW, slide: str |
     (sums and counts per key and window) shrinks the data before the single
     shuffle on ``(window, key)``.  Sums stay decimal until the final division,
     so the result is independent of partitioning and addition order.
+
+    A sliding window copies each row ``window / slide`` times before the
+    partial aggregation.  When that ratio exceeds ``PREAGGREGATE_RATIO`` (or
+    ``preaggregate=True``) the sums are first taken per key and slide-long
+    bucket and only those summaries are copied into the windows they lie in
+    (exact when the window is a multiple of the slide).
     """
     gain = F.col(close) - F.col(open_)
-    agg = (quotes
-           .groupBy(window_col(time, window, slide).alias("window"), F.col(key))
-           .agg(F.count(F.lit(1)).alias("n_quotes"),
-                F.sum(close).alias("_sum_close"), F.count(close).alias("_n_close"),
-                F.sum(gain).alias("_sum_gain"), F.count(gain).alias("_n_gain"),
-                F.sum(volume).cast("bigint").alias("total_volume"),
-                F.count(volume).alias("_n_volume")))
+    parts = [(F.count(F.lit(1)), "n_quotes"), (F.sum(close), "_sum_close"), (F.count(close), "_n_close"),
+             (F.sum(gain), "_sum_gain"), (F.count(gain), "_n_gain"), (F.sum(volume), "total_volume"),
+             (F.count(volume), "_n_volume")]
+    w_us = interval_micros(window)
+    s_us = interval_micros(slide) if slide else w_us
+    if preaggregate is None:
+        preaggregate = w_us // s_us > PREAGGREGATE_RATIO
+    if preaggregate and s_us < w_us and w_us % s_us == 0:
+        buckets = (quotes.groupBy(F.window(time, slide).start.alias("_bucket"), F.col(key))
+                   .agg(*[fn.alias(name) for fn, name in parts]))
+        agg = (buckets.groupBy(window_col("_bucket", window, slide).alias("window"), F.col(key))
+               .agg(*[F.sum(name).alias(name) for _, name in parts]))
+    else:
+        agg = (quotes.groupBy(window_col(time, window, slide).alias("window"), F.col(key))
+               .agg(*[fn.alias(name) for fn, name in parts]))
     out = agg.select(
-        "window", key, "n_quotes",
+        "window", key, F.col("n_quotes").cast("bigint").alias("n_quotes"),
         mean_of("_sum_close", "_n_close").alias("sma_close"),
         mean_of("_sum_gain", "_n_gain").alias("avg_gain"),
-        "total_volume",
+        F.col("total_volume").cast("bigint").alias("total_volume"),
         int_mean("total_volume", "_n_volume").alias("int_avg_volume"),
     )
     return flatten_window(out)

@@ -56,6 +56,13 @@ def q_sma_close_users(spark: SparkSession, d: str) -> DataFrame:
     return m.select("window_start", "window_end", "symbol", "n_quotes", "sma_close", "total_volume")
 
 
+def q_sma_hourly(spark: SparkSession, d: str) -> DataFrame:
+    """One-hour windows moved every 5 minutes (12 windows per quote): summed
+    per 5-minute bucket first, then per window."""
+    m = window_metrics(load_quotes(spark, d), "1 hour", FEED_SLIDE)
+    return m.select("window_start", "window_end", "symbol", "n_quotes", "sma_close", "avg_gain", "total_volume")
+
+
 def q_avg_gain(spark: SparkSession, d: str) -> DataFrame:
     m = window_metrics(load_quotes(spark, d), FEED_WINDOW, FEED_SLIDE)
     return m.select("window_start", "window_end", "symbol", "avg_gain")

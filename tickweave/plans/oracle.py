@@ -161,6 +161,8 @@ SELECT symbol, ts, seq, CAST(close - open AS DOUBLE) AS gain FROM quotes""",
     "q_sma_close": _metrics() + "SELECT window_start, window_end, symbol, sma_close, total_volume FROM m",
     "q_sma_close_users": _metrics("user_id")
     + "SELECT window_start, window_end, symbol, n_quotes, sma_close, total_volume FROM m",
+    "q_sma_hourly": _metrics(w=("5 minutes", 12, "1 hour"))
+    + "SELECT window_start, window_end, symbol, n_quotes, sma_close, avg_gain, total_volume FROM m",
     "q_avg_gain": _metrics() + "SELECT window_start, window_end, symbol, avg_gain FROM m",
     "q_quote_count": f"""WITH {_quotes()}, {_win('5 minutes', 2)}
 SELECT window_start, window_start + INTERVAL '10 minutes' AS window_end, count(*) AS n_quotes
