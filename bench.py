@@ -22,7 +22,7 @@ from tickweave.session import build_session  # noqa: E402
 
 HEADLINE = [
     "q_window_metrics", "q_window_report", "q_sma_hourly", "q_sma_close_users", "q_top_gainer", "q_top10_gain", "q_quote_count",
-    "q_rsi_window", "q_rsi_feed_window", "q_rsi_users", "q_rsi_wilder", "q_rsi_carry_forward",
+    "q_rsi_window", "q_rsi_feed_window", "q_rsi_hourly", "q_rsi_users", "q_rsi_wilder", "q_rsi_carry_forward",
     "q_profit", "q_profit_running", "q_profit_parity", "q_top_profit",
     "q_json_roundtrip", "q_json_quarantine", "q_render",
 ]

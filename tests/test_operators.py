@@ -213,3 +213,31 @@ def test_preaggregated_windows_equal_direct(spark, window, slide):
     b = window_metrics(df, window, slide, preaggregate=False).toPandas()
     from tests.oracle_check import compare
     assert len(a) > 0 and compare(a, b) is None
+
+
+@pytest.mark.parametrize("bucket", ["3 minutes", "1 hour"])
+def test_wide_window_changes_match_brute_force(spark, bucket):
+    rng = random.Random(9)
+    rows = [(rng.choice("AB"), rng.randrange(0, 400), i, 1, round(rng.uniform(1, 20), 2), 1) for i in range(300)]
+    got = window_changes(bars(spark, rows), "60 minutes", "10 minutes", bucket=bucket).collect()
+    want = brute_window_changes(rows, 60, 10)
+    assert len(got) == len(want)
+    for r in got:
+        n, g, l_, first = want[(r["symbol"], int((r["window_start"] - T0).total_seconds() // 60))]
+        assert (r["n_bars"], r["n_changes"], r["gain"], r["loss"]) == (n, n - 1, g, l_)
+        assert r["first_gain"] == (first if first is not None and first > 0 else 0)
+        assert r["first_loss"] == (-first if first is not None and first < 0 else 0)
+
+
+def test_wide_window_report_equals_metrics_and_rsi(spark):
+    from tests.oracle_check import compare
+    from tickweave.operators.indicators import window_report
+    rng = random.Random(4)
+    rows = [(rng.choice("ABC"), rng.randrange(0, 300), i, round(rng.uniform(1, 9), 2), round(rng.uniform(1, 9), 2),
+             rng.randrange(1, 50)) for i in range(300)]
+    df = bars(spark, rows)
+    rep = window_report(df, "1 hour", "10 minutes")
+    m = window_metrics(df, "1 hour", "10 minutes", preaggregate=False)
+    r = rsi_window(df, "1 hour", "10 minutes").select("window_start", "symbol", "gain", "loss", "rsi", "rsi_skip_first")
+    want = m.join(r, ["window_start", "symbol"])
+    assert compare(rep.toPandas(), want.toPandas()) is None

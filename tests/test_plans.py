@@ -72,3 +72,12 @@ def test_wide_sliding_windows_expand_bucket_summaries(quotes):
     expand_line = next(i for i, x in enumerate(lines) if "Expand" in x)
     below = "\n".join(lines[expand_line + 1:])
     assert below.index("HashAggregate") < below.index("FileScan")
+
+
+def test_wide_windows_expand_change_sums_not_bars(quotes):
+    p = plan(window_changes(quotes, "1 hour", "5 minutes"), "simple")
+    lines = p.splitlines()
+    gen = next(i for i, x in enumerate(lines) if "Generate explode(sequence" in x)
+    below = "\n".join(lines[gen + 1:])
+    assert "HashAggregate" in below and below.index("HashAggregate") < below.index("FileScan")
+    assert "SortAggregate" not in p

@@ -40,15 +40,16 @@ def rsi_window(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | None
 
 def report_aggregates(close: str = "close", open_: str = "open", volume: str = "volume") -> list:
     """The window-metric aggregates ``window_changes(extra=...)`` adds to its
-    own, as ``(bar columns they need, aggregate)`` pairs.  The close is the
-    changes' ``value`` column."""
+    own, as ``(bar columns they need, name, aggregate)`` triples.  The close
+    is the changes' ``value`` column.  All are sums or counts, so they can be
+    summed again across buckets."""
     gain = F.col("value") - F.col(open_)
-    return [((open_, volume), F.sum(gain).alias("_sum_gain")),
-            ((), F.count(gain).alias("_n_gain")),
-            ((), F.sum("value").alias("_sum_close")),
-            ((), F.count("value").alias("_n_close")),
-            ((), F.sum(volume).cast("bigint").alias("total_volume")),
-            ((), F.count(volume).alias("_n_volume"))]
+    return [((open_, volume), "_sum_gain", F.sum(gain)),
+            ((), "_n_gain", F.count(gain)),
+            ((), "_sum_close", F.sum("value")),
+            ((), "_n_close", F.count("value")),
+            ((), "total_volume", F.sum(volume).cast("bigint")),
+            ((), "_n_volume", F.count(volume))]
 
 
 def report_columns(wc: DataFrame, key: str = "symbol", min_bars: int = 2) -> DataFrame:
@@ -58,7 +59,8 @@ def report_columns(wc: DataFrame, key: str = "symbol", min_bars: int = 2) -> Dat
         "window_start", "window_end", key, F.col("n_bars").alias("n_quotes"),
         mean_of("_sum_close", "_n_close").alias("sma_close"),
         mean_of("_sum_gain", "_n_gain").alias("avg_gain"),
-        "total_volume", int_mean("total_volume", "_n_volume").alias("int_avg_volume"),
+        F.col("total_volume").cast("bigint").alias("total_volume"),
+        int_mean("total_volume", "_n_volume").alias("int_avg_volume"),
         F.col("gain").cast("double").alias("gain"), F.col("loss").cast("double").alias("loss"),
         F.when(enough, rsi("gain", "loss")).alias("rsi"),
         F.when(enough, rsi(F.col("gain") - F.col("first_gain"), F.col("loss") - F.col("first_loss")))

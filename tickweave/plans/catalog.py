@@ -123,6 +123,13 @@ def q_rsi_feed_window(spark: SparkSession, d: str) -> DataFrame:
     return r.select("window_start", "window_end", "symbol", "n_bars", "gain", "loss", "rsi", "rsi_skip_first")
 
 
+def q_rsi_hourly(spark: SparkSession, d: str) -> DataFrame:
+    """Stateless RSI in one-hour windows moved every 5 minutes (12 windows per
+    bar): changes are summed per bucket triple before the windows."""
+    r = rsi_window(load_quotes(spark, d), "1 hour", FEED_SLIDE)
+    return r.select("window_start", "window_end", "symbol", "n_bars", "gain", "loss", "rsi", "rsi_skip_first")
+
+
 def q_rsi_users(spark: SparkSession, d: str) -> DataFrame:
     """Stateless RSI over many keys (one per user)."""
     r = rsi_window(load_quotes(spark, d, key="user_id"), DAY_WINDOW, DAY_SLIDE)

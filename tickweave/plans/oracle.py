@@ -191,6 +191,7 @@ FROM m JOIN r USING (window_start, symbol)""",
     "q_rsi_window": _rsi_window(),
     "q_rsi_window_skip_first": _rsi_window(cols="rsi_skip_first"),
     "q_rsi_feed_window": _rsi_window(w=FEED, cols="gain, loss, rsi, rsi_skip_first"),
+    "q_rsi_hourly": _rsi_window(w=("5 minutes", 12, "1 hour"), cols="gain, loss, rsi, rsi_skip_first"),
     "q_rsi_users": _rsi_window("user_id"),
     "q_rsi_wilder": "WITH RECURSIVE " + _smoothed("wilder") + "\nSELECT * FROM sm",
     "q_rsi_undivided": "WITH RECURSIVE " + _smoothed("undivided") + "\nSELECT * FROM sm",
