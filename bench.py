@@ -3,7 +3,7 @@
 Runs each query on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 ``local[$BENCH_CPUS]`` and prints one JSON line.  Each query is executed in
 full through the ``noop`` sink (no collect to the driver); the time reported
-per query is the best of ``$BENCH_REPEAT`` runs (default 2), after one untimed
+per query is the best of ``$BENCH_REPEAT`` runs (default 3), after one untimed
 warm-up run of every query on ``$BENCH_WARM_DIR`` (default sf0.001).
 """
 
@@ -31,7 +31,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", int(cpus) * 2, app_name="tickweave-bench",
                           extra={"spark.driver.memory": "16g"})
