@@ -195,7 +195,8 @@ def q_json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 def q_json_quarantine(spark: SparkSession, d: str) -> DataFrame:
     """Decode a feed with broken lines: every rendered line, the same line cut
     short, and the events' ``props`` objects (valid JSON, but not an array)."""
-    return decode_quotes(broken_feed(spark, d)).quarantine
+    # Only whole lines are broken here, so the quote position is always NULL.
+    return decode_quotes(broken_feed(spark, d)).quarantine.select("line", "reason")
 
 
 def dirty_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -208,8 +209,10 @@ def dirty_lines(spark: SparkSession, d: str) -> DataFrame:
 def q_json_dirty_quotes(spark: SparkSession, d: str) -> DataFrame:
     """Quotes of the dirty feed: all kept, volume NULL where its text is fractional."""
     decoded = decode_quotes(dirty_lines(spark, d)).quotes
+    # volume is shown as double so its NULLs read the same in every client.
     return decoded.select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"),
-                          F.col("close").cast("double").alias("close"), "volume")
+                          F.col("close").cast("double").alias("close"),
+                          F.col("volume").cast("double").alias("volume"))
 
 
 def q_json_dirty_quarantine(spark: SparkSession, d: str) -> DataFrame:

@@ -231,7 +231,7 @@ SELECT symbol, date_trunc('second', ts) AS ts, CAST(open AS DOUBLE) AS open,
 FROM quotes""",
     "q_json_dirty_quotes": f"""WITH {_quotes()}
 SELECT symbol, date_trunc('second', ts) AS ts, CAST(close AS DOUBLE) AS close,
-       CASE WHEN close = floor(close) THEN CAST(close AS BIGINT) END AS volume
+       CASE WHEN close = floor(close) THEN CAST(CAST(close AS BIGINT) AS DOUBLE) END AS volume
 FROM quotes""",
     "q_json_dirty_quarantine": f"""WITH {_json_lines("CAST(close AS VARCHAR)")},
 pos AS (
@@ -241,7 +241,7 @@ SELECT l.line, p.pos, 'bad_volume' AS reason
 FROM pos p JOIN (SELECT symbol AS s, b, line FROM lines) l ON l.s = p.symbol AND l.b = floor(p.seq / 64)
 WHERE p.close <> floor(p.close)""",
     "q_json_quarantine": f"""WITH {_json_lines()}
-SELECT substring(line, 1, length(line) - 2) AS line, CAST(NULL AS BIGINT) AS pos, 'malformed' AS reason FROM lines
+SELECT substring(line, 1, length(line) - 2) AS line, 'malformed' AS reason FROM lines
 UNION ALL
-SELECT props AS line, CAST(NULL AS BIGINT) AS pos, 'not_array' AS reason FROM events""",
+SELECT props AS line, 'not_array' AS reason FROM events""",
 }

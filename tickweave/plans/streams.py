@@ -73,7 +73,7 @@ def q_stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
     bad = quote_stream(spark, f"{work}/feed", max_files_per_trigger=4).quarantine
     out = f"{work}/out"
     start(bad, f"{work}/checkpoint", "append", sink=out, trigger=ONCE).awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select("line", "reason")
 
 
 STREAM_QUERIES = {
