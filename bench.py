@@ -65,27 +65,15 @@ def stream_bench(spark, sf_dir: str) -> dict:
     in time order, eight files (days) per micro-batch.  Preparing the files is not
     timed; the late count shows that no quote was dropped."""
     import glob
-    import shutil
     import uuid
 
-    from pyspark.sql import functions as F
-
+    from tests.feed_files import write_day_files
     from tickweave.app import run_feed
     from tickweave.session import checkpoint_root
-    from tickweave.sources.lines import render_quote_lines
-    from tickweave.sources.tables import with_high_low
 
     # The files are arranged with local file operations (bench runs locally).
     work = f"{checkpoint_root(spark).rstrip('/').removeprefix('file:')}/tickweave-bench/{uuid.uuid4().hex}"
-    quotes = with_high_low(catalog.load_quotes(spark, sf_dir)).withColumn("day", F.to_date("ts"))
-    staged = f"{work}/staged"
-    render_quote_lines(quotes, extra_keys=("day",)).select("day", "value").write.partitionBy("day").text(staged)
-    os.makedirs(f"{work}/feed")
-    for i, day_dir in enumerate(sorted(glob.glob(f"{staged}/day=*"))):
-        for j, part in enumerate(sorted(glob.glob(f"{day_dir}/part-*"))):
-            target = f"{work}/feed/{i:04d}-{j:04d}.json"
-            shutil.copyfile(part, target)
-            os.utime(target, (1_700_000_000 + i, 1_700_000_000 + i))
+    write_day_files(spark, sf_dir, f"{work}/feed", base_mtime=1_700_000_000)
     n_quotes = catalog.load_quotes(spark, sf_dir).count()
     t0 = time.perf_counter()
     run_feed(spark, f"{work}/feed", f"{work}/out", catalog.FEED_WINDOW, catalog.FEED_SLIDE, "10 minutes",
@@ -96,5 +84,6 @@ def stream_bench(spark, sf_dir: str) -> dict:
     return {"feed_app_sec": round(dt, 3), "quotes_per_sec": round(n_quotes / dt, 1), "late_quotes": n_late,
             "files": len(os.listdir(f"{work}/feed"))}
 
+
 if __name__ == "__main__":
     main()

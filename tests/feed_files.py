@@ -1,6 +1,8 @@
 """Write the quote feed as JSON-array text files, one file per day, in time order."""
 
+import glob
 import os
+import shutil
 
 from pyspark.sql import functions as F
 
@@ -8,18 +10,22 @@ from tickweave.sources.lines import render_quote_lines
 from tickweave.sources.tables import load_quotes, with_high_low
 
 
-def write_day_files(spark, sf_dir, folder, key="event_type"):
-    """Render ``events`` of ``sf_dir`` to ``folder/<day>.json`` (one line per
-    block of quotes of a key) and give the files increasing modification
-    times, so a file stream reads them day by day.  Returns the file count."""
+def write_day_files(spark, sf_dir, folder, key="event_type", base_mtime=1_700_000_000):
+    """Render ``events`` of ``sf_dir`` with Spark (one partition folder per
+    day, next to ``folder``), then copy the day files into ``folder`` in day
+    order with increasing modification times, so a file stream reads them day
+    by day.  Returns the number of days."""
     quotes = with_high_low(load_quotes(spark, sf_dir, key)).withColumn("day", F.to_date("ts"))
-    lines = render_quote_lines(quotes, extra_keys=("day",)).orderBy("day", "symbol", "first_seq")
-    by_day = {}
-    for row in lines.toLocalIterator():   # test fixture only: a few hundred lines
-        by_day.setdefault(str(row["day"]), []).append(row["value"])
-    for i, day in enumerate(sorted(by_day)):
-        path = os.path.join(folder, f"quotes-{day}.json")
-        with open(path, "w") as f:
-            f.write("\n".join(by_day[day]) + "\n")
-        os.utime(path, (1_700_000_000 + i * 60, 1_700_000_000 + i * 60))
-    return len(by_day)
+    staged = folder.rstrip("/") + "-staged"
+    # One partition per day, so each day is exactly one file.
+    (render_quote_lines(quotes, extra_keys=("day",)).select("day", "value")
+     .repartition("day").write.partitionBy("day").text(staged))
+    os.makedirs(folder, exist_ok=True)
+    days = sorted(glob.glob(os.path.join(staged, "day=*")))
+    for i, day_dir in enumerate(days):
+        day = os.path.basename(day_dir).split("=", 1)[1]
+        for j, part in enumerate(sorted(glob.glob(os.path.join(day_dir, "part-*")))):
+            target = os.path.join(folder, f"quotes-{day}-{j:03d}.json")
+            shutil.copyfile(part, target)
+            os.utime(target, (base_mtime + i * 60, base_mtime + i * 60))
+    return len(days)
