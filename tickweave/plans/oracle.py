@@ -152,6 +152,37 @@ lines AS (
   FROM quotes GROUP BY symbol, floor(seq / 64))"""
 
 
+def _stream_rsi() -> str:
+    """Window RSI of the streamed feed: quotes ordered as decoded (time in
+    seconds, position in the line, close); windows closed by the watermark."""
+    return f"""WITH {_quotes()},
+fed AS (
+  SELECT symbol, date_trunc('second', ts) AS ts,
+         row_number() OVER (PARTITION BY symbol, floor(seq / 64) ORDER BY seq) - 1 AS pos, close
+  FROM quotes),
+{_win('12 hours', 2, 'fed')},
+c AS (
+  SELECT window_start, symbol,
+         close - lag(close) OVER (PARTITION BY symbol, window_start ORDER BY ts, pos, close) AS change,
+         row_number() OVER (PARTITION BY symbol, window_start ORDER BY ts, pos, close) AS i
+  FROM win),
+s AS (
+  SELECT window_start, window_start + INTERVAL '1 day' AS window_end, symbol,
+         count(*) AS n_bars,
+         CAST(sum(CASE WHEN change > 0 THEN change ELSE 0 END) AS DOUBLE) AS gain,
+         CAST(sum(CASE WHEN change < 0 THEN -change ELSE 0 END) AS DOUBLE) AS loss,
+         CAST(sum(CASE WHEN i >= 3 AND change > 0 THEN change ELSE 0 END) AS DOUBLE) AS gain2,
+         CAST(sum(CASE WHEN i >= 3 AND change < 0 THEN -change ELSE 0 END) AS DOUBLE) AS loss2
+  FROM c GROUP BY window_start, symbol),
+closed AS (
+  SELECT time_bucket(INTERVAL '12 hours', max(ts) - INTERVAL '12 hours', TIMESTAMP '1970-01-01') AS until
+  FROM fed)
+SELECT window_start, window_end, symbol, n_bars, gain, loss,
+       CASE WHEN n_bars >= 2 THEN {_rsi('gain', 'loss')} END AS rsi,
+       CASE WHEN n_bars >= 2 THEN {_rsi('gain2', 'loss2')} END AS rsi_skip_first
+FROM s, closed WHERE window_end <= closed.until"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "q_quotes": f"""WITH {_quotes()}
 SELECT symbol, ts, seq, CAST(open AS DOUBLE) AS open, CAST(close AS DOUBLE) AS close, volume FROM quotes""",
@@ -240,6 +271,7 @@ pos AS (
 SELECT l.line, p.pos, 'bad_volume' AS reason
 FROM pos p JOIN (SELECT symbol AS s, b, line FROM lines) l ON l.s = p.symbol AND l.b = floor(p.seq / 64)
 WHERE p.close <> floor(p.close)""",
+    "q_stream_rsi_window": _stream_rsi(),
     "q_json_quarantine": f"""WITH {_json_lines()}
 SELECT substring(line, 1, length(line) - 2) AS line, 'malformed' AS reason FROM lines
 UNION ALL

@@ -14,11 +14,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.plans.catalog import FEED_SLIDE, FEED_WINDOW, broken_feed, quote_lines
+from tickweave.plans.catalog import DAY_SLIDE, DAY_WINDOW, FEED_SLIDE, FEED_WINDOW, broken_feed, quote_lines
 from tickweave.operators.ranking import top_k
 from tickweave.session import checkpoint_root
 from tickweave.sinks.files import per_batch_parquet
 from tickweave.streaming.feed import latest_snapshot, quote_stream, start, stream_profit, stream_window_metrics
+from tickweave.streaming.rsi import StreamingRsi, read_results
 
 ONCE = {"availableNow": True}
 
@@ -76,11 +77,25 @@ def q_stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(out).select("line", "reason")
 
 
+def q_stream_rsi_window(spark: SparkSession, d: str) -> DataFrame:
+    """Window RSI of the stateful stream job (``StreamingRsi``): the windows
+    its watermark (latest quote time - 12 hours) has closed."""
+    work = _workdir(spark, "rsi")
+    quotes = quote_stream(spark, _feed(spark, d, work)).quotes
+    job = StreamingRsi(f"{work}/rsi", DAY_WINDOW, DAY_SLIDE, "12 hours")
+    start(quotes, f"{work}/checkpoint", "append", foreach_batch=job, trigger=ONCE).awaitTermination()
+    return read_results(spark, f"{work}/rsi", "windows").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        "symbol", "n_bars", "gain", "loss", "rsi", "rsi_skip_first")
+
+
 STREAM_QUERIES = {
     "q_stream_window_metrics": q_stream_window_metrics,
     "q_stream_top_gainer": q_stream_top_gainer,
     "q_stream_profit": q_stream_profit,
     "q_stream_quarantine": q_stream_quarantine,
+    "q_stream_rsi_window": q_stream_rsi_window,
 }
 # Complete-mode results equal the batch queries, so they share their SQL.
 STREAM_ORACLE = {
