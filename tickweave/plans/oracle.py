@@ -152,10 +152,11 @@ lines AS (
   FROM quotes GROUP BY symbol, floor(seq / 64))"""
 
 
-def _stream_rsi() -> str:
-    """Window RSI of the streamed feed: quotes ordered as decoded (time in
-    seconds, position in the line, close); windows closed by the watermark."""
-    return f"""WITH {_quotes()},
+def _stream_changes() -> str:
+    """Changes of the streamed feed per window, quotes ordered as decoded
+    (time in seconds, position in the line, close), and the watermark's
+    ``closed`` bound (latest time - 12 hours, on the 12-hour grid)."""
+    return f"""{_quotes()},
 fed AS (
   SELECT symbol, date_trunc('second', ts) AS ts,
          row_number() OVER (PARTITION BY symbol, floor(seq / 64) ORDER BY seq) - 1 AS pos, close
@@ -166,21 +167,42 @@ c AS (
          close - lag(close) OVER (PARTITION BY symbol, window_start ORDER BY ts, pos, close) AS change,
          row_number() OVER (PARTITION BY symbol, window_start ORDER BY ts, pos, close) AS i
   FROM win),
+closed AS (
+  SELECT time_bucket(INTERVAL '12 hours', max(ts) - INTERVAL '12 hours', TIMESTAMP '1970-01-01') AS until
+  FROM fed),
 s AS (
   SELECT window_start, window_start + INTERVAL '1 day' AS window_end, symbol,
-         count(*) AS n_bars,
+         count(*) AS n_bars, count(change) AS n_changes,
          CAST(sum(CASE WHEN change > 0 THEN change ELSE 0 END) AS DOUBLE) AS gain,
          CAST(sum(CASE WHEN change < 0 THEN -change ELSE 0 END) AS DOUBLE) AS loss,
          CAST(sum(CASE WHEN i >= 3 AND change > 0 THEN change ELSE 0 END) AS DOUBLE) AS gain2,
          CAST(sum(CASE WHEN i >= 3 AND change < 0 THEN -change ELSE 0 END) AS DOUBLE) AS loss2
-  FROM c GROUP BY window_start, symbol),
-closed AS (
-  SELECT time_bucket(INTERVAL '12 hours', max(ts) - INTERVAL '12 hours', TIMESTAMP '1970-01-01') AS until
-  FROM fed)
+  FROM c GROUP BY window_start, symbol
+  HAVING window_start + INTERVAL '1 day' <= (SELECT until FROM closed))"""
+
+
+def _stream_rsi() -> str:
+    return f"""WITH {_stream_changes()}
 SELECT window_start, window_end, symbol, n_bars, gain, loss,
        CASE WHEN n_bars >= 2 THEN {_rsi('gain', 'loss')} END AS rsi,
        CASE WHEN n_bars >= 2 THEN {_rsi('gain2', 'loss2')} END AS rsi_skip_first
-FROM s, closed WHERE window_end <= closed.until"""
+FROM s"""
+
+
+def _stream_smoothed() -> str:
+    return f"""WITH RECURSIVE {_stream_changes()},
+e AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start) AS k
+  FROM s WHERE n_changes >= 1),
+rec(symbol, k, g, l) AS (
+  SELECT symbol, k, gain / (n_changes + 1), loss / (n_changes + 1) FROM e WHERE k = 1
+  UNION ALL
+  SELECT e.symbol, e.k, (r.g * e.n_changes + e.gain) / (e.n_changes + 1),
+         (r.l * e.n_changes + e.loss) / (e.n_changes + 1)
+  FROM rec r JOIN e ON e.symbol = r.symbol AND e.k = r.k + 1)
+SELECT e.window_start, e.window_end, e.symbol, e.n_changes + 1 AS n_bars,
+       round({_rsi('rec.g', 'rec.l')}, 6) AS rsi
+FROM e JOIN rec USING (symbol, k)"""
 
 
 ORACLE_SQL: dict[str, str] = {
@@ -272,6 +294,7 @@ SELECT l.line, p.pos, 'bad_volume' AS reason
 FROM pos p JOIN (SELECT symbol AS s, b, line FROM lines) l ON l.s = p.symbol AND l.b = floor(p.seq / 64)
 WHERE p.close <> floor(p.close)""",
     "q_stream_rsi_window": _stream_rsi(),
+    "q_stream_rsi_smoothed": _stream_smoothed(),
     "q_json_quarantine": f"""WITH {_json_lines()}
 SELECT substring(line, 1, length(line) - 2) AS line, 'malformed' AS reason FROM lines
 UNION ALL

@@ -77,17 +77,34 @@ def q_stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(out).select("line", "reason")
 
 
-def q_stream_rsi_window(spark: SparkSession, d: str) -> DataFrame:
-    """Window RSI of the stateful stream job (``StreamingRsi``): the windows
-    its watermark (latest quote time - 12 hours) has closed."""
-    work = _workdir(spark, "rsi")
+def _run_stream_rsi(spark: SparkSession, d: str, name: str) -> str:
+    """Run the stateful stream job (``StreamingRsi``, 1-day windows every 12
+    hours, 12 hours allowed delay) over the rendered feed; returns its folder."""
+    work = _workdir(spark, name)
     quotes = quote_stream(spark, _feed(spark, d, work)).quotes
     job = StreamingRsi(f"{work}/rsi", DAY_WINDOW, DAY_SLIDE, "12 hours")
     start(quotes, f"{work}/checkpoint", "append", foreach_batch=job, trigger=ONCE).awaitTermination()
-    return read_results(spark, f"{work}/rsi", "windows").select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-        "symbol", "n_bars", "gain", "loss", "rsi", "rsi_skip_first")
+    return f"{work}/rsi"
+
+
+def _ntz_windows(df: DataFrame) -> DataFrame:
+    return (df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+            .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
+
+
+def q_stream_rsi_window(spark: SparkSession, d: str) -> DataFrame:
+    """Window RSI of the stateful stream job: the windows its watermark
+    (latest quote time - 12 hours) has closed."""
+    root = _run_stream_rsi(spark, d, "rsi")
+    return _ntz_windows(read_results(spark, root, "windows")).select(
+        "window_start", "window_end", "symbol", "n_bars", "gain", "loss", "rsi", "rsi_skip_first")
+
+
+def q_stream_rsi_smoothed(spark: SparkSession, d: str) -> DataFrame:
+    """RSI smoothed across the closed windows by the stream job's keyed state."""
+    root = _run_stream_rsi(spark, d, "rsi-smoothed")
+    return _ntz_windows(read_results(spark, root, "smoothed")).select(
+        "window_start", "window_end", "symbol", "n_bars", F.round("rsi", 6).alias("rsi"))
 
 
 STREAM_QUERIES = {
@@ -96,6 +113,7 @@ STREAM_QUERIES = {
     "q_stream_profit": q_stream_profit,
     "q_stream_quarantine": q_stream_quarantine,
     "q_stream_rsi_window": q_stream_rsi_window,
+    "q_stream_rsi_smoothed": q_stream_rsi_smoothed,
 }
 # Complete-mode results equal the batch queries, so they share their SQL.
 STREAM_ORACLE = {
