@@ -241,3 +241,22 @@ def test_wide_window_report_equals_metrics_and_rsi(spark):
     r = rsi_window(df, "1 hour", "10 minutes").select("window_start", "symbol", "gain", "loss", "rsi", "rsi_skip_first")
     want = m.join(r, ["window_start", "symbol"])
     assert compare(rep.toPandas(), want.toPandas()) is None
+
+
+@pytest.mark.parametrize("mode", ["wilder", "undivided"])
+def test_seeded_smoothing_continues_the_fold(spark, mode):
+    rng = random.Random(21)
+    rows = [(rng.choice("AB"), rng.randrange(0, 600), i, 1, round(rng.uniform(5, 9), 2), 1) for i in range(400)]
+    df = bars(spark, rows)
+    wc = window_changes(df, "1 hour", "30 minutes")
+    cut = T0 + dt.timedelta(minutes=300)
+    whole = {(r["symbol"], r["window_start"]): r["rsi"]
+             for r in rsi_smoothed(df, mode=mode, summaries=wc).collect()}
+    first = rsi_smoothed(df, mode=mode, summaries=wc.where(F.col("window_start") < cut))
+    last = first.groupBy("symbol").agg(F.max_by(F.struct("avg_gain", "avg_loss"), "window_start").alias("s"))
+    seed = last.select("symbol", "s.avg_gain", "s.avg_loss")
+    rest = rsi_smoothed(df, mode=mode, summaries=wc.where(F.col("window_start") >= cut), seed=seed)
+    got = {(r["symbol"], r["window_start"]): r["rsi"] for r in first.collect() + rest.collect()}
+    assert got.keys() == whole.keys() and len(got) > 10
+    for k, v in whole.items():
+        assert got[k] == pytest.approx(v, rel=1e-9)
