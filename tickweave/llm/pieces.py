@@ -153,13 +153,17 @@ class PieceEncoder:
     def __init__(self, encode):
         self._encode, self._kept = encode, {}
 
+    def raw(self, word: bytes):
+        """The ids of one piece, not kept."""
+        return self._encode(word)
+
     def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each word."""
         kept, encode, out = self._kept, self._encode, []
         for w in words:
             ids = kept.get(w)
             if ids is None:
-                ids = encode(w)
+                ids = encode(w.encode())
                 if len(kept) >= KEPT_PIECES:
                     kept.clear()
                 kept[w] = ids
@@ -190,7 +194,7 @@ def json_encoder(path: str) -> PieceEncoder:
     from tokenizers import Tokenizer
 
     model, chars = Tokenizer.from_file(path).model, byte_chars()
-    return PieceEncoder(lambda w: tuple(t.id for t in model.tokenize(w.encode().decode("latin-1").translate(chars))))
+    return PieceEncoder(lambda w: tuple(t.id for t in model.tokenize(w.decode("latin-1").translate(chars))))
 
 
 def rank_table(path: str) -> dict[bytes, int]:
@@ -206,4 +210,4 @@ def rank_encoder(path: str, pattern: str) -> PieceEncoder:
 
     encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=rank_table(path), special_tokens={})
     single = encoding._core_bpe.encode_single_piece
-    return PieceEncoder(lambda w: single(w.encode()))
+    return PieceEncoder(single)

@@ -3,18 +3,37 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm.common import documents
 from tickweave.llm.exact_dedup import exact_duplicates
+from tickweave.llm.line_templates import drop_recurring_lines
 from tickweave.llm.packing import pack_documents
 from tickweave.llm.repetition import repetition
+from tickweave.llm.secret_ledger import scan_history
 from tickweave.llm.simhash import near_duplicates
 from tickweave.llm.token_files import token_files_of
+from tickweave.llm.word_bpe import decode, encode
 
 JSON_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def _joined(findings: Column) -> Column:
+    return F.concat_ws(",", F.transform(findings, lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))))
+
+
+def op1_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents, each distinct text scanned once."""
+    rows = scan_history(documents(spark, sf_dir))
+    kinds = F.transform("findings", lambda f: f["kind"])
+    counts = [F.size(F.array_remove(kinds, k)) for k in ("assign", "access", "hex")]
+    counts = [(F.size("findings") - n).cast("long").alias(f"n_{k}") for k, n in zip(("assign", "access", "hex"), counts)]
+    base = F.filter("findings", lambda f: f["kind"].isin("assign", "access", "hex"))
+    return rows.select("doc_id", *counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(F.col("findings")).alias("spans"))
+
 
 def op4_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word, symbol, line and repetition counts of all documents, and the verdict."""
@@ -29,6 +48,19 @@ def op5_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines of recurring templates."""
+    return drop_recurring_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+def op7_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode all documents, each distinct word once, and decode the ids again."""
+    encoded = encode(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
+    return decode(encoded, RANKS).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all documents with end id 2, write token files and read them back."""
     rows = token_files_of(spark, documents(spark, sf_dir), JSON_VOCABULARY, 2)
@@ -46,7 +78,7 @@ def op10_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op4_suffix_repetition, op5_simhash_golay, op8_token_files, op9_exact_dedup, op10_bin_slack_packing)}
+    op1_blob_ledger, op4_suffix_repetition, op5_simhash_golay, op6_line_templates, op7_word_bpe, op8_token_files, op9_exact_dedup, op10_bin_slack_packing)}
 
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
@@ -59,4 +91,37 @@ ORACLE_SQL = {
                    count(*) OVER (PARTITION BY text_sha256) AS group_size
             FROM t WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST))
         SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM g""",
+    "op6_line_templates": r"""
+        WITH lines AS (
+            SELECT doc_id, text, place, list_extract(parts, place) AS body, len(parts) AS n_lines
+            FROM (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents) AS s,
+                 unnest(range(1, len(parts) + 1)) AS u(place)),
+        plain AS (SELECT *, trim(regexp_replace(body, '[ \t\x0B\f\r]+', ' ', 'g'), ' ') AS line FROM lines),
+        masked AS (
+            SELECT doc_id, text, place, masked, tokens, len(tokens) AS n_tokens, array_to_string(tokens[1:3], ' ') AS lead
+            FROM (SELECT *, string_split(masked, ' ') AS tokens
+                  FROM (SELECT *, regexp_replace(line, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS masked FROM plain WHERE line <> ''))
+            WHERE len(tokens) >= 5),
+        leaves AS (
+            SELECT n_tokens, lead FROM (SELECT DISTINCT n_tokens, lead, doc_id, text FROM masked) GROUP BY ALL HAVING count(*) >= 5),
+        chosen AS (SELECT m.* FROM masked m JOIN leaves USING (n_tokens, lead)),
+        counted AS (
+            SELECT masked, tokens, n_tokens, lead, count(*) AS n_docs
+            FROM (SELECT DISTINCT masked, tokens, n_tokens, lead, doc_id, text FROM chosen) GROUP BY ALL),
+        exploded AS (SELECT c.*, place, list_extract(tokens, place) AS token FROM counted c, unnest(range(1, n_tokens + 1)) AS u(place)),
+        constant AS (
+            SELECT n_tokens, lead, place, token FROM exploded WHERE token <> '<*>' GROUP BY ALL HAVING sum(n_docs) >= 5),
+        fields AS (
+            SELECT masked, e.n_tokens, any_value(n_docs) AS n_docs, count(c.token) AS n_constant,
+                   string_agg(coalesce(c.token, '<*>'), ' ' ORDER BY e.place) AS template
+            FROM exploded e LEFT JOIN constant c
+                 ON e.n_tokens = c.n_tokens AND e.lead = c.lead AND e.place = c.place AND e.token = c.token
+            GROUP BY masked, e.n_tokens),
+        shared AS (SELECT template FROM fields WHERE 2 * n_constant >= n_tokens GROUP BY template HAVING sum(n_docs) >= 5),
+        gone AS (
+            SELECT DISTINCT doc_id, text, place
+            FROM chosen JOIN (SELECT masked FROM fields JOIN shared USING (template) WHERE 2 * n_constant >= n_tokens) USING (masked))
+        SELECT doc_id, any_value(n_lines) AS n_lines, count(g.place) AS n_dropped,
+               coalesce(string_agg(l.body, chr(10) ORDER BY l.place) FILTER (WHERE g.place IS NULL), '') AS text
+        FROM lines l LEFT JOIN gone g USING (doc_id, text, place) GROUP BY doc_id, l.text""",
 }
