@@ -80,30 +80,38 @@ def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.cumprod(np.full(length, m, np.uint64)) for m in (np.uint64(0x100000001B3), np.uint64(0xD6E8FEB86659FD93)))
 
 
-def distinct(joined: str, code: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """The distinct strings among the spans of a text, and the number of each span.
-
-    Strings are told apart by two 64-bit hashes; if two share the first but not
-    the second, the spans are compared as strings instead.
-    """
+def span_hashes(code: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each span; spans ascend and don't overlap."""
     if not len(starts):
-        return [], np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     begin, n = starts[0], len(code)
     size = np.diff(np.append(starts, n))
     place = np.arange(n - begin) - np.repeat(starts - begin, size)
     value = code[begin:].astype(np.uint64) + np.uint64(1)
+    longest = int((stops - starts).max())
     if not np.array_equal(stops[:-1], starts[1:]) or stops[-1] != n:
         value[place >= np.repeat(stops - starts, size)] = 0
-        place = np.minimum(place, int((stops - starts).max()) - 1)
+        place = np.minimum(place, longest - 1)
     hashes = []
-    length = 1 << int((stops - starts).max() - 1).bit_length()
-    for mix, power in zip(_MIX, _powers(length)):
+    for mix, power in zip(_MIX, _powers(1 << (longest - 1).bit_length())):
         v = value * mix
         v ^= v >> np.uint64(31)
         v *= power[place]
         hashes.append(np.add.reduceat(v, starts - begin))
-    _, first, index = np.unique(hashes[0], return_index=True, return_inverse=True)
-    if not np.array_equal(hashes[1][first][index], hashes[1]):
+    return hashes[0], hashes[1]
+
+
+def distinct(joined: str, code: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The distinct strings among the spans of a text, and the number of each span.
+
+    Strings are told apart by two 64-bit hashes; if two share the first but not
+    the second, the spans are compared as strings instead.
+    """
+    if not len(starts):
+        return [], np.zeros(0, np.int64)
+    one, two = span_hashes(code, starts, stops)
+    _, first, index = np.unique(one, return_index=True, return_inverse=True)
+    if not np.array_equal(two[first][index], two):
         numbers: dict[str, int] = {}
         index = np.array([numbers.setdefault(joined[a:b], len(numbers)) for a, b in zip(starts, stops)])
         return list(numbers), index
@@ -123,16 +131,24 @@ def words(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np
     word (one more entry at the end), and the edges of the texts."""
     joined = "".join(texts)
     code = np.frombuffer(joined.encode("utf-32-le"), "<u4")
-    edges = np.zeros(len(texts) + 1, np.int64)
-    np.cumsum([len(t) for t in texts], out=edges[1:])
-    inside = np.zeros(len(code) + 2, bool)
-    inside[1:-1] = ~((code == 0x20) | (code >= 9) & (code <= 13))
-    first, last = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
-    cut_at = edges[(edges > 0) & (edges < len(code))]
-    first[cut_at] |= inside[1:-1][cut_at]
-    last[cut_at - 1] |= inside[1:-1][cut_at - 1]
-    starts = np.flatnonzero(first)
-    return joined, code, starts, np.flatnonzero(last) + 1, np.searchsorted(starts, edges), edges
+    edges = text_edges(texts)
+    starts, stops = runs(~((code == 0x20) | (code >= 9) & (code <= 13)), edges)
+    return joined, code, starts, stops, np.searchsorted(starts, edges), edges
+
+
+def text_edges(texts: list[str]) -> np.ndarray:
+    """Where each text begins in the joined text, and where the last one ends."""
+    return np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+
+
+def runs(inside: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and stops of the longest runs of marked characters within a text."""
+    wide = np.concatenate([[False], inside, [False]])
+    first, last = inside & ~wide[:-2], inside & ~wide[2:]
+    cut_at = edges[(edges > 0) & (edges < len(inside))]
+    first[cut_at] |= inside[cut_at]
+    last[cut_at - 1] |= inside[cut_at - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
 def spread(index: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tickweave.llm.common import documents
 from tickweave.llm.exact_dedup import exact_duplicates
+from tickweave.llm.license_scan import notice_templates, scan
 from tickweave.llm.line_templates import drop_recurring_lines
 from tickweave.llm.packing import pack_documents
 from tickweave.llm.repetition import repetition
@@ -15,6 +16,7 @@ from tickweave.llm.secret_ledger import scan_history
 from tickweave.llm.simhash import near_duplicates
 from tickweave.llm.token_files import token_files_of
 from tickweave.llm.word_bpe import decode, encode
+from tickweave.sources.tables import read_table
 
 JSON_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -35,6 +37,13 @@ def op1_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(F.col("findings")).alias("spans"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices and the passages of table ``benchmark`` in all documents."""
+    passages = read_table(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("benchmark:"), F.col("item_id").cast("string")).alias("template_id"), "text")
+    return scan(documents(spark, sf_dir), notice_templates(spark).unionByName(passages))
+
+
 def op4_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word, symbol, line and repetition counts of all documents, and the verdict."""
     return repetition(documents(spark, sf_dir)).select(
@@ -78,7 +87,7 @@ def op10_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_blob_ledger, op4_suffix_repetition, op5_simhash_golay, op6_line_templates, op7_word_bpe, op8_token_files, op9_exact_dedup, op10_bin_slack_packing)}
+    op1_blob_ledger, op3_license_scan, op4_suffix_repetition, op5_simhash_golay, op6_line_templates, op7_word_bpe, op8_token_files, op9_exact_dedup, op10_bin_slack_packing)}
 
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
