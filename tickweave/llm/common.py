@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickweave.session import checkpoint_root
 from tickweave.sources.tables import read_table
@@ -86,7 +87,7 @@ def filesystem(path: str):
     return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
-def map_arrow(df: DataFrame, fn: ArrowMap, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn: ArrowMap, schema: StructType | str) -> DataFrame:
     """``mapInArrow`` with the batch size that the operators here count on."""
     ship_package(df.sparkSession)
     df.sparkSession.conf.set(ARROW_ROWS, str(BATCH_ROWS))

@@ -11,6 +11,7 @@ from tickweave.llm.exact_dedup import exact_duplicates
 from tickweave.llm.license_scan import notice_templates, scan
 from tickweave.llm.line_templates import drop_recurring_lines
 from tickweave.llm.packing import pack_documents
+from tickweave.llm.quality_net import classify
 from tickweave.llm.repetition import repetition
 from tickweave.llm.secret_ledger import scan_history
 from tickweave.llm.simhash import near_duplicates
@@ -37,6 +38,11 @@ def op1_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(F.col("findings")).alias("spans"))
 
 
+def op2_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of all documents, learnt from the labels outside the held-out rows."""
+    return classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices and the passages of table ``benchmark`` in all documents."""
     passages = read_table(spark, sf_dir, "benchmark").select(
@@ -87,7 +93,8 @@ def op10_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_blob_ledger, op3_license_scan, op4_suffix_repetition, op5_simhash_golay, op6_line_templates, op7_word_bpe, op8_token_files, op9_exact_dedup, op10_bin_slack_packing)}
+    op1_blob_ledger, op2_byte_cnn, op3_license_scan, op4_suffix_repetition, op5_simhash_golay,
+    op6_line_templates, op7_word_bpe, op8_token_files, op9_exact_dedup, op10_bin_slack_packing)}
 
 ORACLE_SQL = {
     "op9_exact_dedup": r"""

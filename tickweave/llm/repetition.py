@@ -35,7 +35,7 @@ REPEAT_WORDS = 8
 MAX_COVERED = 0.5
 MAX_LONGEST = 100
 RESULT = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-          "covered_chars long, longest_repeat long, spans array<struct<start:long,end:long>>")
+          "covered_chars long, longest_repeat long, spans array<struct<start:long,end:long>>, base_failed boolean, kept boolean")
 
 
 def longest_repeats(word: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -134,21 +134,36 @@ def measures(texts: list[str], repeat_words: int = REPEAT_WORDS) -> dict[str, li
             "longest_repeat": longest, "spans": spans}
 
 
-def repetition(docs: DataFrame, repeat_words: int = REPEAT_WORDS, min_words: int = MIN_WORDS,
-               max_repeat_percent: int = MAX_REPEAT_PERCENT, max_covered: float = MAX_COVERED,
-               max_longest: int = MAX_LONGEST, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The measures of every document, ``base_failed`` and ``kept``.  One row per
-    row of ``docs``; a text without words (null, empty) fails the base rules."""
+def verdicts(m: dict, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT,
+             max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> tuple[np.ndarray, np.ndarray]:
+    """Which texts fail the base rules, and which pass these and the limits on repeats."""
+    failed = (m["n_words"] < min_words) | (100 * m["n_repeat_words"] > max_repeat_percent * m["n_words"])
+    return failed, ~failed & (m["covered_chars"] <= max_covered * m["word_chars"]) & (m["longest_repeat"] <= max_longest)
+
+
+def repetition(docs: DataFrame, repeat_words: int = REPEAT_WORDS, doc_id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
+    """The measures of every document, ``base_failed`` and ``kept`` (``limits``: see
+    ``verdicts``).  One row per row of ``docs``; a text without words (null,
+    empty) fails the base rules."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_col(text).alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch, texts in steps(batches):
             m = measures(texts, repeat_words)
+            failed, kept = verdicts(m, **limits)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")} | {
-                k: pa.array(v, span if k == "spans" else pa.int64()) for k, v in m.items()})
+                k: pa.array(v, span if k == "spans" else pa.int64()) for k, v in m.items()} | {"base_failed": pa.array(failed), "kept": pa.array(kept)})
+
+    return map_arrow(rows, measure, RESULT)
+
+
+def drop_repetitive(docs: DataFrame, repeat_words: int = REPEAT_WORDS, **limits) -> DataFrame:
+    """The documents (text in column ``text``) that ``repetition`` keeps, with all
+    their columns; no shuffle."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in steps(batches):
+            yield batch.filter(pa.array(verdicts(measures(texts, repeat_words), **limits)[1]))
 
-    out = map_arrow(rows, measure, RESULT)
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    sound = (F.col("covered_chars") <= max_covered * F.col("word_chars")) & (F.col("longest_repeat") <= max_longest)
-    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & sound)
+    return map_arrow(docs, keep, docs.schema)
