@@ -1,11 +1,12 @@
 """License scans: which template texts occur in a document, how much of them, and where.
 
 Words are runs of letters and digits, lower-cased.  Of the hashes of all runs of
-``GRAM`` words a window of ``WINDOW`` keeps the smallest (winnowing), so any
-common passage of ``GRAM + WINDOW - 1`` words shares a fingerprint.  The
-fingerprints of the templates form an inverted index; a document's fingerprints
+``GRAM`` words of a template a window of ``WINDOW`` keeps the smallest
+(winnowing).  These fingerprints form an inverted index; the runs of a document
 that are in it give candidates (template and diagonal, the difference of the
-places).  Each candidate is aligned word by word inside a band around its
+places).  All runs of a document are looked up, so any passage of
+``GRAM + WINDOW - 1`` words of a template, or a whole shorter template, is a
+candidate.  Each candidate is aligned word by word inside a band around its
 diagonal, which gives the matched words, their share of the template (coverage)
 and their span in the document.
 
@@ -38,8 +39,12 @@ BLOCK_WORDS = 500_000
 MATCH, MISMATCH, GAP = 2, -2, -1
 RESULT = "doc_id long, template_id string, coverage double, matched_words long, template_words long, start long, end long"
 
-#: Short notices of public licenses.
+#: Short notices of public licenses, and the lines that name one.
 NOTICES = {
+    "MIT line": "Released under the MIT License.",
+    "Apache-2.0 line": "Licensed under the Apache License, Version 2.0.",
+    "GPL-3.0 line": "This work is licensed under the GNU General Public License, version 3.",
+    "CC-BY-NC-4.0 line": "Licensed under CC BY-NC 4.0.",
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to
 use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the
@@ -89,9 +94,8 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return hashes, starts, stops, np.searchsorted(edges, starts, "right") - 1, edges
 
 
-def winnow(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The fingerprints of texts: places of their first words, and values.  A text
-    shorter than a window keeps its smallest gram."""
+def grams(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All runs of GRAM words inside a text: places of their first words, and values."""
     n = len(hashes) - GRAM + 1
     if n < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -100,8 +104,16 @@ def winnow(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarra
         gram = gram * np.uint64(0x9E3779B97F4A7C15) + hashes[k: k + n]
         gram ^= gram >> np.uint64(29)
     whole = owner[:n] == owner[GRAM - 1:]
-    place = np.flatnonzero(whole)
-    gram, owner = gram[whole], owner[:n][whole]
+    return np.flatnonzero(whole), gram[whole]
+
+
+def winnow(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The fingerprints among the grams.  A text shorter than a window keeps its
+    smallest gram."""
+    place, gram = grams(hashes, owner)
+    if not len(place):
+        return place, gram
+    owner = owner[place]
     # A gram stays if it is the last smallest one of a window of its text.
     keep, m = np.zeros(len(gram), bool), len(gram)
     first = np.searchsorted(owner, owner)
@@ -168,7 +180,7 @@ class Index:
     def matches(self, texts: list[str], min_coverage: float = MIN_COVERAGE) -> Iterator[tuple[int, str, int, int, int, int]]:
         """Number of the text, template id, matched words, template words, start and end."""
         hashes, starts, stops, owner, edges = words(texts)
-        place, value = winnow(hashes, owner)
+        place, value = grams(hashes, owner)
         low = np.searchsorted(self.value, value)
         count = np.searchsorted(self.value, value, "right") - low
         place, low, count = place[count > 0], low[count > 0], count[count > 0]
