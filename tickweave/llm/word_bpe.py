@@ -5,142 +5,144 @@ Texts are exploded into pre-tokens with their positions block by block: a block
 document, the places of its words in that list.  The lists are cut by a hash of
 the word into ``buckets``, and a shuffle brings all blocks' words of a bucket
 together, where each distinct word is encoded once.  The ids go back to their
-block (the second shuffle) and are put in place of the positions.  So what is
-shuffled per word is proportional to the distinct words of a block, not to the
-words of the corpus, a frequent word is one entry per block, and no bucket or
-block depends on a hot key.  Decoding looks every id up in the token-byte table
+block, where they are put in place of the positions.  So what is shuffled per
+word is proportional to the distinct words of a block, not to the words of the
+corpus, a frequent word is one entry per block, and no bucket or block depends
+on a hot key.  The positions are shuffled once, by block; both the words and the
+last step read that shuffle.  Decoding looks every id up in the token-byte table
 of the vocabulary, whose size is fixed.
 """
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import map_arrow, steps, text_col, written
+from tickweave.llm.common import map_arrow, steps, text_col
 from tickweave.llm.pieces import number, rank_encoder, rank_table, spread
 
 #: Characters of a block: enough that its words repeat, and bounds what a task holds.
 BLOCK_CHARS = 4_000_000
-#: Rows are either a document of a block (words: places, ends: of documents) or the words of a bucket.
+#: A row is either the documents of a block (bucket -1: their ids, ends and the
+#: places of their words) or its words of a bucket (later: their ids and counts).
 EXPLODED = "block string, bucket int, doc_ids array<long>, ends binary, data binary"
 _SEPARATOR = b"\xff"  # no byte of UTF-8
 
 
-def _pack(array: np.ndarray) -> bytes:
-    """Numbers as bytes of equal rank together, deflated."""
-    return zlib.compress(np.ascontiguousarray(array, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+def _squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=6).compress(data)
 
 
-def _unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0]
+def _expand(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
 
 
-def _bucket(word: bytes, buckets: int) -> int:
-    return zlib.crc32(word) % buckets
+def _pack(array: np.ndarray) -> bytes:
+    """Numbers with their bytes of equal rank together, compressed."""
+    return _squeeze(np.ascontiguousarray(array, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
-def explode_words(docs: DataFrame, buckets: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def _unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(_expand(data), np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0]
+
+
+def _explode_block(doc_ids: list, texts: list[str], buckets: int) -> pa.RecordBatch:
+    words, index, ends = number(texts)
+    raw = [w.encode() for w in words]
+    which = np.array([zlib.crc32(w) % buckets for w in raw], np.int64)
+    # Words are numbered by bucket, then by their bytes: the order in which their ids come back.
+    order = sorted(range(len(raw)), key=lambda k: (which[k], raw[k]))
+    place = np.empty(len(raw), np.int64)
+    place[order] = np.arange(len(raw))
+    # The name depends on the content alone: a task that runs again gives the same block.
+    name = hashlib.sha256(repr(doc_ids).encode() + _SEPARATOR.join(t.encode() for t in texts)).hexdigest()
+    rows = [(name, -1, doc_ids, _pack(ends[1:]), _pack(place[index]))]
+    ordered = which[order]
+    edges = np.flatnonzero(np.diff(ordered, prepend=-1, append=buckets))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        rows.append((name, int(ordered[a]), None, None, _squeeze(_SEPARATOR.join(raw[k] for k in order[a:b]))))
+    return _batch(rows)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary())
+    columns = zip(*rows) if rows else [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["block", "bucket", "doc_ids", "ends", "data"])
+
+
+def explode_words(rows: DataFrame, buckets: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Per block one row with the documents and the places of their words, and
     per bucket one row with the block's words of that bucket (ascending)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_ids: list = []
-        held_texts: list[str] = []
-        size = 0
-
-        def block() -> Iterator[pa.RecordBatch]:
-            name = uuid.uuid4().hex
-            words, index, ends = number(held_texts)
-            raw = [w.encode() for w in words]
-            which = np.array([_bucket(w, buckets) for w in raw], np.int64)
-            # Number words by bucket, then by their bytes: the order in which their ids come back.
-            order = sorted(range(len(raw)), key=lambda k: (which[k], raw[k]))
-            place = np.empty(len(raw), np.int64)
-            place[order] = np.arange(len(raw))
-            rows = [{"block": name, "bucket": -1, "doc_ids": list(held_ids), "ends": _pack(ends[1:]), "data": _pack(place[index])}]
-            sorted_buckets = which[order]
-            edges = np.flatnonzero(np.diff(sorted_buckets, prepend=-1, append=buckets))
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                data = zlib.compress(_SEPARATOR.join(raw[k] for k in order[a:b]), 1)
-                rows.append({"block": name, "bucket": int(sorted_buckets[a]), "doc_ids": None, "ends": None, "data": data})
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([
-                ("block", pa.string()), ("bucket", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("ends", pa.binary()), ("data", pa.binary())]))
-
+        doc_ids, held, size = [], [], 0
         for batch, texts in steps(batches, block_chars):
             n = sum(map(len, texts))
-            if held_texts and size + n > block_chars:
-                yield from block()
-                held_ids, held_texts, size = [], [], 0
-            held_ids += batch.column("doc_id").to_pylist()
-            held_texts += texts
+            if held and size + n > block_chars:
+                yield _explode_block(doc_ids, held, buckets)
+                doc_ids, held, size = [], [], 0
+            doc_ids += batch.column("doc_id").to_pylist()
+            held += texts
             size += n
-        if held_texts:
-            yield from block()
+        if held:
+            yield _explode_block(doc_ids, held, buckets)
 
-    return map_arrow(docs, run, EXPLODED)
+    return map_arrow(rows, run, EXPLODED)
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str, buckets: int | None = None,
+def encode(docs: DataFrame, ranks: str, pattern: str, buckets: int | None = None, block_chars: int = BLOCK_CHARS,
            doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id`` and ``ids`` (little-endian unsigned 32-bit) of every row.
 
     ``ranks`` is a rank file, ``pattern`` its pre-token pattern (the one of
     ``pieces.cut``).  Special tokens are ordinary text.  Null or empty texts
-    have no ids.  ``buckets`` defaults to the session's shuffle partitions.
+    have no ids; repeated rows are repeated.  ``buckets`` defaults to the
+    session's shuffle partitions.
     """
     buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_col(text).alias("text"))
-    exploded = written(explode_words(rows, buckets), "words")
+    # Both readers take all rows of this shuffle (and choose theirs in Python), so that it is made once.
+    exploded = explode_words(rows, buckets, block_chars).repartition(buckets, "block")
+
+    def only_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(batch.column("bucket").to_numpy() >= 0))
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = rank_encoder(ranks, pattern)
-        kept: dict[bytes, tuple] = {}  # each word of the bucket is encoded once
-        now = None
+        encoder, kept, now = rank_encoder(ranks, pattern), {}, None
         for batch in batches:
             out = []
             for row in batch.to_pylist():
                 if row["bucket"] != now:
-                    now, kept = row["bucket"], {}
+                    now, kept = row["bucket"], {}  # each word of the bucket is encoded once
                 ids, counts = [], []
-                for w in zlib.decompress(row["data"]).split(_SEPARATOR):
+                for w in _expand(row["data"]).split(_SEPARATOR):
                     found = kept.get(w)
                     if found is None:
                         found = kept[w] = encoder.raw(w)
                     ids += found
                     counts.append(len(found))
-                out.append((_pack(np.array(counts)), _pack(np.array(ids))))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("bucket"), pa.nulls(len(out), pa.list_(pa.int64())),
-                 pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())],
-                names=["block", "bucket", "doc_ids", "ends", "data"])
-
-    def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, docs_row, counts, ids = None, None, [], []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["bucket"] == -1:
-                    if docs_row:
-                        yield from _documents(docs_row, counts, ids)
-                    now, docs_row, counts, ids = row["block"], row, [], []
-                elif row["block"] != now:
-                    raise ValueError(f"block {row['block']} has words but no documents")
-                else:
-                    counts.append(_unpack(row["ends"]))
-                    ids.append(_unpack(row["data"]))
-        if docs_row:
-            yield from _documents(docs_row, counts, ids)
-
-    words = exploded.where("bucket >= 0").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+                out.append((row["block"], now, None, _pack(np.array(counts)), _pack(np.array(ids))))
+            yield _batch(out)
+
+    def put_together(block: pa.Table, encoded: pa.Table) -> pa.Table:
+        words = sorted(encoded.to_pylist(), key=lambda r: r["bucket"])
+        counts, ids = [_unpack(r["ends"]) for r in words], [_unpack(r["data"]) for r in words]
+        done = [b for row in block.filter(pa.array(block.column("bucket").to_numpy() < 0)).to_pylist() for b in _documents(row, counts, ids)]
+        if not done:
+            raise ValueError("a block has words but no documents")
+        return pa.Table.from_batches(done)
+
+    words = map_arrow(exploded, only_words, EXPLODED).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     encoded = map_arrow(words, encode_words, EXPLODED)
-    blocks = exploded.where("bucket < 0").union(encoded).repartition("block").sortWithinPartitions("block", "bucket")
-    return map_arrow(blocks, put_together, "doc_id long, ids binary")
+    return exploded.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(put_together, "doc_id long, ids binary")
 
 
 def _documents(row: dict, counts: list[np.ndarray], ids: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
