@@ -44,6 +44,12 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _line_sets(lines: DataFrame, name: str) -> DataFrame:
+    """The line numbers of each document.  The narrow rows are dealt out by
+    document first: sets of a few lines each would be far larger to shuffle."""
+    return lines.select("doc_id", "mark", "line").repartition("doc_id", "mark").groupBy("doc_id", "mark").agg(F.collect_set("line").alias(name))
+
+
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH,
                     min_constant: float = MIN_CONSTANT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``mark`` (a hash of the text, which tells rows with equal ids
@@ -55,8 +61,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int =
     leaf = F.xxhash64(n_tokens, _masked(F.substring_index("plain", " ", depth)))
     places = written(plain.where((F.col("plain") != "") & (n_tokens >= min_tokens)).select("doc_id", "mark", "line", leaf.alias("leaf")), "leaves")
     full = places.select("leaf", "doc_id", "mark").distinct().groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
-    wanted = places.join(full.select("leaf"), "leaf", "left_semi").groupBy("doc_id", "mark").agg(
-        F.collect_set("line").alias("w_lines")).withColumnsRenamed({"doc_id": "w_id", "mark": "w_mark"})
+    wanted = _line_sets(places.join(full.select("leaf"), "leaf", "left_semi"), "w_lines").withColumnsRenamed({"doc_id": "w_id", "mark": "w_mark"})
     chosen = rows.join(wanted.hint("shuffle_hash"), same(F.col("doc_id"), F.col("w_id")) & (F.col("mark") == F.col("w_mark")))
     again = chosen.select("doc_id", "mark", "w_lines", F.posexplode(_lines(F.col("text"))).alias("line", "body")).where(
         F.array_contains("w_lines", F.col("line")))
@@ -89,8 +94,7 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens:
     input with the name of a count is replaced.  Repeated rows stay and are
     treated alike.
     """
-    dropped = recurring_lines(docs, min_docs, min_tokens, depth, min_constant, doc_id, text).groupBy("doc_id", "mark").agg(
-        F.collect_set("line").alias("d_lines")).withColumnsRenamed({"doc_id": "d_id", "mark": "d_mark"})
+    dropped = _line_sets(recurring_lines(docs, min_docs, min_tokens, depth, min_constant, doc_id, text), "d_lines").withColumnsRenamed({"doc_id": "d_id", "mark": "d_mark"})
     mark, gone = unused(docs, "mark"), F.col("d_lines")
     joined = docs.withColumn(mark, F.xxhash64(text_col(text))).join(
         dropped.hint("shuffle_hash"), same(F.col(doc_id), F.col("d_id")) & (F.col(mark) == F.col("d_mark")), "left")
