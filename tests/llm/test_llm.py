@@ -288,7 +288,14 @@ def test_plan_bins():
                 for rank in range(first, own[k + 1][1] if k + 1 < len(own) else n):
                     bins[sequence + (rank - first) % times] += length
         assert sum(bins.values()) == sum(lengths) and max(bins.values(), default=0) <= 60
-        assert len(bins) <= -(-sum(lengths) // 60) + 1
+        first_fit: list[int] = []
+        for length in sorted(lengths, reverse=True):
+            k = next((k for k, held in enumerate(first_fit) if held + length <= 60), None)
+            if k is None:
+                first_fit.append(length)
+            else:
+                first_fit[k] += length
+        assert len(bins) <= len(first_fit)
     assert packing.fullest({5: 1, 4: 2, 3: 1}, 11) in ({4: 2, 3: 1}, {5: 1, 3: 1})
 
 
