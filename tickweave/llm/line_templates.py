@@ -65,24 +65,27 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int =
     chosen = rows.join(wanted.hint("shuffle_hash"), same(F.col("doc_id"), F.col("w_id")) & (F.col("mark") == F.col("w_mark")))
     again = chosen.select("doc_id", "mark", "w_lines", F.posexplode(_lines(F.col("text"))).alias("line", "body")).where(
         F.array_contains("w_lines", F.col("line")))
-    lines = written(again.select("doc_id", "mark", "line", _masked(_plain(F.col("body"))).alias("masked")), "lines")
+    lines = written(again.select("doc_id", "mark", "line", _masked(_plain(F.col("body"))).alias("masked")).withColumn(
+        "id", F.unhex(F.md5(F.col("masked").cast("binary")))), "lines")
 
-    counted = lines.select("masked", "doc_id", "mark").distinct().groupBy("masked").agg(F.count("*").alias("n_docs"))
+    # Equal lines have an id of 16 bytes, so that their text is shuffled just once.
+    counted = lines.select("id", "doc_id", "mark").distinct().groupBy("id").agg(F.count("*").alias("n_docs"))
+    bodies = lines.groupBy("id").agg(F.first("masked").alias("masked"))
     tokens = F.split("masked", " ", -1)
-    tree = written(counted.select(
-        "masked", "n_docs", F.size(tokens).alias("n_tokens"), F.substring_index("masked", " ", depth).alias("lead")), "tree")
-    exploded = tree.select("masked", "n_docs", "n_tokens", "lead", F.posexplode(tokens).alias("place", "token"))
+    tree = written(counted.join(bodies, "id").select(
+        "id", "n_docs", tokens.alias("tokens"), F.size(tokens).alias("n_tokens"), F.substring_index("masked", " ", depth).alias("lead")), "tree")
+    exploded = tree.select("id", "n_docs", "n_tokens", "lead", F.posexplode("tokens").alias("place", "token"))
     at = ["n_tokens", "lead", "place", "token"]
     constant = exploded.where(F.col("token") != WILD).groupBy(*at).agg(F.sum("n_docs").alias("n")).where(F.col("n") >= min_docs).select(
-        *at, F.lit(True).alias("constant"))
-    fields = exploded.join(constant, at, "left").groupBy("masked").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
-            "place", F.when(F.col("constant"), F.col("token")).otherwise(WILD).alias("token")))), lambda t: t["token"]), " ").alias("template"),
-        F.count("constant").alias("n_constant"))
-    templates = tree.join(fields, "masked").where(F.col("n_constant") >= min_constant * F.col("n_tokens"))
+        *at)
+    # Only the constant places of a line come together; all others vary.
+    fields = exploded.select("id", *at).join(constant, at, "left_semi").repartition("id").groupBy("id").agg(F.collect_list("place").alias("places"))
+    enough = tree.join(fields, "id").where(F.size("places") >= min_constant * F.col("n_tokens"))
+    field = F.transform("tokens", lambda t, i: F.when(F.array_contains("places", i), t).otherwise(WILD))
+    templates = enough.select("id", "n_docs", F.array_join(field, " ").alias("template"))
     shared = templates.groupBy("template").agg(F.sum("n_docs").alias("n")).where(F.col("n") >= min_docs).select("template")
-    drop = templates.join(shared, "template", "left_semi").select("masked", "template")
-    return lines.join(drop, "masked").select("doc_id", "mark", "line", "template")
+    drop = templates.join(shared, "template", "left_semi").select("id", "template")
+    return lines.select("doc_id", "mark", "line", "id").join(drop, "id").select("doc_id", "mark", "line", "template")
 
 
 def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH,
