@@ -260,3 +260,24 @@ def test_seeded_smoothing_continues_the_fold(spark, mode):
     assert got.keys() == whole.keys() and len(got) > 10
     for k, v in whole.items():
         assert got[k] == pytest.approx(v, rel=1e-9)
+
+
+def test_int_mean_is_exact_for_large_sums(spark):
+    df = spark.createDataFrame([(2474702362506447612, 579249), (-7, 2), (5, 0)], "t long, n long")
+    got = [r[0] for r in df.select(int_mean("t", "n")).collect()]
+    assert got == [2474702362506447612 // 579249, -3, None]
+
+
+def test_profit_divides_by_the_values_that_are_there(spark):
+    df = spark.createDataFrame([("A", 10.0, 4.0), ("A", None, 6.0)], "symbol string, close double, open double")
+    row = cumulative_profit(df).first()
+    assert (row["avg_close"], row["avg_open"], row["cumulative_profit"], row["n_quotes"]) == (10.0, 5.0, 5.0, 2)
+
+
+def test_interval_text_must_match_in_full():
+    from tickweave.operators.windows import interval_micros
+
+    assert interval_micros("1 hour 30 minutes") == 5_400_000_000
+    for text in ("1.5 hours", "10", "ten minutes", ""):
+        with pytest.raises(ValueError):
+            interval_micros(text)

@@ -63,18 +63,19 @@ class FeedJob(StreamingRsi):
     def _profit(self, spark: SparkSession, quotes: DataFrame, batch_id: int) -> None:
         """Running per-symbol sums (each quote once) and the profit ranking."""
         add = quotes.groupBy("symbol").agg(F.sum("close").alias("sum_close"), F.sum("open").alias("sum_open"),
+                                            F.count("close").alias("n_close"), F.count("open").alias("n_open"),
                                             F.count(F.lit(1)).alias("n_quotes"))
         prev = self._read(spark, "profit", batch_id - 1)
         if prev is not None:
             add = prev.unionByName(add).groupBy("symbol").agg(
                 F.sum("sum_close").alias("sum_close"), F.sum("sum_open").alias("sum_open"),
-                F.sum("n_quotes").alias("n_quotes"))
+                *(F.sum(c).alias(c) for c in ("n_close", "n_open", "n_quotes")))
         write_parquet(add.select("symbol", F.col("sum_close").cast("decimal(38,2)").alias("sum_close"),
-                                 F.col("sum_open").cast("decimal(38,2)").alias("sum_open"), "n_quotes"),
+                                 F.col("sum_open").cast("decimal(38,2)").alias("sum_open"), "n_close", "n_open", "n_quotes"),
                       self._path("profit", batch_id))
         profit = self._read(spark, "profit", batch_id).select(
             "symbol", "n_quotes",
-            (mean_of("sum_close", "n_quotes") - mean_of("sum_open", "n_quotes")).alias("cumulative_profit"))
+            (mean_of("sum_close", "n_close") - mean_of("sum_open", "n_open")).alias("cumulative_profit"))
         write_parquet(sorted_desc(profit, "cumulative_profit"), batch_path(f"{self.root}/profit", batch_id))
         write_parquet(top_k(profit, "cumulative_profit", 1, per=()), batch_path(f"{self.root}/top_profit", batch_id))
 

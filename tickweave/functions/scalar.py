@@ -24,12 +24,11 @@ def mean_of(total: str | Column, count: str | Column) -> Column:
 def int_mean(total: str | Column, count: str | Column) -> Column:
     """Truncating integer mean, like Java ``int / int`` (``7 / -2 = -3``); NULL for count 0.
 
-    ``t - t % n`` is an exact multiple of ``n`` (Spark's ``%`` keeps the sign of
-    the dividend), so the division below is exact.
+    An integral division (``div``), exact for all of bigint.
     """
     t = col_(total).cast("bigint")
     n = col_(count).cast("bigint")
-    return F.when(n != 0, ((t - t % n) / n).cast("bigint"))
+    return F.when(n != 0, F.call_function("div", t, n))
 
 
 def positive_part(x: str | Column) -> Column:

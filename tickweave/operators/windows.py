@@ -63,6 +63,8 @@ _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 def interval_micros(text: str) -> int:
     """``'10 minutes'`` -> microseconds (units: second .. week)."""
+    if not re.fullmatch(r"(\s*\d+\s*[a-z]+)+\s*", text.lower()):
+        raise ValueError(f"cannot read interval {text!r}")
     total = 0
     for n, unit in re.findall(r"(\d+)\s*([a-z]+?)s?\b", text.lower()):
         if unit not in _UNITS:

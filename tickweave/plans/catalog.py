@@ -9,11 +9,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.functions.scalar import render_quote
+from tickweave.functions.scalar import int_mean, render_quote
 from tickweave.operators.aggregates import window_counts, window_metrics
 from tickweave.operators.changes import window_changes
 from tickweave.operators.indicators import carry_forward, rsi_smoothed, rsi_window, window_report
-from tickweave.operators.profit import cumulative_profit, profit_parity, running_profit
+from tickweave.operators.profit import cumulative_profit, profit_parity, running_profit, running_profit_carried
 from tickweave.operators.ranking import top_k
 from tickweave.sources.decode import decode_quotes
 from tickweave.sources.lines import render_quote_lines
@@ -170,8 +170,27 @@ def q_profit_parity(spark: SparkSession, d: str) -> DataFrame:
     return profit_parity(load_quotes(spark, d), FEED_WINDOW, FEED_SLIDE)
 
 
+def q_profit_running_carried(spark: SparkSession, d: str) -> DataFrame:
+    return running_profit_carried(load_quotes(spark, d), FEED_SLIDE)
+
+
+def q_profit_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """Cumulative profit where every third close and every fifth open is missing."""
+    q = load_quotes(spark, d)
+    return cumulative_profit(q.withColumn("close", F.when(F.col("seq") % 3 != 0, F.col("close")))
+                             .withColumn("open", F.when(F.col("seq") % 5 != 0, F.col("open"))))
+
+
+def q_int_avg_volume_large(spark: SparkSession, d: str) -> DataFrame:
+    """Integer mean volume per symbol with sums beyond 2^53."""
+    q = load_quotes(spark, d).groupBy("symbol").agg(
+        F.sum(F.col("volume") * F.lit(10_000_000_000_000) + F.col("seq")).alias("total"), F.count("volume").alias("n"))
+    return q.select("symbol", int_mean("total", "n").alias("int_avg_volume"))
+
+
 def q_top_profit(spark: SparkSession, d: str) -> DataFrame:
-    p = running_profit(load_quotes(spark, d), FEED_SLIDE)
+    """The best of all known symbols at the end of every slide."""
+    p = running_profit_carried(load_quotes(spark, d), FEED_SLIDE)
     return top_k(p, "cumulative_profit", 1, per=("window_end",)).select(
         "window_end", "rank", "symbol", "cumulative_profit")
 

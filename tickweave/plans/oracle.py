@@ -141,6 +141,21 @@ r AS (
 """
 
 
+def _profit_carried() -> str:
+    """Every known symbol at every slide end, from its first slide on."""
+    return _profit_running().rstrip() + """,
+ends AS (
+  SELECT symbol, unnest(generate_series(first_end, (SELECT max(window_end) FROM r), INTERVAL '5 minutes')) AS window_end
+  FROM (SELECT symbol, min(window_end) AS first_end FROM r GROUP BY symbol)),
+c AS (
+  SELECT e.symbol, e.window_end,
+         last_value(r.n_quotes IGNORE NULLS) OVER k AS n_quotes,
+         last_value(r.cumulative_profit IGNORE NULLS) OVER k AS cumulative_profit
+  FROM ends e LEFT JOIN r ON r.symbol = e.symbol AND r.window_end = e.window_end
+  WINDOW k AS (PARTITION BY e.symbol ORDER BY e.window_end ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+"""
+
+
 def _json_lines(volume: str = "CAST(volume AS VARCHAR)") -> str:
     obj = ("'{\"symbol\":\"' || symbol || '\",\"timestamp\":\"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || "
            "'\",\"priceData\":{\"open\":\"' || CAST(open AS VARCHAR) || '\",\"high\":\"' || "
@@ -254,6 +269,14 @@ SELECT symbol, count(*) AS n_quotes, CAST(sum(close) AS DOUBLE) / count(*) AS av
        CAST(sum(open) AS DOUBLE) / count(*) AS avg_open,
        CAST(sum(close) AS DOUBLE) / count(*) - CAST(sum(open) AS DOUBLE) / count(*) AS cumulative_profit
 FROM quotes GROUP BY symbol""",
+    "q_profit_nulls": f"""WITH {_quotes()}
+SELECT symbol, count(*) AS n_quotes, CAST(sum(c) AS DOUBLE) / count(c) AS avg_close, CAST(sum(o) AS DOUBLE) / count(o) AS avg_open,
+       CAST(sum(c) AS DOUBLE) / count(c) - CAST(sum(o) AS DOUBLE) / count(o) AS cumulative_profit
+FROM (SELECT symbol, CASE WHEN seq % 3 <> 0 THEN close END AS c, CASE WHEN seq % 5 <> 0 THEN open END AS o FROM quotes)
+GROUP BY symbol""",
+    "q_int_avg_volume_large": f"""WITH {_quotes()}
+SELECT symbol, CAST(sum(volume * 10000000000000 + seq) // count(volume) AS BIGINT) AS int_avg_volume FROM quotes GROUP BY symbol""",
+    "q_profit_running_carried": _profit_carried() + "SELECT * FROM c",
     "q_profit_running": _profit_running() + "SELECT * FROM r",
     "q_profit_parity": f"""WITH {_quotes()}, {_win('5 minutes', 2)},
 p AS (
@@ -267,10 +290,10 @@ r AS (
 SELECT symbol, window_start, window_end, n_counted,
        CASE WHEN n_counted <> 0 THEN tc / n_counted - tco / n_counted END AS cumulative_profit
 FROM r""",
-    "q_top_profit": _profit_running() + """SELECT window_end, rank, symbol, cumulative_profit FROM (
+    "q_top_profit": _profit_carried() + """SELECT window_end, rank, symbol, cumulative_profit FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY window_end
                                     ORDER BY cumulative_profit DESC NULLS LAST, symbol) AS BIGINT) AS rank
-  FROM r) t WHERE rank = 1""",
+  FROM c) t WHERE rank = 1""",
     "q_render": f"""WITH {_quotes()}
 SELECT symbol, ts, seq,
        symbol || ' - ' || strftime(ts, '%Y-%m-%d %H:%M:%S') || ' (' ||
