@@ -59,17 +59,60 @@ def test_missing_price_data_and_bad_timestamp(spark):
     q, bad = decode(spark, [f"[{no_price},{quote(ts='bad')},{quote(ts='2024-01-02 13:05:00')}]"])
     assert [(r["pos"], r["reason"]) for r in sorted(bad, key=lambda r: r["pos"])] == [
         (0, "missing_price_data"), (1, "bad_timestamp")]
-    # 24-hour clock: 13:05 is afternoon, not rejected
-    assert [str(r["ts"]) for r in q] == ["2024-01-02 13:05:00"]
+    # The quote without a usable time counts where no time is needed; 13:05 is afternoon (24-hour clock).
+    assert [str(r["ts"]) for r in q] == ["None", "2024-01-02 13:05:00"]
 
 
 def test_missing_symbol_and_bad_price(spark):
     no_sym = '{"timestamp":"2024-01-02 09:31:00","priceData":{"open":1,"close":2}}'
     q, bad = decode(spark, [f'[{no_sym},{quote(close=chr(34) + "x" + chr(34))}]'])
-    assert q == []
+    assert [(r["close"], r["open"], r["volume"]) for r in q] == [(None, Decimal("10.0"), 1200)]
     assert sorted((r["pos"], r["reason"]) for r in bad) == [(0, "missing_symbol"), (1, "bad_price")]
 
 
+def test_prices_and_volumes_are_exact(spark):
+    line = (f"[{quote(close='120.3456', open='0.0049')},{quote(close='10000000001.5', volume='9007199254740993')},"
+            f"{quote(close='0.123456789')},{quote(close='0.1234567800000000000000001')},{quote(close='1e-30')},{quote(volume='9223372036854775808')}]")
+    q, bad = decode(spark, [line])
+    assert [(r["close"], r["open"]) for r in q[:2]] == [(Decimal("120.3456"), Decimal("0.0049")), (Decimal("10000000001.5"), Decimal("10.0"))]
+    assert q[1]["volume"] == 9007199254740993
+    assert [r["close"] for r in q[2:5]] == [None] * 3 and q[5]["volume"] is None
+    assert [(r["pos"], r["reason"]) for r in bad] == [(2, "bad_price"), (3, "bad_price"), (4, "bad_price"), (5, "bad_volume")]
+
+
+def test_good_elements_survive_bad_ones(spark):
+    q, bad = decode(spark, [f'[{GOOD},1,null,"x",[2],{{}},{quote("BBB")}]'])
+    assert [(r["symbol"], r["seq"]) for r in q] == [("AAA", 0), ("BBB", 6)]
+    assert [(r["pos"], r["reason"]) for r in bad] == [
+        (1, "bad_element"), (2, "null_element"), (3, "bad_element"), (4, "bad_element"), (5, "missing_symbol")]
+
+
+def test_text_after_the_array_is_reported(spark):
+    lines = [f"[{GOOD}] more", f"[{GOOD}][{GOOD}]", f"[{GOOD}],[{GOOD}]", f"[{GOOD}]]", f'[{GOOD}],"end"']
+    q, bad = decode(spark, lines)
+    assert q == [] and sorted(r["line"] for r in bad) == sorted(lines) and {r["reason"] for r in bad} == {"trailing_text"}
+
+
+def test_every_faulty_field_is_reported(spark):
+    one = '{"symbol":"AAA","priceData":{"close":1.5,"open":"x","volume":"y"}}'
+    q, bad = decode(spark, [f"[{one}]"])
+    assert [(r["close"], r["open"], r["volume"], r["ts"]) for r in q] == [(Decimal("1.5"), None, None, None)]
+    assert sorted(r["reason"] for r in bad) == ["bad_price", "bad_volume", "missing_timestamp"]
+
+
+def test_times_with_single_digits_and_fractions(spark):
+    q, bad = decode(spark, [f"[{quote(ts='2024-01-02 9:31:00')},{quote(ts='2024-01-02 09:31:00.500')}]"])
+    assert not bad
+    assert [str(r["ts"]) for r in q] == ["2024-01-02 09:31:00", "2024-01-02 09:31:00.500000"]
+
+
+def test_one_scan_for_each_output(spark, scratch):
+    spark.createDataFrame([(f"[{GOOD}]",)], "value string").write.mode("overwrite").text(scratch)
+    d = decode_quotes(spark.read.text(scratch))
+    for df in d:
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 _field = st.one_of(st.just('"1.5"'), st.just("2"), st.just("10.5"), st.just('"x"'), st.just("null"),
                    st.just("{}"), st.just("[1]"))
 _ts = st.sampled_from(["2024-01-02 09:31:00", "2024-01-02 23:59:59", "bad", "", "2024-13-40 25:61:61"])
@@ -93,6 +136,7 @@ def test_no_line_is_silently_lost(spark, lines):
         if not text.strip() or text.strip().replace(" ", "") == "[]":
             continue
         assert i in quoted or text in quarantined, text
-    # every emitted quote has the columns time-based operators need
-    assert d.quotes.where(F.col("ts").isNull() | F.col("symbol").isNull() | F.col("close").isNull()
-                          | F.col("open").isNull()).count() == 0
+    # every emitted quote has a symbol and its line a report for each missing field
+    assert d.quotes.where(F.col("symbol").isNull()).count() == 0
+    odd = d.quotes.where(F.col("ts").isNull() | F.col("open").isNull() | F.col("close").isNull() | F.col("volume").isNull())
+    assert {lines[r[0]] for r in odd.select("line_id").collect()} <= quarantined

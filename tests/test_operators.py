@@ -281,3 +281,17 @@ def test_interval_text_must_match_in_full():
     for text in ("1.5 hours", "10", "ten minutes", ""):
         with pytest.raises(ValueError):
             interval_micros(text)
+
+
+def test_scan_does_not_overflow_before_its_values(spark):
+    df = spark.createDataFrame([("k", 0, 1e200, 0.001), ("k", 1, 1e200, 1.0), ("k", 2, 1e100, 1.0)], "key string, i int, a double, b double")
+    got = [r["x"] for r in affine_scan(df, "key", ["i"], "a", ["b"], ["x"]).orderBy("i").collect()]
+    assert got[0] == 0.001 and abs(got[1] / 1e197 - 1) < 1e-9 and abs(got[2] / 1e297 - 1) < 1e-9
+
+
+def test_changes_run_from_value_to_value(spark):
+    rows = [("A", f"2024-01-02 09:{m:02d}:00", m, c) for m, c in ((0, 10.0), (1, None), (2, 13.0), (7, None), (8, 12.0))]
+    bars = spark.createDataFrame(rows, "symbol string, ts string, seq long, close double").select(
+        "symbol", F.to_timestamp("ts").alias("ts"), "seq", F.col("close").cast("decimal(12,2)").alias("close"))
+    got = rsi_window(bars, "1 day", None).collect()
+    assert [(r["n_bars"], r["gain"], r["loss"], r["rsi"]) for r in got] == [(5, 3.0, 1.0, 75.0)]

@@ -2,10 +2,10 @@
 
 ``python -m tickweave.app <input_dir> <output_dir> [window] [slide] [delay]``
 
-Every micro-batch (one per minute by default) decodes its new lines once and
+Every micro-batch (one per minute by default) decodes its new lines and
 writes, under ``output_dir``:
 
-* ``quarantine``  lines and quotes that could not be used, with the reason;
+* ``quarantine``  lines, elements and fields that could not be used, with the reason;
 * ``windows``     per closed window and symbol, from one aggregation: quote
                   count, moving average of close, average gain, total and
                   integer-mean volume, RSI and RSI without the first change;
@@ -70,8 +70,8 @@ class FeedJob(StreamingRsi):
             add = prev.unionByName(add).groupBy("symbol").agg(
                 F.sum("sum_close").alias("sum_close"), F.sum("sum_open").alias("sum_open"),
                 *(F.sum(c).alias(c) for c in ("n_close", "n_open", "n_quotes")))
-        write_parquet(add.select("symbol", F.col("sum_close").cast("decimal(38,2)").alias("sum_close"),
-                                 F.col("sum_open").cast("decimal(38,2)").alias("sum_open"), "n_close", "n_open", "n_quotes"),
+        write_parquet(add.select("symbol", F.col("sum_close").cast("decimal(38,8)").alias("sum_close"),
+                                 F.col("sum_open").cast("decimal(38,8)").alias("sum_open"), "n_close", "n_open", "n_quotes"),
                       self._path("profit", batch_id))
         profit = self._read(spark, "profit", batch_id).select(
             "symbol", "n_quotes",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tickweave.schema import PRICE_TYPE, TIMESTAMP_PATTERN
+from tickweave.schema import FEED_PRICE_TYPE, PRICE_TYPE, TIMESTAMP_PATTERN, TIMESTAMP_READ
 
 
 def col_(c: str | Column) -> Column:
@@ -57,21 +57,30 @@ def rsi(gain: str | Column, loss: str | Column) -> Column:
     return F.when((g + l_ > 0) & ~F.isnan(value), value)
 
 
-def parse_quote_ts(text: str | Column, pattern: str = TIMESTAMP_PATTERN) -> Column:
+def parse_quote_ts(text: str | Column, pattern: str = TIMESTAMP_READ) -> Column:
     """Quote timestamp text to TIMESTAMP; NULL (not an error) when unparseable."""
     return F.try_to_timestamp(col_(text), F.lit(pattern))
 
 
-def to_price(text: str | Column) -> Column:
-    """Price text (or number) to decimal(12,2); NULL when not a number."""
-    return col_(text).try_cast(PRICE_TYPE)
+def exact_decimal(text: str | Column, dtype: str) -> Column:
+    """Text (or number) to a decimal type (at most 20 digits before the point
+    and 18 after it); NULL when it is not a number or would need rounding."""
+    t = col_(text).cast("string")
+    value, wide = t.try_cast(dtype), t.try_cast("decimal(38,18)")
+    # Digits that the wide type itself rounds away.
+    lost = t.rlike(r"\.[0-9]{18}[0-9]*[1-9]") | ((wide == 0) & (t.try_cast("double") != 0))
+    return F.when((value == wide) & ~lost, value)
+
+
+def to_price(text: str | Column, dtype: str = FEED_PRICE_TYPE) -> Column:
+    """Price text (or number) to an exact decimal; NULL when it does not fit."""
+    return exact_decimal(text, dtype)
 
 
 def to_volume(text: str | Column) -> Column:
-    """Volume text to bigint.  ``"10"`` and ``"10.0"`` give 10; ``"10.5"`` and
-    junk give NULL (a fractional volume is not silently truncated)."""
-    d = col_(text).try_cast("double")
-    return F.when(d == F.floor(d), d.try_cast("bigint"))
+    """Volume text to bigint, exact for all of it.  ``"10"`` and ``"10.0"`` give 10;
+    ``"10.5"`` and junk give NULL (a fractional volume is not silently truncated)."""
+    return exact_decimal(text, "decimal(19,0)").try_cast("bigint")
 
 
 def render_quote(symbol="symbol", ts="ts", open_="open", high="high", low="low",

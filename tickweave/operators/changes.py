@@ -42,7 +42,8 @@ def bar_changes(bars: DataFrame, key: str = "symbol", time: str = "ts",
     """One row per bar: ``key``, ``cur_ts``, ``prev_ts`` and ``prev2_ts`` (times
     of the two bars before it), ``value`` and ``change`` (NULL for a key's
     first bar), plus the ``carry`` columns of the bar.  Bars without a time
-    are ignored.
+    are ignored.  A bar without a value has no change and is nobody's previous
+    bar: changes run from value to value.
 
     ``bucket`` only decides how the sequential work is split; the result does
     not depend on it.
@@ -51,9 +52,9 @@ def bar_changes(bars: DataFrame, key: str = "symbol", time: str = "ts",
     base = (bars.where(F.col(time).isNotNull())
             .select(F.col(key), F.col(time).alias("cur_ts"), *[F.col(o) for o in order],
                     F.col(value).alias("value"), *[F.col(c) for c in carry],
-                    F.window(time, bucket).start.alias(_B)))
+                    F.col(value).isNull().alias("_gap"), F.window(time, bucket).start.alias(_B)))
     sort = [F.col("cur_ts"), *[F.col(o) for o in order]]
-    in_bucket = Window.partitionBy(key, _B).orderBy(*sort)
+    in_bucket = Window.partitionBy(key, _B, "_gap").orderBy(*sort)
     lagged = base.select(
         "*",
         F.lag("cur_ts", 1).over(in_bucket).alias("prev_ts"),
@@ -66,7 +67,7 @@ def bar_changes(bars: DataFrame, key: str = "symbol", time: str = "ts",
     inner = lagged.where(F.col("_rn") >= 3).select(*cols)
     # Bucket edges: the first two bars of each bucket take their predecessors
     # from the last two bars of the key's earlier buckets.
-    by_key = Window.partitionBy(key).orderBy(*sort)
+    by_key = Window.partitionBy(key, "_gap").orderBy(*sort)
     edges = (lagged.where((F.col("_rn") <= 2) | F.col("_tail"))
              .select(key, "cur_ts", *order, "value", *carry, "_rn",
                      F.lag("cur_ts", 1).over(by_key).alias("prev_ts"),

@@ -30,6 +30,14 @@ def top_k(df: DataFrame, by: str, k: int = 1, per: Sequence[str] = ("window_star
             .withColumn(rank_name, F.col(rank_name).cast("bigint")))
 
 
+def ranked(df: DataFrame, by: str, per: Sequence[str] = ("window_start", "window_end"),
+           tie: Sequence[str] = ("symbol",), rank_name: str = "rank") -> DataFrame:
+    """Every row with its place in the descending ``by`` order of its ``per`` group
+    (ties as in ``top_k``, NULL last): the whole listing of each window."""
+    w = Window.partitionBy(*per).orderBy(F.col(by).desc_nulls_last(), *[F.col(t).asc() for t in tie])
+    return df.withColumn(rank_name, F.row_number().over(w).cast("bigint"))
+
+
 def sorted_desc(df: DataFrame, by: str, tie: Sequence[str] = ("symbol",)) -> DataFrame:
     """The whole result in descending ``by`` order (a total, range-partitioned sort)."""
     return df.orderBy(F.col(by).desc_nulls_last(), *[F.col(t).asc() for t in tie])

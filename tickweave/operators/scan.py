@@ -108,4 +108,6 @@ def affine_scan(df: DataFrame, key: str, order: Sequence[str], a: str, bs: Seque
         start = [F.lit(0.0) for _ in bcols]
     return elems.select(
         key, *[F.col(f"_e.row.{f.name}").alias(f.name) for f in carry],
-        *[(F.col("_e._a") * x0 + F.col(f"_e.{c}")).alias(o) for c, x0, o in zip(bcols, start, out)])
+        # From zero the product does not count, and may have overflowed before the value.
+        *[(F.when(x0 == 0, F.col(f"_e.{c}")).otherwise(F.col("_e._a") * x0 + F.col(f"_e.{c}"))).alias(o)
+          for c, x0, o in zip(bcols, start, out)])

@@ -4,6 +4,7 @@ column names match the SQL in ``tickweave.plans.oracle``."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +15,12 @@ from tickweave.operators.aggregates import window_counts, window_metrics
 from tickweave.operators.changes import window_changes
 from tickweave.operators.indicators import carry_forward, rsi_smoothed, rsi_window, window_report
 from tickweave.operators.profit import cumulative_profit, profit_parity, running_profit, running_profit_carried
-from tickweave.operators.ranking import top_k
+from tickweave.operators.ranking import ranked, top_k
+from tickweave.sinks.files import read_window_text, write_window_text
 from tickweave.sources.decode import decode_quotes
 from tickweave.sources.lines import render_quote_lines
-from tickweave.session import cut_lineage
-from tickweave.sources.tables import load_quotes, read_table, with_high_low
+from tickweave.session import checkpoint_root, cut_lineage
+from tickweave.sources.tables import bars_from_lineitem, load_quotes, read_table, with_high_low
 
 # Window settings of the queries.  The feed's own setting is 10 minutes moved
 # every 5; indicator queries use 1 day moved every 12 hours because the
@@ -249,6 +251,106 @@ def broken_feed(spark: SparkSession, d: str) -> DataFrame:
     return good_and_cut.unionByName(objects)
 
 
+def _quote_text(symbol: str, ts: str | None, **prices: str) -> str:
+    """SQL for the JSON text of a quote; the arguments are SQL texts (NULL: ``null``)."""
+    body = ", ',', ".join(f"""'"{k}":', coalesce({v}, 'null')""" for k, v in prices.items())
+    time = f"""'"timestamp":"', {ts}, '",',""" if ts else ""
+    return f"""concat('{{"symbol":"', {symbol}, '",', {time} '"priceData":{{', {body}, '}}}}')"""
+
+
+def q_json_precise_prices(spark: SparkSession, d: str) -> DataFrame:
+    """Prices of 6 decimals (unquoted) through the text feed, shown as exact text."""
+    bars = bars_from_lineitem(spark, d)
+    text = _quote_text("symbol", "date_format(ts, 'yyyy-MM-dd HH:mm:ss')", open="cast(open AS string)", close="cast(close AS string)",
+                       volume="cast(volume * 1000000000000000 + seq AS string)")
+    lines = bars.select("seq", F.concat(F.lit("["), F.expr(text), F.lit("]")).alias("value")).withColumnRenamed("seq", "bar")
+    return decode_quotes(lines, keep=("bar",)).quotes.select(
+        "bar", "symbol", F.col("open").cast("string").alias("open"), F.col("close").cast("string").alias("close"), "volume")
+
+
+def partial_lines(spark: SparkSession, d: str) -> DataFrame:
+    """One quote per line with, by the event id, a missing close, a bad open, a
+    bad or missing time, no volume, no price data, no symbol, or no fault."""
+    def t(c: str) -> str:
+        return f"cast({c} AS string)"
+
+    time = "date_format(ts, 'yyyy-MM-dd HH:mm:ss')"
+    good = {"open": t("open"), "close": t("close"), "volume": t("volume")}
+    forms = [_quote_text("symbol", time, **{**good, "close": "cast(NULL AS string)"}),
+             _quote_text("symbol", time, **{**good, "open": """'"x"'"""}), _quote_text("symbol", "'noon'", **good),
+             _quote_text("symbol", None, **good), _quote_text("symbol", time, open=good["open"], close=good["close"]),
+             """concat('{"symbol":"', symbol, '"}')""", """concat('{"priceData":{"close":', cast(close AS string), '}}')""",
+             _quote_text("symbol", time, **good)]
+    cases = " ".join(f"WHEN {k} THEN {form}" for k, form in enumerate(forms))
+    return load_quotes(spark, d).select(F.col("seq").alias("event_id"), F.expr(f"concat('[', CASE seq % 8 {cases} END, ']')").alias("value"))
+
+
+def q_json_partial_quotes(spark: SparkSession, d: str) -> DataFrame:
+    """Quotes with a faulty field are used without that field."""
+    q = decode_quotes(partial_lines(spark, d), keep=("event_id",)).quotes
+    return q.select("event_id", "symbol", F.col("ts").cast("timestamp_ntz").alias("ts"), *_double("open", "close", "volume"))
+
+
+def q_json_partial_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """How many faults of each kind the same lines have."""
+    return decode_quotes(partial_lines(spark, d)).quarantine.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def q_json_mixed_array(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of a quote, a number, a null, a text and the quote again: both quotes are used."""
+    text = _quote_text("symbol", "date_format(ts, 'yyyy-MM-dd HH:mm:ss')", open="cast(open AS string)",
+                       close="cast(close AS string)", volume="cast(volume AS string)")
+    lines = load_quotes(spark, d).select(F.col("seq").alias("event_id"), F.expr(text).alias("q")).select(
+        "event_id", F.concat(F.lit("["), "q", F.lit(',1,null,"x",'), "q", F.lit("]")).alias("value"))
+    return decode_quotes(lines, keep=("event_id",)).quotes.select("event_id", F.col("seq").alias("pos"), "symbol", *_double("close"))
+
+
+def q_json_trailing_text(spark: SparkSession, d: str) -> DataFrame:
+    """Lines with text, a bracket or a second array after their array are reported."""
+    lines = quote_lines(spark, d).select(F.explode(F.array(
+        F.col("value"), F.concat("value", F.lit(" and more")), F.concat("value", F.lit("]")), F.concat("value", "value"),
+        F.concat("value", F.lit(","), "value"))).alias("value"))
+    return decode_quotes(lines).quarantine.select("line", "reason")
+
+
+def q_sorted_gain(spark: SparkSession, d: str) -> DataFrame:
+    """All users of each window in descending order of their average gain."""
+    m = window_metrics(load_quotes(spark, d, key="user_id"), DAY_WINDOW, DAY_SLIDE)
+    return ranked(m, "avg_gain").select("window_start", "window_end", "rank", "symbol", "avg_gain")
+
+
+TEXT_OUTPUTS = ("sma_close", "avg_gain", "total_volume", "rsi")
+
+
+def q_sink_text(spark: SparkSession, d: str) -> DataFrame:
+    """The four text outputs per window, written and read back."""
+    folder = f"{checkpoint_root(spark).rstrip('/')}/tickweave-text/{uuid.uuid4().hex}"
+    write_window_text(window_report(load_quotes(spark, d), DAY_WINDOW, DAY_SLIDE), folder, TEXT_OUTPUTS)
+    return read_window_text(spark, folder).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+BAR_WINDOW, BAR_SLIDE = "14 days", "7 days"
+
+
+def q_lineitem_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Window metrics of ``lineitem`` bars with prices of 6 decimals."""
+    return window_metrics(bars_from_lineitem(spark, d), BAR_WINDOW, BAR_SLIDE)
+
+
+def q_lineitem_top10(spark: SparkSession, d: str) -> DataFrame:
+    """The ten suppliers with the largest average change in each window."""
+    m = window_metrics(bars_from_lineitem(spark, d, "l_suppkey"), BAR_WINDOW, BAR_SLIDE)
+    return top_k(m, "avg_gain", 10).select("window_start", "window_end", "rank", "symbol", "avg_gain")
+
+
+def q_lineitem_rsi(spark: SparkSession, d: str) -> DataFrame:
+    """RSI of ``lineitem`` bars, where every fifth close is missing.  Line keys
+    repeat in this table: the close orders bars of equal time and key."""
+    bars = bars_from_lineitem(spark, d).withColumn("close", F.when(F.col("seq") % 5 != 0, F.col("close")))
+    return rsi_window(bars, BAR_WINDOW, BAR_SLIDE, order=("seq", "close")).select(
+        "window_start", "window_end", "symbol", "n_bars", "gain", "loss", "rsi")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)
 }

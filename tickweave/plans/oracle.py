@@ -31,9 +31,20 @@ FEED = ("5 minutes", 2, "10 minutes")
 DAY = ("12 hours", 2, "1 day")
 
 
-def _metrics(key: str = "event_type", w=FEED) -> str:
+#: ``lineitem`` as bars of another shape, prices with 6 decimals.
+BARS = """quotes AS (
+  SELECT CAST({key} AS VARCHAR) AS symbol, l_shipdate AS ts, l_orderkey * 8 + l_linenumber AS seq,
+         CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DECIMAL(20,8)) AS open,
+         CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(1 - CAST(l_discount AS DECIMAL(3,2)) AS DECIMAL(3,2))
+              * CAST(1 + CAST(l_tax AS DECIMAL(3,2)) AS DECIMAL(3,2)) AS DECIMAL(20,8)) AS close,
+         CAST(l_quantity AS BIGINT) AS volume
+  FROM lineitem)"""
+BAR = ("7 days", 2, "14 days")
+
+
+def _metrics(key: str = "event_type", w=FEED, quotes: str = QUOTES) -> str:
     slide, ratio, length = w
-    return f"""WITH {_quotes(key)}, {_win(slide, ratio)},
+    return f"""WITH {quotes.format(key=key)}, {_win(slide, ratio)},
 m AS (
   SELECT window_start, window_start + INTERVAL '{length}' AS window_end, symbol,
          count(*) AS n_quotes,
@@ -45,8 +56,8 @@ m AS (
 """
 
 
-def _top(metric: str, k: int, key: str = "event_type", w=FEED) -> str:
-    return _metrics(key, w) + f"""SELECT window_start, window_end, rank, symbol, {metric} FROM (
+def _top(metric: str, k: int, key: str = "event_type", w=FEED, quotes: str = QUOTES) -> str:
+    return _metrics(key, w, quotes) + f"""SELECT window_start, window_end, rank, symbol, {metric} FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY window_start, window_end
                                     ORDER BY {metric} DESC NULLS LAST, symbol) AS BIGINT) AS rank
   FROM m) t WHERE rank <= {k}"""
@@ -318,6 +329,47 @@ FROM pos p JOIN (SELECT symbol AS s, b, line FROM lines) l ON l.s = p.symbol AND
 WHERE p.close <> floor(p.close)""",
     "q_stream_rsi_window": _stream_rsi(),
     "q_stream_rsi_smoothed": _stream_smoothed(),
+    "q_json_precise_prices": f"""WITH {BARS.format(key='l_returnflag')}
+SELECT seq AS bar, symbol, CAST(open AS VARCHAR) AS open, CAST(close AS VARCHAR) AS close,
+       volume * 1000000000000000 + seq AS volume FROM quotes""",
+    "q_json_partial_quotes": f"""WITH {_quotes()}
+SELECT seq AS event_id, symbol, CASE WHEN seq % 8 NOT IN (2, 3) THEN date_trunc('second', ts) END AS ts,
+       CASE WHEN seq % 8 <> 1 THEN CAST(open AS DOUBLE) END AS open, CASE WHEN seq % 8 <> 0 THEN CAST(close AS DOUBLE) END AS close,
+       CASE WHEN seq % 8 <> 4 THEN CAST(volume AS DOUBLE) END AS volume
+FROM quotes WHERE seq % 8 NOT IN (5, 6)""",
+    "q_json_partial_quarantine": """
+SELECT reason, count(*) AS n FROM (
+  SELECT CASE event_id % 8 WHEN 0 THEN 'missing_price' WHEN 1 THEN 'bad_price' WHEN 2 THEN 'bad_timestamp' WHEN 3 THEN 'missing_timestamp'
+         WHEN 4 THEN 'missing_volume' WHEN 5 THEN 'missing_price_data' WHEN 6 THEN 'missing_symbol' END AS reason
+  FROM events) t WHERE reason IS NOT NULL GROUP BY reason""",
+    "q_json_mixed_array": f"""WITH {_quotes()}
+SELECT seq AS event_id, CAST(p.pos AS BIGINT) AS pos, symbol, CAST(close AS DOUBLE) AS close FROM quotes, (VALUES (0), (4)) p(pos)""",
+    "q_json_trailing_text": f"""WITH {_json_lines()}
+SELECT unnest([line || ' and more', line || ']', line || line, line || ',' || line]) AS line, 'trailing_text' AS reason FROM lines""",
+    "q_sorted_gain": _metrics("user_id", DAY) + """SELECT window_start, window_end, symbol, avg_gain,
+  CAST(row_number() OVER (PARTITION BY window_start ORDER BY avg_gain DESC NULLS LAST, symbol) AS BIGINT) AS rank FROM m""",
+    "q_sink_text": _metrics(w=DAY).rstrip() + f""",
+{_changes_body('1 day')},
+o AS (
+  SELECT window_start, symbol, unnest(['sma_close', 'avg_gain', 'total_volume', 'rsi']) AS output,
+         unnest([sma_close, avg_gain, CAST(total_volume AS DOUBLE), CASE WHEN s.n_bars >= 2 THEN {_rsi('gain', 'loss')} END]) AS value
+  FROM m JOIN s USING (window_start, symbol))
+SELECT * FROM o WHERE value IS NOT NULL""",
+    "q_lineitem_metrics": _metrics("l_returnflag", BAR, BARS) + "SELECT * FROM m",
+    "q_lineitem_top10": _top("avg_gain", 10, "l_suppkey", BAR, BARS),
+    # Changes run from value to value: bars without a close are only counted.
+    "q_lineitem_rsi": f"""WITH {BARS.format(key='l_returnflag')}, {_win('7 days', 2)},
+n AS (SELECT window_start, symbol, count(*) AS n_bars FROM win GROUP BY ALL),
+c AS (
+  SELECT window_start, symbol, close - lag(close) OVER (PARTITION BY symbol, window_start ORDER BY ts, seq, close) AS change
+  FROM win WHERE seq % 5 <> 0),
+t AS (
+  SELECT window_start, symbol, CAST(sum(CASE WHEN change > 0 THEN change ELSE 0 END) AS DOUBLE) AS gain,
+         CAST(sum(CASE WHEN change < 0 THEN -change ELSE 0 END) AS DOUBLE) AS loss
+  FROM c GROUP BY ALL)
+SELECT window_start, window_start + INTERVAL '14 days' AS window_end, symbol, n_bars, coalesce(gain, 0) AS gain, coalesce(loss, 0) AS loss,
+       CASE WHEN n_bars >= 2 THEN {_rsi('gain', 'loss')} END AS rsi
+FROM n LEFT JOIN t USING (window_start, symbol)""",
     "q_json_quarantine": f"""WITH {_json_lines()}
 SELECT substring(line, 1, length(line) - 2) AS line, 'malformed' AS reason FROM lines
 UNION ALL

@@ -6,16 +6,15 @@ from __future__ import annotations
 #   one text line = a JSON array of quote objects
 #   object fields: symbol, timestamp, priceData{open, high, low, close, volume}
 #   timestamp text pattern: yyyy-MM-dd HH:mm:ss (24-hour clock)
-# Leaves are decoded as strings so quoted numbers ("1.5") are accepted and
-# converted with try_cast afterwards.
-QUOTE_JSON_SCHEMA = (
-    "array<struct<symbol:string,timestamp:string,"
-    "priceData:struct<open:string,high:string,low:string,close:string,volume:string>>>"
-)
+PRICE_FIELDS = ("open", "high", "low", "close", "volume")
 TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
+# Read more widely than written: single digits and parts of a second.
+TIMESTAMP_READ = "yyyy-M-d H:m:s[.SSSSSS]"
 
 # Typed quote columns produced by every source.
 PRICE_TYPE = "decimal(12,2)"
+# Prices of the text feed, whose digits are not known beforehand.
+FEED_PRICE_TYPE = "decimal(20,8)"
 QUOTE_COLUMNS = ("symbol", "ts", "seq", "open", "high", "low", "close", "volume")
 
 # Default parameters of the windowed queries (the feed's configuration):

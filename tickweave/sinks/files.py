@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,15 +24,38 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     w.parquet(path)
 
 
-def pair_lines(df: DataFrame, key: str, value: str) -> DataFrame:
-    """``(key,value)`` text lines, the feed's text output format."""
-    return df.select(F.format_string("(%s,%s)", F.col(key), F.col(value).cast("string")).alias("value"))
+def pair_lines(df: DataFrame, key: str, value: str, *keep: str) -> DataFrame:
+    """``(key,value)`` text lines, the feed's text output format, and the columns ``keep``."""
+    return df.select(*keep, F.format_string("(%s,%s)", F.col(key), F.col(value).cast("string")).alias("value"))
 
 
 def write_pair_text(df: DataFrame, path: str, key: str, value: str) -> None:
     pair_lines(df, key, value).write.mode("overwrite").text(path)
 
 
+#: Fixed form of a window's start in the folder names of the text outputs.
+WINDOW_FOLDER = "yyyyMMddHHmmss"
+
+
+def write_window_text(report: DataFrame, root: str, outputs: tuple[str, ...], key: str = "symbol") -> None:
+    """``(key,value)`` text lines of each output column and window, in
+    ``root/output=<name>/window=<start>``; all outputs from one pass over
+    ``report``.  A NULL value is not written."""
+    values = F.explode(F.array(*(F.struct(F.lit(o).alias("output"), F.col(o).cast("string").alias("text")) for o in outputs)))
+    rows = report.select(key, F.date_format("window_start", WINDOW_FOLDER).alias("window"), values.alias("v"))
+    lines = pair_lines(rows.where("v.text IS NOT NULL").select(key, "window", "v.*"), key, "text", "output", "window")
+    lines.repartition("output", "window").write.mode("overwrite").partitionBy("output", "window").text(root)
+
+
+def read_window_text(spark: SparkSession, root: str) -> DataFrame:
+    """The lines of ``write_window_text`` as ``output``, ``window_start``, ``symbol`` and ``value`` (double)."""
+    pair = r"^\((.*),([^,]*)\)$"
+    lines = spark.read.text(root)
+    return lines.select("output", F.to_timestamp(F.col("window").cast("string"), WINDOW_FOLDER).alias("window_start"),
+                        F.regexp_extract("value", pair, 1).alias("symbol"),
+                        F.regexp_extract("value", pair, 2).cast("double").alias("value"))
+
+
 def per_batch_parquet(root: str, partition_by: tuple[str, ...] = (),
                       transform: Callable[[DataFrame], DataFrame] | None = None):
     """``foreachBatch`` function writing each micro-batch (optionally transformed,

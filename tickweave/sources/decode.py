@@ -1,30 +1,37 @@
 """Decode JSON-array quote lines into typed quotes plus a quarantine table.
 
-Every line is parsed once with ``from_json`` (PERMISSIVE: a broken line gives
-NULL, never an error) and exploded with its array position.  A line that
-cannot be read at all goes to quarantine whole; a quote with a problem field
-is reported in quarantine with its position and reason.  Quotes without a
-symbol, time, open or close are not emitted; a quote whose volume (or
-high/low) text is not a number is emitted with that field NULL.
+A line is parsed once, as VARIANT, which keeps the digits of decimal numbers.
+One row per array element carries both the line's and the element's faults, so
+quotes and quarantine are two views of the same pass over the input.
+
+* A line that is no single JSON array goes to quarantine whole.
+* An element that is no quote (not an object, no symbol, no price data) is
+  reported with its position; the other elements of its line are used.
+* A quote with a faulty field is used with NULL in that field, and each such
+  field is reported: a metric loses only the quotes whose own field is bad.
+  Quotes without a time count in everything that needs none.
+
+Prices are exact decimals (``price_type``).  A number that does not fit
+exactly is reported as a bad price, never rounded.  Repeated names in one
+object make the line ``malformed``.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.functions.scalar import parse_quote_ts, to_price, to_volume
-from tickweave.schema import QUOTE_JSON_SCHEMA
+from tickweave.schema import FEED_PRICE_TYPE, PRICE_FIELDS
 
 # Fixed reason codes of the quarantine table.  Line-level: the line is not
-# used.  Quote-level: a quote with a reason in KEPT_REASONS is still emitted
-# (with that field NULL); the others are not.
-LINE_REASONS = ("not_array", "malformed")
-QUOTE_REASONS = ("null_element", "missing_symbol", "missing_price_data", "bad_timestamp",
-                 "bad_price", "bad_volume")
-KEPT_REASONS = ("bad_volume",)
+# used.  Element-level: the element is not used.  Field-level: the quote is
+# used, with NULL in the field; it may have several.
+LINE_REASONS = ("not_array", "malformed", "trailing_text")
+ELEMENT_REASONS = ("null_element", "bad_element", "missing_symbol", "missing_price_data")
+FIELD_REASONS = ("missing_timestamp", "bad_timestamp", "missing_price", "bad_price", "missing_volume", "bad_volume")
 
 
 class Decoded(NamedTuple):
@@ -33,58 +40,70 @@ class Decoded(NamedTuple):
 
 
 def parse_lines(lines: DataFrame, line_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``line``, the parsed array ``arr`` and a line-level ``reason`` (NULL if readable).
+    """``line``, the elements ``arr`` (array of variant) and a line-level
+    ``reason`` (NULL if readable, else ``arr`` is NULL).  Blank lines are dropped.
 
-    Blank lines are dropped.  A line must start with ``[``: ``from_json`` with
-    an array schema would otherwise read a single object as a one-element array.
+    The text is parsed as the first of two elements of an array, the second a
+    mark: whatever follows the line's own array breaks that form.
     """
     text = F.col(line_col)
-    head = F.ltrim(text)
-    arr = F.from_json(text, QUOTE_JSON_SCHEMA)
-    reason = (F.when(~head.startswith("["), F.lit("not_array"))
-              .when(arr.isNull(), F.lit("malformed")))
+    whole = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"end"]')))
+    closed = (F.try_variant_get("_whole", "$[1]", "string") == "end") & F.try_variant_get("_whole", "$[2]", "string").isNull()
+    arr = F.when(F.coalesce(closed, F.lit(False)), F.try_variant_get("_whole", "$[0]", "array<variant>"))
+    reason = (F.when(~F.ltrim("line").startswith("["), F.lit("not_array"))
+              .when(F.col("arr").isNotNull(), F.lit(None))
+              .when(F.try_parse_json("line").isNotNull(), F.lit("trailing_text"))
+              .otherwise(F.lit("malformed")))
     return (lines.where(F.trim(text) != "")
-            .select(text.alias("line"), *keep, arr.alias("arr"), reason.alias("reason")))
-
-
-def explode_quotes(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per array element of the readable lines: typed fields and a quote-level reason."""
-    el = parsed.where(F.col("reason").isNull()).select("line", *keep, F.posexplode("arr").alias("pos", "q"))
-    q, p = F.col("q"), F.col("q.priceData")
-    fields = el.select(
-        "line", *keep, F.col("pos").cast("bigint").alias("pos"), q.isNull().alias("_null"),
-        F.col("q.symbol").alias("symbol"),
-        parse_quote_ts(F.col("q.timestamp")).alias("ts"),
-        p.isNull().alias("_no_price"),
-        to_price(p["open"]).alias("open"), to_price(p["high"]).alias("high"),
-        to_price(p["low"]).alias("low"), to_price(p["close"]).alias("close"),
-        to_volume(p["volume"]).alias("volume"),
-        ((p["high"].isNotNull() & to_price(p["high"]).isNull())
-         | (p["low"].isNotNull() & to_price(p["low"]).isNull())).alias("_bad_hl"),
-        (p["volume"].isNotNull() & to_volume(p["volume"]).isNull()).alias("_bad_vol"),
-    )
-    reason = (F.when(F.col("_null"), F.lit("null_element"))
-              .when(F.col("symbol").isNull(), F.lit("missing_symbol"))
-              .when(F.col("_no_price"), F.lit("missing_price_data"))
-              .when(F.col("ts").isNull(), F.lit("bad_timestamp"))
-              .when(F.col("open").isNull() | F.col("close").isNull() | F.col("_bad_hl"), F.lit("bad_price"))
-              .when(F.col("_bad_vol"), F.lit("bad_volume")))
-    return fields.withColumn("reason", reason)
-
-
-def decode_quotes(lines: DataFrame, line_col: str = "value", keep: tuple[str, ...] = ()) -> Decoded:
+            .select(text.alias("line"), *keep, whole.alias("_whole"))
+            .select("line", *keep, arr.alias("arr")).select("line", *keep, "arr", reason.alias("reason")))
+
+
+def _field(path: str) -> Column:
+    return F.try_variant_get("q", f"$.{path}", "string")
+
+
+def explode_quotes(parsed: DataFrame, keep: tuple[str, ...] = (), price_type: str = FEED_PRICE_TYPE) -> DataFrame:
+    """One row per array element, and one (``pos`` NULL) per line without any:
+    typed fields, ``used`` (is it a quote) and the array ``reasons``."""
+    el = parsed.select("line", *keep, F.col("reason").alias("_line"), F.posexplode_outer("arr").alias("pos", "q"))
+    texts = el.select("line", *keep, "_line", F.col("pos").cast("bigint").alias("pos"), "q", _field("symbol").alias("symbol"),
+                      _field("timestamp").alias("_ts"), *[_field(f"priceData.{f}").alias(f"_{f}") for f in PRICE_FIELDS])
+    prices = [f for f in PRICE_FIELDS if f != "volume"]
+    typed = texts.select("*", parse_quote_ts("_ts").alias("ts"), *[to_price(f"_{f}", price_type).alias(f) for f in prices],
+                         to_volume("_volume").alias("volume"))
+    element = (F.when(F.col("_line").isNotNull(), F.col("_line"))
+               .when(F.col("pos").isNull(), F.lit(None))
+               .when(F.col("q").isNull() | F.is_variant_null("q"), F.lit("null_element"))
+               .when(F.col("symbol").isNotNull() & F.coalesce(*[f"_{f}" for f in PRICE_FIELDS]).isNotNull(), F.lit(None))
+               .when(~F.schema_of_variant("q").startswith("OBJECT"), F.lit("bad_element"))
+               .when(F.col("symbol").isNull(), F.lit("missing_symbol"))
+               .otherwise(F.lit("missing_price_data")))
+
+    def bad(*names: str) -> Column:
+        hit = F.lit(False)
+        for n in names:
+            hit = hit | (F.col("_ts" if n == "ts" else f"_{n}").isNotNull() & F.col(n).isNull())
+        return hit
+
+    faults = ((F.col("_ts").isNull(), "missing_timestamp"), (bad("ts"), "bad_timestamp"),
+              (F.col("_open").isNull() | F.col("_close").isNull(), "missing_price"), (bad(*prices), "bad_price"),
+              (F.col("_volume").isNull(), "missing_volume"), (bad("volume"), "bad_volume"))
+    fields = F.array_compact(F.array(*(F.when(c, F.lit(name)) for c, name in faults)))
+    used = F.col("pos").isNotNull() & F.col("_fault").isNull()
+    return typed.withColumn("_fault", element).select(
+        "line", *keep, "pos", "symbol", "ts", *PRICE_FIELDS, used.alias("used"),
+        F.when(F.col("_fault").isNotNull(), F.array("_fault")).when(used, fields).alias("reasons"))
+
+
+def decode_quotes(lines: DataFrame, line_col: str = "value", keep: tuple[str, ...] = (),
+                  price_type: str = FEED_PRICE_TYPE) -> Decoded:
     """Split lines into ``quotes`` (symbol, ts, seq, open, high, low, close,
-    volume, plus ``keep``) and ``quarantine`` (line, pos, reason).
+    volume, plus ``keep``) and ``quarantine`` (line, pos, reason: one row per fault).
 
     ``seq`` is the quote's position in its line: with the timestamp and the
     close it orders quotes of equal time.
     """
-    parsed = parse_lines(lines, line_col, keep)
-    elements = explode_quotes(parsed, keep)
-    quotes = (elements.where(F.col("reason").isNull() | F.col("reason").isin(*KEPT_REASONS))
-              .select("symbol", "ts", F.col("pos").alias("seq"), "open", "high", "low", "close", "volume",
-                      *keep))
-    bad_lines = parsed.where(F.col("reason").isNotNull()).select(
-        "line", F.lit(None).cast("bigint").alias("pos"), "reason")
-    bad_quotes = elements.where(F.col("reason").isNotNull()).select("line", "pos", "reason")
-    return Decoded(quotes, bad_lines.unionByName(bad_quotes))
+    elements = explode_quotes(parse_lines(lines, line_col, keep), keep, price_type)
+    quotes = elements.where("used").select("symbol", "ts", F.col("pos").alias("seq"), *PRICE_FIELDS, *keep)
+    return Decoded(quotes, elements.select("line", "pos", F.explode("reasons").alias("reason")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.schema import PRICE_TYPE
+from tickweave.schema import FEED_PRICE_TYPE, PRICE_TYPE
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,20 @@ def quotes_from_events(events: DataFrame, key: str = "event_type") -> DataFrame:
     )
 
 
+def bars_from_lineitem(spark: SparkSession, sf_dir: str, key: str = "l_returnflag") -> DataFrame:
+    """Price bars of another shape, from the ``lineitem`` table: ``open`` is the
+    extended price, ``close`` the price after discount and tax (6 decimals,
+    exact), the time is the ship date."""
+    price, discount, tax = (F.col(c).cast("decimal(12,2)") for c in ("l_extendedprice", "l_discount", "l_tax"))
+    one = F.lit(1).cast("decimal(1,0)")
+    close = price * (one - discount).cast("decimal(3,2)") * (one + tax).cast("decimal(3,2)")
+    return read_table(spark, sf_dir, "lineitem").select(
+        F.col(key).cast("string").alias("symbol"), F.col("l_shipdate").alias("ts"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("seq"),
+        price.cast(FEED_PRICE_TYPE).alias("open"), close.cast(FEED_PRICE_TYPE).alias("close"),
+        F.col("l_quantity").cast("bigint").alias("volume"))
+
+
 def with_high_low(quotes: DataFrame) -> DataFrame:
     """Add ``high``/``low`` bounds of a bar that has only open and close."""
     return quotes.withColumn("high", F.greatest("open", "close")).withColumn(

@@ -75,12 +75,15 @@ class StreamingRsi:
         return batch_path(f"{self.root}/state/{name}", batch_id)
 
     def _read(self, spark: SparkSession, name: str, batch_id: int) -> DataFrame | None:
+        """The state that a batch left; None before the first one.  A later batch
+        must find it: missing state is an error, never a fresh start."""
         if batch_id < 0:
             return None
         try:
             return spark.read.parquet(self._path(name, batch_id))
-        except AnalysisException:
-            return None
+        except AnalysisException as e:
+            raise RuntimeError(f"state table {name} of batch {batch_id} is missing below {self.root}/state; "
+                               "restore it, or start again with a new checkpoint and output folder") from e
 
     # -- one micro-batch ------------------------------------------------------
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -90,7 +93,7 @@ class StreamingRsi:
         micros = F.unix_micros(F.col(t).cast("timestamp"))
         meta = self._read(spark, "meta", batch_id - 1)
         m = meta.first() if meta is not None else None
-        max_prev, closed_prev = (m["max_us"], m["closed_us"]) if m else (None, None)
+        max_prev, closed_prev, has_smooth = (m["max_us"], m["closed_us"], m["has_smooth"]) if m else (None, None, False)
 
         new = batch.where(F.col(t).isNotNull()).select(*cols)
         if closed_prev is not None:
@@ -111,14 +114,15 @@ class StreamingRsi:
             closed_now = (wm // self.slide_us) * self.slide_us
             closed_us = closed_now if closed_prev is None else max(closed_prev, closed_now)
 
-        smooth_prev = self._read(spark, "smooth", batch_id - 1)
+        smooth_prev = self._read(spark, "smooth", batch_id - 1) if has_smooth else None
+        closing = closed_us is not None and (closed_prev is None or closed_us > closed_prev)
         kept = horizon if closed_us is None else horizon.where(micros >= closed_us - self.window_us)
         tasks = [lambda: write_parquet(kept, self._path("bars", batch_id)),
-                 lambda: write_parquet(spark.createDataFrame([(max_us, closed_us)],
-                                                             "max_us bigint, closed_us bigint"),
+                 lambda: write_parquet(spark.createDataFrame([(max_us, closed_us, has_smooth or closing)],
+                                                             "max_us bigint, closed_us bigint, has_smooth boolean"),
                                        self._path("meta", batch_id))]
         done = None
-        if closed_us is not None and (closed_prev is None or closed_us > closed_prev):
+        if closing:
             extra = report_aggregates(self.value, "open", "volume") if self.with_metrics else ()
             wc = window_changes(horizon, self.window, self.slide, k, t, list(self.order), self.value,
                                 extra=extra)
