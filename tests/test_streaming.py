@@ -13,7 +13,7 @@ from tickweave.operators.changes import window_changes
 from tickweave.operators.indicators import carry_forward, rsi_smoothed, rsi_window
 from tickweave.operators.profit import cumulative_profit
 from tickweave.operators.ranking import top_k
-from tickweave.sinks.files import per_batch_parquet, per_batch_text
+from tickweave.sinks.files import per_batch_parquet, per_batch_text, read_window_text, write_window_text
 from tickweave.sources.decode import decode_quotes
 from tickweave.sources.lines import read_lines
 from tickweave.streaming.feed import (latest_snapshot, quote_stream, start, start_top_k, stream_profit,
@@ -200,3 +200,20 @@ def test_arrival_time_windows(spark, feed, scratch):
     stamps = [int(os.path.getmtime(os.path.join(feed, f))) for f in os.listdir(feed)]
     starts = {(m // 300 - k) * 300 for m in stamps for k in (0, 1)}
     assert got.select("window_start").distinct().count() == len(starts)
+
+
+def test_missing_state_is_an_error(spark, scratch):
+    job = StreamingRsi(os.path.join(scratch, "rsi"), "1 day", "12 hours", "12 hours")
+    quotes = spark.createDataFrame([], "symbol string, ts timestamp, seq bigint, close decimal(20,8)")
+    with pytest.raises(RuntimeError, match="state table meta of batch 6"):
+        job(quotes, 7)
+
+
+def test_window_text_round_trip(spark, scratch):
+    rows = spark.createDataFrame([("A,B", "2024-01-02 00:00:00", 1.5, 7), ("C", "2024-01-02 12:00:00", None, 8)],
+                                 "symbol string, t string, rsi double, volume long")
+    write_window_text(rows.withColumn("window_start", F.to_timestamp("t")), os.path.join(scratch, "text"), ("rsi", "volume"))
+    got = read_window_text(spark, os.path.join(scratch, "text")).collect()
+    assert sorted((r["output"], str(r["window_start"]), r["symbol"], r["value"]) for r in got) == [
+        ("rsi", "2024-01-02 00:00:00", "A,B", 1.5), ("volume", "2024-01-02 00:00:00", "A,B", 7.0),
+        ("volume", "2024-01-02 12:00:00", "C", 8.0)]

@@ -185,7 +185,8 @@ def _stream_changes() -> str:
     return f"""{_quotes()},
 fed AS (
   SELECT symbol, date_trunc('second', ts) AS ts,
-         row_number() OVER (PARTITION BY symbol, floor(seq / 64) ORDER BY seq) - 1 AS pos, close
+         row_number() OVER (PARTITION BY symbol, floor(seq / 64), datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) // 7 ORDER BY seq) - 1 AS pos,
+         close
   FROM quotes),
 {_win('12 hours', 2, 'fed')},
 c AS (

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from tickweave.plans.catalog import DAY_SLIDE, DAY_WINDOW, FEED_SLIDE, FEED_WINDOW, broken_feed, quote_lines
 from tickweave.operators.ranking import top_k
 from tickweave.session import checkpoint_root
+from tickweave.sources.lines import render_quote_lines
+from tickweave.sources.tables import load_quotes, with_high_low
 from tickweave.sinks.files import per_batch_parquet
 from tickweave.streaming.feed import latest_snapshot, quote_stream, start, stream_profit, stream_window_metrics
 from tickweave.streaming.rsi import StreamingRsi, read_results
@@ -79,11 +81,24 @@ def q_stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
 
 def _run_stream_rsi(spark: SparkSession, d: str, name: str) -> str:
     """Run the stateful stream job (``StreamingRsi``, 1-day windows every 12
-    hours, 12 hours allowed delay) over the rendered feed; returns its folder."""
+    hours, 12 hours allowed delay) over the rendered feed; returns its folder.
+
+    The feed comes a week at a time, and the stream is stopped after each week
+    and started again on its checkpoint: the keyed state crosses as many
+    micro-batches and restarts as there are weeks."""
     work = _workdir(spark, name)
-    quotes = quote_stream(spark, _feed(spark, d, work)).quotes
-    job = StreamingRsi(f"{work}/rsi", DAY_WINDOW, DAY_SLIDE, "12 hours")
-    start(quotes, f"{work}/checkpoint", "append", foreach_batch=job, trigger=ONCE).awaitTermination()
+    quotes = with_high_low(load_quotes(spark, d)).withColumn("week", F.floor(F.unix_date(F.to_date("ts")) / 7))
+    render_quote_lines(quotes, extra_keys=("week",)).select("week", "value").write.partitionBy("week").parquet(f"{work}/weeks")
+    weeks = spark.read.parquet(f"{work}/weeks")
+    span = weeks.agg(F.min("week"), F.max("week")).first()
+    for week in range(span[0], span[1] + 1):
+        weeks.where(F.col("week") == week).select("value").coalesce(8).write.mode("append").text(f"{work}/feed")
+        job = StreamingRsi(f"{work}/rsi", DAY_WINDOW, DAY_SLIDE, "12 hours")
+        start(quote_stream(spark, f"{work}/feed").quotes, f"{work}/checkpoint", "append", foreach_batch=job,
+              trigger=ONCE).awaitTermination()
+    batches = read_results(spark, f"{work}/rsi/state", "meta").count()
+    if batches != span[1] - span[0] + 1:
+        raise RuntimeError(f"{batches} micro-batches for {span[1] - span[0] + 1} weeks")
     return f"{work}/rsi"
 
 
