@@ -146,6 +146,11 @@ def test_feed_app_one_decode_all_outputs(spark, feed, scratch):
     want_rsi = rsi_window(bq, "1 day", "12 hours", order=["seq", "close"]).where(end_ok).select(
         "window_start", "symbol", "rsi")
     assert compare(rsi_cols.toPandas(), want_rsi.toPandas()) is None
+    text = read_window_text(spark, os.path.join(out, "text"))
+    for name, column in (("rsi", want_rsi), ("sma_close", want), ("total_volume", want)):
+        values = column.select("window_start", "symbol", F.col(name).cast("double").alias("value")).where("value IS NOT NULL")
+        lines = text.where(F.col("output") == name).select("window_start", "symbol", "value")
+        assert compare(lines.toPandas(), values.toPandas()) is None
     last = spark.read.parquet(os.path.join(out, "profit")).agg(F.max("batch_id")).first()[0]
     prof = spark.read.parquet(os.path.join(out, "profit")).where(F.col("batch_id") == last).drop("batch_id")
     assert compare(prof.toPandas(), cumulative_profit(bq).select("symbol", "n_quotes", "cumulative_profit").toPandas()) is None

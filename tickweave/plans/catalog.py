@@ -16,7 +16,7 @@ from tickweave.operators.changes import window_changes
 from tickweave.operators.indicators import carry_forward, rsi_smoothed, rsi_window, window_report
 from tickweave.operators.profit import cumulative_profit, profit_parity, running_profit, running_profit_carried
 from tickweave.operators.ranking import ranked, top_k
-from tickweave.sinks.files import read_window_text, write_window_text
+from tickweave.sinks.files import TEXT_OUTPUTS, read_window_text, write_window_text
 from tickweave.sources.decode import decode_quotes
 from tickweave.sources.lines import render_quote_lines
 from tickweave.session import checkpoint_root, cut_lineage
@@ -319,9 +319,6 @@ def q_sorted_gain(spark: SparkSession, d: str) -> DataFrame:
     return ranked(m, "avg_gain").select("window_start", "window_end", "rank", "symbol", "avg_gain")
 
 
-TEXT_OUTPUTS = ("sma_close", "avg_gain", "total_volume", "rsi")
-
-
 def q_sink_text(spark: SparkSession, d: str) -> DataFrame:
     """The four text outputs per window, written and read back."""
     folder = f"{checkpoint_root(spark).rstrip('/')}/tickweave-text/{uuid.uuid4().hex}"

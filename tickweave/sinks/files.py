@@ -33,6 +33,8 @@ def write_pair_text(df: DataFrame, path: str, key: str, value: str) -> None:
     pair_lines(df, key, value).write.mode("overwrite").text(path)
 
 
+#: Fixed value: the four text outputs of the feed, as columns of the window report.
+TEXT_OUTPUTS = ("sma_close", "avg_gain", "total_volume", "rsi")
 #: Fixed form of a window's start in the folder names of the text outputs.
 WINDOW_FOLDER = "yyyyMMddHHmmss"
 

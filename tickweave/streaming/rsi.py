@@ -36,7 +36,7 @@ from tickweave.operators.changes import window_changes
 from tickweave.operators.indicators import report_aggregates, report_columns, rsi_smoothed
 from tickweave.operators.ranking import top_k
 from tickweave.operators.windows import interval_micros
-from tickweave.sinks.files import batch_path, write_parquet
+from tickweave.sinks.files import TEXT_OUTPUTS, batch_path, write_parquet, write_window_text
 
 STREAM_BLOCK = 4096
 
@@ -153,6 +153,7 @@ class StreamingRsi:
             write_parquet(windows, batch_path(f"{self.root}/windows", batch_id))
             for metric, name in (("avg_gain", "top_gain"), ("total_volume", "top_volume")):
                 write_parquet(top_k(windows, metric, 1, tie=(k,)), batch_path(f"{self.root}/{name}", batch_id))
+            write_window_text(windows, batch_path(f"{self.root}/text", batch_id), TEXT_OUTPUTS, k)
             windows.unpersist()
             return
         windows = done.select(
