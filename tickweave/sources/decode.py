@@ -47,7 +47,7 @@ def parse_lines(lines: DataFrame, line_col: str = "value", keep: tuple[str, ...]
     mark: whatever follows the line's own array breaks that form.
     """
     text = F.col(line_col)
-    whole = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"end"]')))
+    whole = F.when(F.ltrim(text).startswith("["), F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"end"]'))))
     closed = (F.try_variant_get("_whole", "$[1]", "string") == "end") & F.try_variant_get("_whole", "$[2]", "string").isNull()
     arr = F.when(F.coalesce(closed, F.lit(False)), F.try_variant_get("_whole", "$[0]", "array<variant>"))
     reason = (F.when(~F.ltrim("line").startswith("["), F.lit("not_array"))
