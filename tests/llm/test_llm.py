@@ -200,6 +200,28 @@ def test_near_duplicates(docs, none, texts):
     assert simhash.drop_near_duplicates(none).count() == 0
 
 
+def test_one_row_of_each_near_duplicate_component_stays(spark):
+    rng = random.Random(8)
+    own = [" ".join(f"w{rng.randint(0, 10**6)}" for _ in range(400)) for _ in range(6)]
+    # Components without any id; null ids beside an id; an id that unrelated texts share, once not as the smallest.
+    rows = [(None, own[0]), (None, own[0] + " tail"), (None, own[1]), (None, own[1]), (5, own[2]), (None, own[2] + " tail"),
+            (7, own[3]), (7, own[4]), (7, own[4]), (9, own[4] + " tail"), (3, own[5]), (7, own[5] + " tail"), (None, None), (None, "")]
+    prints = [simhash.fingerprint(t or "") for _, t in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= simhash.MAX_BITS:
+                root = [root[j] if r == root[i] else r for r in root]
+    assert len(set(root)) == 7
+    table = spark.createDataFrame(rows_of(rows), SCHEMA).repartition(3)
+    left = [(r["doc_id"], r["text"]) for r in simhash.drop_near_duplicates(table).collect()]
+    # Which of the null ids stays is free; its component is not.
+    at = collections.Counter(root[next(k for k, (i, t) in enumerate(rows) if i == d and (t or "") == (x or ""))] for d, x in left)
+    assert at == dict.fromkeys(root, 1)
+    least = {r: min((d for (d, _), x in zip(rows, root) if x == r and d is not None), default=None) for r in root}
+    assert collections.Counter(d for d, _ in left) == collections.Counter(least.values())
+
+
 def test_line_templates(spark, docs, none):
     lines = ["Error at host %d while reading the file", "contact us for more information today"]
     rows = [(k, " ".join(chr(97 + k) * j for j in range(1, 8)) + "\ncalled again by %s from the shop\n" % ("xyz"[:k % 3] + "abcdefgh"[k]) + lines[0] % k + "\n" + lines[1] + "\nshort line") for k in range(8)]

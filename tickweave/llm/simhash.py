@@ -30,7 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm.common import map_arrow, same, steps, text_col, unused, written
@@ -68,16 +68,23 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id`` and ``print`` (the 64 bits as a signed number) of every row."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_col(text).alias("text"))
+def _mark(text: str) -> Column:
+    """A digest of the text: with the id it tells rows apart."""
+    return F.unhex(F.sha2(text_col(text), 256))
+
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text", marked: bool = False) -> DataFrame:
+    """``doc_id`` and ``print`` (the 64 bits as a signed number) of every row,
+    and with ``marked`` a digest of its text, ``mark``."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_col(text).alias("text"), *([_mark(text).alias("mark")] if marked else []))
+    names = ["doc_id", "mark"] if marked else ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in steps(batches):
             prints = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints)], names=["doc_id", "print"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(prints)], names=[*names, "print"])
 
-    return map_arrow(rows, run, "doc_id long, print long")
+    return map_arrow(rows, run, f"doc_id long, {'mark binary, ' if marked else ''}print long")
 
 
 def join_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,6 +219,17 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return out
 
 
+def _classes(rows: DataFrame, max_bits: int) -> DataFrame:
+    """Add ``root`` (a fingerprint that names the component, never null) and
+    ``component_id`` to the rows of ``fingerprints``, a written table."""
+    distinct = written(rows.groupBy("print").agg(F.min("doc_id").alias("first_id")), "distinct-prints")
+    star = components(links(distinct, max_bits))
+    owned = distinct.join(star, F.col("print") == F.col("node"), "left").select("print", "first_id", F.coalesce("root", "print").alias("root"))
+    named = owned.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    classes = owned.select("print", F.col("root").alias("of")).join(named, F.col("of") == F.col("root")).select("print", "root", "component_id")
+    return rows.join(classes, "print")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                     doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``print`` and ``component_id`` (the smallest id that links
@@ -221,28 +239,24 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     any other.  Repeated rows are equal.  A component without any id has a null.
     """
     rows = written(fingerprints(docs, shingle, doc_id, text), "prints")
-    distinct = written(rows.groupBy("print").agg(F.min("doc_id").alias("first_id")), "distinct-prints")
-    star = components(links(distinct, max_bits))
-    owned = distinct.join(star, F.col("print") == F.col("node"), "left").select("print", "first_id", F.coalesce("root", "print").alias("root"))
-    named = owned.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = owned.select("print", F.col("root").alias("of")).join(named, F.col("of") == F.col("root")).select("print", "component_id")
-    return rows.join(classes, "print").select("doc_id", "print", "component_id")
+    return _classes(rows, max_bits).select("doc_id", "print", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                          doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component stays, the one with the smallest id, with
-    all its columns.  Of rows that repeat that id one stays; of a component
-    without any id one row stays."""
-    classes = near_duplicates(docs, shingle, max_bits, doc_id, text)
-    # Narrow: which id stays, and whether several rows have it.
-    stay = written(classes.where(same(F.col("doc_id"), F.col("component_id"))).groupBy("doc_id", "print").agg(F.count("*").alias("n"))
-                   .withColumnRenamed("doc_id", "k_id"), "stay")
-    several = stay.groupBy("k_id").agg(F.sum("n").alias("n")).where("n > 1").limit(1).count()
-    keep = stay.select("k_id").distinct() if not several else stay.groupBy("k_id").agg(F.sum("n").alias("n"))
-    key = same(docs[doc_id], F.col("k_id"))
-    if not several:
-        return docs.join(keep.hint("shuffle_hash"), key, "left_semi")
-    place = unused(docs, "place")
-    once = Window.partitionBy("k_id").orderBy(text_col(text))
-    return docs.join(keep, key).withColumn(place, F.row_number().over(once)).where(F.col(place) == 1).select(*docs.columns)
+    all its columns.  Of rows that repeat that id in the component one stays; of
+    a component without any id one row stays.  An id that several components
+    have as their smallest stays once in each."""
+    rows = written(fingerprints(docs, shingle, doc_id, text, marked=True), "prints")
+    # Equal texts have one fingerprint, so an id and a mark belong to one component.
+    least = _classes(rows, max_bits).where(same(F.col("doc_id"), F.col("component_id")))
+    found = least.groupBy("root", "doc_id", "mark").agg(F.count("*").alias("n"))
+    mark, k_id, k_mark = (unused(docs, c) for c in ("mark", "k_id", "k_mark"))
+    stay = written(found.groupBy("root", "doc_id").agg(F.min(F.struct("mark", "n")).alias("first")).select(
+        F.col("doc_id").alias(k_id), F.col("first.mark").alias(k_mark), F.col("first.n").alias("n")), "stay")
+    kept = docs.withColumn(mark, _mark(text)).join(
+        stay.hint("shuffle_hash"), same(F.col(doc_id).cast("long"), F.col(k_id)) & (F.col(mark) == F.col(k_mark)), "left_semi")
+    if stay.where("n > 1").limit(1).count():
+        kept = kept.dropDuplicates([doc_id, mark])  # partial per task: equal rows never meet in one place in full
+    return kept.select(*docs.columns)
