@@ -251,6 +251,24 @@ def library_ids(text):
     return tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_those_of_the_library(spark):
+    tokenizer, end = Tokenizer.from_file(JSON), "<|endoftext|>"
+    rng = random.Random(9)
+    alphabet = ["a", " ", "\n", "it's", "<|", "endoftext", "|>", "é", "日", end, end, end[:-1]]
+    some = ["a" + end + "b", end, end + end, "x " + end + " \n y", "", "none", end * 3 + " z"]
+    some += ["".join(rng.choices(alphabet, k=rng.randint(0, 12))) for _ in range(300)]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+    assert want[0] == [64, 50256, 65]
+    ids, offsets = pieces.json_encoder(JSON).texts(some)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == want
+    assert pieces.json_encoder(JSON).texts([])[1].tolist() == [0]
+    table = spark.createDataFrame(rows_of(enumerate(some)), SCHEMA).repartition(3)
+    out = {r["doc_id"]: (r["n_tokens"], bytes(r["ids"])) for r in token_files.token_files_of(spark, table, JSON, 2).collect()}
+    assert out == {k: (len(x) + 1, np.array(x + [2], "<u4").tobytes()) for k, x in enumerate(want)}
+    packed = collections.Counter((r["doc_id"], r["length"], r["ids_crc32"]) for r in packing.pack_documents(table, JSON, 0).collect())
+    assert packed == collections.Counter((k, len(x) + 1, zlib.crc32(np.array(x + [0], "<u4").tobytes())) for k, x in enumerate(want))
+
+
 def test_token_files(spark, docs, none, texts):
     out = token_files.token_files_of(spark, docs, JSON, 2).collect()
     want, at = [], 0

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 
 import numpy as np
 
@@ -164,10 +165,15 @@ def spread(index: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> tuple[np
 
 
 class PieceEncoder:
-    """Ids of single pieces by one vocabulary; keeps up to KEPT_PIECES of them."""
+    """Ids of single pieces by one vocabulary; keeps up to KEPT_PIECES of them.
+    Strings of ``added`` tokens in a text have their own ids, and the parts of
+    the text around them are cut like texts of their own."""
 
-    def __init__(self, encode):
-        self._encode, self._kept = encode, {}
+    def __init__(self, encode, added: dict[str, int] | None = None):
+        self._encode, self._kept, self._added = encode, {}, added or {}
+        # The longest of those that begin at a place, as the library does.
+        longest_first = sorted(self._added, key=len, reverse=True)
+        self._split = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")").split
 
     def raw(self, word: bytes):
         """The ids of one piece, not kept."""
@@ -189,6 +195,21 @@ class PieceEncoder:
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and the offsets of the texts."""
+        if not any(token in t for token in self._added for t in texts):
+            return self._plain(texts)
+        parts, behind, first = [], [], [0]  # the plain parts, the added token behind each (or -1), each text's first part
+        for t in texts:
+            cut_up = self._split(t)
+            parts += cut_up[::2]
+            behind += [self._added[token] for token in cut_up[1::2]] + [-1]
+            first.append(len(parts))
+        ids, offsets = self._plain(parts)
+        tokens = np.array(behind, np.int64)
+        at = np.flatnonzero(tokens >= 0)
+        ids = np.insert(ids, offsets[at + 1], tokens[at].astype(np.uint32))
+        return ids, (offsets + np.concatenate([[0], np.cumsum(tokens >= 0)]))[first]
+
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         words, index, offsets = number(texts)
         ids, count = spread(index, *self(words))
         ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
@@ -206,11 +227,17 @@ def byte_chars() -> dict[int, int]:
 
 @functools.lru_cache(2)
 def json_encoder(path: str) -> PieceEncoder:
-    """By a file of the tokenizers library; strings of special tokens in a text are ordinary text."""
+    """By a file of the tokenizers library, with its added tokens."""
     from tokenizers import Tokenizer
 
-    model, chars = Tokenizer.from_file(path).model, byte_chars()
-    return PieceEncoder(lambda w: tuple(t.id for t in model.tokenize(w.decode("latin-1").translate(chars))))
+    tokenizer = Tokenizer.from_file(path)
+    model, chars = tokenizer.model, byte_chars()
+    added = {}
+    for token_id, token in tokenizer.get_added_tokens_decoder().items():
+        if token.single_word or token.lstrip or token.rstrip or token.normalized:
+            raise ValueError(f"added token {token.content!r} is not matched as it stands")
+        added[token.content] = token_id
+    return PieceEncoder(lambda w: tuple(t.id for t in model.tokenize(w.decode("latin-1").translate(chars))), added)
 
 
 def rank_table(path: str) -> dict[bytes, int]:
