@@ -245,6 +245,16 @@ def test_word_bpe_round_trip(docs, none, texts):
     assert word_bpe.encode(none, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_word_bpe_takes_equal_blocks(spark):
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=pieces.rank_table(RANKS), special_tokens={})
+    rows = [(None, "a long text " * 50), (4, "another one " * 60)]
+    once = spark.createDataFrame(rows_of(rows * 2), SCHEMA).coalesce(1)
+    table = once.union(once)  # equal blocks in one partition, and partitions that repeat
+    out = word_bpe.decode(word_bpe.encode(table, RANKS, public_tokenizers.PATTERN, buckets=3, block_chars=500), RANKS).collect()
+    want = collections.Counter((d, np.array(library.encode_ordinary(t), "<u4").tobytes(), t.encode()) for d, t in rows * 4)
+    assert collections.Counter((r["doc_id"], bytes(r["ids"]), bytes(r["decoded"])) for r in out) == want
+
+
 def library_ids(text):
     tokenizer = Tokenizer.from_file(JSON)
     tokenizer.encode_special_tokens = True

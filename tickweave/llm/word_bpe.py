@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.frombuffer(_expand(data), np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0]
 
 
-def _explode_block(doc_ids: list, texts: list[str], buckets: int) -> pa.RecordBatch:
+def _explode_block(doc_ids: list, texts: list[str], buckets: int, at: tuple[int, int]) -> pa.RecordBatch:
     words, index, ends = number(texts)
     raw = [w.encode() for w in words]
     which = np.array([zlib.crc32(w) % buckets for w in raw], np.int64)
@@ -61,8 +62,8 @@ def _explode_block(doc_ids: list, texts: list[str], buckets: int) -> pa.RecordBa
     order = sorted(range(len(raw)), key=lambda k: (which[k], raw[k]))
     place = np.empty(len(raw), np.int64)
     place[order] = np.arange(len(raw))
-    # The name depends on the content alone: a task that runs again gives the same block.
-    name = hashlib.sha256(repr(doc_ids).encode() + _SEPARATOR.join(t.encode() for t in texts)).hexdigest()
+    # The content, and the place (partition, number in it), which tells equal blocks apart: a task that runs again gives the same name.
+    name = hashlib.sha256(repr((at, doc_ids)).encode() + _SEPARATOR.join(t.encode() for t in texts)).hexdigest()
     rows = [(name, -1, doc_ids, _pack(ends[1:]), _pack(place[index]))]
     ordered = which[order]
     edges = np.flatnonzero(np.diff(ordered, prepend=-1, append=buckets))
@@ -82,17 +83,17 @@ def explode_words(rows: DataFrame, buckets: int, block_chars: int = BLOCK_CHARS)
     per bucket one row with the block's words of that bucket (ascending)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc_ids, held, size = [], [], 0
+        doc_ids, held, size, part, k = [], [], 0, TaskContext.get().partitionId(), 0
         for batch, texts in steps(batches, block_chars):
             n = sum(map(len, texts))
             if held and size + n > block_chars:
-                yield _explode_block(doc_ids, held, buckets)
-                doc_ids, held, size = [], [], 0
+                yield _explode_block(doc_ids, held, buckets, (part, k))
+                doc_ids, held, size, k = [], [], 0, k + 1
             doc_ids += batch.column("doc_id").to_pylist()
             held += texts
             size += n
         if held:
-            yield _explode_block(doc_ids, held, buckets)
+            yield _explode_block(doc_ids, held, buckets, (part, k))
 
     return map_arrow(rows, run, EXPLODED)
 
