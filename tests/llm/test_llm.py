@@ -125,6 +125,24 @@ def test_license_scan(spark, docs, none):
     assert license_scan.scan(none, templates).count() == 0 and license_scan.scan(docs, templates.limit(0)).count() == 0
 
 
+def test_license_scan_gives_every_span(spark):
+    line, mit = license_scan.NOTICES["MIT line"].split(), license_scan.NOTICES["MIT"].split()
+    third = len(mit) // 3 + 1
+    split = [" ".join(mit[k: k + third]) for k in range(0, len(mit), third)]
+    rows = [(1, " ".join(line * 4)), (2, " and so on ".join([" ".join(line)] * 3)), (3, (" " + "between " * 40).join(split)), (4, " ".join(mit * 30)),
+            (5, "Licensed under CC BY-NC 4.0. " * 5), (6, split[0] + " x" * 40)]
+    out = license_scan.scan(spark.createDataFrame(rows_of(rows), SCHEMA), license_scan.notice_templates(spark)).collect()
+    n = collections.Counter((r["doc_id"], r["template_id"]) for r in out)
+    assert n[1, "license:MIT line"] == 4 and n[2, "license:MIT line"] == 3 and n[4, "license:MIT"] == 30 and n[5, "license:CC-BY-NC-4.0 line"] == 5
+    assert (6, "license:MIT") not in n
+    parts = sorted((r["start"], r["end"]) for r in out if (r["doc_id"], r["template_id"]) == (3, "license:MIT"))
+    text = rows[2][1]
+    assert len(parts) == 3 and [text[a:b] for a, b in parts] == [t.rstrip(".,;") for t in split]
+    for (d, t), k in n.items():  # no two overlap
+        at = sorted((r["start"], r["end"]) for r in out if (r["doc_id"], r["template_id"]) == (d, t))
+        assert all(x[1] <= y[0] for x, y in zip(at, at[1:]))
+
+
 def brute_repetition(text, least):
     w = WORD.findall(text)
     n = len(w)

@@ -6,9 +6,11 @@ Words are runs of letters and digits, lower-cased.  Of the hashes of all runs of
 that are in it give candidates (template and diagonal, the difference of the
 places).  All runs of a document are looked up, so any passage of
 ``GRAM + WINDOW - 1`` words of a template, or a whole shorter template, is a
-candidate.  Each candidate is aligned word by word inside a band around its
+candidate.  Candidates are aligned word by word inside a band around their
 diagonal, which gives the matched words, their share of the template (coverage)
-and their span in the document.
+and their span in the document, and so again outside the spans found until no
+candidate is left.  A template is in a document if its spans together match
+enough of its words.
 
 Templates are taken in blocks of at most ``BLOCK_WORDS`` words, each a scan of
 the documents of its own, so the index that goes to the tasks has a fixed size
@@ -33,7 +35,7 @@ GRAM = 5
 WINDOW = 4
 #: Words that the alignment may be off a diagonal.
 BAND = 16
-#: Least share of a template's words that a match must cover.
+#: Least share of a template's words that its matches in a document must cover together.
 MIN_COVERAGE = 0.5
 BLOCK_WORDS = 500_000
 MATCH, MISMATCH, GAP = 2, -2, -1
@@ -129,13 +131,13 @@ def winnow(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return place[keep], gram[keep]
 
 
-def align(template: np.ndarray, doc: np.ndarray, diagonal: int, band: int = BAND) -> tuple[int, int, int]:
-    """Matched words, and the first and last matched place in ``doc``, of the best
-    local alignment of two word sequences whose places differ by ``diagonal``
-    give or take ``band``."""
+def align(template: np.ndarray, doc: np.ndarray, diagonal: int, band: int = BAND) -> tuple[np.ndarray, int, int]:
+    """The matched places of ``template``, and the first and last matched place in
+    ``doc``, of the best local alignment of two word sequences whose places differ
+    by ``diagonal`` give or take ``band``."""
     m, n, width = len(template), len(doc), 2 * band + 1
     if 0 <= diagonal and diagonal + m <= n and np.array_equal(doc[diagonal: diagonal + m], template):
-        return m, diagonal, diagonal + m - 1
+        return np.arange(m), diagonal, diagonal + m - 1
     offset = np.arange(width)
     score = np.zeros((m + 1, width + 1), np.int32)  # score[i + 1, d]: template place i, document place i + diagonal - band + d
     hit = np.zeros((m, width), bool)
@@ -148,12 +150,13 @@ def align(template: np.ndarray, doc: np.ndarray, diagonal: int, band: int = BAND
         score[i + 1, :width] = np.maximum.accumulate(row - GAP * offset) + GAP * offset
     end = int(np.argmax(score[:, :width]))
     i, d = divmod(end, width)
-    matched, first, last = 0, -1, -1
+    matched, first, last = [], -1, -1
     while i > 0 and d >= 0 and score[i, d] > 0:
         if hit[i - 1, d] and score[i, d] == score[i - 1, d] + MATCH:
             at = i - 1 + diagonal - band + d
-            matched, first, last = matched + 1, at, at if last < 0 else last
+            first, last = at, at if last < 0 else last
             i -= 1
+            matched.append(i)
         elif score[i, d] == score[i - 1, d] + MISMATCH:
             i -= 1
         elif score[i, d] == score[i - 1, d + 1] + GAP:
@@ -162,7 +165,38 @@ def align(template: np.ndarray, doc: np.ndarray, diagonal: int, band: int = BAND
             d -= 1
         else:
             break
-    return matched, first, last
+    return np.array(matched[::-1], np.int64), first, last
+
+
+def spans(template: np.ndarray, doc: np.ndarray, place: np.ndarray, diagonal: np.ndarray, band: int = BAND) -> list[tuple[np.ndarray, int, int]]:
+    """Alignments that don't overlap in ``doc``, as many as it takes to leave no
+    hit outside them; hits are runs of GRAM words from ``place`` (ascending) on.
+
+    Whole copies come first.  What is left of the document is aligned around its
+    first hit, then what is left before and behind that, and so on.
+    """
+    m, found, free, rest = len(template), [], 0, []
+    for d in np.unique(diagonal).tolist():
+        if free <= d <= len(doc) - m and np.array_equal(doc[d: d + m], template):
+            found.append((np.arange(m), d, d + m - 1))
+            rest.append((free, d))
+            free = d + m
+    rest.append((free, len(doc)))
+    while rest:
+        low, high = rest.pop()
+        a = int(np.searchsorted(place, low))
+        b = int(np.searchsorted(place, high - GRAM, "right"))
+        if a >= b:
+            continue
+        b = min(b, int(np.searchsorted(place, place[a] + m + band, "right")))
+        near = np.sort(diagonal[a:b][np.abs(diagonal[a:b] - diagonal[a]) <= band])
+        matched, first, last = align(template, doc[low:high], int(near[len(near) // 2]) - low, band)
+        if not len(matched):  # equal hashes of other words
+            rest.append((int(place[a]) + 1, high))
+            continue
+        found.append((matched, low + first, low + last))
+        rest += [(low, low + first), (low + last + 1, high)]
+    return found
 
 
 class Index:
@@ -191,24 +225,19 @@ class Index:
         bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
         doc, template = owner[place], self.owner[entry]
         diagonal = place - bounds[doc] - self.place[entry]
-        order = np.lexsort((diagonal, template, doc))
-        doc, template, diagonal = doc[order], template[order], diagonal[order]
+        order = np.lexsort((diagonal, place, template, doc))
+        place, doc, template, diagonal = place[order] - bounds[doc[order]], doc[order], template[order], diagonal[order]
         fresh = np.ones(len(doc), bool)
-        fresh[1:] = (doc[1:] != doc[:-1]) | (template[1:] != template[:-1]) | (diagonal[1:] - diagonal[:-1] > BAND // 2)
+        fresh[1:] = (doc[1:] != doc[:-1]) | (template[1:] != template[:-1])
         heads = np.flatnonzero(fresh)
-        done: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
         for a, b in zip(heads.tolist(), np.append(heads[1:], len(doc)).tolist()):
             d, t = int(doc[a]), int(template[a])
-            matched, first, last = align(self.words[t], hashes[bounds[d]: bounds[d + 1]], int(diagonal[(a + b) // 2]))
-            if matched >= min_coverage * len(self.words[t]):
-                done.setdefault((d, t), []).append((-matched, first, last))
-        for (d, t), found in done.items():
-            taken: list[tuple[int, int]] = []
-            for matched, first, last in sorted(found):  # of matches that overlap, the one with the most words
-                if all(last < x or first > y for x, y in taken):
-                    taken.append((first, last))
-                    a, b = starts[bounds[d] + first], stops[bounds[d] + last]
-                    yield d, self.ids[t], -matched, len(self.words[t]), int(a - edges[d]), int(b - edges[d])
+            found = spans(self.words[t], hashes[bounds[d]: bounds[d + 1]], place[a:b], diagonal[a:b])
+            if not found or len(np.unique(np.concatenate([x for x, _, _ in found]))) < min_coverage * len(self.words[t]):
+                continue
+            for matched, first, last in sorted(found, key=lambda x: (-len(x[0]), x[1])):
+                begin, end = starts[bounds[d] + first], stops[bounds[d] + last]
+                yield d, self.ids[t], len(matched), len(self.words[t]), int(begin - edges[d]), int(end - edges[d])
 
 
 def notice_templates(spark: SparkSession) -> DataFrame:
@@ -236,7 +265,9 @@ def scan(docs: DataFrame, templates: DataFrame, min_coverage: float = MIN_COVERA
     document: ``coverage``, ``matched_words``, ``template_words``, and ``start``
     and ``end`` of the span (code points, end exclusive).
 
-    A template that occurs several times in a document gives a row each.
+    A template that occurs several times in a document, or in parts, gives a row
+    for each span; ``coverage`` and ``matched_words`` are those of the span, while
+    ``min_coverage`` holds for the words that all of them match.
     Templates of fewer than GRAM words, and empty or null texts, never match.
     Repeated rows are repeated.
     """
