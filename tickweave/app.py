@@ -10,8 +10,8 @@ writes, under ``output_dir``:
                   count, moving average of close, average gain, total and
                   integer-mean volume, RSI and RSI without the first change;
 * ``top_gain`` / ``top_volume``  the best symbol of each closed window;
-* ``text``        ``(symbol,value)`` lines of the average, gain, volume and RSI of
-                  each closed window (``output=<name>/window=<start>``);
+* ``text``        ``<window start> (symbol,value)`` lines of the average, gain, volume
+                  and RSI of each closed window (``output=<name>``);
 * ``smoothed``    RSI smoothed across windows;
 * ``profit``      cumulative profit (mean close - mean open) per symbol since
                   the start, in descending order; ``top_profit`` its best symbol.

@@ -35,27 +35,33 @@ def write_pair_text(df: DataFrame, path: str, key: str, value: str) -> None:
 
 #: Fixed value: the four text outputs of the feed, as columns of the window report.
 TEXT_OUTPUTS = ("sma_close", "avg_gain", "total_volume", "rsi")
-#: Fixed form of a window's start in the folder names of the text outputs.
-WINDOW_FOLDER = "yyyyMMddHHmmss"
+#: Fixed form of a window's start before each line of the text outputs.
+WINDOW_TEXT = "yyyyMMddHHmmss"
 
 
 def write_window_text(report: DataFrame, root: str, outputs: tuple[str, ...], key: str = "symbol") -> None:
-    """``(key,value)`` text lines of each output column and window, in
-    ``root/output=<name>/window=<start>``; all outputs from one pass over
-    ``report``.  A NULL value is not written."""
+    """Lines ``<window start> (key,value)`` of each output column, in
+    ``root/output=<name>``; all outputs from one pass over ``report``.  A NULL
+    value is not written.
+
+    The number of files follows the amount of text, not the number of windows:
+    lines are rebalanced by output, so a task writes one file per output, small
+    outputs share few tasks and a large one is split.
+    """
     values = F.explode(F.array(*(F.struct(F.lit(o).alias("output"), F.col(o).cast("string").alias("text")) for o in outputs)))
-    rows = report.select(key, F.date_format("window_start", WINDOW_FOLDER).alias("window"), values.alias("v"))
-    lines = pair_lines(rows.where("v.text IS NOT NULL").select(key, "window", "v.*"), key, "text", "output", "window")
-    lines.repartition("output", "window").write.mode("overwrite").partitionBy("output", "window").text(root)
+    rows = report.select(key, F.date_format("window_start", WINDOW_TEXT).alias("window"), values.alias("v"))
+    pairs = pair_lines(rows.where("v.text IS NOT NULL").select(key, "window", "v.*"), key, "text", "output", "window")
+    lines = pairs.select("output", F.concat_ws(" ", "window", "value").alias("value"))
+    lines.hint("rebalance", "output").write.mode("overwrite").partitionBy("output").text(root)
 
 
 def read_window_text(spark: SparkSession, root: str) -> DataFrame:
     """The lines of ``write_window_text`` as ``output``, ``window_start``, ``symbol`` and ``value`` (double)."""
-    pair = r"^\((.*),([^,]*)\)$"
+    line = r"^([0-9]+) \((.*),([^,]*)\)$"
     lines = spark.read.text(root)
-    return lines.select("output", F.to_timestamp(F.col("window").cast("string"), WINDOW_FOLDER).alias("window_start"),
-                        F.regexp_extract("value", pair, 1).alias("symbol"),
-                        F.regexp_extract("value", pair, 2).cast("double").alias("value"))
+    return lines.select("output", F.to_timestamp(F.regexp_extract("value", line, 1), WINDOW_TEXT).alias("window_start"),
+                        F.regexp_extract("value", line, 2).alias("symbol"),
+                        F.regexp_extract("value", line, 3).cast("double").alias("value"))
 
 
 def per_batch_parquet(root: str, partition_by: tuple[str, ...] = (),
