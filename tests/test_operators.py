@@ -1,6 +1,7 @@
 """Hand-worked cases for each operator, plus properties checked against brute force."""
 
 import datetime as dt
+import math
 import random
 from decimal import Decimal
 
@@ -181,7 +182,7 @@ def test_render_quote(spark):
     assert df.select(render_quote()).first()[0] == "AAA - 2024-01-02 09:31:00 (10.00 - 10.50 - 10.00 - 10.50 - 1200)"
 
 
-@pytest.mark.parametrize("block", [1, 4, 256])
+@pytest.mark.parametrize("block", [1, 2, 4, 256])
 def test_blocked_scan_any_block_size(spark, block):
     rng = random.Random(11)
     rows = [(k, i, rng.uniform(0.1, 1.2), rng.uniform(0, 5), rng.uniform(0, 5))
@@ -295,3 +296,23 @@ def test_changes_run_from_value_to_value(spark):
         "symbol", F.to_timestamp("ts").alias("ts"), "seq", F.col("close").cast("decimal(12,2)").alias("close"))
     got = rsi_window(bars, "1 day", None).collect()
     assert [(r["n_bars"], r["gain"], r["loss"], r["rsi"]) for r in got] == [(5, 3.0, 1.0, 75.0)]
+
+
+def test_scan_digits_do_not_depend_on_the_block_size(spark):
+    rng = random.Random(5)
+    rows = [(k, i, float(rng.randint(1, 30)), rng.uniform(0, 5), rng.uniform(0, 5)) for k in "XY" for i in range(700)]
+    df = spark.createDataFrame(rows, "k string, i int, a double, g double, l double")
+    want = {}
+    for k in "XY":
+        g = l_ = t = 0.0  # brought to sum 1 after each step
+        for _, i, a, bg, bl in (r for r in rows if r[0] == k):
+            g, l_ = a * g + bg * math.exp(-t), a * l_ + bl * math.exp(-t)
+            g, l_, t = g / (g + l_), l_ / (g + l_), t + math.log(g + l_)
+            want[(k, i)] = g
+    for block in (16, 256, 4096):
+        got = affine_scan(df, "k", ["i"], "a", ["g", "l"], block=block, exponent="e").collect()
+        assert {(r["k"], r["i"]): round(r["g"] / (r["g"] + r["l"]), 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
+    plain = affine_scan(df, "k", ["i"], "a", ["g", "l"]).where("i = 699").collect()
+    assert all(math.isinf(r["g"]) and math.isinf(r["l"]) for r in plain)
+    shrinking = df.withColumn("a", F.lit(1e-3)).withColumn("g", F.when(F.col("i") == 0, 1.0).otherwise(0.0))
+    assert {r["g"] for r in affine_scan(shrinking, "k", ["i"], "a", ["g"], block=16).where("i > 300").collect()} == {0.0}

@@ -59,7 +59,7 @@ def test_top_k_limits_each_group_before_the_shuffle(quotes):
 def test_scan_groups_are_bounded_blocks(spark):
     df = spark.createDataFrame([("k", i, 0.5, 1.0) for i in range(10)], "k string, i int, a double, b double")
     p = plan(affine_scan(df, "k", ["i"], "a", ["b"], block=4), "simple")
-    assert re.search(r"keys=\[k#\d+, _groupingexpression", p) or "_block" in p
+    assert "_block" in p
 
 
 def test_wide_sliding_windows_expand_bucket_summaries(quotes):

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from tickweave.functions.scalar import int_mean, mean_of, rsi
 from tickweave.operators.changes import window_changes
-from tickweave.operators.scan import DEFAULT_BLOCK, affine_scan
+from tickweave.operators.scan import DEFAULT_BLOCK, affine_scan, plain_value
 from tickweave.operators.windows import interval_micros, window_grid
 from tickweave.schema import DEFAULT_SLIDE, DEFAULT_WINDOW
 
@@ -93,7 +93,8 @@ def rsi_smoothed(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | Non
 
     * ``wilder``:    ``G = (G_prev * L + g) / (L + 1)``, the same for the loss;
     * ``undivided``: ``G = G_prev * L + g`` (the feed's original update, which
-      lets history grow without bound and overflows; kept for comparison).
+      lets history grow without bound: the averages become infinite, while
+      the index, their ratio, stays finite; kept for comparison).
 
     Both start from 0, or from ``seed`` (``key, avg_gain, avg_loss``: the state
     left by earlier data, as in a stream).  The recurrence is solved with a
@@ -131,10 +132,11 @@ def rsi_smoothed(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | Non
             F.lit(0.0).alias("_a"), F.col("avg_gain").cast("double").alias("avg_gain"),
             F.col("avg_loss").cast("double").alias("avg_loss"), F.lit(True).alias("_seed")))
     scanned = affine_scan(steps, key, ["window_start"], "_a", ["avg_gain", "avg_loss"],
-                          block=block, max_len=max_len).where(~F.col("_seed"))
+                          block=block, max_len=max_len, exponent="_exp").where(~F.col("_seed"))
+    # The index is a ratio: it needs only the mantissas, whatever the exponent.
     return scanned.select("window_start", "window_end", key,
                           (F.col("n_changes") + 1).alias("n_bars"),
-                          "avg_gain", "avg_loss",
+                          plain_value("avg_gain", "_exp").alias("avg_gain"), plain_value("avg_loss", "_exp").alias("avg_loss"),
                           rsi("avg_gain", "avg_loss").alias("rsi"))
 
 

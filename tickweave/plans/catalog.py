@@ -152,6 +152,13 @@ def q_rsi_undivided(spark: SparkSession, d: str) -> DataFrame:
     return _smoothed(spark, d, "undivided")
 
 
+def q_rsi_undivided_long(spark: SparkSession, d: str) -> DataFrame:
+    """The undivided update over some 360 windows of a key, whose averages leave
+    the range of doubles while their ratio does not."""
+    r = rsi_smoothed(load_quotes(spark, d), "4 hours", "2 hours", mode="undivided")
+    return r.select("window_start", "window_end", "symbol", "n_bars", F.round("rsi", RSI_DIGITS).alias("rsi"))
+
+
 def q_rsi_carry_forward(spark: SparkSession, d: str) -> DataFrame:
     quotes = load_quotes(spark, d, key="user_id")
     summaries = cut_lineage(window_changes(quotes, DAY_WINDOW, DAY_SLIDE))

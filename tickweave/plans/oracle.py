@@ -123,6 +123,24 @@ sm AS (
   FROM e JOIN rec USING (symbol, k))"""
 
 
+def _undivided_scaled(w=("2 hours", 2, "4 hours")) -> str:
+    """The undivided update with gain and loss brought to sum 1 after each step
+    and the logarithm ``t`` of the factor taken out so far."""
+    g, l_ = "(r.g * e.n_changes + e.gain * exp(-r.t))", "(r.l * e.n_changes + e.loss * exp(-r.t))"
+    total = f"CASE WHEN {g} + {l_} > 0 THEN {g} + {l_} ELSE 1.0 END"
+    return f"""WITH RECURSIVE {_changes(w=w)},
+e AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start) AS k
+  FROM s WHERE n_changes >= 1),
+rec(symbol, k, g, l, t) AS (
+  SELECT symbol, k, gain, loss, CAST(0 AS DOUBLE) FROM e WHERE k = 1
+  UNION ALL
+  SELECT e.symbol, e.k, {g} / ({total}), {l_} / ({total}), r.t + ln({total})
+  FROM rec r JOIN e ON e.symbol = r.symbol AND e.k = r.k + 1)
+SELECT e.window_start, e.window_end, e.symbol, e.n_changes + 1 AS n_bars, round({_rsi('rec.g', 'rec.l')}, 6) AS rsi
+FROM e JOIN rec USING (symbol, k)"""
+
+
 def _carry(key: str = "user_id", w=DAY) -> str:
     slide, _, length = w
     return f"""WITH RECURSIVE {_smoothed('wilder', key, w)},
@@ -274,6 +292,7 @@ FROM m JOIN r USING (window_start, symbol)""",
     "q_rsi_hourly": _rsi_window(w=("5 minutes", 12, "1 hour"), cols="gain, loss, rsi, rsi_skip_first"),
     "q_rsi_users": _rsi_window("user_id"),
     "q_rsi_wilder": "WITH RECURSIVE " + _smoothed("wilder") + "\nSELECT * FROM sm",
+    "q_rsi_undivided_long": _undivided_scaled(),
     "q_rsi_undivided": "WITH RECURSIVE " + _smoothed("undivided") + "\nSELECT * FROM sm",
     "q_rsi_carry_forward": _carry(),
     "q_profit": f"""WITH {_quotes()}

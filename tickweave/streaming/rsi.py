@@ -38,8 +38,6 @@ from tickweave.operators.ranking import top_k
 from tickweave.operators.windows import interval_micros
 from tickweave.sinks.files import TEXT_OUTPUTS, batch_path, write_parquet, write_window_text
 
-STREAM_BLOCK = 4096
-
 
 class StreamingRsi:
     """``foreachBatch`` function computing windowed and smoothed RSI.
@@ -168,10 +166,7 @@ class StreamingRsi:
                 closed_us: int, batch_id: int) -> None:
         """Fold the newly closed windows into the smoothed state; write it and the carried values."""
         seed = None if smooth_prev is None else smooth_prev.where(F.col("avg_gain").isNotNull())
-        # A batch closes at most (batch span / slide) windows per key: one
-        # in-row block holds them, so no doubling rounds are needed.
-        smoothed = rsi_smoothed(None, key=self.key, mode=self.mode, summaries=done, seed=seed,
-                                block=STREAM_BLOCK).persist()
+        smoothed = rsi_smoothed(None, key=self.key, mode=self.mode, summaries=done, seed=seed).persist()
         write_parquet(smoothed, batch_path(f"{self.root}/smoothed", batch_id))
         write_parquet(self._next_state(done, smoothed, smooth_prev), self._path("smooth", batch_id))
         smooth_next = self._read(spark, "smooth", batch_id)
