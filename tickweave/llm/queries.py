@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from tickweave.llm.common import documents
 from tickweave.llm.exact_dedup import exact_duplicates
+from tickweave.llm.lexical import build_index, search
 from tickweave.llm.license_scan import notice_templates, scan
 from tickweave.llm.line_templates import drop_recurring_lines
+from tickweave.llm.merkle import siblings, tamper_check
 from tickweave.llm.packing import pack_documents
 from tickweave.llm.quality_net import classify
 from tickweave.llm.repetition import repetition
@@ -92,9 +94,22 @@ def op10_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), JSON_VOCABULARY, 0)
 
 
+def op11_merkle_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, proofs and roots of all documents, and the check of a tampered copy."""
+    return tamper_check(documents(spark, sf_dir)).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(siblings(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", "verified")
+
+
+def op12_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best of all documents for each text of ``benchmark``."""
+    return search(build_index(documents(spark, sf_dir)), read_table(spark, sf_dir, "benchmark"), 50)
+
+
 QUERIES = {q.__name__: q for q in (
     op1_blob_ledger, op2_byte_cnn, op3_license_scan, op4_suffix_repetition, op5_simhash_golay,
-    op6_line_templates, op7_word_bpe, op8_token_files, op9_exact_dedup, op10_bin_slack_packing)}
+    op6_line_templates, op7_word_bpe, op8_token_files, op9_exact_dedup, op10_bin_slack_packing,
+    op11_merkle_forward, op12_block_max_search)}
 
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
@@ -140,4 +155,73 @@ ORACLE_SQL = {
         SELECT doc_id, any_value(n_lines) AS n_lines, count(g.place) AS n_dropped,
                coalesce(string_agg(l.body, chr(10) ORDER BY l.place) FILTER (WHERE g.place IS NULL), '') AS text
         FROM lines l LEFT JOIN gone g USING (doc_id, text, place) GROUP BY doc_id, l.text""",
+    "op11_merkle_forward": r"""
+        WITH RECURSIVE crc_table AS (
+            SELECT list(c ORDER BY i) AS steps FROM (
+                SELECT i, list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+                FROM range(0, 256) AS r(i))),
+        fields AS (
+            SELECT doc_id, lang, n_chars, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') AS head, coalesce(strlen(text) || ':' || text, '-') AS tail,
+                   xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT),
+                       lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS crc
+            FROM documents, crc_table),
+        leaves AS (
+            SELECT doc_id, coalesce('+' || lang, '') AS tree, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+                   CASE WHEN crc % 7 = 0 AND n_chars IS NOT NULL
+                        THEN sha256(head || strlen((n_chars::HUGEINT + 1)::VARCHAR) || ':' || (n_chars::HUGEINT + 1) || tail) END AS tampered
+            FROM fields),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+        lower_nodes(tree, level, pos, n, node) AS (
+            SELECT tree, 0::BIGINT, pos, n, leaf FROM placed
+            UNION ALL
+            SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY pos))
+            FROM lower_nodes WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+        subroots AS (SELECT tree, level, node AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS trees FROM lower_nodes WHERE n = 1),
+        upper_nodes(level, pos, n, node) AS (
+            SELECT 0::BIGINT, place, trees, subroot FROM subroots
+            UNION ALL
+            SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY pos)) FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 2, n),
+        top AS (SELECT level, node AS root FROM upper_nodes WHERE n = 1),
+        steps AS (
+            SELECT p.tree, p.pos, l AS rung, xor(p.pos >> l, 1) < (p.pos >> l) AS is_left, s.node AS sibling
+            FROM placed p JOIN subroots r USING (tree), unnest(range(0, r.level)) AS u(l)
+                 LEFT JOIN lower_nodes s ON s.tree = p.tree AND s.level = l AND s.pos = xor(p.pos >> l, 1)
+            UNION ALL
+            SELECT p.tree, p.pos, 1000 + l, xor(r.place >> l, 1) < (r.place >> l), s.node
+            FROM placed p JOIN subroots r USING (tree), top t, unnest(range(0, t.level)) AS u(l)
+                 LEFT JOIN upper_nodes s ON s.level = l AND s.pos = xor(r.place >> l, 1)),
+        proofs AS (
+            SELECT tree, pos, list(CASE WHEN sibling IS NULL THEN '=' WHEN is_left THEN 'L' || sibling ELSE 'R' || sibling END ORDER BY rung) AS proof
+            FROM steps GROUP BY tree, pos),
+        done AS (
+            SELECT doc_id, leaf, subroot, root, sha256(coalesce(translate(array_to_string(proof, ''), 'LR=', ''), '')) AS proof_sha256,
+                   list_reduce(coalesce(proof, []), lambda node, s: sha256(CASE s[1] WHEN 'L' THEN s[2:] || node WHEN 'R' THEN node || s[2:] ELSE node END),
+                               coalesce(tampered, leaf)) AS folded_root
+            FROM placed JOIN subroots USING (tree) LEFT JOIN proofs USING (tree, pos), top)
+        SELECT *, folded_root = root AS verified FROM done""",
+    "op12_block_max_search": r"""
+        WITH tokens AS (
+            SELECT doc_id, pos, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM (SELECT doc_id, text, row_number() OVER () AS pos FROM documents)),
+        postings AS (SELECT pos, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM tokens GROUP BY pos, term),
+        sizes AS (SELECT pos, sum(tf)::BIGINT AS n FROM postings GROUP BY pos),
+        corpus AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes),
+        weights AS (
+            SELECT term, floor(1000 * ln((2.0::DOUBLE * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+            FROM postings, corpus GROUP BY term),
+        queries AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        scored AS (
+            SELECT item_id, pos, any_value(doc_id) AS doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+            FROM queries JOIN weights USING (term) JOIN postings USING (term) JOIN sizes USING (pos), corpus GROUP BY item_id, pos)
+        SELECT * FROM (
+            SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+            FROM scored WHERE score > 0)
+        WHERE rank <= 50""",
 }
