@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tickweave.llm.common import documents
 from tickweave.llm.exact_dedup import exact_duplicates
+from tickweave.llm.jaccard import similar_documents
 from tickweave.llm.lexical import build_index, search
 from tickweave.llm.license_scan import notice_templates, scan
 from tickweave.llm.line_templates import drop_recurring_lines
@@ -106,10 +107,15 @@ def op12_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(build_index(documents(spark, sf_dir)), read_table(spark, sf_dir, "benchmark"), 50)
 
 
+def op13_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of like sets of 4-word shingles, by component."""
+    return similar_documents(documents(spark, sf_dir))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_blob_ledger, op2_byte_cnn, op3_license_scan, op4_suffix_repetition, op5_simhash_golay,
     op6_line_templates, op7_word_bpe, op8_token_files, op9_exact_dedup, op10_bin_slack_packing,
-    op11_merkle_forward, op12_block_max_search)}
+    op11_merkle_forward, op12_block_max_search, op13_token_group_join)}
 
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
