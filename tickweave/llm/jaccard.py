@@ -47,7 +47,7 @@ GROUP_SHINGLES = 1 << 18
 QUERIES = 4096
 #: Least number of classes that have a frequent shingle, and most entries of that list.
 FREQUENT_FROM, FREQUENT = 64, 1 << 22
-#: Classes up to which their keys are broadcast to the scan of the sets (16 bytes each).
+#: Rows up to which the narrow table of where sets go is broadcast to the scan of the sets (24 bytes each).
 BROADCAST_KEYS = 1 << 20
 #: Sets that a task remembers to have written.
 SEEN = 1 << 20
@@ -250,41 +250,72 @@ class Group:
         return self.keys[(100 * shared >= percent * (n + self.size - shared)) & (self.keys != key)]
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, placed: DataFrame, sets: DataFrame, percent: int, within: bool) -> DataFrame:
     """Links (``a``, ``b``) that connect all classes that are similar, among the
-    candidates ``pairs`` (``key``, ``gid``); ``sets``: ``key``, ``n``, ``gid``, ``tokens``."""
-    asked = pairs.groupBy("gid").agg(F.count("*").alias("asked")).select(
-        F.col("gid").alias("to"), F.ceil(F.col("asked") / QUERIES).cast("int").alias("parts"))
+    candidates ``pairs`` (``key``, ``gid``) and, if ``within``, inside each group.
+
+    ``placed`` has the group of each class.  Where each set goes is decided with
+    narrow rows; the sets themselves are shuffled just once for each group that
+    they go to, and not at all for a class that is alone in its group and that
+    nobody asks for.
+    """
+    asked = pairs.groupBy("gid").agg(F.count("*").alias("asked"))
+    sizes = placed.groupBy("gid").agg(F.count("*").alias("size"))
+    wanted = sizes.join(asked, "gid", "left").select(
+        F.col("gid").alias("to"), "size", F.coalesce("asked", F.lit(0)).alias("asked"),
+        F.greatest(F.ceil(F.coalesce("asked", F.lit(0)) / QUERIES), F.lit(1)).cast("int").alias("parts"))
+    wanted = wanted.where((F.col("asked") > 0) | (F.lit(within) & (F.col("size") > 1)))
     # The queries of a group are dealt over parts, each with a copy of the group.
-    members = sets.join(asked, F.col("gid") == F.col("to")).select(
-        "gid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "key", "tokens")
-    queries = pairs.withColumnRenamed("gid", "to").join(asked, "to").join(sets.select("key", "tokens"), "key").select(
-        F.col("to").alias("gid"), F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"), "key", "tokens")
-    dealt = members.unionByName(queries).repartition("gid", "part").sortWithinPartitions("gid", "part", "kind", "key")
+    members = placed.join(wanted, F.col("gid") == F.col("to")).select(
+        "key", "gid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"))
+    queries = pairs.withColumnRenamed("gid", "to").join(wanted, "to").select(
+        "key", F.col("to").alias("gid"), F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"))
+    routes = written(members.unionByName(queries), "set-routes")
+    routes = F.broadcast(routes) if routes.count() <= BROADCAST_KEYS else routes
+    dealt = sets.where("tokens IS NOT NULL").select("key", "tokens").join(routes, "key")
+    dealt = dealt.repartition("gid", "part").sortWithinPartitions("gid", "part", "kind", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, keys, sets, group, a, b = None, [], [], None, [], []
+        last, keys, tokens, group, a, b = None, [], [], None, [], []
+
+        def ask(key: int, own: bytes) -> None:
+            linked = group.links(key, np.frombuffer(own, "<u8"), percent)
+            if len(linked):
+                a.append(np.full(len(linked), key))
+                b.append(linked)
+
+        def complete() -> Group:
+            nonlocal group
+            group = Group(keys, tokens)
+            if within and last[1] == 0 and len(keys) > 1:
+                for k, own in zip(keys, tokens):
+                    ask(k, own)
+            return group
 
         def connected() -> pa.RecordBatch:
             node, root = local_roots(np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64),) * 2
+            a.clear()
+            b.clear()
             return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(root, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            for gid, part, kind, key, tokens in zip(*(batch.column(c).to_pylist() for c in ("gid", "part", "kind", "key", "tokens"))):
+            for gid, part, kind, key, own in zip(*(batch.column(c).to_pylist() for c in ("gid", "part", "kind", "key", "tokens"))):
                 if (gid, part) != last:
-                    last, keys, sets, group = (gid, part), [], [], None
+                    if keys and group is None:
+                        complete()
+                    last, keys, tokens, group = (gid, part), [], [], None
                 if kind == 0:
-                    keys.append(key)
-                    sets.append(tokens)
-                    continue
-                group = group or Group(keys, sets)
-                linked = group.links(key, np.frombuffer(tokens, "<u8"), percent)
-                if len(linked):
-                    a.append(np.full(len(linked), key))
-                    b.append(linked)
+                    # A set that several tasks wrote comes again.
+                    if not keys or keys[-1] != key:
+                        keys.append(key)
+                        tokens.append(own)
+                else:
+                    group or complete()
+                    ask(key, own)
             if sum(map(len, a)) > 1 << 20:
                 yield connected()
-                a, b = [], []
+        if keys and group is None:
+            complete()
         yield connected()
 
     return map_arrow(dealt, run, "a long, b long")
@@ -307,13 +338,8 @@ def similar_classes(sets: DataFrame, percent: int = PERCENT, group_classes: int
     placed = written(placed.select("key", "n", F.xxhash64("least", "band", "part").alias("gid"),
                                    F.xxhash64("least", "band", F.lit(0).cast("bigint")).alias("head")), "shared-groups")
 
-    keys = placed.select("key", "gid")
-    keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-    full = sets.where("tokens IS NOT NULL").join(keys, "key")
-    full = written(full.groupBy("key").agg(F.first("n").alias("n"), F.first("gid").alias("gid"), F.first("tokens").alias("tokens")), "open-sets")
-
-    near = placed.select("key", "gid").unionByName(placed.where("head <> gid").select("key", F.col("head").alias("gid")))
-    links = written(_verified(near, full, percent), "near-links")
+    heads = placed.where("head <> gid").select("key", F.col("head").alias("gid"))
+    links = written(_verified(heads, placed, sets, percent, True), "near-links")
     joined = components(links).select(F.col("node").alias("key"), "root")
     known = written(placed.join(joined, "key", "left").select("key", "n", "gid", F.coalesce("root", "key").alias("comp")), "near-classes")
 
@@ -328,7 +354,7 @@ def similar_classes(sets: DataFrame, percent: int = PERCENT, group_classes: int
     apart = (F.col("comp_low") != F.col("comp")) | (F.col("comp_high") != F.col("comp"))
     pairs = rows.join(matrix, (F.col("token") == F.col("m_token")) & (F.col("m_gid") >= F.col("gid")) & fits & apart)
     pairs = written(pairs.select("key", F.col("m_gid").alias("gid")).distinct(), "candidate-groups")
-    return components(written(links.unionByName(_verified(pairs, full, percent)), "all-links"))
+    return components(written(links.unionByName(_verified(pairs, placed, sets, percent, False)), "all-links"))
 
 
 def similar_documents(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, group_classes: int = GROUP_CLASSES,
