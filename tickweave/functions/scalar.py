@@ -21,14 +21,20 @@ def mean_of(total: str | Column, count: str | Column) -> Column:
     return F.try_divide(col_(total).cast("double"), col_(count).cast("double"))
 
 
+def exact_sum(x: str | Column) -> Column:
+    """Sum of integers that cannot overflow: decimal(38,0) whatever their number."""
+    return F.sum(col_(x).cast("decimal(28,0)"))
+
+
 def int_mean(total: str | Column, count: str | Column) -> Column:
     """Truncating integer mean, like Java ``int / int`` (``7 / -2 = -3``); NULL for count 0.
 
-    An integral division (``div``), exact for all of bigint.
+    An integral division (``div``), exact for totals far beyond bigint; NULL
+    where the mean itself is none.
     """
-    t = col_(total).cast("bigint")
-    n = col_(count).cast("bigint")
-    return F.when(n != 0, F.call_function("div", t, n))
+    t = col_(total).cast("decimal(38,0)")
+    n = col_(count).cast("decimal(19,0)")
+    return F.when((n != 0) & (F.abs(t) < F.abs(n) * F.lit(str(2 ** 63)).cast("decimal(19,0)")), F.call_function("div", t, n))
 
 
 def positive_part(x: str | Column) -> Column:

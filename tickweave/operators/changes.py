@@ -8,11 +8,8 @@ need bars of earlier buckets; they are re-lagged in a second pass over the
 first and last two bars of every bucket (at most four rows per key and
 bucket, however dense the data).
 
-A change belongs to a time window when both of its bars lie in the window, so
-a window's bar sequence never has to be gathered or sorted: each bar is
-assigned to the windows that contain it, its change counts where the previous
-bar is inside too, and the per-window results are plain sums and counts
-(hash aggregation with map-side combine).
+The changes of time windows need no such list: they are merged from runs (see
+``runs``).
 """
 
 from __future__ import annotations
@@ -23,18 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickweave.functions.scalar import negative_part, positive_part
-from tickweave.operators.aggregates import PREAGGREGATE_RATIO
-from tickweave.operators.windows import flatten_window, interval_micros, window_col
+from tickweave.operators.runs import DEFAULT_BUCKET, run_columns, window_runs
+from tickweave.operators.windows import flatten_window
 from tickweave.schema import DEFAULT_SLIDE, DEFAULT_WINDOW
 
 _B = "_bucket"
-# Width of the time buckets that split each key's ordered work.  It does not
-# change any result; it bounds a task to five minutes of one key's bars, so a
-# key holding a third of all rows still spreads over many tasks, while adding
-# at most four edge rows per key and bucket.
-DEFAULT_BUCKET = "5 minutes"
-
 
 def bar_changes(bars: DataFrame, key: str = "symbol", time: str = "ts",
                 order: Sequence[str] = ("seq",), value: str = "close",
@@ -81,75 +71,18 @@ def bar_changes(bars: DataFrame, key: str = "symbol", time: str = "ts",
 def window_changes(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,
                    key: str = "symbol", time: str = "ts", order: Sequence[str] = ("seq",),
                    value: str = "close", bucket: str | None = None,
-                   extra: Sequence = ()) -> DataFrame:
+                   extra: Sequence = (), member: str | None = None) -> DataFrame:
     """Per key and window: ``n_bars``, ``n_changes`` and the sums of positive
     (``gain``) and absolute negative (``loss``) changes between consecutive
     bars inside the window (exact decimals), plus ``first_gain`` /
     ``first_loss``, the part of those sums due to the window's first change.
 
-    ``extra`` holds ``(bar columns, name, aggregate)`` triples computed in the
-    same aggregation (see ``window_report``).
-    """
-    carry = [c for cols, _, _ in extra for c in cols]
-    changes = bar_changes(bars, key, time, order, value, bucket or DEFAULT_BUCKET, carry)
-    w_us = interval_micros(window)
-    s_us = interval_micros(slide) if slide else w_us
-    if s_us < w_us and w_us % s_us == 0 and w_us // s_us > PREAGGREGATE_RATIO:
-        return _bucketed_window_changes(changes, window, slide, w_us // s_us, key, extra)
-    start = F.col("window.start")
-    inside = F.col("prev_ts") >= start
-    first = inside & (F.col("prev2_ts").isNull() | (F.col("prev2_ts") < start))
-    ch = F.when(inside, F.col("change"))
-    first_ch = F.when(first, F.col("change"))
-    return flatten_window(
-        changes.withColumn("window", window_col("cur_ts", window, slide))
-        .groupBy("window", key)
-        .agg(F.count(F.lit(1)).alias("n_bars"),
-             F.count(ch).alias("n_changes"),
-             F.sum(positive_part(ch)).alias("gain"),
-             F.sum(negative_part(ch)).alias("loss"),
-             F.sum(positive_part(first_ch)).alias("first_gain"),
-             F.sum(negative_part(first_ch)).alias("first_loss"),
-             *[agg.alias(name) for _, name, agg in extra]))
-
-
-def _bucketed_window_changes(changes: DataFrame, window: str, slide: str, ratio: int, key: str,
-                             extra: Sequence) -> DataFrame:
-    """``window_changes`` for wide sliding windows (many windows per bar).
-
-    With windows on the slide grid, whether a change lies inside a window
-    (its previous bar does) and whether it is the window's first change (the
-    bar two back does not) depends only on the slide buckets of the three
-    bars.  Bars are therefore summed per key and bucket triple first, and only
-    those sums are copied into the ``ratio`` windows of their bucket.  The
-    ``extra`` aggregates must be sums or counts (they are summed again).
+    They come from the runs of short time buckets, merged in time order (see
+    ``runs``).  ``extra`` holds ``(bar columns, name, aggregate)`` triples
+    computed in the same aggregation (see ``window_report``); the aggregates
+    must be sums or counts.  With ``member`` a bar belongs to the windows that
+    contain that time (say, of its arrival), while the bars of a window are
+    ordered by ``time``.
     """
-    step = F.expr(f"INTERVAL {slide}")
-    # A window over a NULL time drops the row, so bucket a stand-in and
-    # restore the NULL (no previous bar) afterwards.
-    rows = (changes.withColumn("_bc", F.window("cur_ts", slide).start)
-            .withColumn("_bp", F.window(F.coalesce("prev_ts", "cur_ts"), slide).start)
-            .withColumn("_bp", F.when(F.col("prev_ts").isNotNull(), F.col("_bp")))
-            .withColumn("_b2", F.window(F.coalesce("prev2_ts", "cur_ts"), slide).start)
-            .withColumn("_b2", F.when(F.col("prev2_ts").isNotNull(), F.col("_b2"))))
-    groups = rows.groupBy(key, "_bc", "_bp", "_b2").agg(
-        F.count(F.lit(1)).alias("_n"), F.count("change").alias("_nc"),
-        F.sum(positive_part("change")).alias("_g"), F.sum(negative_part("change")).alias("_l"),
-        *[agg.alias(name) for _, name, agg in extra])
-    names = [name for _, name, _ in extra]
-    start = F.col("window_start")
-    spread = groups.withColumn("window_start", F.explode(F.sequence(
-        F.col("_bc") - step * (ratio - 1), F.col("_bc"), step)))
-    inside = F.col("_bp").isNotNull() & (start <= F.col("_bp"))
-    first = inside & (F.col("_b2").isNull() | (start > F.col("_b2")))
-    zero = F.lit(0)
-    out = spread.groupBy("window_start", key).agg(
-        F.sum("_n").alias("n_bars"),
-        F.coalesce(F.sum(F.when(inside, F.col("_nc"))), zero.cast("bigint")).alias("n_changes"),
-        F.coalesce(F.sum(F.when(inside, F.col("_g"))), zero).alias("gain"),
-        F.coalesce(F.sum(F.when(inside, F.col("_l"))), zero).alias("loss"),
-        F.coalesce(F.sum(F.when(first, F.col("_g"))), zero).alias("first_gain"),
-        F.coalesce(F.sum(F.when(first, F.col("_l"))), zero).alias("first_loss"),
-        *[F.sum(n).alias(n) for n in names])
-    return out.select("window_start", (start + F.expr(f"INTERVAL {window}")).alias("window_end"),
-                      key, *[c for c in out.columns if c not in ("window_start", key)])
+    runs = window_runs(bars, window, slide, key, time, order, value, bucket or DEFAULT_BUCKET, member, extra)
+    return flatten_window(run_columns(runs, key, [name for _, name, _ in extra]))

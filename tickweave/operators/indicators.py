@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickweave.functions.scalar import int_mean, mean_of, rsi
+from tickweave.functions.scalar import exact_sum, int_mean, mean_of, rsi
 from tickweave.operators.changes import window_changes
 from tickweave.operators.scan import DEFAULT_BLOCK, affine_scan, plain_value
-from tickweave.operators.windows import interval_micros, window_grid
+from tickweave.operators.windows import interval_micros
 from tickweave.schema import DEFAULT_SLIDE, DEFAULT_WINDOW
 
 SMOOTHING_MODES = ("wilder", "undivided")
@@ -19,14 +19,14 @@ SMOOTHING_MODES = ("wilder", "undivided")
 
 def rsi_window(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,
                key: str = "symbol", time: str = "ts", order: Sequence[str] = ("seq",),
-               value: str = "close", min_bars: int = 2, bucket: str | None = None) -> DataFrame:
+               value: str = "close", min_bars: int = 2, bucket: str | None = None, member: str | None = None) -> DataFrame:
     """Stateless RSI of each key and window from the changes inside the window.
 
     ``rsi`` uses all changes; ``rsi_skip_first`` leaves out the window's first
     change (the feed's original indicator started one bar late).  RSI is NULL
     with fewer than ``min_bars`` bars or when no price moved.
     """
-    wc = window_changes(bars, window, slide, key, time, order, value, bucket)
+    wc = window_changes(bars, window, slide, key, time, order, value, bucket, member=member)
     enough = F.col("n_bars") >= min_bars
     return wc.select(
         "window_start", "window_end", key, "n_bars",
@@ -38,17 +38,16 @@ def rsi_window(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | None
     )
 
 
-def report_aggregates(close: str = "close", open_: str = "open", volume: str = "volume") -> list:
+def report_aggregates(open_: str = "open", volume: str = "volume", value: str = "close") -> list:
     """The window-metric aggregates ``window_changes(extra=...)`` adds to its
-    own, as ``(bar columns they need, name, aggregate)`` triples.  The close
-    is the changes' ``value`` column.  All are sums or counts, so they can be
-    summed again across buckets."""
-    gain = F.col("value") - F.col(open_)
+    own, as ``(bar columns they need, name, aggregate)`` triples.  All are sums
+    or counts, so they can be summed again across buckets."""
+    gain = F.col(value) - F.col(open_)
     return [((open_, volume), "_sum_gain", F.sum(gain)),
             ((), "_n_gain", F.count(gain)),
-            ((), "_sum_close", F.sum("value")),
-            ((), "_n_close", F.count("value")),
-            ((), "total_volume", F.sum(volume).cast("bigint")),
+            ((), "_sum_close", F.sum(value)),
+            ((), "_n_close", F.count(value)),
+            ((), "total_volume", exact_sum(volume)),
             ((), "_n_volume", F.count(volume))]
 
 
@@ -59,7 +58,7 @@ def report_columns(wc: DataFrame, key: str = "symbol", min_bars: int = 2) -> Dat
         "window_start", "window_end", key, F.col("n_bars").alias("n_quotes"),
         mean_of("_sum_close", "_n_close").alias("sma_close"),
         mean_of("_sum_gain", "_n_gain").alias("avg_gain"),
-        F.col("total_volume").cast("bigint").alias("total_volume"),
+        F.col("total_volume").try_cast("bigint").alias("total_volume"),
         int_mean("total_volume", "_n_volume").alias("int_avg_volume"),
         F.col("gain").cast("double").alias("gain"), F.col("loss").cast("double").alias("loss"),
         F.when(enough, rsi("gain", "loss")).alias("rsi"),
@@ -70,14 +69,14 @@ def report_columns(wc: DataFrame, key: str = "symbol", min_bars: int = 2) -> Dat
 def window_report(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,
                   key: str = "symbol", time: str = "ts", order: Sequence[str] = ("seq",),
                   close: str = "close", open_: str = "open", volume: str = "volume",
-                  min_bars: int = 2, bucket: str | None = None) -> DataFrame:
+                  min_bars: int = 2, bucket: str | None = None, member: str | None = None) -> DataFrame:
     """Window metrics and window RSI of each key from one aggregation: quote
     count, moving average of close, average gain, total and integer-mean
     volume, gain/loss sums, RSI and RSI without the first change.  Equal to
     ``window_metrics`` joined with ``rsi_window``, with one shuffle instead of
     two and no join."""
     wc = window_changes(bars, window, slide, key, time, order, close, bucket,
-                        report_aggregates(close, open_, volume))
+                        report_aggregates(open_, volume, close), member)
     return report_columns(wc, key, min_bars)
 
 
@@ -140,26 +139,59 @@ def rsi_smoothed(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | Non
                           rsi("avg_gain", "avg_loss").alias("rsi"))
 
 
+def carry_intervals(values: DataFrame, present: DataFrame, key: str = "symbol", cols: Sequence[str] = ("rsi",)) -> DataFrame:
+    """The known value of every key over time as intervals: ``key``, ``valid_from``,
+    ``valid_to`` (the window start from which the next value holds, NULL for
+    the last one) and ``cols``: a keyed state that is never dropped, in one row
+    per change instead of one per key and slide.
+
+    ``present`` lists ``key, window_start`` of the windows where a key has data
+    (a key is known from its first one on, with NULL until it has a value);
+    ``values`` holds ``key, window_start, *cols``.
+    """
+    firsts = present.groupBy(key).agg(F.min("window_start").alias("window_start")).select(
+        key, "window_start", *[F.lit(None).cast(values.schema[c].dataType).alias(c) for c in cols], F.lit(0).alias("_has"))
+    known = values.where(F.coalesce(*[F.col(c).cast("string") for c in cols]).isNotNull())
+    points = firsts.unionByName(known.select(key, "window_start", *cols, F.lit(1).alias("_has")))
+    w = Window.partitionBy(key).orderBy("window_start", "_has")
+    carried = w.rowsBetween(Window.unboundedPreceding, 0)
+    rows = points.select(key, F.col("window_start").alias("valid_from"), F.lead("window_start").over(w).alias("valid_to"),
+                         *[F.last(c, ignorenulls=True).over(carried).alias(c) for c in cols])
+    return rows.where(F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to")))
+
+
+def values_at(intervals: DataFrame, points: DataFrame, time: str, key: str = "symbol", cols: Sequence[str] = ("rsi",)) -> DataFrame:
+    """The ``points`` (``key``, ``time`` and any other columns) with the values that
+    hold at their time (NULL before a key is known): one ordered pass over both."""
+    none = [F.lit(None).cast(intervals.schema[c].dataType).alias(c) for c in cols]
+    other = [c for c in points.columns if c not in (key, time, *cols)]
+    starts = intervals.select(key, F.col("valid_from").alias(time), F.struct(*cols).alias("_v"),
+                              *[F.lit(None).cast(points.schema[c].dataType).alias(c) for c in other], F.lit(0).alias("_is"))
+    asked = points.select(key, F.col(time).cast(intervals.schema["valid_from"].dataType).alias(time),
+                          F.when(F.lit(False), F.struct(*none)).alias("_v"), *other, F.lit(1).alias("_is"))
+    w = Window.partitionBy(key).orderBy(time, "_is").rowsBetween(Window.unboundedPreceding, 0)
+    found = starts.unionByName(asked).withColumn("_v", F.last("_v", ignorenulls=True).over(w)).where("_is = 1")
+    return found.select(key, time, *other, *[F.col("_v")[c].alias(c) for c in cols])
+
+
+def expand_intervals(intervals: DataFrame, until: Column, slide: str, window: str, key: str = "symbol",
+                     cols: Sequence[str] = ("rsi",)) -> DataFrame:
+    """One row per key and window of the ``slide`` grid from the key's first
+    interval to the window start ``until``, generated where the interval is."""
+    step = F.expr(f"INTERVAL {slide}")
+    last = F.coalesce(F.col("valid_to") - step, until)
+    return intervals.where(F.col("valid_from") <= last).select(
+        key, F.explode(F.sequence("valid_from", last, step)).alias("window_start"), *cols).select(
+        key, "window_start", (F.col("window_start") + F.expr(f"INTERVAL {window}")).alias("window_end"), *cols)
+
+
 def carry_forward(values: DataFrame, present: DataFrame, slide: str, window: str,
                   key: str = "symbol", cols: Sequence[str] = ("rsi",)) -> DataFrame:
-    """Emit every key in every slide from its first window to the last window
-    of the data, carrying the last known value of ``cols`` through windows
-    without one (a keyed state that is never dropped).
-
-    ``present`` lists ``key, window_start`` of the windows where a key has
-    data; ``values`` holds ``key, window_start, *cols``.  The end of the grid
-    is one aggregated value; the grid rows of a key are generated in place by
-    ``sequence`` (no join to build it), and the carry is a running
-    ``last(ignorenulls)`` over the key's windows.
+    """Every key in every slide from its first window to the last window of the
+    data, with the last known value of ``cols``: the intervals of
+    ``carry_intervals``, expanded.  Prefer the intervals where a single far date
+    would stretch the grid.
     """
-    firsts = present.groupBy(key).agg(F.min("window_start").alias("first_start"))
+    intervals = carry_intervals(values, present, key, cols)
     last = present.agg(F.max("window_start")).first()[0]
-    if last is None:
-        return values.select(key, "window_start", F.lit(None).cast("timestamp_ntz").alias("window_end"),
-                             *cols).limit(0)
-    ts_type = present.schema["window_start"].dataType
-    grid = window_grid(firsts, F.lit(last).cast(ts_type), slide, key, window)
-    joined = grid.join(values.select(key, "window_start", *cols), [key, "window_start"], "left")
-    w = Window.partitionBy(key).orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
-    return joined.select(key, "window_start", "window_end",
-                         *[F.last(c, ignorenulls=True).over(w).alias(c) for c in cols])
+    return expand_intervals(intervals, F.lit(last).cast(present.schema["window_start"].dataType), slide, window, key, cols)

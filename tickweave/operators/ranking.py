@@ -41,3 +41,8 @@ def ranked(df: DataFrame, by: str, per: Sequence[str] = ("window_start", "window
 def sorted_desc(df: DataFrame, by: str, tie: Sequence[str] = ("symbol",)) -> DataFrame:
     """The whole result in descending ``by`` order (a total, range-partitioned sort)."""
     return df.orderBy(F.col(by).desc_nulls_last(), *[F.col(t).asc() for t in tie])
+
+
+def first_rows(df: DataFrame, k: int = 10) -> DataFrame:
+    """A preview: any ``k`` rows, without an order (as few tasks run as it takes)."""
+    return df.limit(k)

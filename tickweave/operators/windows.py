@@ -33,43 +33,18 @@ def flatten_window(df: DataFrame, name: str = "window") -> DataFrame:
                      F.col(f"{name}.end").alias("window_end"), *rest)
 
 
-def with_arrival_time(df: DataFrame, name: str = "arrival_ts") -> DataFrame:
-    """Arrival time of each row of a file source: the file's modification time.
-
-    Use it as ``time`` to window by arrival (as a directory-watching feed does)
-    instead of by the quote's own timestamp.
-    """
-    return df.withColumn(name, F.col("_metadata.file_modification_time"))
-
-
-def window_grid(first: DataFrame, last_window_start: Column, slide: str,
-                key: str = "symbol", window: str = DEFAULT_WINDOW) -> DataFrame:
-    """One row per key and slide from the key's first window to ``last_window_start``.
-
-    ``first`` holds ``key`` and ``first_start``.  Each key's rows are produced by
-    ``sequence`` inside one row, so the grid is generated where the key lives,
-    without a join.
-    """
-    step = F.expr(f"INTERVAL {slide}")
-    length = F.expr(f"INTERVAL {window}")
-    return (first
-            .select(key, F.explode(F.sequence(F.col("first_start"), last_window_start, step))
-                    .alias("window_start"))
-            .withColumn("window_end", F.col("window_start") + length))
-
-
-_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+_UNITS = {"millisecond": 1000, "second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6, "day": 86400 * 10**6, "week": 604800 * 10**6}
 
 
 def interval_micros(text: str) -> int:
-    """``'10 minutes'`` -> microseconds (units: second .. week)."""
+    """``'10 minutes'`` -> microseconds (units: millisecond .. week)."""
     if not re.fullmatch(r"(\s*\d+\s*[a-z]+)+\s*", text.lower()):
         raise ValueError(f"cannot read interval {text!r}")
     total = 0
     for n, unit in re.findall(r"(\d+)\s*([a-z]+?)s?\b", text.lower()):
         if unit not in _UNITS:
             raise ValueError(f"unsupported interval unit in {text!r}")
-        total += int(n) * _UNITS[unit] * 1_000_000
+        total += int(n) * _UNITS[unit]
     if not total:
         raise ValueError(f"cannot read interval {text!r}")
     return total

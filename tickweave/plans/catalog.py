@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.functions.scalar import int_mean, render_quote
-from tickweave.operators.aggregates import window_counts, window_metrics
+from tickweave.operators.aggregates import window_count_runs, window_counts, window_metrics
 from tickweave.operators.changes import window_changes
-from tickweave.operators.indicators import carry_forward, rsi_smoothed, rsi_window, window_report
+from tickweave.operators.indicators import carry_forward, carry_intervals, rsi_smoothed, rsi_window, window_report
 from tickweave.operators.profit import cumulative_profit, profit_parity, running_profit, running_profit_carried
 from tickweave.operators.ranking import ranked, top_k
 from tickweave.sinks.files import TEXT_OUTPUTS, read_window_text, write_window_text
@@ -197,6 +197,44 @@ def q_int_avg_volume_large(spark: SparkSession, d: str) -> DataFrame:
     return q.select("symbol", int_mean("total", "n").alias("int_avg_volume"))
 
 
+def q_volume_overflow(spark: SparkSession, d: str) -> DataFrame:
+    """Windows whose total volume may be no bigint: the job goes on, the total is
+    NULL with a reason, the exact sum is kept and the mean is right."""
+    q = load_quotes(spark, d).withColumn("volume", F.col("volume") * F.lit(3_000_000_000_000_000) + F.col("seq"))
+    m = window_metrics(q, DAY_WINDOW, DAY_SLIDE, exact_volume=True)
+    return m.select("window_start", "window_end", "symbol", F.col("total_volume").cast("string").alias("total_volume"), "int_avg_volume",
+                    F.col("exact_volume").cast("string").alias("exact_volume"), "reason")
+
+
+def arrivals(spark: SparkSession, d: str) -> DataFrame:
+    """Quotes that arrive up to 25 minutes after their time, out of order."""
+    return load_quotes(spark, d).withColumn("arrival_ts", F.col("ts") + F.make_dt_interval(secs=(F.col("seq") * 37) % 1500))
+
+
+def q_arrival_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Window metrics by arrival time."""
+    return window_metrics(arrivals(spark, d), FEED_WINDOW, FEED_SLIDE, time="arrival_ts")
+
+
+def q_arrival_rsi(spark: SparkSession, d: str) -> DataFrame:
+    """RSI of the quotes that arrived in a window, in the order of their own times."""
+    r = rsi_window(arrivals(spark, d), "6 hours", "2 hours", member="arrival_ts")
+    return r.select("window_start", "window_end", "symbol", "n_bars", "gain", "loss", "rsi", "rsi_skip_first")
+
+
+def q_carry_intervals(spark: SparkSession, d: str) -> DataFrame:
+    """The smoothed RSI of every user as intervals of validity."""
+    quotes = load_quotes(spark, d, key="user_id")
+    summaries = cut_lineage(window_changes(quotes, DAY_WINDOW, DAY_SLIDE))
+    smoothed = rsi_smoothed(quotes, mode="wilder", summaries=summaries).select("symbol", "window_start", F.round("rsi", RSI_DIGITS).alias("rsi"))
+    return carry_intervals(smoothed, summaries.select("symbol", "window_start"))
+
+
+def q_count_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Quote counts of all windows, each gap one row."""
+    return window_count_runs(load_quotes(spark, d), FEED_WINDOW, FEED_SLIDE)
+
+
 def q_top_profit(spark: SparkSession, d: str) -> DataFrame:
     """The best of all known symbols at the end of every slide."""
     p = running_profit_carried(load_quotes(spark, d), FEED_SLIDE)
@@ -312,11 +350,24 @@ def q_json_mixed_array(spark: SparkSession, d: str) -> DataFrame:
     return decode_quotes(lines, keep=("event_id",)).quotes.select("event_id", F.col("seq").alias("pos"), "symbol", *_double("close"))
 
 
+def q_json_broken_elements(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of a quote, one with a name twice, one that breaks off in a value, and
+    the quote again: only the middle ones are lost, each with its place."""
+    text = _quote_text("symbol", "date_format(ts, 'yyyy-MM-dd HH:mm:ss')", open="cast(open AS string)",
+                       close="cast(close AS string)", volume="cast(volume AS string)")
+    lines = load_quotes(spark, d).select(F.col("seq").alias("event_id"), F.expr(text).alias("q")).select(
+        "event_id", F.concat(F.lit("["), "q", F.lit(',{"symbol":"[},","symbol":"C"},{"symbol":1.2.3},'), "q", F.lit("]")).alias("value"))
+    decoded = decode_quotes(lines, keep=("event_id",))
+    good = decoded.quotes.select("event_id", F.col("seq").alias("pos"), "symbol", F.lit(None).cast("string").alias("reason"))
+    bad = decode_quotes(lines.select("value")).quarantine.groupBy("pos", "reason").agg(F.count("*").alias("event_id"))
+    return good.unionByName(bad.select("event_id", "pos", F.lit(None).cast("string").alias("symbol"), "reason"))
+
+
 def q_json_trailing_text(spark: SparkSession, d: str) -> DataFrame:
     """Lines with text, a bracket or a second array after their array are reported."""
     lines = quote_lines(spark, d).select(F.explode(F.array(
         F.col("value"), F.concat("value", F.lit(" and more")), F.concat("value", F.lit("]")), F.concat("value", "value"),
-        F.concat("value", F.lit(","), "value"))).alias("value"))
+        F.concat("value", F.lit(","), "value"), F.concat("value", F.lit(',"end"],[')), F.concat("value", F.lit(',"end"] and more')))).alias("value"))
     return decode_quotes(lines).quarantine.select("line", "reason")
 
 

@@ -250,7 +250,61 @@ SELECT e.window_start, e.window_end, e.symbol, e.n_changes + 1 AS n_bars,
 FROM e JOIN rec USING (symbol, k)"""
 
 
+#: Quotes with the time of their arrival, up to 25 minutes later.
+ARRIVALS = f"""{_quotes()},
+arrived AS (SELECT * EXCLUDE (ts), ts AS quote_ts, ts + ((seq * 37) % 1500) * INTERVAL '1 second' AS ts FROM quotes)"""
+
+
+def _arrival_metrics() -> str:
+    return f"""WITH {ARRIVALS}, {_win('5 minutes', 2, 'arrived')}
+SELECT window_start, window_start + INTERVAL '10 minutes' AS window_end, symbol, count(*) AS n_quotes,
+       CAST(sum(close) AS DOUBLE) / count(close) AS sma_close, CAST(sum(close - open) AS DOUBLE) / count(close - open) AS avg_gain,
+       CAST(sum(volume) AS BIGINT) AS total_volume, CAST(sum(volume) // count(volume) AS BIGINT) AS int_avg_volume
+FROM win GROUP BY window_start, symbol"""
+
+
+def _arrival_rsi() -> str:
+    changes = _changes_body("6 hours").replace("ORDER BY ts, seq", "ORDER BY quote_ts, seq")
+    return f"""WITH {ARRIVALS}, {_win('2 hours', 3, 'arrived')},
+{changes}
+SELECT window_start, window_end, symbol, n_bars, gain, loss,
+       CASE WHEN n_bars >= 2 THEN {_rsi('gain', 'loss')} END AS rsi,
+       CASE WHEN n_bars >= 2 THEN {_rsi('gain2', 'loss2')} END AS rsi_skip_first
+FROM s"""
+
+
+def _carry_intervals() -> str:
+    return f"""WITH RECURSIVE {_smoothed('wilder', 'user_id', DAY)},
+points AS (
+  SELECT symbol, min(window_start) AS valid_from, CAST(NULL AS DOUBLE) AS rsi, 0 AS has FROM s GROUP BY symbol
+  UNION ALL SELECT symbol, window_start, rsi, 1 FROM sm WHERE rsi IS NOT NULL),
+spans AS (SELECT *, lead(valid_from) OVER (PARTITION BY symbol ORDER BY valid_from, has) AS valid_to FROM points)
+SELECT symbol, valid_from, valid_to, rsi FROM spans WHERE valid_to IS NULL OR valid_from < valid_to"""
+
+
+def _count_runs() -> str:
+    return f"""WITH {_quotes()}, {_win('5 minutes', 2)},
+n AS (SELECT window_start, count(*) AS n_quotes FROM win GROUP BY window_start),
+g AS (SELECT *, datediff('minute', window_start, lead(window_start) OVER (ORDER BY window_start)) // 5 - 1 AS gap FROM n)
+SELECT window_start, CAST(1 AS BIGINT) AS n_windows, n_quotes FROM g
+UNION ALL SELECT window_start + INTERVAL '5 minutes', gap, 0 FROM g WHERE gap > 0"""
+
+
+def _volume_overflow() -> str:
+    return f"""WITH {_quotes()}, {_win('12 hours', 2)},
+t AS (SELECT window_start, symbol, sum(CAST(volume AS HUGEINT) * 3000000000000000 + seq)::HUGEINT AS total, count(volume) AS n
+      FROM win GROUP BY window_start, symbol)
+SELECT window_start, window_start + INTERVAL '1 day' AS window_end, symbol,
+       CASE WHEN total <= 9223372036854775807 THEN CAST(total AS VARCHAR) END AS total_volume, CAST(total // n AS BIGINT) AS int_avg_volume,
+       CAST(total AS VARCHAR) AS exact_volume, CASE WHEN total > 9223372036854775807 THEN 'volume_overflow' END AS reason FROM t"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "q_arrival_metrics": _arrival_metrics(),
+    "q_arrival_rsi": _arrival_rsi(),
+    "q_carry_intervals": _carry_intervals(),
+    "q_count_runs": _count_runs(),
+    "q_volume_overflow": _volume_overflow(),
     "q_quotes": f"""WITH {_quotes()}
 SELECT symbol, ts, seq, CAST(open AS DOUBLE) AS open, CAST(close AS DOUBLE) AS close, volume FROM quotes""",
     "q_gain": f"""WITH {_quotes()}
@@ -364,8 +418,11 @@ SELECT reason, count(*) AS n FROM (
   FROM events) t WHERE reason IS NOT NULL GROUP BY reason""",
     "q_json_mixed_array": f"""WITH {_quotes()}
 SELECT seq AS event_id, CAST(p.pos AS BIGINT) AS pos, symbol, CAST(close AS DOUBLE) AS close FROM quotes, (VALUES (0), (4)) p(pos)""",
+    "q_json_broken_elements": f"""WITH {_quotes()}
+SELECT seq AS event_id, CAST(p.pos AS BIGINT) AS pos, symbol, CAST(NULL AS VARCHAR) AS reason FROM quotes, (VALUES (0), (3)) p(pos)
+UNION ALL SELECT count(*), CAST(p.pos AS BIGINT), NULL, 'malformed_element' FROM quotes, (VALUES (1), (2)) p(pos) GROUP BY p.pos""",
     "q_json_trailing_text": f"""WITH {_json_lines()}
-SELECT unnest([line || ' and more', line || ']', line || line, line || ',' || line]) AS line, 'trailing_text' AS reason FROM lines""",
+SELECT unnest([line || ' and more', line || ']', line || line, line || ',' || line, line || ',"end"],[', line || ',"end"] and more']) AS line, 'trailing_text' AS reason FROM lines""",
     "q_sorted_gain": _metrics("user_id", DAY) + """SELECT window_start, window_end, symbol, avg_gain,
   CAST(row_number() OVER (PARTITION BY window_start ORDER BY avg_gain DESC NULLS LAST, symbol) AS BIGINT) AS rank FROM m""",
     "q_sink_text": _metrics(w=DAY).rstrip() + f""",
