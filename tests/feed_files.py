@@ -10,7 +10,7 @@ from tickweave.sources.lines import render_quote_lines
 from tickweave.sources.tables import load_quotes, with_high_low
 
 
-def write_day_files(spark, sf_dir, folder, key="event_type", base_mtime=1_700_000_000):
+def write_day_files(spark, sf_dir, folder, key="event_type", base_mtime=1_710_000_000):
     """Render ``events`` of ``sf_dir`` with Spark (one partition folder per
     day, next to ``folder``), then copy the day files into ``folder`` in day
     order with increasing modification times, so a file stream reads them day

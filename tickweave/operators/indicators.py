@@ -51,7 +51,7 @@ def report_aggregates(open_: str = "open", volume: str = "volume", value: str =
             ((), "_n_volume", F.count(volume))]
 
 
-def report_columns(wc: DataFrame, key: str = "symbol", min_bars: int = 2) -> DataFrame:
+def report_columns(wc: DataFrame, key: str = "symbol", min_bars: int = 2, extra: Sequence[str] = ()) -> DataFrame:
     """Final columns of ``window_report`` from ``window_changes`` with the report aggregates."""
     enough = F.col("n_bars") >= min_bars
     return wc.select(
@@ -63,7 +63,7 @@ def report_columns(wc: DataFrame, key: str = "symbol", min_bars: int = 2) -> Dat
         F.col("gain").cast("double").alias("gain"), F.col("loss").cast("double").alias("loss"),
         F.when(enough, rsi("gain", "loss")).alias("rsi"),
         F.when(enough, rsi(F.col("gain") - F.col("first_gain"), F.col("loss") - F.col("first_loss")))
-        .alias("rsi_skip_first"))
+        .alias("rsi_skip_first"), *extra)
 
 
 def window_report(bars: DataFrame, window: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,

@@ -196,46 +196,61 @@ lines AS (
   FROM quotes GROUP BY symbol, floor(seq / 64))"""
 
 
-def _stream_changes() -> str:
-    """Changes of the streamed feed per window, quotes ordered as decoded
-    (time in seconds, position in the line, close), and the watermark's
-    ``closed`` bound (latest time - 12 hours, on the 12-hour grid)."""
+def _fed(week: bool = True) -> str:
+    """The streamed feed: times in seconds, and the place of a quote in its line."""
+    by = "symbol, floor(seq / 64)" + (", datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) // 7" if week else "")
     return f"""{_quotes()},
 fed AS (
-  SELECT symbol, date_trunc('second', ts) AS ts,
-         row_number() OVER (PARTITION BY symbol, floor(seq / 64), datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) // 7 ORDER BY seq) - 1 AS pos,
-         close
-  FROM quotes),
-{_win('12 hours', 2, 'fed')},
+  SELECT symbol, date_trunc('second', ts) AS ts, row_number() OVER (PARTITION BY {by} ORDER BY seq) - 1 AS pos, seq, open, close, volume
+  FROM quotes)"""
+
+
+def _closed_windows(slide: str, ratio: int, length: str, delay: str, src: str = "fed", axis: str = "ts") -> str:
+    """The windows of ``src`` that are closed ``delay`` after the latest time, with
+    their metrics and the sums of their changes (bars ordered as decoded)."""
+    return f"""{_win(slide, ratio, f"(SELECT * EXCLUDE (ts), ts AS quote_ts, {axis} AS ts FROM {src})")},
+seen AS (
+  SELECT * FROM win WHERE ts < window_start + INTERVAL '{length}'
+  AND window_start + INTERVAL '{length}' <= (SELECT max({axis}) FROM {src}) - INTERVAL '{delay}'),
 c AS (
-  SELECT window_start, symbol,
-         close - lag(close) OVER (PARTITION BY symbol, window_start ORDER BY ts, pos, close) AS change,
-         row_number() OVER (PARTITION BY symbol, window_start ORDER BY ts, pos, close) AS i
-  FROM win),
-closed AS (
-  SELECT time_bucket(INTERVAL '12 hours', max(ts) - INTERVAL '12 hours', TIMESTAMP '1970-01-01') AS until
-  FROM fed),
+  SELECT *, close - lag(close) OVER k AS change, row_number() OVER k AS i
+  FROM seen WINDOW k AS (PARTITION BY symbol, window_start ORDER BY quote_ts, pos, close)),
 s AS (
-  SELECT window_start, window_start + INTERVAL '1 day' AS window_end, symbol,
+  SELECT window_start, window_start + INTERVAL '{length}' AS window_end, symbol,
          count(*) AS n_bars, count(change) AS n_changes,
+         CAST(sum(close) AS DOUBLE) / count(close) AS sma_close, CAST(sum(close - open) AS DOUBLE) / count(close - open) AS avg_gain,
+         CAST(sum(volume) AS BIGINT) AS total_volume, CAST(sum(volume) // count(volume) AS BIGINT) AS int_avg_volume,
          CAST(sum(CASE WHEN change > 0 THEN change ELSE 0 END) AS DOUBLE) AS gain,
          CAST(sum(CASE WHEN change < 0 THEN -change ELSE 0 END) AS DOUBLE) AS loss,
          CAST(sum(CASE WHEN i >= 3 AND change > 0 THEN change ELSE 0 END) AS DOUBLE) AS gain2,
          CAST(sum(CASE WHEN i >= 3 AND change < 0 THEN -change ELSE 0 END) AS DOUBLE) AS loss2
-  FROM c GROUP BY window_start, symbol
-  HAVING window_start + INTERVAL '1 day' <= (SELECT until FROM closed))"""
+  FROM c GROUP BY window_start, symbol)"""
 
 
-def _stream_rsi() -> str:
-    return f"""WITH {_stream_changes()}
+DAY_CLOSED = ("12 hours", 2, "1 day", "12 hours")
+STREAM_METRICS = "window_start, window_end, symbol, n_bars AS n_quotes, sma_close, avg_gain, total_volume, int_avg_volume"
+
+
+def _stream_metrics(w, more: str = "", fed: str = "", axis: str = "ts") -> str:
+    return f"WITH {fed or _fed()}, {_closed_windows(*w, axis=axis)}\nSELECT {STREAM_METRICS}{more} FROM s"
+
+
+def _stream_rsi(w=DAY_CLOSED, fed: str = "", axis: str = "ts") -> str:
+    return f"""WITH {fed or _fed()}, {_closed_windows(*w, axis=axis)}
 SELECT window_start, window_end, symbol, n_bars, gain, loss,
        CASE WHEN n_bars >= 2 THEN {_rsi('gain', 'loss')} END AS rsi,
        CASE WHEN n_bars >= 2 THEN {_rsi('gain2', 'loss2')} END AS rsi_skip_first
 FROM s"""
 
 
-def _stream_smoothed() -> str:
-    return f"""WITH RECURSIVE {_stream_changes()},
+def _stream_top() -> str:
+    return f"""WITH {_fed()}, {_closed_windows("5 minutes", 2, "10 minutes", "1 day")}
+SELECT * FROM (SELECT window_start, window_end, symbol, avg_gain, CAST(row_number() OVER (
+  PARTITION BY window_start ORDER BY avg_gain DESC NULLS LAST, symbol) AS BIGINT) AS rank FROM s) WHERE rank = 1"""
+
+
+def _stream_fold() -> str:
+    return f"""WITH RECURSIVE {_fed()}, {_closed_windows(*DAY_CLOSED)},
 e AS (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start) AS k
   FROM s WHERE n_changes >= 1),
@@ -244,10 +259,15 @@ rec(symbol, k, g, l) AS (
   UNION ALL
   SELECT e.symbol, e.k, (r.g * e.n_changes + e.gain) / (e.n_changes + 1),
          (r.l * e.n_changes + e.loss) / (e.n_changes + 1)
-  FROM rec r JOIN e ON e.symbol = r.symbol AND e.k = r.k + 1)
-SELECT e.window_start, e.window_end, e.symbol, e.n_changes + 1 AS n_bars,
-       round({_rsi('rec.g', 'rec.l')}, 6) AS rsi
-FROM e JOIN rec USING (symbol, k)"""
+  FROM rec r JOIN e ON e.symbol = r.symbol AND e.k = r.k + 1),
+sm AS (
+  SELECT e.window_start, e.window_end, e.symbol, e.n_changes + 1 AS n_bars, round({_rsi('rec.g', 'rec.l')}, 6) AS rsi
+  FROM e JOIN rec USING (symbol, k))"""
+
+
+#: The feed of the arrival queries: a block of 64 quotes a minute.
+ARRIVED = _fed(week=False).replace("pos, seq,", "pos, seq, TIMESTAMP '2024-03-09 16:00:00' + CAST(floor(seq / 64) AS BIGINT) * INTERVAL '1 minute' AS arrival_ts,")
+ARRIVED_CLOSED = ("5 minutes", 2, "10 minutes", "2 minutes")
 
 
 #: Quotes with the time of their arrival, up to 25 minutes later.
@@ -273,8 +293,8 @@ SELECT window_start, window_end, symbol, n_bars, gain, loss,
 FROM s"""
 
 
-def _carry_intervals() -> str:
-    return f"""WITH RECURSIVE {_smoothed('wilder', 'user_id', DAY)},
+def _carry_intervals(smoothed: str = "") -> str:
+    return f"""{smoothed or f"WITH RECURSIVE {_smoothed('wilder', 'user_id', DAY)}"},
 points AS (
   SELECT symbol, min(window_start) AS valid_from, CAST(NULL AS DOUBLE) AS rsi, 0 AS has FROM s GROUP BY symbol
   UNION ALL SELECT symbol, window_start, rsi, 1 FROM sm WHERE rsi IS NOT NULL),
@@ -401,8 +421,17 @@ pos AS (
 SELECT l.line, p.pos, 'bad_volume' AS reason
 FROM pos p JOIN (SELECT symbol AS s, b, line FROM lines) l ON l.s = p.symbol AND l.b = floor(p.seq / 64)
 WHERE p.close <> floor(p.close)""",
+    "q_stream_window_metrics": _stream_metrics(("5 minutes", 2, "10 minutes", "1 day")),
+    "q_stream_top_gainer": _stream_top(),
+    "q_stream_sliding": _stream_metrics(("4 minutes", 3, "10 minutes", "1 hour"), f", CASE WHEN n_bars >= 2 THEN {_rsi('gain', 'loss')} END AS rsi"),
     "q_stream_rsi_window": _stream_rsi(),
-    "q_stream_rsi_smoothed": _stream_smoothed(),
+    "q_stream_rsi_smoothed": _stream_fold() + "SELECT * FROM sm",
+    "q_stream_carried": _carry_intervals(_stream_fold()),
+    "q_stream_arrival_metrics": _stream_metrics(ARRIVED_CLOSED, fed=ARRIVED, axis="arrival_ts"),
+    "q_stream_arrival_rsi": _stream_rsi(ARRIVED_CLOSED, ARRIVED, "arrival_ts"),
+    "q_stream_profit": f"""WITH {_quotes()}
+SELECT symbol, count(*) AS n_quotes, CAST(sum(close) AS DOUBLE) / count(close) - CAST(sum(open) AS DOUBLE) / count(open) AS cumulative_profit
+FROM quotes GROUP BY symbol""",
     "q_json_precise_prices": f"""WITH {BARS.format(key='l_returnflag')}
 SELECT seq AS bar, symbol, CAST(open AS VARCHAR) AS open, CAST(close AS VARCHAR) AS close,
        volume * 1000000000000000 + seq AS volume FROM quotes""",

@@ -1,27 +1,30 @@
 """Streaming forms of catalog queries, run to completion on a rendered feed.
 
-Each query renders the quote feed from ``events`` as JSON-array text files in
-a fresh folder under the shared checkpoint root, runs the Structured
-Streaming job over it until all files are processed (``availableNow``) and
-returns what the job wrote to its sink.  In complete mode the result equals
-the batch query, so these share the batch queries' SQL oracles.
+Each query renders the quote feed from ``events`` as JSON-array lines in a
+fresh folder under the shared checkpoint root.  The feed comes a week at a
+time; the stream runs over each week until all files are processed
+(``availableNow``) and is started again on its checkpoint for the next one, so
+its state crosses as many micro-batches and restarts as there are weeks.  All
+window results come in append mode: the windows that the watermark has closed.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.plans.catalog import DAY_SLIDE, DAY_WINDOW, FEED_SLIDE, FEED_WINDOW, broken_feed, quote_lines
-from tickweave.operators.ranking import top_k
+from tickweave.app import LineOutputs
+from tickweave.plans.catalog import DAY_SLIDE, DAY_WINDOW, FEED_SLIDE, FEED_WINDOW, broken_feed
 from tickweave.session import checkpoint_root
-from tickweave.sources.lines import render_quote_lines
+from tickweave.sources.decode import decode_quotes
+from tickweave.sources.lines import read_lines, render_quote_lines
 from tickweave.sources.tables import load_quotes, with_high_low
-from tickweave.sinks.files import per_batch_parquet
-from tickweave.streaming.feed import latest_snapshot, quote_stream, start, stream_profit, stream_window_metrics
-from tickweave.streaming.rsi import StreamingRsi, read_results
+from tickweave.streaming.feed import latest_snapshot, quote_stream, start
+from tickweave.streaming.rsi import ClosedWindows, read_carried, read_results
+from tickweave.streaming.windows import stream_window_report
 
 ONCE = {"availableNow": True}
 
@@ -30,43 +33,119 @@ def _workdir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/tickweave-streams/{name}-{uuid.uuid4().hex}"
 
 
-def _feed(spark: SparkSession, d: str, work: str) -> str:
-    folder = f"{work}/feed"
-    quote_lines(spark, d).select("value").write.text(folder)
-    return folder
+def _weekly(spark: SparkSession, d: str, work: str, begin: Callable[[str], object]) -> None:
+    """Add the feed to ``work/feed`` week by week; after each, ``begin(folder)``
+    starts the stream, which ends when it has read the week."""
+    quotes = with_high_low(load_quotes(spark, d)).withColumn("week", F.floor(F.unix_date(F.to_date("ts")) / 7))
+    render_quote_lines(quotes, extra_keys=("week",)).select("week", "value").write.partitionBy("week").parquet(f"{work}/weeks")
+    weeks = spark.read.parquet(f"{work}/weeks")
+    span = weeks.agg(F.min("week"), F.max("week")).first()
+    for week in range(span[0], span[1] + 1):
+        weeks.where(F.col("week") == week).select("value").coalesce(8).write.mode("append").text(f"{work}/feed")
+        begin(f"{work}/feed").awaitTermination()
 
 
-def _complete(spark: SparkSession, result: DataFrame, work: str, transform=None) -> DataFrame:
-    out = f"{work}/out"
-    q = start(result, f"{work}/checkpoint", "complete", foreach_batch=per_batch_parquet(out, transform=transform),
-              trigger=ONCE)
-    q.awaitTermination()
-    return latest_snapshot(spark, out)
+def _closed(spark: SparkSession, d: str, name: str, output: str, window: str, slide: str, delay: str) -> str:
+    """Run ``ClosedWindows`` with one kind of output over the weekly feed; returns its folder."""
+    work = _workdir(spark, name)
+
+    def begin(folder: str):
+        report = stream_window_report(quote_stream(spark, folder).quotes, window, slide, delay)
+        return start(report, f"{work}/checkpoint", "append", foreach_batch=ClosedWindows(f"{work}/out", outputs=(output,)), trigger=ONCE)
+
+    _weekly(spark, d, work, begin)
+    return f"{work}/out"
+
+
+def _ntz(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols or ("window_start", "window_end")})
+
+
+METRICS = ("window_start", "window_end", "symbol", "n_quotes", "sma_close", "avg_gain", "total_volume", "int_avg_volume")
+RSI = ("window_start", "window_end", "symbol", F.col("n_quotes").alias("n_bars"), "gain", "loss", "rsi", "rsi_skip_first")
 
 
 def q_stream_window_metrics(spark: SparkSession, d: str) -> DataFrame:
-    work = _workdir(spark, "metrics")
-    quotes = quote_stream(spark, _feed(spark, d, work), max_files_per_trigger=2).quotes
-    res = _complete(spark, stream_window_metrics(quotes, FEED_WINDOW, FEED_SLIDE, "1 day"), work)
-    return res.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
-        "window_end", F.col("window_end").cast("timestamp_ntz"))
+    root = _closed(spark, d, "metrics", "windows", FEED_WINDOW, FEED_SLIDE, "1 day")
+    return _ntz(read_results(spark, root, "windows")).select(*METRICS)
 
 
 def q_stream_top_gainer(spark: SparkSession, d: str) -> DataFrame:
-    """Best symbol of every window, ranked on each complete-mode snapshot."""
-    work = _workdir(spark, "top")
-    quotes = quote_stream(spark, _feed(spark, d, work), max_files_per_trigger=4).quotes
-    metrics = stream_window_metrics(quotes, FEED_WINDOW, FEED_SLIDE, "1 day")
-    res = _complete(spark, metrics, work, transform=lambda b: top_k(b, "avg_gain", 1).select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "rank", "symbol", "avg_gain"))
-    return res
+    """Best symbol of every closed window."""
+    root = _closed(spark, d, "top", "top", FEED_WINDOW, FEED_SLIDE, "1 day")
+    return _ntz(read_results(spark, root, "top_gain")).select("window_start", "window_end", "rank", "symbol", "avg_gain")
+
+
+def q_stream_sliding(spark: SparkSession, d: str) -> DataFrame:
+    """Windows of 10 minutes moved every 4: no multiple of the slide."""
+    root = _closed(spark, d, "sliding", "windows", "10 minutes", "4 minutes", "1 hour")
+    return _ntz(read_results(spark, root, "windows")).select(*METRICS, "rsi")
+
+
+def q_stream_rsi_window(spark: SparkSession, d: str) -> DataFrame:
+    """Window RSI of the windows that the watermark (latest quote time - 12 hours) has closed."""
+    root = _closed(spark, d, "rsi", "windows", DAY_WINDOW, DAY_SLIDE, "12 hours")
+    return _ntz(read_results(spark, root, "windows")).select(*RSI)
+
+
+def q_stream_rsi_smoothed(spark: SparkSession, d: str) -> DataFrame:
+    """RSI smoothed across the closed windows by keyed state."""
+    root = _closed(spark, d, "rsi-smoothed", "smoothed", DAY_WINDOW, DAY_SLIDE, "12 hours")
+    return _ntz(read_results(spark, root, "smoothed")).select("window_start", "window_end", "symbol", "n_bars", F.round("rsi", 6).alias("rsi"))
+
+
+def q_stream_carried(spark: SparkSession, d: str) -> DataFrame:
+    """The smoothed RSI of every known symbol as intervals of validity."""
+    root = _closed(spark, d, "carried", "smoothed", DAY_WINDOW, DAY_SLIDE, "12 hours")
+    return _ntz(read_carried(spark, root), "valid_from", "valid_to").withColumn("rsi", F.round("rsi", 6))
+
+
+def _arrival_feed(spark: SparkSession, d: str, work: str) -> DataFrame:
+    """A stream of lines with the time of their arrival: those of a block of 64
+    quotes arrive a minute after those of the block before, in an order that has
+    nothing to do with the times of the quotes."""
+    lines = render_quote_lines(with_high_low(load_quotes(spark, d)))
+    block = F.floor(F.col("first_seq") / 64)
+    at = F.timestamp_seconds(F.lit(1_710_000_000) + block * 60)
+    lines = lines.select("value", at.alias("arrival_ts"), F.floor(block * 64 / F.lit(1024)).alias("part"))
+    lines.write.parquet(f"{work}/staged")
+    staged = spark.read.parquet(f"{work}/staged")
+    span = staged.agg(F.min("part"), F.max("part")).first()
+    step = -(-(span[1] - span[0] + 1) // 4)
+    for low in range(span[0], span[1] + 1, step):
+        # One file after the other, in the order of arrival: a micro-batch each.
+        staged.where(F.col("part").between(low, low + step - 1)).select("value", "arrival_ts").coalesce(1).write.mode("append").parquet(f"{work}/feed")
+    return spark.readStream.schema("value string, arrival_ts timestamp").option("maxFilesPerTrigger", "1").parquet(f"{work}/feed")
+
+
+def _arrival_report(spark: SparkSession, d: str, name: str) -> DataFrame:
+    work = _workdir(spark, name)
+    quotes = decode_quotes(_arrival_feed(spark, d, work), keep=("arrival_ts",)).quotes
+    report = stream_window_report(quotes, FEED_WINDOW, FEED_SLIDE, "2 minutes", member="arrival_ts")
+    start(report, f"{work}/checkpoint", "append", sink=f"{work}/out", trigger=ONCE).awaitTermination()
+    return _ntz(spark.read.parquet(f"{work}/out"))
+
+
+def q_stream_arrival_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Window metrics by the time of arrival."""
+    return _arrival_report(spark, d, "arrival-metrics").select(*METRICS)
+
+
+def q_stream_arrival_rsi(spark: SparkSession, d: str) -> DataFrame:
+    """RSI of the quotes that arrived in a window, in the order of their own times."""
+    return _arrival_report(spark, d, "arrival-rsi").select(*RSI)
 
 
 def q_stream_profit(spark: SparkSession, d: str) -> DataFrame:
+    """Cumulative profit after the last week, from the state of the weeks before."""
     work = _workdir(spark, "profit")
-    quotes = quote_stream(spark, _feed(spark, d, work), max_files_per_trigger=2).quotes
-    return _complete(spark, stream_profit(quotes), work)
+
+    def begin(folder: str):
+        lines = read_lines(spark, folder, streaming=True, arrival_time=True)
+        return start(lines, f"{work}/checkpoint", "append", foreach_batch=LineOutputs(f"{work}/out"), trigger=ONCE)
+
+    _weekly(spark, d, work, begin)
+    return latest_snapshot(spark, f"{work}/out/profit").select("symbol", "n_quotes", "cumulative_profit")
 
 
 def q_stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
@@ -79,61 +158,6 @@ def q_stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(out).select("line", "reason")
 
 
-def _run_stream_rsi(spark: SparkSession, d: str, name: str) -> str:
-    """Run the stateful stream job (``StreamingRsi``, 1-day windows every 12
-    hours, 12 hours allowed delay) over the rendered feed; returns its folder.
-
-    The feed comes a week at a time, and the stream is stopped after each week
-    and started again on its checkpoint: the keyed state crosses as many
-    micro-batches and restarts as there are weeks."""
-    work = _workdir(spark, name)
-    quotes = with_high_low(load_quotes(spark, d)).withColumn("week", F.floor(F.unix_date(F.to_date("ts")) / 7))
-    render_quote_lines(quotes, extra_keys=("week",)).select("week", "value").write.partitionBy("week").parquet(f"{work}/weeks")
-    weeks = spark.read.parquet(f"{work}/weeks")
-    span = weeks.agg(F.min("week"), F.max("week")).first()
-    for week in range(span[0], span[1] + 1):
-        weeks.where(F.col("week") == week).select("value").coalesce(8).write.mode("append").text(f"{work}/feed")
-        job = StreamingRsi(f"{work}/rsi", DAY_WINDOW, DAY_SLIDE, "12 hours")
-        start(quote_stream(spark, f"{work}/feed").quotes, f"{work}/checkpoint", "append", foreach_batch=job,
-              trigger=ONCE).awaitTermination()
-    batches = read_results(spark, f"{work}/rsi/state", "meta").count()
-    if batches != span[1] - span[0] + 1:
-        raise RuntimeError(f"{batches} micro-batches for {span[1] - span[0] + 1} weeks")
-    return f"{work}/rsi"
-
-
-def _ntz_windows(df: DataFrame) -> DataFrame:
-    return (df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
-            .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
-
-
-def q_stream_rsi_window(spark: SparkSession, d: str) -> DataFrame:
-    """Window RSI of the stateful stream job: the windows its watermark
-    (latest quote time - 12 hours) has closed."""
-    root = _run_stream_rsi(spark, d, "rsi")
-    return _ntz_windows(read_results(spark, root, "windows")).select(
-        "window_start", "window_end", "symbol", "n_bars", "gain", "loss", "rsi", "rsi_skip_first")
-
-
-def q_stream_rsi_smoothed(spark: SparkSession, d: str) -> DataFrame:
-    """RSI smoothed across the closed windows by the stream job's keyed state."""
-    root = _run_stream_rsi(spark, d, "rsi-smoothed")
-    return _ntz_windows(read_results(spark, root, "smoothed")).select(
-        "window_start", "window_end", "symbol", "n_bars", F.round("rsi", 6).alias("rsi"))
-
-
-STREAM_QUERIES = {
-    "q_stream_window_metrics": q_stream_window_metrics,
-    "q_stream_top_gainer": q_stream_top_gainer,
-    "q_stream_profit": q_stream_profit,
-    "q_stream_quarantine": q_stream_quarantine,
-    "q_stream_rsi_window": q_stream_rsi_window,
-    "q_stream_rsi_smoothed": q_stream_rsi_smoothed,
-}
-# Complete-mode results equal the batch queries, so they share their SQL.
-STREAM_ORACLE = {
-    "q_stream_window_metrics": "q_window_metrics",
-    "q_stream_top_gainer": "q_top_gainer",
-    "q_stream_profit": "q_profit",
-    "q_stream_quarantine": "q_json_quarantine",
-}
+STREAM_QUERIES = {name: fn for name, fn in globals().items() if name.startswith("q_stream_") and callable(fn)}
+#: Streaming queries whose result is that of a batch query.
+STREAM_ORACLE = {"q_stream_quarantine": "q_json_quarantine"}

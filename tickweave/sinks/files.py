@@ -17,6 +17,12 @@ def batch_path(root: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/batch_id={batch_id}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on the file system that it is on, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     w = df.write.mode("overwrite")
     if partition_by:

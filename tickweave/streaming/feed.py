@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickweave.operators.aggregates import window_metrics
 from tickweave.operators.profit import cumulative_profit
 from tickweave.operators.ranking import top_k
-from tickweave.schema import DEFAULT_SLIDE, DEFAULT_WINDOW
+from tickweave.schema import DEFAULT_SLIDE, DEFAULT_WINDOW, FEED_PRICE_TYPE
 from tickweave.sinks.files import per_batch_parquet
 from tickweave.sources.decode import Decoded, decode_quotes
 from tickweave.sources.lines import read_lines
@@ -24,16 +24,19 @@ FEED_TRIGGER = "60 seconds"
 
 
 def quote_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                 arrival_time: bool = False) -> Decoded:
+                 arrival_time: bool = False, price_type: str = FEED_PRICE_TYPE, max_ahead: str | None = None) -> Decoded:
     """Decoded quotes and quarantine of a watched directory.
 
     ``ts`` is a TIMESTAMP (event time, usable with a watermark).  With
     ``arrival_time`` the rows also carry ``arrival_ts``, the modification time
     of the file they came from, to window by arrival as the original feed did.
+    With ``max_ahead`` a quote whose time is later than its file's by more than
+    that is reported and loses its time (see ``decode_quotes``).
     """
     lines = read_lines(spark, path, streaming=True, max_files_per_trigger=max_files_per_trigger,
-                       arrival_time=arrival_time)
-    return decode_quotes(lines, keep=("arrival_ts",) if arrival_time else ())
+                       arrival_time=arrival_time or bool(max_ahead))
+    return decode_quotes(lines, keep=("arrival_ts",) if arrival_time else (), price_type=price_type,
+                         arrival="arrival_ts" if max_ahead else None, max_ahead=max_ahead)
 
 
 def stream_window_metrics(quotes: DataFrame, window: str = DEFAULT_WINDOW, slide: str = DEFAULT_SLIDE,

@@ -1,29 +1,16 @@
-"""RSI of a quote stream: per closed window, and smoothed across windows.
-
-Structured Streaming has no ordered (``lag``) operators on a stream, and a
-window's changes depend on bar order, so each micro-batch runs the batch
-operators inside ``foreachBatch`` on bounded state tables:
-
-* ``bars``: the *open horizon*, bars of windows the watermark has not closed
-  yet (time >= closed_until - window length).  Its size is set by the window
-  length and the allowed delay, not by the history.
-* ``smooth``: one row per key: first window with data, smoothed average gain
-  and loss, last RSI.
-* ``meta``: one row: the largest event time seen and ``closed_until``.
-
-Per micro-batch ``n``: new bars older than the horizon are dropped as late
-(every window that could contain them is already final); the watermark is
-``max time - delay``; windows whose end passed it since batch ``n-1`` are
-computed exactly from the horizon (``window_changes``), written out, and
-folded into the smoothed state with the seeded prefix scan.  State of batch
-``n`` is written to ``<root>/<name>/batch_id=<n>`` and read back by batch
-``n+1``; a replayed batch reads the same input state and overwrites its own
-output, so a restart after a failure gives the same results.
+"""Outputs per closed window of a quote stream, and the RSI smoothed across them.
+
+``ClosedWindows`` is a ``foreachBatch`` function over ``stream_window_report``,
+which emits each window once, when Spark's watermark has closed it.  The only
+state kept here is one row per key: the smoothed averages after the last closed
+window.  State of batch ``n`` is written to ``<root>/state/smooth/batch_id=<n>``
+and read back by batch ``n + 1``; a replayed batch reads the same state and
+overwrites its own output, so a restart after a failure gives the same results.
+States that no replay can need any more are removed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
@@ -31,187 +18,122 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickweave.functions.scalar import rsi
-from tickweave.operators.changes import window_changes
-from tickweave.operators.indicators import report_aggregates, report_columns, rsi_smoothed
+from tickweave.operators.indicators import rsi_smoothed
 from tickweave.operators.ranking import top_k
-from tickweave.operators.windows import interval_micros
-from tickweave.sinks.files import TEXT_OUTPUTS, batch_path, write_parquet, write_window_text
+from tickweave.sinks.files import TEXT_OUTPUTS, batch_path, remove, write_parquet, write_window_text
 
+#: Batches whose state is kept: a replay needs that of the batch before it.
+KEPT_STATES = 2
 
-class StreamingRsi:
-    """``foreachBatch`` function computing windowed and smoothed RSI.
 
-    Use with a decoded quote stream, e.g.
-    ``quotes.writeStream.foreachBatch(StreamingRsi(root, ...)).option("checkpointLocation", ...)``.
-    Results: ``<root>/windows`` (one row per closed key and window: bars,
-    gain, loss, RSI, RSI without the first change), ``<root>/smoothed`` (the
-    smoothed RSI after each closed window) and ``<root>/carried`` (every key
-    seen so far in every closed slide, with its last smoothed RSI), all with a
-    ``batch_id`` partition column.
-    """
+class BatchState:
+    """A state table per micro-batch below ``root``."""
+
+    def __init__(self, root: str):
+        self.root = root
 
-    def __init__(self, root: str, window: str = "10 minutes", slide: str = "5 minutes",
-                 delay: str = "10 minutes", key: str = "symbol", time: str = "ts",
-                 order: Sequence[str] = ("seq", "close"), value: str = "close", mode: str = "wilder",
-                 with_metrics: bool = False):
-        self.root = root.rstrip("/")
-        # With ``with_metrics`` the ``windows`` output also holds the window
-        # metrics (SMA, average gain, volume) from the same aggregation, and
-        # the top-1 tables are ranked from it.
-        self.with_metrics = with_metrics
-        self.extra = ("open", "volume") if with_metrics else ()
-        self.window, self.slide, self.delay = window, slide, delay
-        self.window_us, self.slide_us = interval_micros(window), interval_micros(slide)
-        self.delay_us = interval_micros(delay)
-        if self.window_us % self.slide_us:
-            raise ValueError("the window length must be a multiple of the slide")
-        self.key, self.time, self.order, self.value, self.mode = key, time, tuple(order), value, mode
-
-    # -- state tables ---------------------------------------------------------
-    def _path(self, name: str, batch_id: int) -> str:
-        return batch_path(f"{self.root}/state/{name}", batch_id)
-
-    def _read(self, spark: SparkSession, name: str, batch_id: int) -> DataFrame | None:
+    def read(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         """The state that a batch left; None before the first one.  A later batch
         must find it: missing state is an error, never a fresh start."""
         if batch_id < 0:
             return None
         try:
-            return spark.read.parquet(self._path(name, batch_id))
+            return spark.read.parquet(batch_path(self.root, batch_id))
         except AnalysisException as e:
-            raise RuntimeError(f"state table {name} of batch {batch_id} is missing below {self.root}/state; "
+            raise RuntimeError(f"the state of batch {batch_id} is missing below {self.root}; "
                                "restore it, or start again with a new checkpoint and output folder") from e
 
-    # -- one micro-batch ------------------------------------------------------
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        k, t = self.key, self.time
-        cols = list(dict.fromkeys([k, t, *self.order, self.value, *self.extra]))
-        micros = F.unix_micros(F.col(t).cast("timestamp"))
-        meta = self._read(spark, "meta", batch_id - 1)
-        m = meta.first() if meta is not None else None
-        max_prev, closed_prev, has_smooth = (m["max_us"], m["closed_us"], m["has_smooth"]) if m else (None, None, False)
-
-        new = batch.where(F.col(t).isNotNull()).select(*cols)
-        if closed_prev is not None:
-            # Every window that could hold a bar older than this is final.
-            on_time = micros >= closed_prev - self.window_us
-            write_parquet(new.where(~on_time), batch_path(f"{self.root}/late", batch_id))
-            new = new.where(on_time)
-        new = new.persist()
-        batch_max = new.agg(F.max(micros)).first()[0]
-        seen = [x for x in (max_prev, batch_max) if x is not None]
-        max_us = max(seen) if seen else None
-
-        bars_prev = self._read(spark, "bars", batch_id - 1)
-        horizon = (new if bars_prev is None else bars_prev.select(*cols).unionByName(new)).persist()
-        closed_us = closed_prev
-        if max_us is not None:
-            wm = max_us - self.delay_us
-            closed_now = (wm // self.slide_us) * self.slide_us
-            closed_us = closed_now if closed_prev is None else max(closed_prev, closed_now)
-
-        smooth_prev = self._read(spark, "smooth", batch_id - 1) if has_smooth else None
-        closing = closed_us is not None and (closed_prev is None or closed_us > closed_prev)
-        kept = horizon if closed_us is None else horizon.where(micros >= closed_us - self.window_us)
-        tasks = [lambda: write_parquet(kept, self._path("bars", batch_id)),
-                 lambda: write_parquet(spark.createDataFrame([(max_us, closed_us, has_smooth or closing)],
-                                                             "max_us bigint, closed_us bigint, has_smooth boolean"),
-                                       self._path("meta", batch_id))]
-        done = None
-        if closing:
-            extra = report_aggregates(self.value, "open", "volume") if self.with_metrics else ()
-            wc = window_changes(horizon, self.window, self.slide, k, t, list(self.order), self.value,
-                                extra=extra)
-            end_us = F.unix_micros(F.col("window_end").cast("timestamp"))
-            done = wc.where(end_us <= closed_us)
-            if closed_prev is not None:
-                done = done.where(end_us > closed_prev)
-            done = done.persist()
-            tasks += [lambda: self._write_windows(done, batch_id),
-                      lambda: self._smooth(spark, done, smooth_prev, closed_prev, closed_us, batch_id)]
-        elif smooth_prev is not None:
-            tasks.append(lambda: write_parquet(smooth_prev, self._path("smooth", batch_id)))
-        # The branches share only persisted inputs: submit their jobs together.
-        with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-            for f in [pool.submit(task) for task in tasks]:
-                f.result()
-        if done is not None:
-            done.unpersist()
-        horizon.unpersist()
-        new.unpersist()
-
-    def _write_windows(self, done: DataFrame, batch_id: int) -> None:
-        """Per closed window and key: RSI (and, with metrics, the window metrics and top-1 tables)."""
-        k = self.key
-        if self.with_metrics:
-            # One aggregation gave both the metrics and the RSI sums.
-            windows = report_columns(done, k).persist()
-            write_parquet(windows, batch_path(f"{self.root}/windows", batch_id))
+    def write(self, df: DataFrame, batch_id: int) -> DataFrame:
+        """Write the state of a batch, drop the one that is no longer needed, and
+        return the state as written."""
+        write_parquet(df, batch_path(self.root, batch_id))
+        remove(df.sparkSession, batch_path(self.root, batch_id - KEPT_STATES))
+        return df.sparkSession.read.parquet(batch_path(self.root, batch_id))
+
+
+class ClosedWindows:
+    """``foreachBatch`` function over the closed windows of a stream.
+
+    Results below ``root``, each with a ``batch_id`` partition column:
+    ``windows`` (the rows as they come), ``top_gain`` / ``top_volume`` (the best
+    key of each window), ``text`` (``(key,value)`` lines), ``smoothed`` (the RSI
+    smoothed across windows) and ``carried`` (the smoothed RSI of every key as
+    intervals ``valid_from`` / ``valid_to``; the last one of a key is open until
+    a later batch continues it).  ``outputs`` limits the files written.
+    """
+
+    def __init__(self, root: str, key: str = "symbol", mode: str = "wilder",
+                 outputs: tuple[str, ...] = ("windows", "top", "text", "smoothed")):
+        self.root, self.key, self.mode, self.outputs = root.rstrip("/"), key, mode, outputs
+        self.state = BatchState(f"{self.root}/state/smooth")
+
+    def __call__(self, closed: DataFrame, batch_id: int) -> None:
+        closed = closed.persist()
+        tasks = []
+        if "windows" in self.outputs:
+            tasks.append(lambda: write_parquet(closed, batch_path(f"{self.root}/windows", batch_id)))
+        if "top" in self.outputs:
             for metric, name in (("avg_gain", "top_gain"), ("total_volume", "top_volume")):
-                write_parquet(top_k(windows, metric, 1, tie=(k,)), batch_path(f"{self.root}/{name}", batch_id))
-            write_window_text(windows, batch_path(f"{self.root}/text", batch_id), TEXT_OUTPUTS, k)
-            windows.unpersist()
+                tasks.append(lambda metric=metric, name=name: write_parquet(
+                    top_k(closed, metric, 1, tie=(self.key,)), batch_path(f"{self.root}/{name}", batch_id)))
+        if "text" in self.outputs:
+            tasks.append(lambda: write_window_text(closed, batch_path(f"{self.root}/text", batch_id), TEXT_OUTPUTS, self.key))
+        if "smoothed" in self.outputs:
+            tasks.append(lambda: self._smooth(closed, batch_id))
+        # The outputs share only the persisted batch: submit their jobs together.
+        with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+            for done in [pool.submit(task) for task in tasks]:
+                done.result()
+        closed.unpersist()
+
+    def _smooth(self, closed: DataFrame, batch_id: int) -> None:
+        """Fold the closed windows into the state; write it and the intervals."""
+        k, spark = self.key, closed.sparkSession
+        prev = self.state.read(spark, batch_id - 1)
+        if closed.isEmpty() and prev is not None:
+            self.state.write(prev, batch_id)
             return
-        windows = done.select(
-            "window_start", "window_end", k, "n_bars", F.col("gain").cast("double").alias("gain"),
-            F.col("loss").cast("double").alias("loss"),
-            F.when(F.col("n_bars") >= 2, rsi("gain", "loss")).alias("rsi"),
-            F.when(F.col("n_bars") >= 2, rsi(F.col("gain") - F.col("first_gain"),
-                                             F.col("loss") - F.col("first_loss"))).alias("rsi_skip_first"))
-        write_parquet(windows, batch_path(f"{self.root}/windows", batch_id))
-
-    def _smooth(self, spark: SparkSession, done: DataFrame, smooth_prev: DataFrame | None, closed_prev,
-                closed_us: int, batch_id: int) -> None:
-        """Fold the newly closed windows into the smoothed state; write it and the carried values."""
-        seed = None if smooth_prev is None else smooth_prev.where(F.col("avg_gain").isNotNull())
-        smoothed = rsi_smoothed(None, key=self.key, mode=self.mode, summaries=done, seed=seed).persist()
+        seed = None if prev is None else prev.where(F.col("avg_gain").isNotNull())
+        smoothed = rsi_smoothed(None, key=k, mode=self.mode, summaries=closed, seed=seed).persist()
         write_parquet(smoothed, batch_path(f"{self.root}/smoothed", batch_id))
-        write_parquet(self._next_state(done, smoothed, smooth_prev), self._path("smooth", batch_id))
-        smooth_next = self._read(spark, "smooth", batch_id)
-        write_parquet(self._carried(smoothed, smooth_prev, smooth_next, closed_prev, closed_us),
-                      batch_path(f"{self.root}/carried", batch_id))
+        first = closed.groupBy(k).agg(F.min("window_start").alias("first_start"))
+        last = smoothed.groupBy(k).agg(F.max_by(F.struct("avg_gain", "avg_loss", "rsi", "window_start"), "window_start").alias("_s"))
+        new = first.join(last, k, "left").select(k, "first_start", "_s.*")
+        if prev is not None:
+            pick = [F.coalesce(F.col(f"n.{c}"), F.col(f"p.{c}")).alias(c) for c in ("avg_gain", "avg_loss", "rsi", "window_start")]
+            new = prev.alias("p").join(new.alias("n"), k, "full").select(
+                k, F.coalesce("p.first_start", "n.first_start").alias("first_start"), *pick)
+        self.state.write(new, batch_id)
+        write_parquet(self._carried(closed, smoothed, prev), batch_path(f"{self.root}/carried", batch_id))
         smoothed.unpersist()
 
-    def _next_state(self, done: DataFrame, smoothed: DataFrame, prev: DataFrame | None) -> DataFrame:
-        """Per key: first window with data, last smoothed averages and RSI."""
+    def _carried(self, closed: DataFrame, smoothed: DataFrame, prev: DataFrame | None) -> DataFrame:
+        """The new intervals of the batch's keys.  A key's last value of earlier
+        batches is listed again where it holds until a value of this batch, so the
+        open interval of the earlier batch is superseded."""
         k = self.key
-        first = done.groupBy(k).agg(F.min("window_start").alias("first_start"))
-        last = smoothed.groupBy(k).agg(F.max_by(F.struct("avg_gain", "avg_loss", "rsi", "window_start"),
-                                                "window_start").alias("_s"))
-        new = first.join(last, k, "left").select(k, "first_start", "_s.avg_gain", "_s.avg_loss", "_s.rsi",
-                                                  "_s.window_start")
+        points = smoothed.where(F.col("rsi").isNotNull()).select(k, F.col("window_start").alias("valid_from"), "rsi", F.lit(1).alias("_is"))
+        known = closed.groupBy(k).agg(F.min("window_start").alias("valid_from"))
         if prev is None:
-            return new
-        p, n = prev.alias("p"), new.alias("n")
-        pick = [F.coalesce(F.col(f"n.{c}"), F.col(f"p.{c}")).alias(c)
-                for c in ("avg_gain", "avg_loss", "rsi", "window_start")]
-        return p.join(n, k, "full").select(
-            k, F.coalesce(F.col("p.first_start"), F.col("n.first_start")).alias("first_start"), *pick)
-
-    def _carried(self, smoothed: DataFrame, prev: DataFrame | None, state: DataFrame, closed_prev,
-                 closed_us) -> DataFrame:
-        """Every known key in every newly closed window, with its last smoothed
-        RSI (a key without new quotes keeps its value).  Each key's rows come
-        from a ``sequence`` over the newly closed slides, bounded by the batch."""
-        k = self.key
-        hi = closed_us - self.window_us
-        lo = F.unix_micros(F.col("first_start").cast("timestamp"))
-        if closed_prev is not None:
-            lo = F.greatest(lo, F.lit(closed_prev - self.window_us + self.slide_us))
-        grid = (state.select(k, F.explode(F.sequence(lo, F.lit(hi), F.lit(self.slide_us))).alias("_us"))
-                .select(k, F.timestamp_micros("_us").alias("window_start")))
-        w = Window.partitionBy(k).orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
-        carried = grid.join(smoothed.select(k, F.col("window_start").cast("timestamp").alias("window_start"),
-                                            "rsi"), [k, "window_start"], "left")
-        carried = carried.select(k, "window_start", F.last("rsi", ignorenulls=True).over(w).alias("rsi"))
-        if prev is not None:
-            carried = carried.join(prev.select(k, F.col("rsi").alias("_prev")), k, "left").select(
-                k, "window_start", F.coalesce("rsi", "_prev").alias("rsi"))
-        return carried.withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {self.window}"))
+            seen = known.select(k, "valid_from", F.lit(None).cast("double").alias("rsi"), F.lit(0).alias("_is"))
+        else:
+            held = prev.select(k, F.when(F.col("rsi").isNull(), F.col("first_start")).otherwise(F.col("window_start")).alias("valid_from"),
+                               "rsi", F.lit(0).alias("_is")).join(known.select(k), k, "left_semi")
+            fresh = known.join(prev.select(k), k, "left_anti")
+            seen = held.unionByName(fresh.select(k, "valid_from", F.lit(None).cast("double").alias("rsi"), F.lit(0).alias("_is")))
+        rows = points.unionByName(seen).withColumn("valid_to", F.lead("valid_from").over(Window.partitionBy(k).orderBy("valid_from", "_is")))
+        return rows.where(F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to"))).select(k, "valid_from", "valid_to", "rsi")
 
 
 def read_results(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """All rows written so far to ``<root>/<name>`` (``windows`` or ``smoothed``)."""
+    """All rows written so far to ``<root>/<name>``."""
     return spark.read.parquet(f"{root.rstrip('/')}/{name}").drop("batch_id")
+
+
+def read_carried(spark: SparkSession, root: str, key: str = "symbol") -> DataFrame:
+    """The carried values as intervals that don't overlap: of the rows with one
+    start the latest batch's counts, and each ends where the next one begins."""
+    rows = spark.read.parquet(f"{root.rstrip('/')}/carried")
+    latest = rows.groupBy(key, "valid_from").agg(F.max_by(F.struct("rsi"), "batch_id").alias("_v"))
+    following = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from"))
+    return latest.select(key, "valid_from", following.alias("valid_to"), "_v.rsi")
