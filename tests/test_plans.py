@@ -7,7 +7,7 @@ import re
 import pytest
 
 from tests.conftest import SF_SMALL
-from tickweave.operators.aggregates import window_metrics
+from tickweave.operators.aggregates import window_counts, window_metrics
 from tickweave.operators.changes import window_changes
 from tickweave.operators.indicators import window_report
 from tickweave.operators.ranking import top_k
@@ -41,8 +41,8 @@ def test_window_metrics_prunes_columns_and_combines_map_side(quotes):
 def test_changes_split_hot_keys_by_time_bucket_and_hash_aggregate(quotes):
     p = plan(window_changes(quotes, "1 day", "12 hours"), "simple")
     assert re.search(r"Exchange hashpartitioning\(symbol#\d+, _bucket#\d+", p)
-    assert "SortAggregate" not in p and "ObjectHashAggregate" not in p
-    assert "collect_list" not in p
+    # Only the runs of buckets are gathered, at most window / bucket of them; bars never are.
+    assert p.count("collect_list(struct(s, _bucket") == 2 and p.count("collect_list") == 2
 
 
 def test_report_is_one_aggregation_over_the_changes(quotes):
@@ -74,10 +74,16 @@ def test_wide_sliding_windows_expand_bucket_summaries(quotes):
     assert below.index("HashAggregate") < below.index("FileScan")
 
 
-def test_wide_windows_expand_change_sums_not_bars(quotes):
-    p = plan(window_changes(quotes, "1 hour", "5 minutes"), "simple")
-    lines = p.splitlines()
-    gen = next(i for i, x in enumerate(lines) if "Generate explode(sequence" in x)
-    below = "\n".join(lines[gen + 1:])
-    assert "HashAggregate" in below and below.index("HashAggregate") < below.index("FileScan")
-    assert "SortAggregate" not in p
+def test_window_changes_sort_bars_once(quotes):
+    for window, slide in (("10 minutes", "5 minutes"), ("1 hour", "5 minutes")):
+        p = plan(window_changes(quotes, window, slide), "simple")
+        lines = p.splitlines()
+        assert sum("Sort [" in x for x in lines) == 1 and "Join" not in p and "Union" not in p
+        # The runs are copied into windows, not the bars.
+        expand = next(i for i, x in enumerate(lines) if "Expand" in x)
+        assert "Sort [" in "\n".join(lines[expand + 1:])
+
+
+def test_gaps_take_one_scan(quotes):
+    p = plan(window_counts(quotes, fill_empty=True), "simple")
+    assert p.count("FileScan") == 1 and p.count("HashAggregate") == 2

@@ -1,6 +1,8 @@
 """Streams over a directory of day files equal the batch operators on the same lines."""
 
+import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from tests.feed_files import write_day_files
 from tests.oracle_check import compare
 from tickweave.operators.aggregates import window_metrics
 from tickweave.operators.changes import window_changes
-from tickweave.operators.indicators import carry_forward, rsi_smoothed, rsi_window
+from tickweave.operators.indicators import carry_intervals, rsi_smoothed, rsi_window, window_report
 from tickweave.operators.profit import cumulative_profit
 from tickweave.operators.ranking import top_k
 from tickweave.sinks.files import per_batch_parquet, per_batch_text, read_window_text, write_window_text
@@ -19,7 +21,8 @@ from tickweave.sources.lines import read_lines
 from tickweave.streaming.feed import (latest_snapshot, quote_stream, start, start_top_k, stream_profit,
                                       stream_window_metrics)
 from tickweave.operators.windows import interval_micros
-from tickweave.streaming.rsi import StreamingRsi, read_results
+from tickweave.streaming.rsi import ClosedWindows, read_carried, read_results
+from tickweave.streaming.windows import stream_window_report
 
 ONCE = {"availableNow": True}
 
@@ -84,39 +87,68 @@ def test_text_sink_pairs(spark, feed, scratch):
     assert len(lines) == 5 and all(x.startswith("(") and x.endswith(")") and "," in x for x in lines)
 
 
+def closed_stream(spark, feed, scratch, name="rsi", per_trigger=4, **how):
+    """Day windows moved every 12 hours, closed 12 hours late; the folder of the outputs."""
+    root = os.path.join(scratch, name)
+    report = stream_window_report(quote_stream(spark, feed, max_files_per_trigger=per_trigger).quotes, "1 day", "12 hours", "12 hours")
+    query = start(report, os.path.join(scratch, name + "-ckpt"), "append", foreach_batch=ClosedWindows(root, **how), trigger=ONCE)
+    run(query)
+    return root, query
+
+
+def closed_until(bq):
+    """Is a window end at least 12 hours before the latest quote?"""
+    latest = bq.agg(F.max("ts")).first()[0]
+    return F.col("window_end") <= F.lit(latest) - F.expr("INTERVAL 12 hours")
+
+
 def test_stateful_rsi_stream_equals_batch(spark, feed, scratch):
-    root = os.path.join(scratch, "rsi")
-    fn = StreamingRsi(root, "1 day", "12 hours", "12 hours")
-    quotes = quote_stream(spark, feed, max_files_per_trigger=4).quotes
-    run(start(quotes, os.path.join(scratch, "ckpt"), "append", foreach_batch=fn, trigger=ONCE))
-    meta = spark.read.parquet(os.path.join(root, "state", "meta"))
-    closed = meta.agg(F.max("closed_us")).first()[0]
-    assert closed is not None
+    root, _ = closed_stream(spark, feed, scratch, outputs=("windows", "smoothed"))
     bq = batch_quotes(spark, feed)
-    end_ok = F.unix_micros(F.col("window_end").cast("timestamp")) <= closed
     order = ["seq", "close"]
-
-    got = read_results(spark, root, "windows").toPandas()
-    want = rsi_window(bq, "1 day", "12 hours", order=order).where(end_ok).toPandas()
+    want = window_report(bq, "1 day", "12 hours", order=order).where(closed_until(bq)).toPandas()
+    got = read_results(spark, root, "windows").drop("n_changes").toPandas()
     assert len(got) > 250 and compare(got, want) is None
 
+    want_s = rsi_smoothed(bq, "1 day", "12 hours", order=order).where(closed_until(bq))
     got_s = read_results(spark, root, "smoothed").select("window_start", "symbol", F.round("rsi", 6).alias("rsi"))
-    want_s = rsi_smoothed(bq, "1 day", "12 hours", order=order).where(end_ok).select(
-        "window_start", "symbol", F.round("rsi", 6).alias("rsi"))
-    assert compare(got_s.toPandas(), want_s.toPandas(), rel=1e-9) is None
-    # every key in every closed slide, carrying its last value
-    wc = window_changes(bq, "1 day", "12 hours", order=order)
-    sm = rsi_smoothed(bq, order=order, summaries=wc).select("symbol", "window_start", "rsi")
-    want_c = carry_forward(sm, wc.select("symbol", "window_start"), "12 hours", "1 day").where(end_ok)
-    got_c = read_results(spark, root, "carried").withColumn(
-        "window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
-        "window_end", F.col("window_end").cast("timestamp_ntz"))
-    want_c = want_c.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
-        "window_end", F.col("window_end").cast("timestamp_ntz"))
-    assert compare(got_c.toPandas(), want_c.toPandas(), rel=1e-9) is None
-    # nothing arrived late: files came in time order
-    late = os.path.join(root, "late")
-    assert not os.path.exists(late) or spark.read.parquet(late).count() == 0
+    assert compare(got_s.toPandas(), want_s.select("window_start", "symbol", F.round("rsi", 6).alias("rsi")).toPandas(), rel=1e-9) is None
+    # every key's last value, as intervals
+    wc = window_changes(bq, "1 day", "12 hours", order=order).where(closed_until(bq))
+    want_c = carry_intervals(want_s.select("symbol", "window_start", "rsi"), wc.select("symbol", "window_start"))
+    assert compare(read_carried(spark, root).toPandas(), want_c.toPandas(), rel=1e-9) is None
+    # states that no replay needs are gone
+    assert len(os.listdir(os.path.join(root, "state", "smooth"))) <= 2
+
+
+def test_state_is_bounded_and_a_far_date_is_kept_out(spark, feed, scratch):
+    """One day a micro-batch, one of which has a quote of 2034: the state of the
+    window aggregations does not grow, and no window is closed early."""
+    folder = os.path.join(scratch, "incoming")
+    os.makedirs(folder)
+    for name in sorted(os.listdir(feed))[:20]:
+        shutil.copy2(os.path.join(feed, name), folder)
+    far = [{"symbol": "click", "timestamp": "2034-01-01 00:00:00", "priceData": {"open": 1, "close": 2, "volume": 3}}]
+    with open(os.path.join(folder, "a-far.json"), "w") as f:
+        f.write(json.dumps(far) + "\n")
+    os.utime(os.path.join(folder, "a-far.json"), (1_710_000_090, 1_710_000_090))
+    decoded = quote_stream(spark, folder, max_files_per_trigger=1, max_ahead="1 day")
+    report = stream_window_report(decoded.quotes, "1 hour", "30 minutes", "1 hour")
+    out = os.path.join(scratch, "out")
+    query = start(report, os.path.join(scratch, "ckpt"), "append", sink=out, trigger=ONCE)
+    run(query)
+    states = [[s["numRowsTotal"] for s in p["stateOperators"]] for p in query.recentProgress if p["numInputRows"]]
+    assert len(states) >= 20
+    # A day's bars and windows at most, whatever came before.
+    per_day = [max(s) for s in states]
+    assert max(per_day[10:]) <= 1.5 * max(per_day[:10])
+    bq = batch_quotes(spark, folder).where("ts < '2030-01-01'")
+    latest = bq.agg(F.max("ts")).first()[0]
+    want = window_report(bq, "1 hour", "30 minutes", order=["seq", "close"]).where(
+        F.col("window_end") <= F.lit(latest) - F.expr("INTERVAL 1 hour"))
+    assert compare(spark.read.parquet(out).drop("n_changes").toPandas(), want.toPandas()) is None
+    bad = decode_quotes(read_lines(spark, folder, arrival_time=True), arrival="arrival_ts", max_ahead="1 day").quarantine
+    assert [(r["pos"], r["reason"]) for r in bad.collect()] == [(0, "future_timestamp")]
 
 
 def test_interval_micros():
@@ -126,15 +158,15 @@ def test_interval_micros():
         interval_micros("3 fortnights")
 
 
-def test_feed_app_one_decode_all_outputs(spark, feed, scratch):
+def test_feed_app_all_outputs(spark, feed, scratch):
     from tickweave.app import main, run_feed
 
     assert main([]) == 1   # the input and output folders are required
     out = os.path.join(scratch, "app")
-    run(run_feed(spark, feed, out, "1 day", "12 hours", "12 hours", trigger=ONCE, max_files_per_trigger=10))
+    assert main(["in", "out", "--unknown"]) == 1
+    run_feed(spark, feed, out, "1 day", "12 hours", "12 hours", trigger=ONCE, max_files_per_trigger=10).awaitTermination()
     bq = batch_quotes(spark, feed)
-    closed = spark.read.parquet(os.path.join(out, "state", "meta")).agg(F.max("closed_us")).first()[0]
-    end_ok = F.unix_micros(F.col("window_end").cast("timestamp")) <= closed
+    end_ok = closed_until(bq)
     got = spark.read.parquet(os.path.join(out, "windows")).select(
         "window_start", "window_end", "symbol", "n_quotes", "sma_close", "avg_gain", "total_volume",
         "int_avg_volume")
@@ -146,6 +178,10 @@ def test_feed_app_one_decode_all_outputs(spark, feed, scratch):
     want_rsi = rsi_window(bq, "1 day", "12 hours", order=["seq", "close"]).where(end_ok).select(
         "window_start", "symbol", "rsi")
     assert compare(rsi_cols.toPandas(), want_rsi.toPandas()) is None
+    # Text files: one per output and task at most, however many windows a batch closes.
+    for batch in os.listdir(os.path.join(out, "text")):
+        for folder, _, names in os.walk(os.path.join(out, "text", batch)):
+            assert len([n for n in names if n.startswith("part-")]) <= 8, folder
     text = read_window_text(spark, os.path.join(out, "text"))
     for name, column in (("rsi", want_rsi), ("sma_close", want), ("total_volume", want)):
         values = column.select("window_start", "symbol", F.col(name).cast("double").alias("value")).where("value IS NOT NULL")
@@ -160,35 +196,31 @@ def test_feed_app_one_decode_all_outputs(spark, feed, scratch):
 def test_restart_from_checkpoint_gives_same_state(spark, feed, scratch):
     """Stop after part of the files, add the rest, restart on the same checkpoint:
     the final results equal one uninterrupted run."""
-    import shutil
-
     files = sorted(os.listdir(feed))
     part = os.path.join(scratch, "incoming")
     os.makedirs(part)
     for name in files[:12]:
         shutil.copy2(os.path.join(feed, name), part)
-    root, ckpt = os.path.join(scratch, "rsi"), os.path.join(scratch, "ckpt")
-
-    def go():
-        quotes = quote_stream(spark, part, max_files_per_trigger=5).quotes
-        run(start(quotes, ckpt, "append", foreach_batch=StreamingRsi(root, "1 day", "12 hours", "12 hours"),
-                  trigger=ONCE))
-
-    go()
-    first_batches = spark.read.parquet(os.path.join(root, "state", "meta")).count()
+    outputs = ("windows", "smoothed", "text")
+    root, _ = closed_stream(spark, part, scratch, per_trigger=6, outputs=outputs)
+    before = read_results(spark, root, "windows").count()
     for name in files[12:]:
         shutil.copy2(os.path.join(feed, name), part)
-    go()
-    assert spark.read.parquet(os.path.join(root, "state", "meta")).count() > first_batches
-
-    whole_root = os.path.join(scratch, "whole")
-    quotes = quote_stream(spark, feed, max_files_per_trigger=5).quotes
-    run(start(quotes, os.path.join(scratch, "ckpt2"), "append",
-              foreach_batch=StreamingRsi(whole_root, "1 day", "12 hours", "12 hours"), trigger=ONCE))
+    closed_stream(spark, part, scratch, per_trigger=6, outputs=outputs)
+    assert read_results(spark, root, "windows").count() > before > 0
+    whole, _ = closed_stream(spark, feed, scratch, "whole", 10, outputs=outputs)
     for name in ("windows", "smoothed"):
         a = read_results(spark, root, name).toPandas()
-        b = read_results(spark, whole_root, name).toPandas()
+        b = read_results(spark, whole, name).toPandas()
         assert len(a) > 0 and compare(a, b, rel=1e-9) is None, name
+    # A batch that is replayed overwrites its own output.
+    lines = read_window_text(spark, os.path.join(root, "text"))
+    n, last = lines.count(), max(int(x.removeprefix("batch_id=")) for x in os.listdir(os.path.join(root, "windows")))
+    batch = spark.read.parquet(os.path.join(root, "windows", f"batch_id={last}"))
+    batch = spark.createDataFrame(batch.collect(), batch.schema)
+    ClosedWindows(root, outputs=("text", "smoothed"))(batch, last)
+    assert read_window_text(spark, os.path.join(root, "text")).count() == n
+    assert compare(read_results(spark, root, "smoothed").toPandas(), read_results(spark, whole, "smoothed").toPandas(), rel=1e-9) is None
 
 
 def test_arrival_time_windows(spark, feed, scratch):
@@ -208,10 +240,10 @@ def test_arrival_time_windows(spark, feed, scratch):
 
 
 def test_missing_state_is_an_error(spark, scratch):
-    job = StreamingRsi(os.path.join(scratch, "rsi"), "1 day", "12 hours", "12 hours")
-    quotes = spark.createDataFrame([], "symbol string, ts timestamp, seq bigint, close decimal(20,8)")
-    with pytest.raises(RuntimeError, match="state table meta of batch 6"):
-        job(quotes, 7)
+    job = ClosedWindows(os.path.join(scratch, "rsi"), outputs=("smoothed",))
+    closed = spark.createDataFrame([], "symbol string, window_start timestamp, window_end timestamp, n_changes long, gain double, loss double")
+    with pytest.raises(RuntimeError, match="the state of batch 6"):
+        job(closed, 7)
 
 
 def test_window_text_round_trip(spark, scratch):
