@@ -138,26 +138,27 @@ ORACLE_SQL = {
             SELECT doc_id, text, place, masked, tokens, len(tokens) AS n_tokens, array_to_string(tokens[1:3], ' ') AS lead
             FROM (SELECT *, string_split(masked, ' ') AS tokens
                   FROM (SELECT *, regexp_replace(line, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS masked FROM plain WHERE line <> ''))
-            WHERE len(tokens) >= 5),
+            WHERE len(tokens) >= 5 OR NOT list_contains(tokens, '<*>')),
         leaves AS (
             SELECT n_tokens, lead FROM (SELECT DISTINCT n_tokens, lead, doc_id, text FROM masked) GROUP BY ALL HAVING count(*) >= 5),
-        chosen AS (SELECT m.* FROM masked m JOIN leaves USING (n_tokens, lead)),
-        counted AS (
-            SELECT masked, tokens, n_tokens, lead, count(*) AS n_docs
-            FROM (SELECT DISTINCT masked, tokens, n_tokens, lead, doc_id, text FROM chosen) GROUP BY ALL),
-        exploded AS (SELECT c.*, place, list_extract(tokens, place) AS token FROM counted c, unnest(range(1, n_tokens + 1)) AS u(place)),
+        chosen AS (SELECT m.*, hash(doc_id, text) AS doc FROM masked m JOIN leaves USING (n_tokens, lead)),
+        places AS (
+            SELECT DISTINCT masked, n_tokens, lead, doc, place, list_extract(tokens, place) AS token
+            FROM (SELECT DISTINCT masked, tokens, n_tokens, lead, doc FROM chosen WHERE n_tokens >= 5), unnest(range(4, n_tokens + 1)) AS u(place)),
         constant AS (
-            SELECT n_tokens, lead, place, token FROM exploded WHERE token <> '<*>' GROUP BY ALL HAVING sum(n_docs) >= 5),
+            SELECT n_tokens, lead, place, token FROM places WHERE token <> '<*>' GROUP BY ALL HAVING count(DISTINCT doc) >= 5),
         fields AS (
-            SELECT masked, e.n_tokens, any_value(n_docs) AS n_docs, count(c.token) AS n_constant,
-                   string_agg(coalesce(c.token, '<*>'), ' ' ORDER BY e.place) AS template
-            FROM exploded e LEFT JOIN constant c
-                 ON e.n_tokens = c.n_tokens AND e.lead = c.lead AND e.place = c.place AND e.token = c.token
-            GROUP BY masked, e.n_tokens),
-        shared AS (SELECT template FROM fields WHERE 2 * n_constant >= n_tokens GROUP BY template HAVING sum(n_docs) >= 5),
-        gone AS (
-            SELECT DISTINCT doc_id, text, place
-            FROM chosen JOIN (SELECT masked FROM fields JOIN shared USING (template) WHERE 2 * n_constant >= n_tokens) USING (masked))
+            SELECT masked, p.n_tokens, p.lead, doc, count(c.token) AS n_constant,
+                   p.lead || ' ' || string_agg(coalesce(c.token, '<*>'), ' ' ORDER BY p.place) AS template
+            FROM places p LEFT JOIN constant c
+                 ON p.n_tokens = c.n_tokens AND p.lead = c.lead AND p.place = c.place AND p.token = c.token
+            GROUP BY masked, p.n_tokens, p.lead, doc),
+        shared AS (
+            SELECT template FROM fields WHERE n_constant > 0 AND 2 * n_constant >= n_tokens - 3 GROUP BY template HAVING count(DISTINCT doc) >= 5),
+        recurring AS (
+            SELECT DISTINCT masked FROM fields JOIN shared USING (template) WHERE n_constant > 0 AND 2 * n_constant >= n_tokens - 3
+            UNION SELECT masked FROM chosen WHERE n_tokens < 5 GROUP BY masked HAVING count(DISTINCT doc) >= 5),
+        gone AS (SELECT DISTINCT doc_id, text, place FROM chosen JOIN recurring USING (masked))
         SELECT doc_id, any_value(n_lines) AS n_lines, count(g.place) AS n_dropped,
                coalesce(string_agg(l.body, chr(10) ORDER BY l.place) FILTER (WHERE g.place IS NULL), '') AS text
         FROM lines l LEFT JOIN gone g USING (doc_id, text, place) GROUP BY doc_id, l.text""",
