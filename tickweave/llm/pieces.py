@@ -12,14 +12,16 @@ from __future__ import annotations
 
 import base64
 import functools
+import itertools
 import re
 
 import numpy as np
+import pyarrow as pa
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # odd multipliers
 #: Pieces whose ids a worker process keeps; beyond it the store starts anew.
-KEPT_PIECES = 200_000
+KEPT_PIECES = 400_000
 
 
 @functools.lru_cache(1)
@@ -111,7 +113,10 @@ def distinct(joined: str, code: np.ndarray, starts: np.ndarray, stops: np.ndarra
     if not len(starts):
         return [], np.zeros(0, np.int64)
     one, two = span_hashes(code, starts, stops)
-    _, first, index = np.unique(one, return_index=True, return_inverse=True)
+    # Numbered by hashing in the order of first occurrence, which needs no sort.
+    index = pa.array(one).dictionary_encode().indices.to_numpy()
+    first = np.empty(int(index.max()) + 1, np.int64)
+    first[index[::-1]] = np.arange(len(index) - 1, -1, -1)
     if not np.array_equal(two[first][index], two):
         numbers: dict[str, int] = {}
         index = np.array([numbers.setdefault(joined[a:b], len(numbers)) for a, b in zip(starts, stops)])
@@ -177,21 +182,20 @@ class PieceEncoder:
 
     def raw(self, word: bytes):
         """The ids of one piece, not kept."""
-        return self._encode(word)
+        return self._encode(word.decode())
 
     def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each word."""
-        kept, encode, out = self._kept, self._encode, []
-        for w in words:
-            ids = kept.get(w)
+        kept, encode = self._kept, self._encode
+        out = list(map(kept.get, words))
+        for i, ids in enumerate(out):
             if ids is None:
-                ids = encode(w.encode())
-                if len(kept) >= KEPT_PIECES:
-                    kept.clear()
-                kept[w] = ids
-            out.append(ids)
+                out[i] = encode(words[i])
+        if len(kept) + len(words) > KEPT_PIECES:
+            kept.clear()
+        kept.update(zip(words, out))
         lengths = np.fromiter(map(len, out), np.int64, len(out))
-        return np.fromiter((i for ids in out for i in ids), np.uint32, int(lengths.sum())), lengths
+        return np.fromiter(itertools.chain.from_iterable(out), np.uint32, int(lengths.sum())), lengths
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and the offsets of the texts."""
@@ -237,7 +241,14 @@ def json_encoder(path: str) -> PieceEncoder:
         if token.single_word or token.lstrip or token.rstrip or token.normalized:
             raise ValueError(f"added token {token.content!r} is not matched as it stands")
         added[token.content] = token_id
-    return PieceEncoder(lambda w: tuple(t.id for t in model.tokenize(w.decode("latin-1").translate(chars))), added)
+    tokenize = model.tokenize
+
+    def ids(piece: str) -> list[int]:
+        # An ASCII character is its own byte.
+        text = piece if piece.isascii() else piece.encode().decode("latin-1")
+        return [t.id for t in tokenize(text.translate(chars))]
+
+    return PieceEncoder(ids, added)
 
 
 def rank_table(path: str) -> dict[bytes, int]:
@@ -253,4 +264,4 @@ def rank_encoder(path: str, pattern: str) -> PieceEncoder:
 
     encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=rank_table(path), special_tokens={})
     single = encoding._core_bpe.encode_single_piece
-    return PieceEncoder(single)
+    return PieceEncoder(lambda piece: single(piece.encode()))

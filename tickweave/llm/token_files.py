@@ -40,6 +40,37 @@ DOC_ENTRY = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("end", "<u8")])
 MANIFEST = "part int, file string, n_docs long, n_tokens long"
 
 
+def _bits(width: int):
+    """For 64 numbers of a bit width packed into ``width`` 64-bit words: number,
+    word and shift of each, and whether it goes on in the next word."""
+    for k in range(64):
+        word, shift = divmod(k * width, 64)
+        yield k, word, np.uint64(shift), shift + width > 64
+
+
+def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
+    """The low ``width`` bits of each number, little-endian, row by row as bytes;
+    rows of a multiple of 64 numbers."""
+    v = np.ascontiguousarray((values & np.uint32((1 << width) - 1)).reshape(-1, 64).T.astype(np.uint64))
+    words = np.zeros((width, v.shape[1]), np.uint64)
+    for k, word, shift, crosses in _bits(width):
+        words[word] |= v[k] << shift
+        if crosses:
+            words[word + 1] |= v[k] >> (np.uint64(64) - shift)
+    return np.ascontiguousarray(words.T).astype("<u8", copy=False).view(np.uint8).reshape(len(values), -1)
+
+
+def unpack_bits(data: np.ndarray, width: int, n: int) -> np.ndarray:
+    """The inverse of ``pack_bits``: rows of ``n`` numbers."""
+    words = np.ascontiguousarray(np.ascontiguousarray(data).view("<u8").reshape(-1, width).T)
+    v = np.empty((64, words.shape[1]), np.uint64)
+    for k, word, shift, crosses in _bits(width):
+        v[k] = words[word] >> shift
+        if crosses:
+            v[k] |= words[word + 1] << (np.uint64(64) - shift)
+    return (np.ascontiguousarray(v.T) & np.uint64((1 << width) - 1)).astype(np.uint32).reshape(-1, n)
+
+
 def pack_blocks(values: np.ndarray, percentile: float = PERCENTILE) -> tuple[list[bytes], np.ndarray]:
     """The bytes and entries (starts unset) of full blocks, ``values`` being
     uint32 of shape (blocks, BLOCK)."""
@@ -53,8 +84,7 @@ def pack_blocks(values: np.ndarray, percentile: float = PERCENTILE) -> tuple[lis
     out: list[bytes] = [b""] * len(values)
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
-        bits = np.unpackbits(diff[rows].astype("<u4").view(np.uint8).reshape(len(rows), -1, 4), axis=2, bitorder="little")
-        packed = np.packbits(bits[:, :, :w].reshape(len(rows), -1), axis=1, bitorder="little")
+        packed = pack_bits(diff[rows], int(w)) if w else np.zeros((len(rows), 0), np.uint8)
         for row, data in zip(rows, packed):
             wide = np.flatnonzero(need[row] > w)
             entries["exceptions"][row] = len(wide)
@@ -68,10 +98,8 @@ def unpack_blocks(data: np.ndarray, entries: np.ndarray) -> np.ndarray:
     values = np.zeros((len(entries), BLOCK), "<u4")
     for w in np.unique(entries["width"]):
         rows, size = np.flatnonzero(entries["width"] == w), BLOCK * int(w) // 8
-        bits = np.zeros((len(rows), BLOCK, 32), np.uint8)
-        packed = data[starts[rows][:, None] + np.arange(size)]
-        bits[:, :, :w] = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(rows), BLOCK, int(w))
-        values[rows] = np.packbits(bits, axis=2, bitorder="little").view("<u4")[:, :, 0]
+        if w:
+            values[rows] = unpack_bits(data[starts[rows][:, None] + np.arange(size)], int(w), BLOCK)
     for row in np.flatnonzero(entries["exceptions"]):
         at, n = starts[row] + BLOCK * int(entries["width"][row]) // 8, int(entries["exceptions"][row])
         places = data[at: at + 2 * n].view("<u2")
