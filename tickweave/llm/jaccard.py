@@ -9,9 +9,11 @@ with the union of the group: of its ``n`` shingles at least
 ``ceil(SIMILARITY * n)``.  Only groups that pass are opened, and only there sets
 are compared.
 
-Not all columns of the matrix are read.  Of a class ``n - ceil(SIMILARITY * n) + 1``
-shingles are enough, if all classes choose them by one order: two similar
-classes share one of those.  The order puts shingles that many classes have
+Not all columns of the matrix are read.  Of a class the first
+``n - ceil(SIMILARITY * n) + c`` shingles are enough, if all classes choose them by
+one order: two similar classes share at least ``c`` of those (the smaller ``c`` of
+the two, which grows with ``n``).  A class that shares fewer with all others
+together, or with a group, is out before any set is moved.  The order puts shingles that many classes have
 last, so that passages which thousands of documents share bring no candidates
 unless a document has hardly anything else.  Shingles are counted over all
 classes, by 40 bits of their hash; the list of frequent ones that the tasks get
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickweave.llm.common import map_arrow, same, steps, text_col, written
@@ -43,6 +45,8 @@ PERCENT = 85
 GROUP_CLASSES = 128
 #: Shingles of a group's sets together, about.
 GROUP_SHINGLES = 1 << 18
+#: One of so many shingles is read beyond those that a candidate needs, so that chance matches don't count.
+SPARE = 16
 #: Classes that are compared with a group in one task.
 QUERIES = 4096
 #: Least number of classes that have a frequent shingle, and most entries of that list.
@@ -128,6 +132,17 @@ def _needed(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * n // 100)
 
 
+def _common(n):
+    """Shingles that two similar sets share among the first ones (of the smaller
+    set; a number, an array or a column)."""
+    return n // SPARE + 1 if not isinstance(n, Column) else F.floor(n / SPARE) + 1
+
+
+def _first(n: np.ndarray, percent: int) -> np.ndarray:
+    """How many first shingles of a set of ``n`` decide about its candidates."""
+    return np.minimum(n, n - _needed(n, percent) + _common(n))
+
+
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All tokens of a batch's sets, the row of each, and its place in its set."""
     parts = [np.frombuffer(x, "<u8") for x in batch.column("tokens").to_pylist()]
@@ -144,14 +159,14 @@ def frequent_shingles(sets: DataFrame, percent: int = PERCENT) -> np.ndarray:
     """
     total = sets.agg(F.sum("n")).first()[0] or 0
     bits = max(8, (total >> 22).bit_length())  # about four million shingles to a bucket
-    counted = 2 * total * (100 - percent) // 100 + 2 * sets.count()
+    counted = 2 * (total * (100 - percent) // 100 + total // SPARE + 2 * sets.count())
     least = max(FREQUENT_FROM, counted // FREQUENT)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             token, row, place = _flat(batch)
             n = np.array(batch.column("n").to_pylist(), np.int64)
-            value, times = np.unique(token[place < 2 * (n - _needed(n, percent) + 1)[row]] >> np.uint64(24), return_counts=True)
+            value, times = np.unique(token[place < 2 * _first(n, percent)[row]] >> np.uint64(24), return_counts=True)
             bucket = (value >> np.uint64(40 - bits)).astype(np.int64)
             heads = np.flatnonzero(np.diff(bucket, prepend=-1))
             ends = np.append(heads, len(value))
@@ -208,7 +223,7 @@ def _prefixes(sets: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
             token, row = token[order], row[order]
             n = np.array(batch.column("n").to_pylist(), np.int64)
             first = np.searchsorted(row, row)
-            some = np.arange(len(row)) - first < (n - _needed(n, percent) + 1)[row]
+            some = np.arange(len(row)) - first < _first(n, percent)[row]
             key = np.array(batch.column("key").to_pylist(), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(token[some].view(np.int64)), pa.array(key[row[some]]), pa.array(n[row[some]])],
                                              names=["token", "key", "n"])
@@ -331,8 +346,9 @@ def similar_classes(sets: DataFrame, percent: int = PERCENT, group_classes: int
 
     # Groups: the smallest shared shingle and the size within the factor that similarity allows.
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")
-    alive = shared.groupBy("key").agg(F.first("n").alias("n"), F.min("token").alias("least")).withColumn("band", band)
-    alive = written(alive, "shared-classes")
+    alive = shared.groupBy("key").agg(F.first("n").alias("n"), F.min("token").alias("least"), F.count("*").alias("k")).withColumn("band", band)
+    # The smallest set that a class can be similar to has percent of its shingles.
+    alive = written(alive.where(F.col("k") >= _common(F.ceil(percent * F.col("n") / 100))).drop("k"), "shared-classes")
     sizes = alive.groupBy("least", "band").agg(F.greatest(F.ceil(F.count("*") / group_classes), F.ceil(F.sum("n") / GROUP_SHINGLES)).alias("parts"))
     placed = alive.join(sizes, ["least", "band"]).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
     placed = written(placed.select("key", "n", F.xxhash64("least", "band", "part").alias("gid"),
@@ -347,13 +363,14 @@ def similar_classes(sets: DataFrame, percent: int = PERCENT, group_classes: int
     rows = shared.select("token", "key").distinct().join(known, "key").repartition("token").withColumns(
         {"low": F.min("comp").over(token), "high": F.max("comp").over(token)})
     rows = written(rows.where("low <> high").select("token", "key", "n", "gid", "comp"), "open-shingles")
-    limits = known.groupBy("gid").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("comp").alias("comp_low"), F.max("comp").alias("comp_high"))
+    limits = known.groupBy("gid").agg(F.min("n").alias("m_low"), F.max("n").alias("m_high"), F.min("comp").alias("comp_low"), F.max("comp").alias("comp_high"))
     matrix = rows.select(F.col("token").alias("m_token"), F.col("gid").alias("m_gid")).distinct().join(
         limits.withColumnRenamed("gid", "l_gid"), F.col("m_gid") == F.col("l_gid"))
-    fits = (100 * F.col("high") >= percent * F.col("n")) & (percent * F.col("low") <= 100 * F.col("n"))
+    fits = (100 * F.col("m_high") >= percent * F.col("n")) & (percent * F.col("m_low") <= 100 * F.col("n"))
     apart = (F.col("comp_low") != F.col("comp")) | (F.col("comp_high") != F.col("comp"))
     pairs = rows.join(matrix, (F.col("token") == F.col("m_token")) & (F.col("m_gid") >= F.col("gid")) & fits & apart)
-    pairs = written(pairs.select("key", F.col("m_gid").alias("gid")).distinct(), "candidate-groups")
+    matched = pairs.groupBy("key", F.col("m_gid").alias("gid")).agg(F.count("*").alias("k"), F.first("n").alias("n"), F.first(F.col("m_low")).alias("low"))
+    pairs = written(matched.where(F.col("k") >= _common(F.least("n", "low"))).select("key", "gid"), "candidate-groups")
     return components(written(links.unionByName(_verified(pairs, placed, sets, percent, False)), "all-links"))
 
 

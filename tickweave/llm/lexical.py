@@ -41,6 +41,8 @@ SHARD_CHARS, SHARD_DOCS = 32_000_000, 60_000
 RANGE = 1024
 #: Queries that are searched together in a shard.
 QUERIES = 256
+#: Partitions of a search at most.
+MOST_PARTITIONS = 20_000
 #: Fixed values of the score: see ``score_bound``.
 SCALE, HALF = 1_000_000_000, 50
 BLOCK_ENTRY = np.dtype([("first", "<u2"), ("last", "<u2"), ("n", "<u2"), ("gap_width", "u1"), ("tf_width", "u1"),
@@ -314,7 +316,9 @@ def search(index: DataFrame, items: DataFrame, k: int = 50, item_id: str = "item
              lists.select("shard", "block", F.lit(1).alias("kind"), none.alias("key"), none.alias("query"), "term", "entries", "data"),
              groups.join(asked, "block").select("shard", "block", F.lit(2).alias("kind"), "key", "query", none.alias("term"),
                                                 none.alias("entries"), none.alias("data"))]
-    dealt = parts[0].unionByName(parts[1]).unionByName(parts[2]).repartition("shard", "block").sortWithinPartitions("shard", "block", "kind")
+    # The work lies in the search, not in the bytes: a partition per group, up to a bound.
+    n_groups = max(1, min(corpus.count() * blocks, MOST_PARTITIONS))
+    dealt = parts[0].unionByName(parts[1]).unionByName(parts[2]).repartition(n_groups, "shard", "block").sortWithinPartitions("shard", "block", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs = held = None
