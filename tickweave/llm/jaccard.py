@@ -22,8 +22,8 @@ has at most ``FREQUENT`` entries, because its threshold grows with the corpus.
 The join has two rounds.  First each class is compared with its own group and
 with the first part of the group it was split from; that connects clusters of
 near copies, however large, with work in proportion to their size.  Then the
-matrix gives the remaining candidates, leaving out groups that are already in
-one component with the class.
+matrix gives the remaining candidates; of two components only the smaller one's
+classes ask for the groups of the other.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ GROUP_SHINGLES = 1 << 18
 #: One of so many shingles is read beyond those that a candidate needs, so that chance matches don't count.
 SPARE = 16
 #: Classes that are compared with a group in one task.
-QUERIES = 4096
+QUERIES = 512
 #: Least number of classes that have a frequent shingle, and most entries of that list.
 FREQUENT_FROM, FREQUENT = 64, 1 << 22
 #: Rows up to which the narrow table of where sets go is broadcast to the scan of the sets (24 bytes each).
@@ -357,18 +357,20 @@ def similar_classes(sets: DataFrame, percent: int = PERCENT, group_classes: int
     heads = placed.where("head <> gid").select("key", F.col("head").alias("gid"))
     links = written(_verified(heads, placed, sets, percent, True), "near-links")
     joined = components(links).select(F.col("node").alias("key"), "root")
-    known = written(placed.join(joined, "key", "left").select("key", "n", "gid", F.coalesce("root", "key").alias("comp")), "near-classes")
+    known = written(placed.join(joined, "key", "left").select("key", "n", "gid", F.coalesce("root", "key").alias("comp")), "near-components")
+    # Of two components the smaller one asks: the classes of a large cluster don't ask for each other's groups.
+    weight = known.groupBy("comp").agg(F.count("*").alias("size"))
+    known = written(known.join(weight, "comp").select("key", "n", "gid", "comp", F.struct("size", "comp").alias("weight")), "near-classes")
 
     # The matrix, without shingles whose classes are all connected already.
     rows = shared.select("token", "key").distinct().join(known, "key").repartition("token").withColumns(
         {"low": F.min("comp").over(token), "high": F.max("comp").over(token)})
-    rows = written(rows.where("low <> high").select("token", "key", "n", "gid", "comp"), "open-shingles")
-    limits = known.groupBy("gid").agg(F.min("n").alias("m_low"), F.max("n").alias("m_high"), F.min("comp").alias("comp_low"), F.max("comp").alias("comp_high"))
+    rows = written(rows.where("low <> high").select("token", "key", "n", "gid", "weight"), "open-shingles")
+    limits = known.groupBy("gid").agg(F.min("n").alias("m_low"), F.max("n").alias("m_high"), F.max("weight").alias("m_weight"))
     matrix = rows.select(F.col("token").alias("m_token"), F.col("gid").alias("m_gid")).distinct().join(
         limits.withColumnRenamed("gid", "l_gid"), F.col("m_gid") == F.col("l_gid"))
     fits = (100 * F.col("m_high") >= percent * F.col("n")) & (percent * F.col("m_low") <= 100 * F.col("n"))
-    apart = (F.col("comp_low") != F.col("comp")) | (F.col("comp_high") != F.col("comp"))
-    pairs = rows.join(matrix, (F.col("token") == F.col("m_token")) & (F.col("m_gid") >= F.col("gid")) & fits & apart)
+    pairs = rows.join(matrix, (F.col("token") == F.col("m_token")) & fits & (F.col("m_weight") > F.col("weight")))
     matched = pairs.groupBy("key", F.col("m_gid").alias("gid")).agg(F.count("*").alias("k"), F.first("n").alias("n"), F.first(F.col("m_low")).alias("low"))
     pairs = written(matched.where(F.col("k") >= _common(F.least("n", "low"))).select("key", "gid"), "candidate-groups")
     return components(written(links.unionByName(_verified(pairs, placed, sets, percent, False)), "all-links"))
