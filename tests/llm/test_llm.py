@@ -248,13 +248,23 @@ def test_line_templates(spark, docs, none):
     text = collections.defaultdict(list)
     for r in out:
         text[r["doc_id"]].append((r["text"], r["n_lines"], r["n_dropped"]))
-    assert text[3] == [("d dd ddd dddd ddddd dddddd ddddddd\nshort line", 5, 3)]
+    assert text[3] == [("d dd ddd dddd ddddd dddddd ddddddd", 5, 4)]
     assert sorted(text[20]) == [("", 1, 1), ("own line that nobody else has got", 2, 1)]
     assert text[21] == [("", 1, 0)] and text[None] == [("", 1, 1)]
     assert line_templates.drop_recurring_lines(none).count() == 0
     assert line_templates.drop_recurring_lines(docs).count() == docs.count()
 
 
+def test_line_templates_count_documents(spark):
+    forms = ["one two three %s %s" % (chr(97 + k) * 3, chr(97 + k) * 4) for k in range(5)]
+    own = "\n".join("list item number same word%s" % c for c in "abcde")
+    rows = [(k, forms[k] + "\nAll rights reserved.\npage %d" % k) for k in range(5)]  # a common start, nothing else
+    rows += [(10 + k, "list item number same x%s" % ("yz"[:k] or "w")) for k in range(3)] + [(20, own), (20, own)]
+    got = {r["doc_id"]: r["text"] for r in line_templates.drop_recurring_lines(spark.createDataFrame(rows_of(rows), SCHEMA)).collect()}
+    assert got[3] == forms[3] + "\npage 3"  # the short line goes, one with a number stays
+    assert got[20] == own and got[11] == "list item number same xy"  # four documents, however many lines one has
+
+
 def test_word_bpe_round_trip(docs, none, texts):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=pieces.rank_table(RANKS), special_tokens={})
     out = word_bpe.decode(word_bpe.encode(docs, RANKS, public_tokenizers.PATTERN, buckets=5, block_chars=3000), RANKS).collect()
