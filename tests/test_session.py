@@ -36,3 +36,13 @@ def test_local_session_without_setting_gets_private_folder():
                          text=True, timeout=300)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "OK" in out.stdout
+
+
+def test_queries_are_listed_without_a_session():
+    """The entry module is imported before any session exists."""
+    import subprocess
+    import sys
+
+    code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert q and set(o) <= set(q)"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)

@@ -62,7 +62,7 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
 
 
 METRICS = ("window_start", "window_end", "symbol", "n_quotes", "sma_close", "avg_gain", "total_volume", "int_avg_volume")
-RSI = ("window_start", "window_end", "symbol", F.col("n_quotes").alias("n_bars"), "gain", "loss", "rsi", "rsi_skip_first")
+RSI = ("window_start", "window_end", "symbol", "n_quotes AS n_bars", "gain", "loss", "rsi", "rsi_skip_first")
 
 
 def q_stream_window_metrics(spark: SparkSession, d: str) -> DataFrame:
@@ -85,7 +85,7 @@ def q_stream_sliding(spark: SparkSession, d: str) -> DataFrame:
 def q_stream_rsi_window(spark: SparkSession, d: str) -> DataFrame:
     """Window RSI of the windows that the watermark (latest quote time - 12 hours) has closed."""
     root = _closed(spark, d, "rsi", "windows", DAY_WINDOW, DAY_SLIDE, "12 hours")
-    return _ntz(read_results(spark, root, "windows")).select(*RSI)
+    return _ntz(read_results(spark, root, "windows")).selectExpr(*RSI)
 
 
 def q_stream_rsi_smoothed(spark: SparkSession, d: str) -> DataFrame:
@@ -133,7 +133,7 @@ def q_stream_arrival_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 def q_stream_arrival_rsi(spark: SparkSession, d: str) -> DataFrame:
     """RSI of the quotes that arrived in a window, in the order of their own times."""
-    return _arrival_report(spark, d, "arrival-rsi").select(*RSI)
+    return _arrival_report(spark, d, "arrival-rsi").selectExpr(*RSI)
 
 
 def q_stream_profit(spark: SparkSession, d: str) -> DataFrame:
