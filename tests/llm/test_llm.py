@@ -120,8 +120,6 @@ def test_license_scan(spark, docs, none):
     assert got[2, "license:MIT"][0]["matched_words"] >= 0.9 * len(torn)
     assert got[4, "license:MIT line"][0]["coverage"] == 1 and len(got[6, "license:MIT"]) == 2
     assert (5, "license:MIT") not in got and (3, "license:MIT") not in got
-    blocks = license_scan.scan(table, templates, block_words=50)  # several scans, the same result
-    assert sorted(map(tuple, blocks.collect())) == sorted(tuple(r) for v in got.values() for r in v)
     assert license_scan.scan(none, templates).count() == 0 and license_scan.scan(docs, templates.limit(0)).count() == 0
 
 
@@ -143,27 +141,97 @@ def test_license_scan_gives_every_span(spark):
         assert all(x[1] <= y[0] for x, y in zip(at, at[1:]))
 
 
+def test_license_scan_finds_common_notices(spark, monkeypatch):
+    names = ["BSD-3-Clause", "MPL-2.0 notice", "AGPL-3.0 notice", "CC-BY-4.0 notice", "MIT tag", "GPL-3.0-only tag", "Apache-2.0 line 2", "MIT grant"]
+    rows = [(k, f"word{k} before. {license_scan.NOTICES[n]} And after.") for k, n in enumerate(names)] + [(100, "no license here"), (101, "MIT")]
+    rows += [(102, "SPDX-License-Identifier: MIT " * 3), (103, rows[0][1]), (103, rows[0][1])]
+    table, templates = spark.createDataFrame(rows_of(rows), SCHEMA), license_scan.notice_templates(spark)
+    out = sorted(map(tuple, license_scan.scan(table, templates).collect()))
+    whole = {(d, t.removeprefix("license:")) for d, t, coverage, *_ in out if coverage == 1}
+    assert {(k, n) for k, n in enumerate(names)} <= whole and not {d for d, *_ in out} & {100, 101}
+    assert sum(r[0] == 102 for r in out) == 3 and sum(r[:2] == (103, "license:BSD-3-Clause") for r in out) == 2
+    monkeypatch.setattr(license_scan, "BROADCAST_ROWS", 0)  # shuffled index and templates, a filter that is nearly full
+    monkeypatch.setattr(license_scan, "MOST_BITS", 15)
+    assert sorted(map(tuple, license_scan.scan(table, templates.repartition(5)).collect())) == out
+
+
+def test_license_scan_equals_brute_force(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(2000)]
+    notes = [(f"t{k}", " ".join(rng.choices(vocabulary, k=rng.choice([1, 3, 5, 12, 40])))) for k in range(20)] + [("empty", ""), ("null", None)]
+    rows = []
+    for d in range(60):
+        parts = [" ".join(rng.choices(vocabulary, k=rng.randint(0, 30))) for _ in range(4)]
+        for _ in range(2):
+            parts.insert(rng.randint(0, 4), rng.choice(notes)[1] or "")
+        rows.append((d, " ".join(parts)))
+    got = collections.Counter()
+    templates = spark.createDataFrame(notes, "template_id string, text string")
+    for r in license_scan.scan(spark.createDataFrame(rows_of(rows), SCHEMA), templates, min_coverage=1.0).collect():
+        got[r["doc_id"], r["template_id"]] += r["coverage"] == 1
+    want = collections.Counter()
+    for d, text in rows:
+        w = text.split()
+        for t, note in notes:
+            n, at = (note or "").split(), 0
+            while n and at <= len(w) - len(n):
+                hit = w[at: at + len(n)] == n
+                want[d, t] += hit
+                at += len(n) if hit else 1
+    assert +got == +want
+
+
 def brute_repetition(text, least):
     w = WORD.findall(text)
     n = len(w)
     longest = [max((next((k for k in range(n) if max(i, j) + k >= n or w[i + k] != w[j + k]), n) for j in range(n) if j != i), default=0) for i in range(n)]
     three = {i + k for i, r in enumerate(longest) if r >= 3 for k in range(3)}
     cover = {i + k for i, r in enumerate(longest) if r >= least for k in range(r)}
-    return n, sum(map(len, w)), len(three), sum(len(w[i]) for i in cover), max(longest, default=0)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return (n, sum(map(len, w)), len(three), sum(len(w[i]) for i in cover), max(longest, default=0),
+            sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)))
+
+
+def brute_maximal(text, least):
+    """Word sequences that occur twice or more and that no word before or after is common to all occurrences of."""
+    w = WORD.findall(text)
+    out = set()
+    for size in range(least, len(w)):
+        at = collections.defaultdict(list)
+        for i in range(len(w) - size + 1):
+            at[tuple(w[i: i + size])].append(i)
+        for words, starts in at.items():
+            left = {w[i - 1] if i else None for i in starts}
+            right = {w[i + size] if i + size < len(w) else None for i in starts}
+            if len(starts) > 1 and (len(left) > 1 or None in left) and (len(right) > 1 or None in right):
+                out.add((" ".join(words), len(starts)))
+    return out
 
 
 def test_repetition_equals_brute_force(docs, none, texts):
     rng = random.Random(7)
     for _ in range(40):
         some = [" ".join(rng.choices(["a", "bb", "c"], k=rng.randint(0, 30))) for _ in range(4)] + ["x y z " * rng.randint(0, 8)]
+        some += ["\n".join(rng.choices(["a | b", "c", "", " #", "a | b "], k=8))]
         m = repetition.measures(some, 4)
-        got = list(zip(*(list(map(int, m[k])) for k in ("n_words", "word_chars", "n_repeat_words", "covered_chars", "longest_repeat"))))
+        for t, repeats in zip(some, m["repeats"]):
+            assert {(" ".join(t[r["start"]: r["end"]].split()), r["count"]) for r in repeats} == brute_maximal(t, 4)
+        got = list(zip(*(list(map(int, m[k])) for k in ("n_words", "word_chars", "n_repeat_words", "covered_chars", "longest_repeat", "n_symbols", "n_dup_lines"))))
         assert got == [brute_repetition(t, 4) for t in some]
     out = repetition.repetition(docs).collect()
     assert len(out) == len(texts) and all(r["base_failed"] for r in out if r["n_words"] < 50)
     (long,) = [r for r in out if r["doc_id"] == 81]
     assert long["longest_repeat"] == 8999 and long["base_failed"] and not long["kept"]
     assert [s.asDict() for s in long["spans"]] == [{"start": 0, "end": 44999}]
+    plain = [f"u{k}" for k in range(400)]
+    blob = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(3000))
+    cases = [" ".join(plain), " ".join(plain + plain[:60]), " ".join(plain + plain[:40]), " ".join(plain[:60] + [blob, blob[:1500]]),
+             " ".join(x for k in range(20) for x in (*plain[9 * k: 9 * k + 9], f"v{k}", f"x{k}", f"y{k}", *plain[9 * k: 9 * k + 9], *(f"z{k}-{j}" for j in range(20))))]
+    m = repetition.measures(cases)
+    failed, kept = repetition.verdicts(m)
+    # A passage of 60 words twice, a repeat inside a long word, and many short repeats fail the method alone.
+    assert not failed.any() and kept.tolist() == [True, False, True, False, False]
+    assert m["longest_repeat"].tolist() == [0, 60, 40, 1500, 9] and m["n_words"][3] == 62
     kept = repetition.drop_repetitive(docs)
     assert kept.columns == docs.columns and kept.count() == sum(r["kept"] for r in out)
     assert repetition.repetition(none).count() == repetition.drop_repetitive(none).count() == 0

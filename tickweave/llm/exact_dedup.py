@@ -56,10 +56,10 @@ def duplicate_groups(shared: DataFrame) -> DataFrame:
     """The groups of equal texts among ``shared_rows``: ``sha``, ``group_size``,
     and ``keep_id`` and ``keep_points`` of the row that stays: the most code
     points, then the smallest id (a null id after all others)."""
-    # max() on (code points, has an id, minus the id) picks that row with partial aggregation before the shuffle.
-    best = F.max(F.struct("points", F.col("doc_id").isNotNull().alias("known"), F.expr("-doc_id").alias("minus"))).alias("best")
+    # min() on (minus the code points, has no id, the id) picks that row with partial aggregation before the shuffle; ids of any type.
+    best = F.min(F.struct((-F.col("points")).alias("minus"), F.col("doc_id").isNull().alias("unknown"), "doc_id")).alias("best")
     return shared.groupBy("sha").agg(F.count("*").alias("group_size"), best).where("group_size > 1").select(
-        "sha", "group_size", F.expr("-best.minus").alias("keep_id"), F.col("best.points").alias("keep_points"))
+        "sha", "group_size", F.col("best.doc_id").alias("keep_id"), (-F.col("best.minus")).alias("keep_points"))
 
 
 def _staying(row_id: Column, points: Column) -> Column:

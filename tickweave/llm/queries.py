@@ -57,7 +57,7 @@ def op4_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word, symbol, line and repetition counts of all documents, and the verdict."""
     return repetition(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "covered_chars", "longest_repeat", F.size("spans").alias("n_spans"))
+        "covered_chars", "longest_repeat", F.size("spans").alias("n_spans"), F.size("repeats").alias("n_repeats"))
 
 
 def op5_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,17 +1,19 @@
 """Quality rules: repetition inside a document by suffix arrays over its words.
 
+The alphabet are the words; of a word of over ``LONG_WORD`` code points (a text
+without spaces) each code point is a unit of its own, so repeats inside it count.
 All suffixes of all documents of a step are sorted at once by prefix doubling
 (the document is part of the first key, so texts never match each other).
 Only suffixes that still share their class go on to the next doubling.  The
 classes of the doublings also give the longest common prefix of neighbours in
-the sorted order.  The longest repeat that begins at a word is the larger of
-its two common prefixes; the intervals of these prefixes are the maximal
-repeated substrings, and the union of the spans of those of at least
-``min_words`` words is the part of the text that occurs more than once.
+the sorted order.  The intervals of these prefixes whose members are not all
+preceded by the same unit are the maximal repeated substrings, each with its
+number of occurrences.  The union of the spans of those of at least
+``repeat_words`` units is the part of the text that occurs more than once.
 
 A document fails if it has few words, if words in repeated 3-word windows are
 more than half (the base rules), if more than ``max_covered`` of its word
-characters are covered, or if its longest repeat is over ``max_longest`` words.
+characters are covered, or if its longest repeat is over ``max_longest`` units.
 """
 
 from __future__ import annotations
@@ -32,18 +34,22 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: A repeat of this many words or more counts as covered text.
 REPEAT_WORDS = 8
-MAX_COVERED = 0.5
-MAX_LONGEST = 100
+#: Most of the word characters that repeats may cover: the published limit on duplicate lines and paragraphs.
+MAX_COVERED = 0.3
+MAX_LONGEST = 50
+#: Code points of a word from which on it is taken apart.
+LONG_WORD = 64
 RESULT = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-          "covered_chars long, longest_repeat long, spans array<struct<start:long,end:long>>, base_failed boolean, kept boolean")
+          "covered_chars long, longest_repeat long, spans array<struct<start:long,end:long>>, "
+          "repeats array<struct<start:long,end:long,count:long>>, base_failed boolean, kept boolean")
 
 
-def longest_repeats(word: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """For each place the number of words from there on that also occur at
-    another place of the same document.  ``doc`` ascends."""
+def common_prefixes(word: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places in the order of their suffixes, and the longest common prefix of
+    each with the next.  ``doc`` ascends; a suffix ends with its document."""
     n = len(word)
     if not n:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     ends = np.searchsorted(doc, doc, "right")  # the end of the place's document
     order = np.lexsort((word, doc))
     rank, levels, h = np.zeros(n, np.int64), [], 0
@@ -84,9 +90,59 @@ def longest_repeats(word: np.ndarray, doc: np.ndarray) -> np.ndarray:
         left[hit] += step
         right[hit] += step
         where = where[np.maximum(left[where], right[where]) < ends[sorted_places[where]]]
-    out = np.zeros(n, np.int64)
-    out[sorted_places[:-1]] = common
-    out[sorted_places[1:]] = np.maximum(out[sorted_places[1:]], common)
+    return sorted_places, common
+
+
+def longest_repeats(places: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """For each place the number of units from there on that also occur at
+    another place of the same document: the deepest interval that holds it."""
+    out = np.zeros(len(places), np.int64)
+    out[places[:-1]] = common
+    out[places[1:]] = np.maximum(out[places[1:]], common)
+    return out
+
+
+def maximal_repeats(word: np.ndarray, doc: np.ndarray, places: np.ndarray, common: np.ndarray, least: int) -> np.ndarray:
+    """The maximal repeated substrings of at least ``least`` units, a row each: the
+    place of one occurrence, the length, and the number of occurrences."""
+    at = np.flatnonzero(common >= least)
+    # How often the unit before changes along the order; the begin of a document differs from all.
+    begins = np.diff(doc, prepend=-1) != 0
+    before = np.where(begins, -1, np.concatenate([[0], word[:-1]])) if len(word) else word
+    changes = np.cumsum((before[places] != before[np.roll(places, 1)]) | begins[places]) if len(word) else word
+    found: list[tuple[int, int, int]] = []
+    stack: list[tuple[int, int]] = []  # the open intervals: prefix, first member
+    last = -2
+
+    def close(above: int, right: int, left: int) -> int:
+        while stack and stack[-1][0] > above:
+            length, left = stack.pop()
+            if changes[right] > changes[left]:
+                found.append((int(places[left]), length, right - left + 1))
+        return left
+
+    for k, length in zip(at.tolist(), common[at].tolist()):
+        if k != last + 1:
+            close(0, last + 1, 0)
+        left = close(length, k, k)
+        if not stack or stack[-1][0] < length:
+            stack.append((length, left))
+        last = k
+    close(0, last + 1, 0)
+    return np.array(found, np.int64).reshape(-1, 3)
+
+
+def repeated_windows(word: np.ndarray, doc: np.ndarray, size: int = 3) -> np.ndarray:
+    """Which places begin a run of ``size`` words that the document has again."""
+    n = len(word) - size + 1
+    out = np.zeros(len(word), bool)
+    if n < 1:
+        return out
+    value = doc[:n]
+    for k in range(size):
+        value = np.unique(value * (int(word.max()) + 1) + word[k: k + n], return_inverse=True)[1].astype(np.int64)
+    whole = doc[:n] == doc[size - 1:]
+    out[:n] = whole & (np.bincount(value[whole], minlength=int(value.max()) + 1)[value] > 1)
     return out
 
 
@@ -113,25 +169,42 @@ def dup_lines(text: str) -> int:
 def measures(texts: list[str], repeat_words: int = REPEAT_WORDS) -> dict[str, list | np.ndarray]:
     """The counts of each text; see ``repetition``."""
     joined, code, starts, stops, offsets, edges = words(texts)
-    index = distinct(joined, code, starts, stops)[1]
+    index = distinct(joined, code, starts, stops)[1].astype(np.int64)
     doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
-    repeat = longest_repeats(index, doc)
     size = stops - starts
-    in_window = covered(np.where(repeat >= 3, 3, 0))
+    # Units: words, and the code points of long words.
+    n_units = np.where(size > LONG_WORD, size, 1)
+    long = (n_units > 1).any()
+    unit, u_doc, u_starts, u_stops = index, doc, starts, stops
+    if long:
+        inner = np.arange(n_units.sum()) - np.repeat(np.cumsum(n_units) - n_units, n_units)
+        apart = np.repeat(n_units > 1, n_units)
+        u_doc, u_starts = np.repeat(doc, n_units), np.repeat(starts, n_units) + inner
+        u_stops = np.where(apart, u_starts + 1, np.repeat(stops, n_units))
+        unit = np.where(apart, len(index) + code[np.minimum(u_starts, len(code) - 1)].astype(np.int64), np.repeat(index, n_units))
+    places, common = common_prefixes(unit, u_doc)
+    repeat = longest_repeats(places, common)
+    u_size = u_stops - u_starts
+    in_window = covered(np.where(repeated_windows(index, doc) if long else repeat >= 3, 3, 0))
     in_repeat = covered(np.where(repeat >= repeat_words, repeat, 0))
     longest = np.zeros(len(texts), np.int64)
-    np.maximum.at(longest, doc, repeat)
+    np.maximum.at(longest, u_doc, repeat)
+    repeats: list[list[dict]] = [[] for _ in texts]
+    for p, length, times in maximal_repeats(unit, u_doc, places, common, repeat_words).tolist():
+        d = int(u_doc[p])
+        repeats[d].append({"start": int(u_starts[p] - edges[d]), "end": int(u_stops[p + length - 1] - edges[d]), "count": times})
+    u_offsets = np.searchsorted(u_doc, np.arange(len(texts) + 1))
     symbol = np.zeros(128, bool)
     symbol[[ord(c) for c in SYMBOLS]] = True
     spans: list[list[dict]] = [[] for _ in texts]
-    head = in_repeat & ~(np.concatenate([[False], in_repeat[:-1]]) & (np.diff(doc, prepend=-1) == 0))
-    tail = in_repeat & ~(np.concatenate([in_repeat[1:], [False]]) & (np.diff(doc, append=-1) == 0))
-    for d, a, b in zip(doc[head].tolist(), starts[head].tolist(), stops[tail].tolist()):
+    head = in_repeat & ~(np.concatenate([[False], in_repeat[:-1]]) & (np.diff(u_doc, prepend=-1) == 0))
+    tail = in_repeat & ~(np.concatenate([in_repeat[1:], [False]]) & (np.diff(u_doc, append=-1) == 0))
+    for d, a, b in zip(u_doc[head].tolist(), u_starts[head].tolist(), u_stops[tail].tolist()):
         spans[d].append({"start": a - int(edges[d]), "end": b - int(edges[d])})
     return {"n_words": np.diff(offsets), "word_chars": _sums(size, offsets),
             "n_symbols": _sums(symbol[np.minimum(code, 127)], edges), "n_dup_lines": [dup_lines(t) for t in texts],
-            "n_repeat_words": _sums(in_window, offsets), "covered_chars": _sums(np.where(in_repeat, size, 0), offsets),
-            "longest_repeat": longest, "spans": spans}
+            "n_repeat_words": _sums(in_window, offsets), "covered_chars": _sums(np.where(in_repeat, u_size, 0), u_offsets),
+            "longest_repeat": longest, "spans": spans, "repeats": repeats}
 
 
 def verdicts(m: dict, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT,
@@ -143,17 +216,19 @@ def verdicts(m: dict, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_
 
 def repetition(docs: DataFrame, repeat_words: int = REPEAT_WORDS, doc_id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
     """The measures of every document, ``base_failed`` and ``kept`` (``limits``: see
-    ``verdicts``).  One row per row of ``docs``; a text without words (null,
-    empty) fails the base rules."""
+    ``verdicts``); ``spans`` is the covered part, ``repeats`` has the maximal
+    repeated substrings with one occurrence and their count.  One row per row of
+    ``docs``; a text without words (null, empty) fails the base rules."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_col(text).alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        span = [("start", pa.int64()), ("end", pa.int64())]
+        kinds = {"spans": pa.list_(pa.struct(span)), "repeats": pa.list_(pa.struct([*span, ("count", pa.int64())]))}
         for batch, texts in steps(batches):
             m = measures(texts, repeat_words)
             failed, kept = verdicts(m, **limits)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")} | {
-                k: pa.array(v, span if k == "spans" else pa.int64()) for k, v in m.items()} | {"base_failed": pa.array(failed), "kept": pa.array(kept)})
+                k: pa.array(v, kinds.get(k, pa.int64())) for k, v in m.items()} | {"base_failed": pa.array(failed), "kept": pa.array(kept)})
 
     return map_arrow(rows, measure, RESULT)
 
