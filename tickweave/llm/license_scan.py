@@ -42,7 +42,7 @@ BAND = 16
 #: Least share of a template's words that its matches in a document must cover together.
 MIN_COVERAGE = 0.5
 #: Bits of the filter for each fingerprint, and most bits of it as a power of two (16 MB).
-FILTER_BITS, MOST_BITS = 32, 27
+FILTER_BITS, MOST_BITS = 1024, 27
 #: Fixed value: the bits of one of Spark's bitmaps.
 BITMAP = 32768
 #: Rows up to which the index, and words of templates up to which their table, are broadcast (8 to 24 bytes each).
