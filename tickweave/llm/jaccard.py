@@ -2,7 +2,7 @@
 
 A document is the set of its distinct shingles, kept as 64-bit hashes.  Equal
 sets are one class.  Similar classes are put into groups of about
-``GROUP_CLASSES``: those with the same smallest shared shingle and like size; a
+``GROUP_CLASSES``: those with the same commonest shared shingle and like size; a
 larger group is split by hash.  The matrix says which groups hold which shingle.
 A class can only be similar to a member of a group if it shares enough shingles
 with the union of the group: of its ``n`` shingles at least
@@ -341,18 +341,19 @@ def similar_classes(sets: DataFrame, percent: int = PERCENT, group_classes: int
     connected by similarity with a smaller one, the smallest of their component."""
     prefixes = _prefixes(sets, frequent_shingles(sets, percent), percent)
     token = Window.partitionBy("token")
-    shared = prefixes.repartition("token").withColumns({"low": F.min("key").over(token), "high": F.max("key").over(token)})
-    shared = written(shared.where("low <> high").select("token", "key", "n"), "shared-shingles")
+    shared = prefixes.repartition("token").withColumns(
+        {"low": F.min("key").over(token), "high": F.max("key").over(token), "times": F.count("*").over(token)})
+    shared = written(shared.where("low <> high").select("token", "key", "n", "times"), "shared-shingles")
 
-    # Groups: the smallest shared shingle and the size within the factor that similarity allows.
+    # Groups: the commonest shared shingle and the size within the factor that similarity allows.
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")
-    alive = shared.groupBy("key").agg(F.first("n").alias("n"), F.min("token").alias("least"), F.count("*").alias("k")).withColumn("band", band)
+    alive = shared.groupBy("key").agg(F.first("n").alias("n"), F.max_by("token", F.struct("times", "token")).alias("common"), F.count("*").alias("k")).withColumn("band", band)
     # The smallest set that a class can be similar to has percent of its shingles.
     alive = written(alive.where(F.col("k") >= _common(F.ceil(percent * F.col("n") / 100))).drop("k"), "shared-classes")
-    sizes = alive.groupBy("least", "band").agg(F.greatest(F.ceil(F.count("*") / group_classes), F.ceil(F.sum("n") / GROUP_SHINGLES)).alias("parts"))
-    placed = alive.join(sizes, ["least", "band"]).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
-    placed = written(placed.select("key", "n", F.xxhash64("least", "band", "part").alias("gid"),
-                                   F.xxhash64("least", "band", F.lit(0).cast("bigint")).alias("head")), "shared-groups")
+    sizes = alive.groupBy("common", "band").agg(F.greatest(F.ceil(F.count("*") / group_classes), F.ceil(F.sum("n") / GROUP_SHINGLES)).alias("parts"))
+    placed = alive.join(sizes, ["common", "band"]).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
+    placed = written(placed.select("key", "n", F.xxhash64("common", "band", "part").alias("gid"),
+                                   F.xxhash64("common", "band", F.lit(0).cast("bigint")).alias("head")), "shared-groups")
 
     heads = placed.where("head <> gid").select("key", F.col("head").alias("gid"))
     links = written(_verified(heads, placed, sets, percent, True), "near-links")
