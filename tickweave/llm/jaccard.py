@@ -43,6 +43,8 @@ SHINGLE = 4
 #: Least similarity, in percent.
 PERCENT = 85
 GROUP_CLASSES = 128
+#: Tasks that the classes of a split group are dealt over.
+SALTS = 32
 #: Shingles of a group's sets together, about.
 GROUP_SHINGLES = 1 << 18
 #: One of so many shingles is read beyond those that a candidate needs, so that chance matches don't count.
@@ -351,7 +353,10 @@ def similar_classes(sets: DataFrame, percent: int = PERCENT, group_classes: int
     # The smallest set that a class can be similar to has percent of its shingles.
     alive = written(alive.where(F.col("k") >= _common(F.ceil(percent * F.col("n") / 100))).drop("k"), "shared-classes")
     sizes = alive.groupBy("common", "band").agg(F.greatest(F.ceil(F.count("*") / group_classes), F.ceil(F.sum("n") / GROUP_SHINGLES)).alias("parts"))
-    placed = alive.join(sizes, ["common", "band"]).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
+    # Only split groups are joined; each is dealt over salts, so that the classes of a large one don't meet in one task.
+    spread = sizes.where("parts > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    placed = alive.withColumn("salt", F.pmod(F.xxhash64("key", F.lit("salt")), F.lit(SALTS)).cast("int")).join(spread, ["common", "band", "salt"], "left")
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("key"), F.coalesce("parts", F.lit(1))))
     placed = written(placed.select("key", "n", F.xxhash64("common", "band", "part").alias("gid"),
                                    F.xxhash64("common", "band", F.lit(0).cast("bigint")).alias("head")), "shared-groups")
 
