@@ -4,8 +4,13 @@ Each query renders the quote feed from ``events`` as JSON-array lines in a
 fresh folder under the shared checkpoint root.  The feed comes a week at a
 time; the stream runs over each week until all files are processed
 (``availableNow``) and is started again on its checkpoint for the next one, so
-its state crosses as many micro-batches and restarts as there are weeks.  All
-window results come in append mode: the windows that the watermark has closed.
+its state crosses as many micro-batches and restarts as there are weeks.
+
+The window metrics cover every window of the feed, so they equal the batch query
+and share its SQL: in update mode
+a window is written with each week that changes it, and the last version counts.
+The other window results come in append mode: the windows that the watermark has
+closed.
 """
 
 from __future__ import annotations
@@ -19,10 +24,11 @@ from pyspark.sql import functions as F
 from tickweave.app import LineOutputs
 from tickweave.plans.catalog import DAY_SLIDE, DAY_WINDOW, FEED_SLIDE, FEED_WINDOW, broken_feed
 from tickweave.session import checkpoint_root
+from tickweave.sinks.files import per_batch_parquet
 from tickweave.sources.decode import decode_quotes
 from tickweave.sources.lines import read_lines, render_quote_lines
 from tickweave.sources.tables import load_quotes, with_high_low
-from tickweave.streaming.feed import latest_snapshot, quote_stream, start
+from tickweave.streaming.feed import latest_snapshot, latest_versions, quote_stream, start, stream_window_metrics
 from tickweave.streaming.rsi import ClosedWindows, read_carried, read_results
 from tickweave.streaming.windows import stream_window_report
 
@@ -65,9 +71,22 @@ METRICS = ("window_start", "window_end", "symbol", "n_quotes", "sma_close", "avg
 RSI = ("window_start", "window_end", "symbol", "n_quotes AS n_bars", "gain", "loss", "rsi", "rsi_skip_first")
 
 
+def _all_windows(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """Metrics of every window after the last week.  A week writes the windows that
+    it changed, with all their quotes so far; the watermark drops only the state of
+    windows that no later week reaches."""
+    work = _workdir(spark, name)
+
+    def begin(folder: str):
+        metrics = stream_window_metrics(quote_stream(spark, folder).quotes, FEED_WINDOW, FEED_SLIDE, "1 day")
+        return start(metrics, f"{work}/checkpoint", "update", foreach_batch=per_batch_parquet(f"{work}/out"), trigger=ONCE)
+
+    _weekly(spark, d, work, begin)
+    return _ntz(latest_versions(spark, f"{work}/out", "window_start", "window_end", "symbol")).select(*METRICS)
+
+
 def q_stream_window_metrics(spark: SparkSession, d: str) -> DataFrame:
-    root = _closed(spark, d, "metrics", "windows", FEED_WINDOW, FEED_SLIDE, "1 day")
-    return _ntz(read_results(spark, root, "windows")).select(*METRICS)
+    return _all_windows(spark, d, "metrics")
 
 
 def q_stream_top_gainer(spark: SparkSession, d: str) -> DataFrame:
@@ -160,4 +179,4 @@ def q_stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
 
 STREAM_QUERIES = {name: fn for name, fn in globals().items() if name.startswith("q_stream_") and callable(fn)}
 #: Streaming queries whose result is that of a batch query.
-STREAM_ORACLE = {"q_stream_quarantine": "q_json_quarantine"}
+STREAM_ORACLE = {"q_stream_window_metrics": "q_window_metrics", "q_stream_quarantine": "q_json_quarantine"}

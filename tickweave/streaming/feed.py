@@ -95,3 +95,11 @@ def latest_snapshot(spark: SparkSession, out_root: str) -> DataFrame:
     df = spark.read.parquet(out_root)
     last = df.agg(F.max("batch_id")).first()[0]
     return df.where(F.col("batch_id") == last).drop("batch_id")
+
+
+def latest_versions(spark: SparkSession, out_root: str, *key: str) -> DataFrame:
+    """The rows of an update-mode sink with ``batch_id=<n>`` folders: of those with
+    one ``key`` (NULLs are equal) the newest counts."""
+    df = spark.read.parquet(out_root)
+    rest = [c for c in df.columns if c not in (*key, "batch_id")]
+    return df.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch_id").alias("_row")).select(*key, "_row.*")
