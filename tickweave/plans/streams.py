@@ -6,8 +6,8 @@ time; the stream runs over each week until all files are processed
 (``availableNow``) and is started again on its checkpoint for the next one, so
 its state crosses as many micro-batches and restarts as there are weeks.
 
-The window metrics cover every window of the feed, so they equal the batch query
-and share its SQL: in update mode
+The window metrics and the top gainer cover every window of the feed, so they
+equal the batch queries and share their SQL: in update mode
 a window is written with each week that changes it, and the last version counts.
 The other window results come in append mode: the windows that the watermark has
 closed.
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.app import LineOutputs
+from tickweave.operators.ranking import top_k
 from tickweave.plans.catalog import DAY_SLIDE, DAY_WINDOW, FEED_SLIDE, FEED_WINDOW, broken_feed
 from tickweave.session import checkpoint_root
 from tickweave.sinks.files import per_batch_parquet
@@ -90,9 +91,9 @@ def q_stream_window_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_stream_top_gainer(spark: SparkSession, d: str) -> DataFrame:
-    """Best symbol of every closed window."""
-    root = _closed(spark, d, "top", "top", FEED_WINDOW, FEED_SLIDE, "1 day")
-    return _ntz(read_results(spark, root, "top_gain")).select("window_start", "window_end", "rank", "symbol", "avg_gain")
+    """Best symbol of every window."""
+    best = top_k(_all_windows(spark, d, "top"), "avg_gain", 1)
+    return best.select("window_start", "window_end", "rank", "symbol", "avg_gain")
 
 
 def q_stream_sliding(spark: SparkSession, d: str) -> DataFrame:
@@ -179,4 +180,5 @@ def q_stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
 
 STREAM_QUERIES = {name: fn for name, fn in globals().items() if name.startswith("q_stream_") and callable(fn)}
 #: Streaming queries whose result is that of a batch query.
-STREAM_ORACLE = {"q_stream_window_metrics": "q_window_metrics", "q_stream_quarantine": "q_json_quarantine"}
+STREAM_ORACLE = {"q_stream_window_metrics": "q_window_metrics", "q_stream_top_gainer": "q_top_gainer",
+                 "q_stream_quarantine": "q_json_quarantine"}
