@@ -56,6 +56,12 @@ from tickweave.streaming.windows import stream_window_report
 MAX_AHEAD = "1 day"
 
 
+def profit_report(state: DataFrame) -> DataFrame:
+    """``cumulative_profit`` from the per-symbol sums that ``LineOutputs`` keeps."""
+    close, open_ = mean_of("sum_close", "n_close"), mean_of("sum_open", "n_open")
+    return state.select("symbol", "n_quotes", close.alias("avg_close"), open_.alias("avg_open"), (close - open_).alias("cumulative_profit"))
+
+
 class LineOutputs:
     """``foreachBatch`` function over raw text lines (columns ``value`` and
     ``arrival_ts``): quarantine and cumulative profit."""
@@ -88,8 +94,7 @@ class LineOutputs:
         scale = next(f.dataType.scale for f in quotes.schema if f.name == "close")
         sums = [F.col(c).cast(f"decimal(38,{scale})").alias(c) for c in ("sum_close", "sum_open")]
         state = self.state.write(add.select("symbol", *sums, "n_close", "n_open", "n_quotes"), batch_id)
-        profit = state.select("symbol", "n_quotes",
-                              (mean_of("sum_close", "n_close") - mean_of("sum_open", "n_open")).alias("cumulative_profit"))
+        profit = profit_report(state).select("symbol", "n_quotes", "cumulative_profit")
         write_parquet(sorted_desc(profit, "cumulative_profit"), batch_path(f"{self.root}/profit", batch_id))
         write_parquet(top_k(profit, "cumulative_profit", 1, per=()), batch_path(f"{self.root}/top_profit", batch_id))
 

@@ -6,8 +6,8 @@ time; the stream runs over each week until all files are processed
 (``availableNow``) and is started again on its checkpoint for the next one, so
 its state crosses as many micro-batches and restarts as there are weeks.
 
-The window metrics and the top gainer cover every window of the feed, so they
-equal the batch queries and share their SQL: in update mode
+The window metrics, the top gainer and the profit cover every quote and window
+of the feed, so they equal the batch queries and share their SQL: in update mode
 a window is written with each week that changes it, and the last version counts.
 The other window results come in append mode: the windows that the watermark has
 closed.
@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.app import LineOutputs
+from tickweave.app import LineOutputs, profit_report
 from tickweave.operators.ranking import top_k
 from tickweave.plans.catalog import DAY_SLIDE, DAY_WINDOW, FEED_SLIDE, FEED_WINDOW, broken_feed
 from tickweave.session import checkpoint_root
@@ -42,13 +42,18 @@ def _workdir(spark: SparkSession, name: str) -> str:
 
 def _weekly(spark: SparkSession, d: str, work: str, begin: Callable[[str], object]) -> None:
     """Add the feed to ``work/feed`` week by week; after each, ``begin(folder)``
-    starts the stream, which ends when it has read the week."""
+    starts the stream, which ends when it has read the week.  Quotes without a time
+    come in lines of their own with the first week."""
     quotes = with_high_low(load_quotes(spark, d)).withColumn("week", F.floor(F.unix_date(F.to_date("ts")) / 7))
     render_quote_lines(quotes, extra_keys=("week",)).select("week", "value").write.partitionBy("week").parquet(f"{work}/weeks")
     weeks = spark.read.parquet(f"{work}/weeks")
     span = weeks.agg(F.min("week"), F.max("week")).first()
-    for week in range(span[0], span[1] + 1):
-        weeks.where(F.col("week") == week).select("value").coalesce(8).write.mode("append").text(f"{work}/feed")
+    first, last = (0, 0) if span[0] is None else span
+    for week in range(first, last + 1):
+        chosen = F.col("week") == week
+        if week == first:
+            chosen = chosen | F.col("week").isNull()
+        weeks.where(chosen).select("value").coalesce(8).write.mode("append").text(f"{work}/feed")
         begin(f"{work}/feed").awaitTermination()
 
 
@@ -157,7 +162,7 @@ def q_stream_arrival_rsi(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_stream_profit(spark: SparkSession, d: str) -> DataFrame:
-    """Cumulative profit after the last week, from the state of the weeks before."""
+    """Mean prices and cumulative profit after the last week, from the state of the weeks before."""
     work = _workdir(spark, "profit")
 
     def begin(folder: str):
@@ -165,7 +170,7 @@ def q_stream_profit(spark: SparkSession, d: str) -> DataFrame:
         return start(lines, f"{work}/checkpoint", "append", foreach_batch=LineOutputs(f"{work}/out"), trigger=ONCE)
 
     _weekly(spark, d, work, begin)
-    return latest_snapshot(spark, f"{work}/out/profit").select("symbol", "n_quotes", "cumulative_profit")
+    return profit_report(latest_snapshot(spark, f"{work}/out/state/profit"))
 
 
 def q_stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
@@ -181,4 +186,4 @@ def q_stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
 STREAM_QUERIES = {name: fn for name, fn in globals().items() if name.startswith("q_stream_") and callable(fn)}
 #: Streaming queries whose result is that of a batch query.
 STREAM_ORACLE = {"q_stream_window_metrics": "q_window_metrics", "q_stream_top_gainer": "q_top_gainer",
-                 "q_stream_quarantine": "q_json_quarantine"}
+                 "q_stream_profit": "q_profit", "q_stream_quarantine": "q_json_quarantine"}
