@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)`` with ``value`` computed once, however often ``of`` uses it."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def mean_of(total: str | Column, count: str | Column) -> Column:
     """``total / count`` as double, NULL when the count is 0.
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tickweave.functions.scalar import bound
 from tickweave.operators.windows import interval_micros, window_col
 
 # Width of the time buckets that split each key's ordered work.  It changes no
@@ -70,14 +71,29 @@ def merge_runs(a: Column, b: Column, value_type: T.DataType) -> Column:
 
 
 def run_of_bars(bars: Column, value_type: T.DataType) -> Column:
-    """The run of an array of structs with ``value``, in order."""
+    """The run of an array of structs with ``value``, in order (NULL for an empty array).
+
+    The changes are taken from one array of the values: folding the bars with
+    ``merge_runs`` would build a whole run for each bar.
+    """
     amount = amount_type(value_type)
     zero = F.lit(0).cast(amount)
-    single = (lambda x: F.struct(
-        F.lit(1).cast("bigint").alias("n"), F.when(x["value"].isNull(), 0).otherwise(1).cast("bigint").alias("nv"),
-        x["value"].alias("first"), x["value"].alias("last"), zero.alias("gain"), zero.alias("loss"),
-        F.lit(None).cast(amount).alias("first_change")).cast(run_type(value_type)))
-    return F.aggregate(bars, empty_run(value_type), lambda acc, x: merge_runs(acc, single(x), value_type))
+
+    def changes(values: Column) -> Column:
+        later = F.slice(values, 2, F.size(values))
+        return F.transform(later, lambda x, i: (x - F.get(values, i)).cast(amount))
+
+    def total(steps: Column, part: int) -> Column:
+        return F.aggregate(steps, zero, lambda acc, x: (acc + _split(x, amount)[part]).cast(amount))
+
+    def run(all_bars: Column, values: Column, steps: Column) -> Column:
+        return F.when(F.size(all_bars) > 0, F.struct(
+            F.size(all_bars).cast("bigint").alias("n"), F.size(values).cast("bigint").alias("nv"),
+            F.get(values, F.lit(0)).alias("first"), F.get(values, F.size(values) - 1).alias("last"),
+            total(steps, 0).alias("gain"), total(steps, 1).alias("loss"), F.get(steps, F.lit(0)).alias("first_change")).cast(run_type(value_type)))
+
+    return bound(bars, lambda b: bound(F.filter(F.transform(b, lambda x: x["value"]), lambda v: v.isNotNull()),
+                                       lambda values: bound(changes(values), lambda steps: run(b, values, steps))))
 
 
 def bucket_length(window: str, slide: str | None, bucket: str) -> str:
@@ -107,7 +123,7 @@ def bucket_runs(bars: DataFrame, groups: Sequence[str], bucket: str, time: str,
 
 def merged(runs: Column, value_type: T.DataType) -> Column:
     """The run of an array of (start, run) structs, merged in the order of their starts."""
-    return F.aggregate(F.array_sort(runs), empty_run(value_type), lambda acc, x: merge_runs(acc, x["r"], value_type))
+    return F.aggregate(F.sort_array(runs), empty_run(value_type), lambda acc, x: merge_runs(acc, x["r"], value_type))
 
 
 def window_runs(bars: DataFrame, window: str, slide: str | None, key: str, time: str, order: Sequence[str], value: str,

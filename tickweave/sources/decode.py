@@ -25,7 +25,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.functions.scalar import parse_quote_ts, to_price, to_volume
+from tickweave.functions.scalar import bound, parse_quote_ts, to_price, to_volume
 from tickweave.schema import FEED_PRICE_TYPE, PRICE_FIELDS
 
 # Fixed reason codes of the quarantine table.  Line-level: the line is not
@@ -58,9 +58,11 @@ def parse_exact(text: Column) -> Column:
     its own digest, which the text cannot contain: unless it comes right after
     the text's value, the text is not a single value.
     """
-    mark = F.sha2(text.cast("binary"), 256)
-    both = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
-    return F.when(F.try_variant_get(both, "$[1]", "string") == mark, F.try_variant_get(both, "$[0]", "variant"))
+    def value(mark: Column) -> Column:
+        both = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
+        return bound(both, lambda b: F.when(F.try_variant_get(b, "$[1]", "string") == mark, F.try_variant_get(b, "$[0]", "variant")))
+
+    return bound(F.sha2(text.cast("binary"), 256), value)
 
 
 def parse_lines(lines: DataFrame, line_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:

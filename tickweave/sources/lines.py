@@ -47,7 +47,7 @@ def render_quote_lines(quotes: DataFrame, per_line: int = 64, key: str = "symbol
     objs = quotes.select(key, *extra_keys, F.floor(F.col(seq) / per_line).alias("_blk"), F.col(seq),
                          quote_object().alias("_obj"))
     line = F.concat(F.lit("["),
-                    F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(seq, "_obj"))),
+                    F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(seq, "_obj"))),
                                              lambda x: x["_obj"]), ","),
                     F.lit("]"))
     return (objs.groupBy(key, *extra_keys, "_blk")

@@ -37,7 +37,10 @@ def stream_window_changes(quotes: DataFrame, window: str = DEFAULT_WINDOW, slide
     dtype = quotes.schema[value].dataType
     axis = member or time
     rows = quotes.where(F.col(time).isNotNull() & F.col(axis).isNotNull()).withWatermark(axis, delay)
-    bars = F.array_sort(F.collect_list(F.struct(time, *order, F.col(value).alias("value"))))
+    if order and order[-1] == value:
+        # The value itself ends the order: once in a bar is enough.
+        order = order[:-1]
+    bars = F.sort_array(F.collect_list(F.struct(time, *order, F.col(value).alias("value"))))
     sums = [agg.alias(name) for _, name, agg in extra]
     names = [name for _, name, _ in extra]
     if member:
