@@ -5,6 +5,7 @@ import math
 import random
 from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +16,8 @@ from tickweave.operators.indicators import carry_forward, rsi_smoothed, rsi_wind
 from tickweave.operators.profit import cumulative_profit, profit_parity, running_profit
 from tickweave.operators.ranking import top_k
 from tickweave.operators.scan import affine_scan
+from tickweave.plans.catalog import q_int_avg_volume_large
+from tickweave.plans.oracle import ORACLE_SQL
 
 T0 = dt.datetime(2024, 1, 2, 9, 30, 0)
 SCHEMA = "symbol string, ts timestamp_ntz, seq bigint, open decimal(12,2), close decimal(12,2), volume bigint"
@@ -269,6 +272,30 @@ def test_int_mean_is_exact_for_large_sums(spark):
     assert got == [2474702362506447612 // 579249, -3, None]
 
 
+def test_int_avg_volume_of_sums_beyond_bigint(spark, scratch):
+    big = 2 ** 63 - 1
+    volumes = {"sum": [900_000] * 20 + [0], "row": [2_000_000, 0, 0, None, 7], "below": [-900_000] * 20 + [1],
+               "no mean": [big, big], "cancel": [big, -big, 5], "none": [None, None], None: [900_000] * 11, "small": [3, 4]}
+    rows = [(seq, symbol, v) for seq, (symbol, v) in enumerate((s, v) for s, vs in volumes.items() for v in vs)]
+    events = [(seq, T0, 1, symbol, 1.0, "{}" if v is None else '{"k": %d}' % v) for seq, symbol, v in rows]
+    spark.createDataFrame(events, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string") \
+        .write.parquet(f"{scratch}/events.parquet")
+
+    def mean(symbol):
+        scaled = [v * 10 ** 13 + seq for seq, s, v in rows if s == symbol and v is not None]
+        m = scaled and abs(sum(scaled)) // len(scaled)
+        return (m if sum(scaled) > 0 else -m) if scaled and m <= big else None
+
+    got = {r["symbol"]: r["int_avg_volume"] for r in q_int_avg_volume_large(spark, scratch).collect()}
+    assert got == {s: mean(s) for s in volumes}
+    assert got["no mean"] is None and got["none"] is None and got["row"] > 4 * 10 ** 18
+    # The SQL takes rows up to bigint.
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{scratch}/events.parquet/*.parquet' "
+                "WHERE event_type IS NULL OR event_type IN ('sum', 'below', 'none', 'small')")
+    assert dict(con.execute(ORACLE_SQL["q_int_avg_volume_large"]).fetchall()) == {s: got[s] for s in ("sum", "below", "none", "small", None)}
+
+
 def test_profit_divides_by_the_values_that_are_there(spark):
     df = spark.createDataFrame([("A", 10.0, 4.0), ("A", None, 6.0)], "symbol string, close double, open double")
     row = cumulative_profit(df).first()

@@ -191,9 +191,12 @@ def q_profit_nulls(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_int_avg_volume_large(spark: SparkSession, d: str) -> DataFrame:
-    """Integer mean volume per symbol with sums beyond 2^53."""
+    """Integer mean volume per symbol with sums beyond 2^53, also beyond bigint: scaled
+    volumes and sums are exact decimals.  NULL where a sum has more than 38 digits
+    or the mean is no bigint."""
+    scaled = F.col("volume").cast("decimal(19,0)") * F.lit("10000000000000").cast("decimal(14,0)")
     q = load_quotes(spark, d).groupBy("symbol").agg(
-        F.sum(F.col("volume") * F.lit(10_000_000_000_000) + F.col("seq")).alias("total"), F.count("volume").alias("n"))
+        F.try_sum(scaled + F.col("seq")).alias("total"), F.count("volume").alias("n"))
     return q.select("symbol", int_mean("total", "n").alias("int_avg_volume"))
 
 
